@@ -1,0 +1,35 @@
+"""Planar point-in-polygon test as one JVM expression over a vertex array.
+
+A ring is ``ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>`` (open: the last vertex is not a
+repeat of the first). The even-odd rule counts edge crossings of a ray cast from
+the point towards +x; the loop runs in ``aggregate`` so it stays in codegen-able
+Catalyst expressions instead of a Python UDF.
+"""
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _c(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def ring_edges(ring) -> Column:
+    """Edges (a, b) of a ring: each vertex paired with the next, the last with the first."""
+    ring = _c(ring)
+    nxt = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
+    return F.arrays_zip(ring.alias("a"), nxt.alias("b"))
+
+
+def point_in_ring(x, y, ring) -> Column:
+    """True when (x, y) is inside the ring (even-odd rule)."""
+    x, y = _c(x), _c(y)
+
+    def step(acc, e):
+        ax, ay, bx, by = e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]
+        crosses = ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / (by - ay) + ax)
+        return acc + F.when(crosses, F.lit(1)).otherwise(F.lit(0))
+
+    n = F.aggregate(ring_edges(ring), F.lit(0), step)
+    return (n % 2) == 1
