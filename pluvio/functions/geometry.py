@@ -28,7 +28,8 @@ def point_in_ring(x, y, ring) -> Column:
 
     def step(acc, e):
         ax, ay, bx, by = e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]
-        crosses = ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / (by - ay) + ax)
+        # the division only runs for edges that straddle y (never horizontal ones)
+        crosses = F.when((ay > y) != (by > y), x < (bx - ax) * (y - ay) / (by - ay) + ax)
         return acc + F.when(crosses, F.lit(1)).otherwise(F.lit(0))
 
     n = F.aggregate(ring_edges(ring), F.lit(0), step)

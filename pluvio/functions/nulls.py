@@ -72,12 +72,25 @@ def zero_fill(df: DataFrame, cols=None) -> DataFrame:
     return df.fillna(0, subset=cols) if cols else df
 
 
+def round_half(c, digits: int) -> Column:
+    """Round a double half away from zero on ``x * 10^digits`` (the scaled value
+    decides, as in common SQL engines), not on the exact binary expansion."""
+    m = float(10 ** digits)
+    return F.round(_c(c).cast("double") * m, 0) / m
+
+
+def exact_sum(c, scale: int = 9) -> Column:
+    """Sum accumulated as DECIMAL: independent of row order and partitioning, so
+    a later rounding never flips between runs."""
+    return F.sum(_c(c).cast(f"decimal(38,{scale})"))
+
+
 def round_floats(df: DataFrame, digits: int = 4) -> DataFrame:
     """Round every float/double column (result publication and oracle comparison)."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+            out.append(round_half(F.col(f"`{f.name}`"), digits).alias(f.name))
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)

@@ -27,11 +27,9 @@ def scalar(df: DataFrame, expr: Column) -> Column:
 def left_join_as(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> DataFrame:
     """Left join where keys are named differently (``{left_key: right_key}``); the
     right keys are dropped, the left names kept."""
-    cond = [left[lk] == right[rk] for lk, rk in pairs.items()]
-    out = left.join(right, cond, "left")
-    for rk in pairs.values():
-        out = out.drop(right[rk])
-    return out
+    r = right.withColumnsRenamed({rk: f"_rk_{rk}" for rk in pairs.values()})
+    cond = [left[lk] == r[f"_rk_{rk}"] for lk, rk in pairs.items()]
+    return left.join(r, cond, "left").drop(*[f"_rk_{rk}" for rk in pairs.values()])
 
 
 def full_join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

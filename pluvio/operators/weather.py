@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvio.functions.dates import ampm_timestamp
-from pluvio.functions.nulls import null_tokens
+from pluvio.functions.nulls import exact_sum, null_tokens, round_half
 from pluvio.operators.columns import containing
 from pluvio.operators.quality import station_flag
 
@@ -16,13 +16,16 @@ STATION_SENTINELS = ("---", "------")
 
 def parse_station(raw: DataFrame, measures: dict[str, str], prefix: str,
                   date_col: str = "x_date", time_col: str = "x_time",
-                  shift_hours: int = 0, sentinels=STATION_SENTINELS) -> DataFrame:
+                  shift_hours: int = 0, sentinels=STATION_SENTINELS, text=("wind_dir",)) -> DataFrame:
     """Station export -> (time_date, <prefix><name>...): whole-row duplicates
     removed, 12-hour text clock parsed (and shifted), sentinel texts made null and
-    values read as numbers. ``measures`` maps source column -> published name."""
+    values read as numbers (``text`` columns stay text). ``measures`` maps source
+    column -> published name."""
     x = raw.dropDuplicates()
-    cols = [(null_tokens(F.col(src).cast("string"), sentinels)).try_cast("double").alias(prefix + dst)
-            for src, dst in measures.items()]
+    def read(src):
+        v = null_tokens(F.col(src).cast("string"), sentinels)
+        return v if src in text else v.try_cast("double")
+    cols = [read(src).alias(prefix + dst) for src, dst in measures.items()]
     return x.select(ampm_timestamp(date_col, time_col, shift_hours).alias("time_date"), *cols)
 
 
@@ -37,7 +40,8 @@ def daily_weather(lead: DataFrame, other: DataFrame | None, ts: str = "time_date
     """Hourly station rows -> one row per day. Rows of ``lead`` drive (``other``
     is left-joined by time). Columns whose name contains 'dir' are dropped; 'hi'
     columns take the day's max, 'low' the min, 'rain' the sum (0 when empty) and
-    every other the mean; names match case-insensitively. One aggregation."""
+    every other the mean; names match case-insensitively. One aggregation;
+    sums are accumulated exactly (decimal) before rounding."""
     w = lead if other is None else lead.join(other, on=ts, how="left")
     w = w.withColumn("date", F.to_date(ts)).drop(ts)
     w = w.drop(*containing(w, "dir"))
@@ -46,10 +50,11 @@ def daily_weather(lead: DataFrame, other: DataFrame | None, ts: str = "time_date
     rain = [c for c in containing(w, "rain") if c not in hi + low]
     mean = [c for c in w.columns if c not in {"date", *hi, *low, *rain}]
     aggs = ([F.max(c).alias(c) for c in hi] + [F.min(c).alias(c) for c in low]
-            + [F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in rain]
+            + [F.round(F.coalesce(exact_sum(c), F.lit(0)), digits).cast("double").alias(c) for c in rain]
             + [F.avg(c).alias(c) for c in mean])
     d = w.groupBy("date").agg(*aggs).drop(*drop)
-    return d.select("date", *[F.round(c, digits).alias(c) for c in d.columns if c != "date"])
+    return d.select("date", *[(F.col(c) if c in rain else round_half(c, digits)).alias(c)
+                              for c in d.columns if c != "date"])
 
 
 def hourly_weather(hourly_wide: DataFrame, lead: DataFrame | None, other: DataFrame | None,

@@ -83,7 +83,7 @@ def incident_export(spark, sf_dir) -> DataFrame:
 
 
 def station_export(spark, sf_dir, parity: int, hours_behind: int = 0) -> DataFrame:
-    """A weather-station export (all text, 12-hour clock with an 'a'/'p' suffix,
+    """A weather-station export (all text, 12-hour clock like '3:00 p',
     '---' where an hour has fewer than 3 readings for the high, '------' for the
     pressure of single-reading hours): one row per hour from the events of the
     users with the given parity. ``hours_behind`` writes the clock that much late."""
@@ -97,7 +97,8 @@ def station_export(spark, sf_dir, parity: int, hours_behind: int = 0) -> DataFra
     s = lambda c: F.col(c).cast("string")
     return g.select(
         F.date_format(t, "M/d/yy").alias("x_date"),
-        F.concat(F.date_format(t, "h:mm"), F.lower(F.substring(F.date_format(t, "a"), 1, 1))).alias("x_time"),
+        F.concat(F.date_format(t, "h:mm"), F.lit(" "),
+                 F.lower(F.substring(F.date_format(t, "a"), 1, 1))).alias("x_time"),
         s("temp_out").alias("temp_out"),
         F.when(F.col("n") < 3, "---").otherwise(s("hi")).alias("hi_temp"),
         s("low_temp").alias("low_temp"),

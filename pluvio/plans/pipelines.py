@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.functions.dates import any_date, day_month_ambiguous
-from pluvio.functions.nulls import r_if_else, sum_or_zero
+from pluvio.functions.nulls import r_if_else, round_half, sum_or_zero
 from pluvio.operators import coverage, geo, quality, records, reshape, series, weather
 from pluvio.operators.quality import ANOMALY_TEXT, RESET_TEXT, TRACE_TEXT
 from pluvio.plans import fixtures as fx
@@ -120,7 +120,7 @@ def satellite_daily(sat: DataFrame, date_col="system_time_start", rate="precipit
     no value, two decimals."""
     mm = F.col(rate) * (1 / 0.997) * 60 * 60 * 6
     return (sat.select(any_date(date_col).alias("date"), mm.alias("_mm"))
-            .groupBy("date").agg(F.round(sum_or_zero("_mm"), 2).alias(name)))
+            .groupBy("date").agg(round_half(sum_or_zero("_mm"), 2).alias(name)))
 
 
 def official_series(export: DataFrame, year: int, name: str = "official",

@@ -48,6 +48,21 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return d
 
 
+def pin(df):
+    """Reliable checkpoint that is always taken: for intermediates whose row
+    placement must be identical for every consumer. Uses the session's checkpoint
+    folder; only a local-mode session without one gets a temporary folder."""
+    import tempfile
+    spark = df.sparkSession
+    if checkpoint_dir(spark) is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="pluvio-ckpt-"))
+    else:
+        ensure_checkpoint_dir(spark, checkpoint_dir(spark))
+    return df.checkpoint(eager=True)
+
+
 def materialize(df, enabled: bool = True):
     """Cut the lineage of a shared intermediate with a reliable checkpoint into the
     session's checkpoint folder (survives executor loss; never a local checkpoint).
