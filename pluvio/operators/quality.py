@@ -83,9 +83,11 @@ def gap_flag(grid: DataFrame, keys=("device",), order: str = "slot", value: str
     return g.withColumn(flag, F.coalesce(base, text)).drop(f"_gp_{value}")
 
 
-def null_first_slot(df: DataFrame, order: str = "slot", flag: str = "quality") -> DataFrame:
-    """The table's first slot never carries a flag."""
-    first = df.select(F.min(order)).scalar()
+def null_first_slot(df: DataFrame, order: str = "slot", flag: str = "quality", first=None) -> DataFrame:
+    """The table's first slot never carries a flag. ``first`` may be given (a
+    value or scalar column) when a smaller table already knows it."""
+    if first is None:
+        first = df.select(F.min(order)).scalar()
     return df.withColumn(flag, F.when(F.col(order) != first, F.col(flag)))
 
 

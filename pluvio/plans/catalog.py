@@ -394,7 +394,7 @@ def q_missing_flag(spark, d):
     inp = _inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False)
     g = pl.gridded(inp).withColumnRenamed("anomaly", "quality")
     x = quality.gap_flag(g, (DEV,), "slot", "accumulated")
-    x = quality.missing_flag(quality.null_first_slot(x), "accumulated")
+    x = quality.missing_flag(quality.null_first_slot(x, first=inp.first_slot()), "accumulated")
     return x.select(DEV, "slot", "quality")
 
 

@@ -19,8 +19,16 @@ INCIDENT_MEASURES = ("number_of_incidents", "affected_hhs", "affected_individual
 STATION_MEASURES = ("temp_out", "hi_temp", "low_temp", "wind_speed", "wind_dir", "bar", "rain", "rain_rate")
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; one relation per session and path (files listed once, and
+    identical scans let Spark reuse exchanges)."""
+    key = (id(spark), spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[2])
+    return _TABLES[key]
 
 
 def readings(spark, sf_dir) -> DataFrame:

@@ -17,7 +17,7 @@ from pluvio.functions.nulls import r_if_else, round_half, sum_or_zero
 from pluvio.operators import coverage, geo, quality, records, reshape, series, weather
 from pluvio.operators.quality import ANOMALY_TEXT, RESET_TEXT, TRACE_TEXT
 from pluvio.plans import fixtures as fx
-from pluvio.session import materialize
+from pluvio.session import pin
 from pluvio.sources.generated import calendar
 
 DEV = "device"
@@ -55,7 +55,24 @@ class Inputs:
     devices: list | None = None
     rules: GaugeRules = field(default_factory=GaugeRules)
     period: Period = field(default_factory=Period)
-    checkpoint: bool = False
+    checkpoint: bool = True
+    _slots: DataFrame | None = field(default=None, repr=False)
+
+    def slots(self) -> DataFrame:
+        """The slot table, computed once. With ``checkpoint`` it is written to the
+        session's checkpoint folder: every consumer (grid bounds, device names,
+        differences, flags) then reads that small table instead of re-running the
+        aggregation of the readings, and its lineage survives executor loss."""
+        if self._slots is None:
+            s = slot_table(self.readings, self.rules)
+            self._slots = pin(s) if self.checkpoint else s
+        return self._slots
+
+    def device_list(self) -> list:
+        return list(self.devices) if self.devices else reshape.pivot_values(self.slots(), DEV)
+
+    def first_slot(self):
+        return self.slots().select(F.min("slot")).scalar()
 
 
 # --------------------------------------------------------------------------- gauges
@@ -72,8 +89,7 @@ def slot_table(readings: DataFrame, rules: GaugeRules) -> DataFrame:
 def gridded(inp: Inputs) -> DataFrame:
     """The slot table on its dense grid with the counter differences:
     (device, slot, date, accumulated, value, anomaly, interval, raw_interval)."""
-    slots = materialize(slot_table(inp.readings, inp.rules), inp.checkpoint)
-    diffs = series.counter_diff(slots, (DEV,), "slot", "value", "interval", clamp=True,
+    diffs = series.counter_diff(inp.slots(), (DEV,), "slot", "value", "interval", clamp=True,
                                 keep_raw="raw_interval")
     g = series.densify(diffs, (DEV,), "slot", inp.rules.minutes)
     return series.with_day(g)
@@ -85,8 +101,8 @@ def rolled(g: DataFrame, rules: GaugeRules) -> DataFrame:
     return series.rolling_full_window_sum(d, "interval", "max_3_hour", (DEV,), "slot", rules.rolling_width)
 
 
-def devices_of(inp: Inputs, df: DataFrame) -> list:
-    return list(inp.devices) if inp.devices else reshape.pivot_values(df, DEV)
+def devices_of(inp: Inputs, df: DataFrame | None = None) -> list:
+    return inp.device_list()
 
 
 def daily_rain_wide(daily: DataFrame, devices) -> DataFrame:
@@ -104,7 +120,7 @@ def subhourly(inp: Inputs, g: DataFrame | None = None) -> DataFrame:
     q = F.least(F.col("anomaly"), F.when(F.col(reset_col) < 0, F.lit(RESET_TEXT)))
     x = g.withColumn("quality", q)
     x = quality.gap_flag(x, (DEV,), "slot", "accumulated", "quality")
-    x = quality.null_first_slot(x, "slot", "quality")
+    x = quality.null_first_slot(x, "slot", "quality", first=inp.first_slot())
     x = quality.missing_flag(x, "accumulated", "quality")
     devs = devices_of(inp, x)
     wide = reshape.pivot(x, ["slot"], DEV, devs, {
@@ -218,7 +234,7 @@ def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
 
 
 def fixture_inputs(spark: SparkSession, sf_dir: str, with_stations=True, with_incidents=True,
-                   with_satellite=True, checkpoint=False) -> Inputs:
+                   with_satellite=True, checkpoint=True) -> Inputs:
     inc = parsed_incidents(fx.incident_export(spark, sf_dir)) if with_incidents else None
     a = b = None
     if with_stations:
