@@ -1,0 +1 @@
+"""Incremental ingest of gauge exports with Structured Streaming."""
