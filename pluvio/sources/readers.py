@@ -84,9 +84,9 @@ def read_two_line_header(spark: SparkSession, path: str, sep: str = "\t",
     names = normalize_names([f"{a}.{b}" for a, b in zip(f1, f2)])
     raw = spark.read.option("header", False).option("sep", sep).option("inferSchema", False).csv(path)
     raw = raw.toDF(*names[:len(raw.columns)])
-    first = raw.columns[0]
-    keep = ~F.coalesce(F.col(first).isin([f1[0], f2[0]]), F.lit(False))
-    return raw.filter(keep).select(*[null_tokens(c, nulls).alias(c) for c in raw.columns])
+    line = F.concat_ws(sep, *[F.coalesce(F.col(c), F.lit("")) for c in raw.columns])
+    headers = [sep.join(f[:len(raw.columns)]) for f in (f1, f2)]
+    return raw.filter(~line.isin(headers)).select(*[null_tokens(c, nulls).alias(c) for c in raw.columns])
 
 
 def read_mapping(spark: SparkSession, path: str, nulls=DEFAULT_NULLS) -> DataFrame:
