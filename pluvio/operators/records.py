@@ -67,11 +67,13 @@ def clean_records(df: DataFrame, hazards=HAZARDS, extra_types=PUBLISHED_EXTRA_TY
                   name_rules=RECORD_NAME_RULES) -> DataFrame:
     """The published record table: confirmed incidents of the published types,
     numeric nulls as 0, bookkeeping and coordinate columns removed, names
-    normalised, date first, sorted by date."""
+    normalised, date first, sorted by date. The sort breaks ties on the other
+    columns so that a date holding a large share of the records is still split
+    over several range partitions."""
     x = reported_incidents(df).drop("incident")
     x = x.filter(F.col(kind).isin([*hazards, *extra_types]))
     x = zero_fill(x).drop(*[c for c in drop if c in x.columns])
     x = select_first(x, date)
     x = rename_regex(x, name_rules)
     x = select_prefix(x, *drop_prefixes, drop=True).drop(*drop_after)
-    return x.orderBy(date)
+    return x.orderBy(date, *[c for c in x.columns if c != date])

@@ -81,13 +81,18 @@ def counter_diff(series: DataFrame, keys=("device",), order: str = "slot", value
     return d.drop(f"_prev_{value}")
 
 
-def time_grid(series: DataFrame, keys=("device",), order: str = "slot", minutes: int = 15) -> DataFrame:
+def time_grid(series: DataFrame, keys=("device",), order: str = "slot", minutes: int = 15,
+              bounds=None) -> DataFrame:
     """Every ``minutes`` slot between the first and the last slot of the whole
-    series, for every key present. Bounds come from one scalar subquery; slots are
-    generated per (key, day), so no row ever holds more than a day of slots."""
+    series, for every key present. Bounds come from one scalar subquery (or are
+    given, when a smaller table already knows them); slots are generated per
+    (key, day), so no row ever holds more than a day of slots."""
     keys = list(keys)
-    b = scalar(series, F.struct(F.min(order).alias("lo"), F.max(order).alias("hi")))
-    lo, hi = b.getField("lo"), b.getField("hi")
+    if bounds is None:
+        b = scalar(series, F.struct(F.min(order).alias("lo"), F.max(order).alias("hi")))
+        lo, hi = b.getField("lo"), b.getField("hi")
+    else:
+        lo, hi = (F.lit(v).cast("timestamp_ntz") for v in bounds)
     days = (series.select(*keys).distinct()
             .select(*keys, F.explode(F.sequence(F.to_date(lo), F.to_date(hi))).alias("_d")))
     start = F.col("_d").cast("timestamp_ntz")
@@ -96,9 +101,10 @@ def time_grid(series: DataFrame, keys=("device",), order: str = "slot", minutes:
     return days.select(*keys, F.explode(slots).alias(order))
 
 
-def densify(series: DataFrame, keys=("device",), order: str = "slot", minutes: int = 15) -> DataFrame:
+def densify(series: DataFrame, keys=("device",), order: str = "slot", minutes: int = 15,
+            bounds=None) -> DataFrame:
     """The series on its complete grid: missing slots appear as rows of nulls."""
-    grid = time_grid(series, keys, order, minutes)
+    grid = time_grid(series, keys, order, minutes, bounds)
     return grid.join(series, on=[*keys, order], how="left")
 
 
@@ -106,9 +112,10 @@ def with_day(df: DataFrame, order: str = "slot", name: str = DAY) -> DataFrame:
     return df.withColumn(name, F.to_date(order))
 
 
-def drop_last_day(df: DataFrame, order: str = "slot") -> DataFrame:
-    """Keep rows strictly before the last calendar day present (a partial day)."""
-    cut = scalar(df, F.max(F.to_date(order)))
+def drop_last_day(df: DataFrame, order: str = "slot", last_day=None) -> DataFrame:
+    """Keep rows strictly before the last calendar day present (a partial day);
+    ``last_day`` may be given when it is already known."""
+    cut = scalar(df, F.max(F.to_date(order))) if last_day is None else F.lit(last_day)
     return df.filter(F.col(order) < cut)
 
 

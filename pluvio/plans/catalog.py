@@ -211,7 +211,7 @@ def q_grid_left_join(spark, d):
 def q_rolling_3h(spark, d):
     """Grid without its last day plus the full-window 3-hour sum per (gauge, day)."""
     inp = _inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False)
-    r = pl.rolled(pl.gridded(inp), inp.rules)
+    r = pl.rolled(pl.gridded(inp), inp.rules, inp.last_day())
     return r.select(DEV, "slot", "interval", "max_3_hour")
 
 
@@ -227,14 +227,14 @@ def q_daily_rain_basic(spark, d):
 def q_daily_rain(spark, d):
     """Daily rain and largest 3-hour sum per gauge (max nulled with the total)."""
     inp = _inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False)
-    return series.daily_rain(pl.rolled(pl.gridded(inp), inp.rules))
+    return series.daily_rain(pl.rolled(pl.gridded(inp), inp.rules, inp.last_day()))
 
 
 @query
 def q_hourly_rain(spark, d):
     """Hourly null-preserving rain sum per gauge."""
     inp = _inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False)
-    return series.hourly_sum(pl.rolled(pl.gridded(inp), inp.rules))
+    return series.hourly_sum(pl.rolled(pl.gridded(inp), inp.rules, inp.last_day()))
 
 
 @query
@@ -333,7 +333,7 @@ def q_distinct_values(spark, d):
 
 def _daily(spark, d):
     inp = _inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False)
-    return inp, series.daily_rain(pl.rolled(pl.gridded(inp), inp.rules))
+    return inp, series.daily_rain(pl.rolled(pl.gridded(inp), inp.rules, inp.last_day()))
 
 
 @query

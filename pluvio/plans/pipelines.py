@@ -57,6 +57,7 @@ class Inputs:
     period: Period = field(default_factory=Period)
     checkpoint: bool = True
     _slots: DataFrame | None = field(default=None, repr=False)
+    _bounds: tuple | None = field(default=None, repr=False)
 
     def slots(self) -> DataFrame:
         """The slot table, computed once. With ``checkpoint`` it is written to the
@@ -71,8 +72,19 @@ class Inputs:
     def device_list(self) -> list:
         return list(self.devices) if self.devices else reshape.pivot_values(self.slots(), DEV)
 
+    def bounds(self) -> tuple:
+        """(first slot, last slot) of the slot table: two values read once."""
+        if self._bounds is None:
+            r = self.slots().agg(F.min("slot"), F.max("slot")).first()
+            self._bounds = (r[0], r[1])
+        return self._bounds
+
     def first_slot(self):
-        return self.slots().select(F.min("slot")).scalar()
+        return F.lit(self.bounds()[0]).cast("timestamp_ntz")
+
+    def last_day(self):
+        hi = self.bounds()[1]
+        return None if hi is None else hi.date()
 
 
 # --------------------------------------------------------------------------- gauges
@@ -91,13 +103,13 @@ def gridded(inp: Inputs) -> DataFrame:
     (device, slot, date, accumulated, value, anomaly, interval, raw_interval)."""
     diffs = series.counter_diff(inp.slots(), (DEV,), "slot", "value", "interval", clamp=True,
                                 keep_raw="raw_interval")
-    g = series.densify(diffs, (DEV,), "slot", inp.rules.minutes)
+    g = series.densify(diffs, (DEV,), "slot", inp.rules.minutes, bounds=inp.bounds())
     return series.with_day(g)
 
 
-def rolled(g: DataFrame, rules: GaugeRules) -> DataFrame:
+def rolled(g: DataFrame, rules: GaugeRules, last_day=None) -> DataFrame:
     """Grid without its last (partial) day, plus the 3-hour full-window sum."""
-    d = series.drop_last_day(g)
+    d = series.drop_last_day(g, last_day=last_day)
     return series.rolling_full_window_sum(d, "interval", "max_3_hour", (DEV,), "slot", rules.rolling_width)
 
 
@@ -178,7 +190,7 @@ def stations(spark, sf_dir, incidents: DataFrame | None = None):
 def hourly_table(inp: Inputs, r: DataFrame | None = None) -> DataFrame:
     """Hourly gauge sums (wide, precip_<device>) joined to both stations by hour,
     with station period flags."""
-    r = rolled(gridded(inp), inp.rules) if r is None else r
+    r = rolled(gridded(inp), inp.rules, inp.last_day()) if r is None else r
     h = series.hourly_sum(r, (DEV,), "slot", "interval", "precipitation")
     devs = devices_of(inp, h)
     wide = reshape.pivot(h, ["datehour"], DEV, devs, {"": F.first("precipitation")})
@@ -215,7 +227,7 @@ def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
     totals, satellite daily rain, the daily weather roll-up and (``with_flags``)
     the station period flags."""
     g = gridded(inp)
-    d = series.daily_rain(rolled(g, inp.rules), (DEV,))
+    d = series.daily_rain(rolled(g, inp.rules, inp.last_day()), (DEV,))
     full = daily_rain_wide(d, devices_of(inp, d))
     if inp.incidents is not None:
         full = full.join(incident_daily(inp.incidents, measures), on="date", how="full")
@@ -246,7 +258,7 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, with_stations=True, with_in
 
 # --------------------------------------------------------------------------- coverage
 def bins(inp: Inputs, r: DataFrame | None = None) -> DataFrame:
-    r = rolled(gridded(inp), inp.rules) if r is None else r
+    r = rolled(gridded(inp), inp.rules, inp.last_day()) if r is None else r
     return coverage.bin_availability(r, (DEV,), "slot", "interval", 480)
 
 
