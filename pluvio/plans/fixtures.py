@@ -95,12 +95,7 @@ def station_export(spark, sf_dir, parity: int, hours_behind: int = 0) -> DataFra
     '---' where an hour has fewer than 3 readings for the high, '------' for the
     pressure of single-reading hours): one row per hour from the events of the
     users with the given parity. ``hours_behind`` writes the clock that much late."""
-    ev = table(spark, sf_dir, "events").filter(F.col("user_id") % 2 == parity)
-    g = ev.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(
-        F.avg("value").alias("temp_out"), F.max("value").alias("hi"), F.min("value").alias("low_temp"),
-        F.count(F.lit(1)).alias("n"), F.min("event_type").alias("wind_dir"),
-        F.avg("user_id").alias("bar"), (F.sum("value") / 100.0).alias("rain"),
-        (F.max("value") / 100.0).alias("rain_rate"))
+    g = _station_hours(spark, sf_dir).filter(F.col("parity") == parity)
     t = F.col("hour") - F.make_dt_interval(F.lit(0), F.lit(hours_behind))
     s = lambda c: F.col(c).cast("string")
     return g.select(
@@ -117,6 +112,17 @@ def station_export(spark, sf_dir, parity: int, hours_behind: int = 0) -> DataFra
     )
 
 
+def _station_hours(spark, sf_dir) -> DataFrame:
+    """Hourly rows of both stations from one aggregation of the events (the two
+    station exports share this scan)."""
+    ev = table(spark, sf_dir, "events")
+    return ev.groupBy((F.col("user_id") % 2).alias("parity"), F.date_trunc("hour", "ts").alias("hour")).agg(
+        F.avg("value").alias("temp_out"), F.max("value").alias("hi"), F.min("value").alias("low_temp"),
+        F.count(F.lit(1)).alias("n"), F.min("event_type").alias("wind_dir"),
+        F.avg("user_id").alias("bar"), (F.sum("value") / 100.0).alias("rain"),
+        (F.max("value") / 100.0).alias("rain_rate"))
+
+
 def satellite_export(spark, sf_dir) -> DataFrame:
     """6-hourly satellite rain-rate rows (date text, rate): one per reading."""
     r = readings(spark, sf_dir)

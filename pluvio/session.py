@@ -61,16 +61,3 @@ def pin(df):
     else:
         ensure_checkpoint_dir(spark, checkpoint_dir(spark))
     return df.checkpoint(eager=True)
-
-
-def materialize(df, enabled: bool = True):
-    """Cut the lineage of a shared intermediate with a reliable checkpoint into the
-    session's checkpoint folder (survives executor loss; never a local checkpoint).
-    Without a configured folder the frame is returned unchanged."""
-    if not enabled:
-        return df
-    spark = df.sparkSession
-    if checkpoint_dir(spark) is None:
-        return df
-    ensure_checkpoint_dir(spark, checkpoint_dir(spark))
-    return df.checkpoint(eager=True)

@@ -66,3 +66,21 @@ def test_streaming_slot_means(spark, tmpdir_path):
         q.stop()
     got = spark.sql("select value, n from slot_means_test").collect()
     assert (2.0, 2) in [(r[0], r[1]) for r in got]
+
+
+def test_publish_job_writes_all_tables(spark, tmpdir_path):
+    from pluvio.plans import publish
+    tables = publish.build(spark, "/root/testdata/sf0.001")
+    paths = writers.publish(tables, tmpdir_path, "r1", {"hydro_incident_daily": ["month"]})
+    assert set(paths) == set(tables)
+    assert spark.read.parquet(paths["hydro_incident_daily"]).count() == 36
+
+
+def test_optional_sources(spark):
+    from pluvio.plans import fixtures as fx
+    from pluvio.plans import pipelines as pl
+    inp = pl.Inputs(readings=fx.readings(spark, "/root/testdata/sf0.001"))
+    t = pl.hydro_daily(spark, inp)
+    assert t.count() == 36 and not [c for c in t.columns if c.startswith(("total_", "sta_", "rain_cfsr"))]
+    h = pl.hourly_table(inp)
+    assert "quality_sta" not in h.columns and h.count() > 0
