@@ -39,3 +39,12 @@ def test_scan_prunes_and_pushes(spark):
     p = _plan(E.queries()["cutoff_by_other"](spark, SF1))
     assert "PushedFilters: [IsNotNull(l_shipdate)" in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_shipdate:timestamp_ntz>" in p
+
+
+def test_series_windows_partitioned_by_device_and_day(spark):
+    p = _plan(E.queries()["counter_diff"](spark, SF1))
+    lag_windows = [ln for ln in p.splitlines() if re.search(r"\bWindow \[lag", ln)]
+    assert lag_windows
+    # the per-reading lag runs in (device, day) partitions; the only device-level
+    # window runs on the per-(device, day) summary
+    assert any("_lag_day" in ln.split("], [")[1] for ln in lag_windows)
