@@ -17,8 +17,19 @@ def _c(c) -> Column:
 
 
 def parse_timestamp(c, fmt: str) -> Column:
-    """Parse text with a datetime pattern into TIMESTAMP_NTZ; failure -> null."""
-    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
+    """Parse text with a datetime pattern into TIMESTAMP_NTZ; failure -> null.
+    The wall-clock value is kept whatever the session time zone (no round trip
+    through a zone-bound TIMESTAMP, which would move times in a DST gap)."""
+    c, f = _c(c), F.lit(fmt)
+    return F.when(F.try_to_timestamp(c, f).isNotNull(), F.to_timestamp_ntz(c, f))
+
+
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a Python datetime, independent of the Python
+    process and session time zones."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def parse_date(c, fmt: str) -> Column:
@@ -33,7 +44,9 @@ def any_date(c, formats=ANY_DATE_FORMATS) -> Column:
 
 
 def floor_minutes(ts, minutes: int) -> Column:
-    """Round a timestamp down to a multiple of ``minutes`` (epoch-aligned)."""
+    """Round a timestamp down to a multiple of ``minutes`` (epoch-aligned). Pure
+    arithmetic: a TIMESTAMP_NTZ stays NTZ and the session time zone plays no part
+    (``date_trunc`` would return a zone-bound TIMESTAMP)."""
     return F.window(_c(ts), f"{minutes} minutes").start
 
 

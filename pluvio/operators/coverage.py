@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.functions.dates import anchored_bin, days_in_month, month_label
+from pluvio.functions.dates import anchored_bin, days_in_month, floor_minutes, month_label
 from pluvio.operators.running import running_sum
 
 
@@ -21,7 +21,7 @@ def bin_availability(grid: DataFrame, keys=("device",), order: str = "slot", val
     """Count of known values per (bin, day, key). Bins are ``minutes`` long and
     anchored at the table's first timestamp cut to the minute; a bin that crosses
     midnight is split by the day."""
-    anchor = grid.select(F.date_trunc("minute", F.min(order))).scalar()
+    anchor = grid.agg(F.min(order).alias("_m")).select(floor_minutes("_m", 1)).scalar()
     return (grid.groupBy(anchored_bin(order, anchor, minutes).alias("bin_start"),
                          F.to_date(order).alias("date"), *keys)
             .agg(F.count(value).alias("count"))

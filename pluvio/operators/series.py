@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pluvio.functions.dates import floor_minutes
+from pluvio.functions.dates import floor_minutes, ntz_literal
 from pluvio.operators.joins import scalar
 
 DAY = "date"
@@ -92,7 +92,7 @@ def time_grid(series: DataFrame, keys=("device",), order: str = "slot", minutes:
         b = scalar(series, F.struct(F.min(order).alias("lo"), F.max(order).alias("hi")))
         lo, hi = b.getField("lo"), b.getField("hi")
     else:
-        lo, hi = (F.lit(v).cast("timestamp_ntz") for v in bounds)
+        lo, hi = (ntz_literal(v) for v in bounds)
     days = (series.select(*keys).distinct()
             .select(*keys, F.explode(F.sequence(F.to_date(lo), F.to_date(hi))).alias("_d")))
     start = F.col("_d").cast("timestamp_ntz")
@@ -144,5 +144,5 @@ def daily_rain(df: DataFrame, keys=("device",), value: str = "interval",
 def hourly_sum(df: DataFrame, keys=("device",), order: str = "slot", value: str = "interval",
                out: str = "precipitation") -> DataFrame:
     """Per (key, clock hour): null-preserving sum."""
-    return df.groupBy(*keys, F.date_trunc("hour", order).alias("datehour")).agg(
+    return df.groupBy(*keys, floor_minutes(order, 60).alias("datehour")).agg(
         F.sum(value).alias(out))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pluvio.functions.dates import floor_minutes
+
 # fixed values: incident type written for each order priority
 HAZARD_BY_PRIORITY = {
     "1-URGENT": "Flood", "2-HIGH": "Slope-failure", "3-MEDIUM": "Wind-Storm",
@@ -116,7 +118,7 @@ def _station_hours(spark, sf_dir) -> DataFrame:
     """Hourly rows of both stations from one aggregation of the events (the two
     station exports share this scan)."""
     ev = table(spark, sf_dir, "events")
-    return ev.groupBy((F.col("user_id") % 2).alias("parity"), F.date_trunc("hour", "ts").alias("hour")).agg(
+    return ev.groupBy((F.col("user_id") % 2).alias("parity"), floor_minutes("ts", 60).alias("hour")).agg(
         F.avg("value").alias("temp_out"), F.max("value").alias("hi"), F.min("value").alias("low_temp"),
         F.count(F.lit(1)).alias("n"), F.min("event_type").alias("wind_dir"),
         F.avg("user_id").alias("bar"), (F.sum("value") / 100.0).alias("rain"),

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.functions.dates import any_date, day_month_ambiguous
+from pluvio.functions.dates import any_date, day_month_ambiguous, ntz_literal
 from pluvio.functions.nulls import r_if_else, round_half, sum_or_zero
 from pluvio.operators import coverage, geo, quality, records, reshape, series, weather
 from pluvio.operators.quality import ANOMALY_TEXT, RESET_TEXT, TRACE_TEXT
@@ -80,7 +80,7 @@ class Inputs:
         return self._bounds
 
     def first_slot(self):
-        return F.lit(self.bounds()[0]).cast("timestamp_ntz")
+        return ntz_literal(self.bounds()[0])
 
     def last_day(self):
         hi = self.bounds()[1]

@@ -28,23 +28,36 @@ def get_session(master: str | None = None, app: str = "pluvio",
     return builder.getOrCreate()
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no context here
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None) or None
+    except Exception:  # noqa: BLE001
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the session's checkpoint folder; set ``fallback`` only when none is set
     (tests and single-machine runs)."""
+    sc = _context(spark)
     d = checkpoint_dir(spark)
+    if sc is None:
+        return d or fallback
     if d is None:
-        spark.sparkContext.setCheckpointDir(fallback)
-        d = spark.sparkContext.getCheckpointDir()
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        sc.setCheckpointDir(fallback)
+        d = sc.getCheckpointDir()
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -54,8 +67,9 @@ def pin(df):
     folder; only a local-mode session without one gets a temporary folder."""
     import tempfile
     spark = df.sparkSession
+    sc = _context(spark)
     if checkpoint_dir(spark) is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="pluvio-ckpt-"))
     else:

@@ -49,3 +49,17 @@ def test_anchored_bins_cross_midnight(spark):
     got = [r[0] for r in df.select(anchored_bin("t", anchor, 480)).collect()]
     assert got == [dt.datetime(2024, 1, 1, 10, 15), dt.datetime(2024, 1, 1, 10, 15),
                    dt.datetime(2024, 1, 1, 18, 15), dt.datetime(2024, 1, 1, 18, 15)]
+
+
+def test_wall_clock_kept_in_any_session_zone(spark):
+    from pluvio.functions.dates import ntz_literal
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("2024-03-10 02:30:00",), ("bad",)], "s string")
+        got = [r[0] for r in df.select(parse_timestamp("s", "yyyy-MM-dd HH:mm:ss")).collect()]
+        assert got == [dt.datetime(2024, 3, 10, 2, 30), None]
+        lit = spark.range(1).select(ntz_literal(dt.datetime(2024, 1, 1))).collect()[0][0]
+        assert lit == dt.datetime(2024, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
