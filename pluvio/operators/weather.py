@@ -29,10 +29,21 @@ def parse_station(raw: DataFrame, measures: dict[str, str], prefix: str,
     return x.select(ampm_timestamp(date_col, time_col, shift_hours).alias("time_date"), *cols)
 
 
-def cut_after(df: DataFrame, ts: str, other: DataFrame, other_date: str) -> DataFrame:
-    """Keep rows at or before the latest date of another table."""
-    cut = other.select(F.max(other_date)).scalar()
-    return df.filter(F.col(ts) <= cut)
+def latest(other: DataFrame, col: str):
+    """The latest value of a column, read once (one aggregation, one value)."""
+    return other.agg(F.max(col)).first()[0]
+
+
+def cut_after(df: DataFrame, ts: str, other: DataFrame | None = None, other_date: str | None = None,
+              cut=None) -> DataFrame:
+    """Keep rows at or before the latest date of another table (a scalar
+    subquery), or at or before ``cut`` when it was already read with ``latest``
+    (one evaluation shared by several inputs). No latest date keeps nothing."""
+    if cut is None and other is not None:
+        c = other.select(F.max(other_date)).scalar()
+    else:
+        c = F.lit(cut)
+    return df.filter(F.col(ts) <= c)
 
 
 def daily_weather(lead: DataFrame, other: DataFrame | None, ts: str = "time_date",

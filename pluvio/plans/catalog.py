@@ -18,6 +18,7 @@ from pluvio.operators import columns, coverage, geo, quality, records, reshape,
 from pluvio.operators.joins import left_join_as
 from pluvio.plans import fixtures as fx
 from pluvio.plans import pipelines as pl
+from pluvio.session import pin
 from pluvio.sources.generated import calendar
 
 DEV = "device"
@@ -44,6 +45,13 @@ def _inp(spark, d, **kw):
     return pl.fixture_inputs(spark, d, **kw)
 
 
+def _buckets(spark, d):
+    """15-minute means of the readings, pinned: the readings are scanned and
+    shuffled once, and every branch (halo summary, grid bounds, grid keys) reads
+    the small pinned table."""
+    return pin(series.bucket_mean(fx.readings(spark, d), (DEV,), "ts", "value", 15))
+
+
 # ------------------------------------------------------------------ sources / schema
 @query
 def q_null_tokens(spark, d):
@@ -180,28 +188,26 @@ def q_bucket_mean(spark, d):
 @query
 def q_counter_diff(spark, d):
     """15-minute means differenced against the previous existing slot, negatives -> 0."""
-    b = series.bucket_mean(fx.readings(spark, d))
-    return series.counter_diff(b, (DEV,), "slot", "value", "interval").drop("value")
+    return series.counter_diff(_buckets(spark, d), (DEV,), "slot", "value", "interval").drop("value")
 
 
 @query
 def q_reset_flags(spark, d):
     """Slots whose difference is negative (tested before the clamp)."""
-    b = series.bucket_mean(fx.readings(spark, d))
-    c = series.counter_diff(b, keep_raw="raw_interval")
+    c = series.counter_diff(_buckets(spark, d), keep_raw="raw_interval")
     return quality.reset_flags(c, flag_before_clamp=True)
 
 
 @query
 def q_dense_grid(spark, d):
     """15-minute means on the complete grid (device x slot), null where absent."""
-    return series.densify(series.bucket_mean(fx.readings(spark, d)))
+    return series.densify(_buckets(spark, d))
 
 
 @query
 def q_grid_left_join(spark, d):
     """Grid (time_date) left-joined to the differences keyed by slot."""
-    b = series.bucket_mean(fx.readings(spark, d))
+    b = _buckets(spark, d)
     c = series.counter_diff(b).select(DEV, "slot", "interval")
     grid = series.time_grid(b).withColumnRenamed("slot", "time_date")
     return left_join_as(grid, c, {DEV: DEV, "time_date": "slot"})
@@ -218,8 +224,7 @@ def q_rolling_3h(spark, d):
 @query
 def q_daily_rain_basic(spark, d):
     """Readings -> 15-min mean -> clamped difference -> daily null-preserving sum."""
-    b = series.bucket_mean(fx.readings(spark, d))
-    c = series.with_day(series.counter_diff(b))
+    c = series.with_day(series.counter_diff(_buckets(spark, d)))
     return c.groupBy("date", DEV).agg(F.sum("interval").alias("interval"))
 
 
@@ -371,12 +376,14 @@ def q_anomaly_mask(spark, d):
 
 @query
 def q_merge_flags(spark, d):
-    """Anomaly flags and counter-reset flags merged to one per (device, slot)."""
-    r = quality.anomaly_mask(fx.readings(spark, d), RULES.problem_dates, RULES.low, RULES.high)
-    r = r.withColumn("slot", floor_minutes("ts", 15))
-    a = quality.flagged_rows(r)
-    b = series.bucket_mean(r)
-    resets = quality.reset_flags(series.counter_diff(b, keep_raw="raw_interval"), flag_before_clamp=True)
+    """Anomaly flags and counter-reset flags merged to one per (device, slot).
+    Both come from the one slot aggregation of the readings (anomaly flag per
+    slot = smallest flag text of its readings)."""
+    inp = _inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False)
+    s = inp.slots()
+    a = s.filter(F.col("anomaly").isNotNull()).select(DEV, "slot", F.col("anomaly").alias("quality"))
+    resets = quality.reset_flags(series.counter_diff(s.select(DEV, "slot", "value"), keep_raw="raw_interval"),
+                                 flag_before_clamp=True)
     return quality.merge_flags(a, resets)
 
 

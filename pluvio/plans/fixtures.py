@@ -97,7 +97,10 @@ def station_export(spark, sf_dir, parity: int, hours_behind: int = 0) -> DataFra
     '---' where an hour has fewer than 3 readings for the high, '------' for the
     pressure of single-reading hours): one row per hour from the events of the
     users with the given parity. ``hours_behind`` writes the clock that much late."""
-    g = _station_hours(spark, sf_dir).filter(F.col("parity") == parity)
+    return _export_text(_station_hours(spark, sf_dir).filter(F.col("parity") == parity), hours_behind)
+
+
+def _export_text(g: DataFrame, hours_behind: int) -> DataFrame:
     t = F.col("hour") - F.make_dt_interval(F.lit(0), F.lit(hours_behind))
     s = lambda c: F.col(c).cast("string")
     return g.select(
@@ -114,9 +117,16 @@ def station_export(spark, sf_dir, parity: int, hours_behind: int = 0) -> DataFra
     )
 
 
+def station_exports(spark, sf_dir, hours_behind=(0, 12)) -> list[DataFrame]:
+    """Both station exports from ONE aggregation of the events, pinned, so the
+    large table is scanned once for the two stand-ins."""
+    from pluvio.session import pin
+    hours = pin(_station_hours(spark, sf_dir))
+    return [_export_text(hours.filter(F.col("parity") == p), hours_behind[p]) for p in (0, 1)]
+
+
 def _station_hours(spark, sf_dir) -> DataFrame:
-    """Hourly rows of both stations from one aggregation of the events (the two
-    station exports share this scan)."""
+    """Hourly rows of both stations from one aggregation of the events."""
     ev = table(spark, sf_dir, "events")
     return ev.groupBy((F.col("user_id") % 2).alias("parity"), floor_minutes("ts", 60).alias("hour")).agg(
         F.avg("value").alias("temp_out"), F.max("value").alias("hi"), F.min("value").alias("low_temp"),

@@ -178,12 +178,13 @@ STATION_COLS = {c: c for c in fx.STATION_MEASURES}
 def stations(spark, sf_dir, incidents: DataFrame | None = None):
     """Both stations parsed (the second one's clock is 12 h late), each cut at
     the latest published incident date when incidents are given."""
-    a = weather.parse_station(fx.station_export(spark, sf_dir, 0), STATION_COLS, "sta_")
-    b = weather.parse_station(fx.station_export(spark, sf_dir, 1, 12), STATION_COLS, "stb_", shift_hours=12)
+    ea, eb = fx.station_exports(spark, sf_dir, (0, 12))
+    a = weather.parse_station(ea, STATION_COLS, "sta_")
+    b = weather.parse_station(eb, STATION_COLS, "stb_", shift_hours=12)
     if incidents is not None:
-        pub = published_incidents(incidents)
-        a = weather.cut_after(a, "time_date", pub, "date_of_incident")
-        b = weather.cut_after(b, "time_date", pub, "date_of_incident")
+        cut = weather.latest(published_incidents(incidents), "date_of_incident")
+        a = weather.cut_after(a, "time_date", cut=cut)
+        b = weather.cut_after(b, "time_date", cut=cut)
     return a, b
 
 
