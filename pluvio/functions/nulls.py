@@ -18,9 +18,24 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_name(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# Helpers below that receive column NAMES build one SQL expression: a single
+# parse on the JVM side instead of several gateway calls per Column operation
+# (generated over dozens of columns, the plan otherwise takes seconds to build).
+
 def null_tokens(c, tokens) -> Column:
     """Text equal to one of ``tokens`` becomes null (read-time null strings)."""
-    c = _c(c)
+    if isinstance(c, str):
+        q = sql_name(c)
+        return F.expr(f"CASE WHEN {q} IN ({', '.join(sql_text(t) for t in tokens)}) THEN NULL ELSE {q} END")
     return F.when(c.isin(list(tokens)), F.lit(None)).otherwise(c)
 
 
@@ -52,6 +67,11 @@ def row_null_count(cols) -> Column:
 def row_total(cols) -> Column:
     """Row-wise sum skipping nulls; null only if all ``cols`` are null."""
     cols = list(cols)
+    if all(isinstance(c, str) for c in cols):
+        qs = [sql_name(c) for c in cols]
+        all_null = " AND ".join(f"{q} IS NULL" for q in qs)
+        total = " + ".join(f"coalesce({q}, 0D)" for q in qs)
+        return F.expr(f"CASE WHEN {all_null} THEN CAST(NULL AS DOUBLE) ELSE {total} END")
     total = reduce(lambda a, b: a + b, [F.coalesce(_c(c), F.lit(0.0)) for c in cols])
     return F.when(row_null_count(cols) == len(cols), F.lit(None).cast("double")).otherwise(total)
 
@@ -76,6 +96,8 @@ def round_half(c, digits: int) -> Column:
     """Round a double half away from zero on ``x * 10^digits`` (the scaled value
     decides, as in common SQL engines), not on the exact binary expansion."""
     m = float(10 ** digits)
+    if isinstance(c, str):
+        return F.expr(f"round(CAST({sql_name(c)} AS DOUBLE) * {m!r}D, 0) / {m!r}D")
     return F.round(_c(c).cast("double") * m, 0) / m
 
 

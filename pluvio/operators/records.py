@@ -56,7 +56,7 @@ def hazard_totals(df: DataFrame, measures, hazards=HAZARDS, sep: str = "_",
     out = {}
     for m in measures:
         cols = [f"{m}{sep}{h}" for h in hazards if f"{m}{sep}{h}" in df.columns]
-        out[names[m]] = row_total([F.col(f"`{c}`") for c in cols])
+        out[names[m]] = row_total(cols)
     return df.withColumns(out)
 
 
