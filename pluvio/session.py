@@ -9,6 +9,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # checkpoint files of pinned intermediates are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -1,8 +1,6 @@
 import datetime as dt
 import os
-import time
 
-from pyspark.sql import functions as F
 
 from pluvio.sinks import writers
 from pluvio.sources import readers

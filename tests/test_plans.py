@@ -48,3 +48,9 @@ def test_series_windows_partitioned_by_device_and_day(spark):
     # the per-reading lag runs in (device, day) partitions; the only device-level
     # window runs on the per-(device, day) summary
     assert any("_lag_day" in ln.split("], [")[1] for ln in lag_windows)
+
+
+def test_spatial_join_is_an_equi_join_on_cells(spark):
+    p = _plan(E.queries()["geo_join"](spark, SF1))
+    assert re.search(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[_cx[#\dL]*, _cy", p), p[:2000]
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from pluvio.operators import quality, records
 from tests.conftest import rows
