@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pluvio.functions.dates import any_date, day_month_ambiguous, ntz_literal
+from pluvio.functions.dates import any_date, day_month_ambiguous, ntz_literal, parse_timestamp
 from pluvio.functions.nulls import r_if_else, round_half, sum_or_zero
 from pluvio.operators import coverage, geo, quality, records, reshape, series, weather
 from pluvio.operators.quality import ANOMALY_TEXT, RESET_TEXT, TRACE_TEXT
@@ -266,7 +266,6 @@ def bins(inp: Inputs, r: DataFrame | None = None) -> DataFrame:
 def gauge_ingest(exports) -> DataFrame:
     """Gauge exports unioned by name, whole-row duplicates removed, the two time
     spellings parsed into one timestamp."""
-    from pluvio.functions.dates import parse_timestamp
     u = exports[0]
     for e in exports[1:]:
         u = u.unionByName(e, allowMissingColumns=True)
@@ -281,7 +280,6 @@ def geo_check(points: DataFrame, polygons: DataFrame, camp_map: DataFrame, cell:
     kept), points with both coordinates located in the camp polygons (one row per
     containing polygon, or one row with a null when outside), status and
     reported-vs-located consistency."""
-    from pyspark.sql import Window
     p = geo.lookup_with_fallback(points, camp_map, "camp", out="camp_name_reported").drop("camp")
     p = p.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     j = geo.locate(p, polygons, "x", "y", "name", "camp_name_gps", cell, "left")

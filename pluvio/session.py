@@ -1,6 +1,8 @@
 """Session construction and checkpoint-folder handling."""
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -67,7 +69,6 @@ def pin(df):
     """Reliable checkpoint that is always taken: for intermediates whose row
     placement must be identical for every consumer. Uses the session's checkpoint
     folder; only a local-mode session without one gets a temporary folder."""
-    import tempfile
     spark = df.sparkSession
     sc = _context(spark)
     if checkpoint_dir(spark) is None:
