@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pluvio.functions.geometry import point_in_ring
 from pluvio.operators.joins import broadcast_if_small
 
+# broadcast the polygon cells only up to this many vertices in total (~50 MB)
+BROADCAST_MAX_VERTICES = 3_000_000
+
 INSIDE = "inside_camp_boundary"
 OUTSIDE = "outside_camp_boundary"
 
@@ -43,7 +46,8 @@ def locate(points: DataFrame, polygons: DataFrame, x: str = "x", y: str = "y",
     """Join each point to every polygon containing it (``how='left'`` keeps points
     inside none, with a null name). Points with a null coordinate match nothing."""
     cells = broadcast_if_small(polygon_cells(polygons, cell).select(
-        F.col(name).alias(out), "ring", "min_x", "max_x", "min_y", "max_y", "_cx", "_cy"))
+        F.col(name).alias(out), "ring", "min_x", "max_x", "min_y", "max_y", "_cx", "_cy"),
+        weight=F.size("ring"), max_weight=BROADCAST_MAX_VERTICES)
     pts = points.withColumns({"_cx": F.floor(F.col(x) / cell), "_cy": F.floor(F.col(y) / cell)})
     px, py = pts[x], pts[y]
     cond = ((pts["_cx"] == cells["_cx"]) & (pts["_cy"] == cells["_cy"])

@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       weight: Column | None = None, max_weight: int | None = None) -> DataFrame:
     """Return ``broadcast(df)`` when ``df`` is proven to hold at most ``max_rows``
-    rows, else ``df`` unchanged (the join then shuffles both sides and AQE may
-    still convert it or split skewed partitions). The check reads at most
-    ``max_rows + 1`` rows; use it on small, cheap sides (maps, polygons)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    rows (and, with ``weight``, at most ``max_weight`` summed over its rows — e.g.
+    vertices of polygon rings, so bytes are bounded too), else ``df`` unchanged:
+    the join then shuffles both sides and AQE may still convert it or split skewed
+    partitions. Use it on small, cheap sides (maps, polygons)."""
+    if weight is None:
+        ok = df.limit(max_rows + 1).count() <= max_rows
+    else:
+        r = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
+        ok = r[0] <= max_rows and r[1] <= max_weight
+    return F.broadcast(df) if ok else df
 
 
 def scalar(df: DataFrame, expr: Column) -> Column:

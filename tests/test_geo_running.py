@@ -56,9 +56,11 @@ def test_unbroadcast_path_same_result(spark, monkeypatch):
     pts, df = _points(spark, 100)
     a = rows(geo.locate(df, _polys(spark)), "point_id", "polygon_name")
     monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(geo, "broadcast_if_small", lambda d, max_rows=0: joins.broadcast_if_small(d, 0))
-    b = rows(geo.locate(df, _polys(spark)), "point_id", "polygon_name")
-    assert a == b
+    monkeypatch.setattr(geo, "BROADCAST_MAX_VERTICES", 0)
+    j = geo.locate(df, _polys(spark))
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan.split("BroadcastHashJoin")[-1] or "SortMergeJoin" in plan
+    assert rows(j, "point_id", "polygon_name") == a
 
 
 def test_lookup_fallback(spark):
