@@ -1,7 +1,7 @@
 """pluvio — sensor-series and incident-record analytics as Spark DataFrame plans.
 
 Sub-packages:
-  functions  Column-expression helpers (null rules, date parsing, geometry tests)
+  functions  Column-expression helpers (null rules, date parsing, rounding)
   operators  DataFrame -> DataFrame operators (series, quality, records, reshape,
              weather, coverage, geo, joins, running totals)
   sources    readers for delimited / tab files, generated grids and calendars

@@ -1,67 +1,79 @@
 """Points against polygons: count of containing polygons, spatial left join
 (fanning out where polygons overlap) and reported-vs-located consistency.
 
-Polygons are cut into grid cells covering their bounding box; points carry the
-cell they fall in; the two meet in an equi-join on the cell and only candidate
-pairs get the exact even-odd test. The cell table is broadcast only when its row
-count is checked to be small; otherwise it is a shuffled hash/sort-merge join and
-AQE splits a hot cell."""
+Polygons stay a vertex table; nothing is gathered per polygon. Edges come from a
+self-join of the vertices (each vertex with the next one by ``seq``, the last with
+the first). Each edge is exploded over the horizontal bands its y-range spans;
+each point carries its band. An equi-join on the band pairs a point only with the
+edges that can cross the horizontal ray to its right, and the even-odd rule is a
+count of crossings per (point, polygon). The edge-band table is broadcast only
+when its row count is proven small; otherwise it is a shuffled join and AQE splits
+a hot band."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.functions.geometry import point_in_ring
 from pluvio.operators.joins import broadcast_if_small
 
-# broadcast the polygon cells only up to this many vertices in total (~50 MB)
-BROADCAST_MAX_VERTICES = 3_000_000
-
 INSIDE = "inside_camp_boundary"
 OUTSIDE = "outside_camp_boundary"
-
-
-def polygons_from_vertices(vertices: DataFrame, name: str = "name", seq: str = "seq",
-                           x: str = "x", y: str = "y") -> DataFrame:
-    """Vertex table (name, seq, x, y) -> (name, ring, bbox)."""
-    g = vertices.groupBy(name).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(x).alias("x"),
-                                             F.col(y).alias("y")))).alias("_v"),
-        F.min(x).alias("min_x"), F.max(x).alias("max_x"),
-        F.min(y).alias("min_y"), F.max(y).alias("max_y"))
-    ring = F.transform("_v", lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y")))
-    return g.select(name, ring.alias("ring"), "min_x", "max_x", "min_y", "max_y")
-
-
-def polygon_cells(polygons: DataFrame, cell: float) -> DataFrame:
-    """One row per (polygon, grid cell) its bounding box touches."""
-    cx = F.sequence(F.floor(F.col("min_x") / cell), F.floor(F.col("max_x") / cell))
-    cy = F.sequence(F.floor(F.col("min_y") / cell), F.floor(F.col("max_y") / cell))
-    return (polygons.withColumn("_cx", F.explode(cx)).withColumn("_cy", F.explode(cy)))
-
-
-def locate(points: DataFrame, polygons: DataFrame, x: str = "x", y: str = "y",
-           name: str = "name", out: str = "polygon_name", cell: float = 0.1,
-           how: str = "left") -> DataFrame:
-    """Join each point to every polygon containing it (``how='left'`` keeps points
-    inside none, with a null name). Points with a null coordinate match nothing."""
-    cells = broadcast_if_small(polygon_cells(polygons, cell).select(
-        F.col(name).alias(out), "ring", "min_x", "max_x", "min_y", "max_y", "_cx", "_cy"),
-        weight=F.size("ring"), max_weight=BROADCAST_MAX_VERTICES)
-    pts = points.withColumns({"_cx": F.floor(F.col(x) / cell), "_cy": F.floor(F.col(y) / cell)})
-    px, py = pts[x], pts[y]
-    cond = ((pts["_cx"] == cells["_cx"]) & (pts["_cy"] == cells["_cy"])
-            & px.between(cells["min_x"], cells["max_x"]) & py.between(cells["min_y"], cells["max_y"])
-            & point_in_ring(px, py, cells["ring"]))
-    j = pts.join(cells, cond, how)
-    return j.select(*[pts[c] for c in points.columns], cells[out])
-
-
-def count_within(points: DataFrame, polygons: DataFrame, key: str, x: str = "x", y: str = "y",
-                 name: str = "name", cell: float = 0.1) -> DataFrame:
+BAND = 0.1
+
+
+def polygon_edges(vertices: DataFrame, name: str = "name", seq: str = "seq",
+                  x: str = "x", y: str = "y") -> DataFrame:
+    """Vertex table (name, seq 0..n-1 or any contiguous run, x, y) -> edges
+    (name, ax, ay, bx, by), closing each ring from its last vertex to its first."""
+    v = vertices.select(F.col(name).alias("name"), F.col(seq).alias("seq"),
+                        F.col(x).alias("x"), F.col(y).alias("y"))
+    ends = v.groupBy("name").agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+    a = v.join(ends, "name").withColumn(
+        "next", F.when(F.col("seq") == F.col("last"), F.col("first")).otherwise(F.col("seq") + 1))
+    b = v.select("name", F.col("seq").alias("next"), F.col("x").alias("bx"), F.col("y").alias("by"))
+    return a.join(b, ["name", "next"]).select("name", F.col("x").alias("ax"), F.col("y").alias("ay"),
+                                             "bx", "by")
+
+
+def edge_bands(edges: DataFrame, band: float = BAND) -> DataFrame:
+    """One row per (edge, horizontal band its y-range touches); horizontal edges
+    never cross a horizontal ray and are left out."""
+    lo, hi = F.least("ay", "by"), F.greatest("ay", "by")
+    e = edges.filter(F.col("ay") != F.col("by"))
+    return e.withColumn("_band", F.explode(F.sequence(F.floor(lo / band), F.floor(hi / band))))
+
+
+def crossings(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str = "y",
+              band: float = BAND) -> DataFrame:
+    """(key, name) for every polygon whose boundary the ray from the point towards
+    +x crosses an odd number of times, i.e. that contains the point."""
+    eb = broadcast_if_small(edge_bands(edges, band))
+    pts = points.select(F.col(key).alias("_key"), F.col(x).alias("_x"), F.col(y).alias("_y"),
+                        F.floor(F.col(y) / band).alias("_band")).filter(
+        F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    px, py = pts["_x"], pts["_y"]
+    straddles = (eb["ay"] > py) != (eb["by"] > py)
+    right = px < (eb["bx"] - eb["ax"]) * (py - eb["ay"]) / (eb["by"] - eb["ay"]) + eb["ax"]
+    j = pts.join(eb, (pts["_band"] == eb["_band"]) & straddles & right, "inner")
+    c = j.groupBy("_key", eb["name"]).agg(F.count(F.lit(1)).alias("_n"))
+    return c.filter(F.col("_n") % 2 == 1).select(F.col("_key").alias(key), "name")
+
+
+def locate(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str = "y",
+           out: str = "polygon_name", band: float = BAND) -> DataFrame:
+    """Each point joined to every polygon containing it (one row per polygon, or
+    one row with a null name when inside none). Points with a null coordinate
+    match nothing."""
+    inside = crossings(points, edges, key, x, y, band).withColumnRenamed("name", out)
+    return points.join(inside, on=key, how="left")
+
+
+def count_within(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str = "y",
+                 band: float = BAND) -> DataFrame:
     """Per point: number of polygons containing it and inside/outside status."""
-    j = locate(points, polygons, x, y, name, "_poly", cell, "left")
-    c = j.groupBy(key).agg(F.count("_poly").alias("n_within"))
+    inside = crossings(points, edges, key, x, y, band)
+    c = points.select(key).join(inside, on=key, how="left").groupBy(key).agg(
+        F.count("name").alias("n_within"))
     return c.withColumn("location_status", F.when(F.col("n_within") == 0, OUTSIDE).otherwise(INSIDE))
 
 

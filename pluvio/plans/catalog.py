@@ -497,7 +497,7 @@ def q_frequency_table(spark, d):
 
 # ------------------------------------------------------------------ geo
 def _polys(spark, d):
-    return geo.polygons_from_vertices(fx.polygon_vertices(spark, d))
+    return geo.polygon_edges(fx.polygon_vertices(spark, d))
 
 
 @query
@@ -516,7 +516,7 @@ def q_geo_inside(spark, d):
 @query
 def q_geo_join(spark, d):
     """Points left-joined to every containing polygon (fan-out on overlaps)."""
-    j = geo.locate(fx.points(spark, d), _polys(spark, d), out="camp_name_gps")
+    j = geo.locate(fx.points(spark, d), _polys(spark, d), "point_id", out="camp_name_gps")
     return j.select("point_id", "camp_name_gps")
 
 

@@ -275,14 +275,14 @@ def gauge_ingest(exports) -> DataFrame:
     return u.withColumn("date_time", t).drop("time", "date")
 
 
-def geo_check(points: DataFrame, polygons: DataFrame, camp_map: DataFrame, cell: float = 0.1):
+def geo_check(points: DataFrame, edges: DataFrame, camp_map: DataFrame, band: float = geo.BAND):
     """Incidents with a GPS check: reported camp corrected through the map (else
     kept), points with both coordinates located in the camp polygons (one row per
     containing polygon, or one row with a null when outside), status and
     reported-vs-located consistency."""
     p = geo.lookup_with_fallback(points, camp_map, "camp", out="camp_name_reported").drop("camp")
     p = p.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    j = geo.locate(p, polygons, "x", "y", "name", "camp_name_gps", cell, "left")
+    j = geo.locate(p, edges, "point_id", "x", "y", "camp_name_gps", band)
     n = F.count("camp_name_gps").over(Window.partitionBy("point_id"))
     j = j.withColumn("location_status", F.when(n == 0, geo.OUTSIDE).otherwise(geo.INSIDE))
     return geo.consistency(j, "camp_name_reported", "camp_name_gps")

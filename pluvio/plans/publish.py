@@ -20,7 +20,7 @@ from pluvio.sinks import writers
 def build(spark, sf_dir: str) -> dict:
     inp = pl.fixture_inputs(spark, sf_dir)
     daily = pl.hydro_daily(spark, inp, with_flags=True)
-    polys = geo.polygons_from_vertices(fx.polygon_vertices(spark, sf_dir))
+    polys = geo.polygon_edges(fx.polygon_vertices(spark, sf_dir))
     bins = pl.bins(inp)
     return {
         "hydro_incident_daily": writers.with_month(daily.drop("quality_sta", "quality_stb")),

@@ -23,7 +23,7 @@ def brute_inside(x, y, ring):
 def _polys(spark):
     v = spark.createDataFrame([(n, i, float(x), float(y)) for n, ring in SQUARES for i, (x, y) in enumerate(ring)],
                               "name string, seq int, x double, y double")
-    return geo.polygons_from_vertices(v)
+    return geo.polygon_edges(v)
 
 
 def _points(spark, n=400):
@@ -34,8 +34,8 @@ def _points(spark, n=400):
 
 def test_locate_matches_brute_force_with_fanout(spark):
     pts, df = _points(spark)
-    for cell in (0.5, 3.0):
-        got = rows(geo.locate(df, _polys(spark), cell=cell), "point_id", "polygon_name")
+    for band in (0.5, 3.0):
+        got = rows(geo.locate(df, _polys(spark), "point_id", band=band), "point_id", "polygon_name")
         want = []
         for pid, x, y in pts:
             names = [n for n, ring in SQUARES if brute_inside(x, y, ring)]
@@ -54,13 +54,19 @@ def test_count_within_and_status(spark):
 
 def test_unbroadcast_path_same_result(spark, monkeypatch):
     pts, df = _points(spark, 100)
-    a = rows(geo.locate(df, _polys(spark)), "point_id", "polygon_name")
+    a = rows(geo.locate(df, _polys(spark), "point_id"), "point_id", "polygon_name")
     monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(geo, "BROADCAST_MAX_VERTICES", 0)
-    j = geo.locate(df, _polys(spark))
-    plan = j._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" not in plan.split("BroadcastHashJoin")[-1] or "SortMergeJoin" in plan
-    assert rows(j, "point_id", "polygon_name") == a
+    monkeypatch.setattr(geo, "broadcast_if_small", lambda d, max_rows=0: joins.broadcast_if_small(d, 0))
+    assert rows(geo.locate(df, _polys(spark), "point_id"), "point_id", "polygon_name") == a
+
+
+def test_ring_order_by_seq_any_start(spark):
+    # vertices numbered from 1 and listed out of order still close the ring
+    v = spark.createDataFrame([("Q", 3, 2.0, 2.0), ("Q", 1, 0.0, 0.0), ("Q", 4, 0.0, 2.0), ("Q", 2, 2.0, 0.0)],
+                              "name string, seq int, x double, y double")
+    p = spark.createDataFrame([(1, 1.0, 1.0), (2, 3.0, 1.0), (3, None, 1.0)], "point_id long, x double, y double")
+    got = rows(geo.locate(p, geo.polygon_edges(v), "point_id"), "point_id", "polygon_name")
+    assert got == [(1, "Q"), (2, None), (3, None)]
 
 
 def test_lookup_fallback(spark):
