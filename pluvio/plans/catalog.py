@@ -85,7 +85,8 @@ def q_select_prefix(spark, d):
 
 @query
 def q_add_missing_cols(spark, d):
-    """Orders plus absent flag columns added as typed nulls (present ones kept)."""
+    """Order key and status; of the wanted columns, the absent one is added as a
+    typed null and the present one is kept."""
     o = T(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     return columns.add_missing(o, ["o_orderstatus", "quality_extra"])
 
