@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pluvio.functions.dates import any_date, day_month_ambiguous, ntz_literal, parse_timestamp
 from pluvio.functions.nulls import r_if_else, round_half, sum_or_zero
-from pluvio.operators import coverage, geo, quality, records, reshape, series, weather
+from pluvio.operators import columns, coverage, geo, quality, records, reshape, series, weather
 from pluvio.operators.quality import ANOMALY_TEXT, RESET_TEXT, TRACE_TEXT
 from pluvio.plans import fixtures as fx
 from pluvio.session import pin
@@ -243,7 +243,19 @@ def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
         if with_flags:
             out = weather.station_daily_flags(out, p.station_start, p.station_end, {
                 "quality_sta": "sta_low_temp", "quality_stb": "stb_hi_temp"})
-    return out
+    return published_order(out, inp.device_list(), measures)
+
+
+def published_order(daily: DataFrame, devices, measures, hazards=records.HAZARDS) -> DataFrame:
+    """The daily table's published layout: the listed columns that exist (sources
+    are optional), in the published order, then every other column."""
+    wanted = (["date"] + [f"rain_{d}" for d in devices] + [f"rain_max_3h_{d}" for d in devices]
+              + ["rain_cfsr"])
+    for m in measures:
+        wanted += [f"total_{m}"] + [f"{m}_{h}" for h in hazards]
+    for st in ("sta", "stb"):
+        wanted += [f"quality_{st}"] + sorted(c for c in daily.columns if c.startswith(f"{st}_"))
+    return columns.keep_existing(daily, wanted + [c for c in daily.columns if c not in wanted])
 
 
 def fixture_inputs(spark: SparkSession, sf_dir: str, with_stations=True, with_incidents=True,

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from pluvio.functions.nulls import (r_if_else, round_half, row_total, strict_sum, sum_keep_null,
+from pluvio.functions.nulls import (finite_or_null, r_if_else, round_half, row_total, strict_sum, sum_keep_null,
                                     sum_or_zero, zero_fill)
 
 S = "k string, v double"
@@ -44,3 +44,8 @@ def test_zero_fill_numeric_only(spark):
     df = spark.createDataFrame([(None, None, dt.date(2024, 1, 1))], "a double, s string, d date")
     r = zero_fill(df).collect()[0]
     assert r["a"] == 0.0 and r["s"] is None
+
+
+def test_infinities_and_nan_become_null(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (float("nan"),), (1.5,), (None,)], "v double")
+    assert [r[0] for r in df.select(finite_or_null("v")).collect()] == [None, None, None, 1.5, None]
