@@ -384,7 +384,7 @@ hd AS (SELECT t.*, sat.rain_cfsr, dw.* EXCLUDE (date),
        FROM t LEFT JOIN sat USING (date) LEFT JOIN dw USING (date))"""
 _hd_cols = ([r4(f"rain_{d}", f"rain_{d}") + ", " + r4(f"rain_max_3h_{d}", f"rain_max_3h_{d}") for d in DEVICES]
             + _ip_cols + [r4(f"total_{m}", f"total_{m}") for m in MEASURES] + [r4("rain_cfsr", "rain_cfsr")]
-            + [r4(c, c) for c in _dw_cols])
+            + [r4(c, c) for c in _dw_cols if not c.endswith("_rain_rate")])
 S["hydro_daily"] = W(_HYDRO, "SELECT date, " + ", ".join(_hd_cols) + " FROM hd")
 S["column_completeness"] = W(_HYDRO, "SELECT " + ", ".join(
     f"round(count(rain_{d}) / count(*) * 100) AS pct_{d}" for d in DEVICES)

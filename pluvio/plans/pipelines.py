@@ -138,7 +138,8 @@ def subhourly(inp: Inputs, g: DataFrame | None = None) -> DataFrame:
     wide = reshape.pivot(x, ["slot"], DEV, devs, {
         "cumulative_rain": F.first("accumulated"), "quality": F.first("quality"),
         "rain": F.first("interval")})
-    return wide.withColumnRenamed("slot", "date_time")
+    layout = ["slot"] + [f"{m}_{d}" for m in ("cumulative_rain", "quality", "rain") for d in devs]
+    return columns.keep_existing(wide, layout).withColumnRenamed("slot", "date_time")
 
 
 # --------------------------------------------------------------------------- side series
@@ -221,12 +222,16 @@ def incident_daily(parsed: DataFrame, measures=fx.INCIDENT_MEASURES) -> DataFram
 
 
 # --------------------------------------------------------------------------- flagship
+# fixed values: station columns left out of the published daily table
+DAILY_DROPPED = ("sta_rain_rate", "stb_rain_rate")
+
+
 def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
-                measures=fx.INCIDENT_MEASURES) -> DataFrame:
+                measures=fx.INCIDENT_MEASURES, drop=DAILY_DROPPED) -> DataFrame:
     """The daily hydro-incident table on the reporting calendar: per-gauge daily
     rain and largest 3-hour sum, full-joined with the daily incident pivot, hazard
-    totals, satellite daily rain, the daily weather roll-up and (``with_flags``)
-    the station period flags."""
+    totals, satellite daily rain, the daily weather roll-up (without the stations'
+    rain-rate columns) and (``with_flags``) the station period flags."""
     g = gridded(inp)
     d = series.daily_rain(rolled(g, inp.rules, inp.last_day()), (DEV,))
     full = daily_rain_wide(d, devices_of(inp, d))
@@ -239,7 +244,7 @@ def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
     if inp.satellite is not None:
         out = out.join(satellite_daily(inp.satellite), on="date", how="left")
     if inp.lead_station is not None:
-        out = out.join(daily_weather(inp), on="date", how="left")
+        out = out.join(daily_weather(inp).drop(*drop), on="date", how="left")
         if with_flags:
             out = weather.station_daily_flags(out, p.station_start, p.station_end, {
                 "quality_sta": "sta_low_temp", "quality_stb": "stb_hi_temp"})

@@ -60,3 +60,11 @@ def test_frequency_table_order_and_running(spark):
                                "device string, interval double")
     got = rows(coverage.frequency_table(df), "item", "count", "cum_count", "cum_percent")
     assert got == [(0.0, 3, 3, 50.0), (1.0, 2, 5, 5 / 6 * 100), (2.0, 1, 6, 100.0)]
+
+
+def test_column_classes_ignore_case(spark):
+    df = spark.createDataFrame([(h(1, 0), 1.0, 2.0, 3.0, 4.0), (h(1, 1), 5.0, 0.5, 1.0, 2.0)],
+                               "time_date timestamp_ntz, ST_HI_Temp double, st_LOW_temp double, "
+                               "St_RAIN double, st_bar double")
+    r = weather.daily_weather(df, None).collect()[0]
+    assert (r["ST_HI_Temp"], r["st_LOW_temp"], r["St_RAIN"], r["st_bar"]) == (5.0, 0.5, 4.0, 3.0)
