@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pluvio.operators import coverage, geo
 from pluvio.plans import fixtures as fx
 from pluvio.plans import pipelines as pl
-from pluvio.session import get_session
+from pluvio.session import CLUSTER_CONF, get_session
 from pluvio.sinks import writers
 
 
@@ -36,7 +36,7 @@ def build(spark, sf_dir: str) -> dict:
 
 def main(argv):
     sf_dir, out, run_date = argv[1:4]
-    spark = get_session(app="pluvio-publish")
+    spark = get_session(app="pluvio-publish", conf=CLUSTER_CONF)
     tables = build(spark, sf_dir)
     writers.publish(tables, out, run_date, {"hydro_incident_daily": ["month"]})
     writers.write_csv(tables["incident_gps_check"].withColumn("run_date", F.lit(run_date)),

@@ -16,6 +16,19 @@ DEFAULT_CONF = {
 }
 
 
+# settings for a large cluster run (reading scan of ~100 TB, small downstream tables):
+# big scan splits, AQE sizing shuffles from a large initial partition count, and
+# skew splitting for joins whose keys are hot
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
 def get_session(master: str | None = None, app: str = "pluvio",
                 shuffle_partitions: int | None = None,
                 conf: dict | None = None) -> SparkSession:

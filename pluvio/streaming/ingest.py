@@ -24,6 +24,16 @@ def gauge_stream(spark: SparkSession, folder: str, schema: str = READING_SCHEMA,
                     F.col("value").try_cast("double").alias("value"))
 
 
+def start_slot_means(spark: SparkSession, folder: str, out: str, checkpoint_location: str,
+                     minutes: int = 15, delay: str = "1 hour", trigger: str = "1 minute"):
+    """Run the streaming slot means into a parquet folder. The checkpoint location
+    (a shared folder) keeps offsets and aggregation state, so a restarted or
+    failed query resumes where it stopped and the file sink writes each slot once."""
+    return (slot_means(gauge_stream(spark, folder), minutes, delay).writeStream
+            .format("parquet").option("path", out).option("checkpointLocation", checkpoint_location)
+            .outputMode("append").trigger(processingTime=trigger).start())
+
+
 def slot_means(readings: DataFrame, minutes: int = 15, delay: str = "1 hour") -> DataFrame:
     """Streaming mean per (device, slot), finalised by the watermark."""
     return (readings.filter(F.col("ts").isNotNull())

@@ -82,3 +82,18 @@ def test_optional_sources(spark):
     assert t.count() == 36 and not [c for c in t.columns if c.startswith(("total_", "sta_", "rain_cfsr"))]
     h = pl.hourly_table(inp)
     assert "quality_sta" not in h.columns and h.count() > 0
+
+
+def test_streaming_file_sink_resumes(spark, tmpdir_path):
+    src, out, ck = (os.path.join(tmpdir_path, n) for n in ("in", "out", "ck"))
+    os.makedirs(src)
+    _write(os.path.join(src, "f1.csv"), "time,device_name,value\n2020-01-01 00:01:00,g,1\n2020-01-01 00:02:00,g,3\n")
+    q = ingest.start_slot_means(spark, src, out, ck, delay="10 minutes", trigger="1 second")
+    q.processAllAvailable()
+    q.stop()
+    _write(os.path.join(src, "f2.csv"), "time,device_name,value\n2020-01-01 02:00:00,g,8\n")
+    q = ingest.start_slot_means(spark, src, out, ck, delay="10 minutes", trigger="1 second")   # restart
+    q.processAllAvailable()
+    q.stop()
+    got = [(r["value"], r["n"]) for r in spark.read.parquet(out).collect()]
+    assert got == [(2.0, 2)]           # the first slot is final once the watermark passed it, written once
