@@ -65,6 +65,23 @@ def lag_in_series(df: DataFrame, keys, order: str, cols, prefix: str = "prev_")
     return out.filter(~F.col("_halo")).drop("_halo", day)
 
 
+def lag_on_grid(df: DataFrame, keys, order: str, cols, minutes: int, prefix: str = "prev_") -> DataFrame:
+    """``lag_in_series`` for a dense grid of ``minutes`` slots (every slot of every
+    day between the bounds is a row): the row before a day's first slot is that
+    key's last slot of the previous day, so the halo is just those rows moved one
+    day on — no per-day summary and no per-key window are needed."""
+    keys, cols = list(keys), list(cols)
+    day = "_lag_day"
+    x = df.withColumn(day, F.to_date(order))
+    last = F.col(day).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1440 - minutes))
+    halo = (x.filter(F.col(order) == last)
+            .select(*keys, F.date_add(day, 1).alias(day), order, *cols, F.lit(True).alias("_halo")))
+    u = x.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, day).orderBy(order)
+    out = u.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
+    return out.filter(~F.col("_halo")).drop("_halo", day)
+
+
 def counter_diff(series: DataFrame, keys=("device",), order: str = "slot", value: str = "value",
                  out: str = "interval", clamp: bool = True, keep_raw: str | None = None) -> DataFrame:
     """Cumulative counter -> per-interval amount: value minus the previous existing

@@ -393,7 +393,7 @@ def q_gap_flag(spark, d):
     """Gap flag on the dense grid of raw means (existing anomaly flags win)."""
     inp = _inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False)
     g = pl.gridded(inp).withColumnRenamed("anomaly", "quality")
-    return quality.gap_flag(g, (DEV,), "slot", "accumulated").select(DEV, "slot", "accumulated", "quality")
+    return quality.gap_flag(g, (DEV,), "slot", "accumulated", step_minutes=inp.rules.minutes).select(DEV, "slot", "accumulated", "quality")
 
 
 @query
@@ -401,7 +401,7 @@ def q_missing_flag(spark, d):
     """Gap flag, first slot cleared, then 'Missing' where value and flag are both absent."""
     inp = _inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False)
     g = pl.gridded(inp).withColumnRenamed("anomaly", "quality")
-    x = quality.gap_flag(g, (DEV,), "slot", "accumulated")
+    x = quality.gap_flag(g, (DEV,), "slot", "accumulated", step_minutes=inp.rules.minutes)
     x = quality.missing_flag(quality.null_first_slot(x, first=inp.first_slot()), "accumulated")
     return x.select(DEV, "slot", "quality")
 

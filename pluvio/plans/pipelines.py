@@ -131,7 +131,7 @@ def subhourly(inp: Inputs, g: DataFrame | None = None) -> DataFrame:
     reset_col = "raw_interval" if inp.rules.flag_before_clamp else "interval"
     q = F.least(F.col("anomaly"), F.when(F.col(reset_col) < 0, F.lit(RESET_TEXT)))
     x = g.withColumn("quality", q)
-    x = quality.gap_flag(x, (DEV,), "slot", "accumulated", "quality")
+    x = quality.gap_flag(x, (DEV,), "slot", "accumulated", "quality", step_minutes=inp.rules.minutes)
     x = quality.null_first_slot(x, "slot", "quality", first=inp.first_slot())
     x = quality.missing_flag(x, "accumulated", "quality")
     devs = devices_of(inp, x)

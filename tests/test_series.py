@@ -71,3 +71,13 @@ def test_drop_last_day_and_daily_null_rule(spark):
     out = {r["device"]: r for r in series.daily_rain(series.with_day(d)).collect()}
     assert out["a"]["interval"] is None and out["a"]["max_3_hr_interval"] is None
     assert out["b"]["interval"] == 2.0
+
+
+def test_dense_grid_lag_equals_general_lag(spark):
+    random.seed(5)
+    data = [(dev, slot(i), None if random.random() < 0.4 else float(i))
+            for dev in ("a", "b") for i in range(7, 96 * 4 - 3)]
+    df = spark.createDataFrame(data, "device string, slot timestamp_ntz, value double")
+    a = rows(series.lag_on_grid(df, ["device"], "slot", ["value"], 15), "device", "slot", "prev_value")
+    b = rows(series.lag_in_series(df, ["device"], "slot", ["value"]), "device", "slot", "prev_value")
+    assert a == b
