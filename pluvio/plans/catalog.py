@@ -346,7 +346,7 @@ def _daily(spark, d):
 def q_unpivot_series(spark, d):
     """Daily rain wide -> long (date, device, rain), null cells kept."""
     inp, daily = _daily(spark, d)
-    wide = reshape.pivot(daily, ["date"], DEV, pl.devices_of(inp, daily), {"": F.first("interval")})
+    wide = reshape.pivot(daily, ["date"], DEV, inp.device_list(), {"": F.first("interval")})
     return reshape.unpivot(wide, ["date"], DEV, "rain")
 
 
@@ -355,14 +355,14 @@ def q_pivot_series(spark, d):
     """Sub-hourly intervals spread into interval_<device> columns."""
     inp = _inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False)
     g = pl.gridded(inp)
-    return reshape.pivot_prefixed(g, ["slot"], DEV, pl.devices_of(inp, g), "interval", "interval_")
+    return reshape.pivot_prefixed(g, ["slot"], DEV, inp.device_list(), "interval", "interval_")
 
 
 @query
 def q_pivot_multi(spark, d):
     """Daily rain and 3-hour maximum pivoted together by device."""
     inp, daily = _daily(spark, d)
-    return pl.daily_rain_wide(daily, pl.devices_of(inp, daily))
+    return pl.daily_rain_wide(daily, inp.device_list())
 
 
 # ------------------------------------------------------------------ quality
@@ -454,7 +454,7 @@ def q_display_dates(spark, d):
 def q_monthly_day_count(spark, d):
     """Days with known daily rain per month and gauge."""
     inp, daily = _daily(spark, d)
-    wide = reshape.pivot(daily, ["date"], DEV, pl.devices_of(inp, daily), {"": F.first("interval")})
+    wide = reshape.pivot(daily, ["date"], DEV, inp.device_list(), {"": F.first("interval")})
     long = reshape.unpivot(wide, ["date"], DEV, "rain")
     return coverage.monthly_day_count(long)
 

@@ -113,10 +113,6 @@ def rolled(g: DataFrame, rules: GaugeRules, last_day=None) -> DataFrame:
     return series.rolling_full_window_sum(d, "interval", "max_3_hour", (DEV,), "slot", rules.rolling_width)
 
 
-def devices_of(inp: Inputs, df: DataFrame | None = None) -> list:
-    return inp.device_list()
-
-
 def daily_rain_wide(daily: DataFrame, devices) -> DataFrame:
     return reshape.pivot(daily, ["date"], DEV, devices,
                          {"rain": F.first("interval"), "rain_max_3h": F.first("max_3_hr_interval")})
@@ -134,7 +130,7 @@ def subhourly(inp: Inputs, g: DataFrame | None = None) -> DataFrame:
     x = quality.gap_flag(x, (DEV,), "slot", "accumulated", "quality", step_minutes=inp.rules.minutes)
     x = quality.null_first_slot(x, "slot", "quality", first=inp.first_slot())
     x = quality.missing_flag(x, "accumulated", "quality")
-    devs = devices_of(inp, x)
+    devs = inp.device_list()
     wide = reshape.pivot(x, ["slot"], DEV, devs, {
         "cumulative_rain": F.first("accumulated"), "quality": F.first("quality"),
         "rain": F.first("interval")})
@@ -194,7 +190,7 @@ def hourly_table(inp: Inputs, r: DataFrame | None = None) -> DataFrame:
     with station period flags."""
     r = rolled(gridded(inp), inp.rules, inp.last_day()) if r is None else r
     h = series.hourly_sum(r, (DEV,), "slot", "interval", "precipitation")
-    devs = devices_of(inp, h)
+    devs = inp.device_list()
     wide = reshape.pivot(h, ["datehour"], DEV, devs, {"": F.first("precipitation")})
     wide = wide.withColumnsRenamed({str(d): f"precip_{d}" for d in devs})
     p = inp.period
@@ -234,7 +230,7 @@ def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
     rain-rate columns) and (``with_flags``) the station period flags."""
     g = gridded(inp)
     d = series.daily_rain(rolled(g, inp.rules, inp.last_day()), (DEV,))
-    full = daily_rain_wide(d, devices_of(inp, d))
+    full = daily_rain_wide(d, inp.device_list())
     if inp.incidents is not None:
         full = full.join(incident_daily(inp.incidents, measures), on="date", how="full")
     p = inp.period
