@@ -265,7 +265,7 @@ def q_incident_pivot(spark, d):
 def q_row_totals(spark, d):
     """Incident pivot on the reporting calendar with hazard totals (null on empty days)."""
     p = pl.incident_daily(pl.parsed_incidents(fx.incident_export(spark, d)))
-    per = pl.Period()
+    per = pl.FIXTURE_PERIOD
     x = calendar(spark, per.spine_start, per.spine_end).join(p, on="date", how="left")
     return records.hazard_totals(x, fx.INCIDENT_MEASURES)
 
@@ -293,14 +293,14 @@ def q_ampm_shift(spark, d):
 @query
 def q_ambiguous_dates(spark, d):
     """Official rain dates written day-first or month-first, read by the >12 rule."""
-    o = pl.official_series(fx.official_export(spark, d), pl.Period().official_year)
+    o = pl.official_series(fx.official_export(spark, d), pl.FIXTURE_PERIOD.official_year)
     return o.select("row_id", "date_text", "date")
 
 
 @query
 def q_trace_rain(spark, d):
     """Official rain text: 'T' -> 0.5 mm with a 'Trace' flag, else a number."""
-    o = pl.official_series(fx.official_export(spark, d), pl.Period().official_year)
+    o = pl.official_series(fx.official_export(spark, d), pl.FIXTURE_PERIOD.official_year)
     return o.select("row_id", "rain_official", "quality_official")
 
 
@@ -366,7 +366,7 @@ def q_pivot_multi(spark, d):
 
 
 # ------------------------------------------------------------------ quality
-RULES = pl.GaugeRules()
+RULES = pl.FIXTURE_RULES
 
 
 @query
@@ -416,8 +416,8 @@ def q_station_quality(spark, d):
 @query
 def q_official_quality(spark, d):
     """Official series on its calendar with trace / before-start / missing flags."""
-    o = pl.official_series(fx.official_export(spark, d), pl.Period().official_year)
-    return pl.official_quality(spark, o, pl.Period())
+    o = pl.official_series(fx.official_export(spark, d), pl.FIXTURE_PERIOD.official_year)
+    return pl.official_quality(spark, o, pl.FIXTURE_PERIOD)
 
 
 # ------------------------------------------------------------------ records / weather

@@ -25,9 +25,13 @@ DEV = "device"
 
 @dataclass(frozen=True)
 class GaugeRules:
-    problem_dates: tuple = ("2024-01-05", "2024-01-06")
-    low: float = 1.0
-    high: float = 100.0
+    """Gauge rules. Defaults are the fixed values of the source pipeline: the three
+    days whose readings were checked by hand, the plausibility bounds of those
+    days (the code's 100000, not the 10000 of its comment), 15-minute slots,
+    a 12-slot (3-hour) rolling window, reset flags tested after the clamp."""
+    problem_dates: tuple = ("2020-04-29", "2020-04-30", "2020-05-03")
+    low: float = 10.0
+    high: float = 100000.0
     minutes: int = 15
     rolling_width: int = 12
     flag_before_clamp: bool = False
@@ -35,13 +39,22 @@ class GaugeRules:
 
 @dataclass(frozen=True)
 class Period:
-    spine_start: str = "2024-01-01"
-    spine_end: str = "2024-02-05"
-    station_start: str = "2024-01-08"
-    station_end: str = "2024-01-22"
+    """Reporting periods. Defaults are the fixed values of the source pipeline:
+    the 2020 reporting calendar, the stations' operating period, the official
+    series' year and first reported day."""
+    spine_start: str = "2020-01-01"
+    spine_end: str = "2020-11-30"
+    station_start: str = "2020-06-09"
+    station_end: str = "2020-09-22"
     official_year: int = 2020
     official_start: str = "2020-05-01"
-    official_spine: tuple = ("2020-01-01", "2020-12-31")
+    official_spine: tuple = ("2020-01-01", "2020-11-30")
+
+
+# the stand-in inputs (January 2024 events calendar) use these instead
+FIXTURE_RULES = GaugeRules(problem_dates=("2024-01-05", "2024-01-06"), low=1.0, high=100.0)
+FIXTURE_PERIOD = Period(spine_start="2024-01-01", spine_end="2024-02-05", station_start="2024-01-08",
+                        station_end="2024-01-22", official_spine=("2020-01-01", "2020-12-31"))
 
 
 @dataclass
@@ -267,7 +280,8 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, with_stations=True, with_in
         a, b = stations(spark, sf_dir, inc)
     sat = fx.satellite_export(spark, sf_dir) if with_satellite else None
     return Inputs(readings=fx.readings(spark, sf_dir), incidents=inc, lead_station=a,
-                  other_station=b, satellite=sat, checkpoint=checkpoint)
+                  other_station=b, satellite=sat, rules=FIXTURE_RULES, period=FIXTURE_PERIOD,
+                  checkpoint=checkpoint)
 
 
 # --------------------------------------------------------------------------- coverage

@@ -77,7 +77,8 @@ def test_publish_job_writes_all_tables(spark, tmpdir_path):
 def test_optional_sources(spark):
     from pluvio.plans import fixtures as fx
     from pluvio.plans import pipelines as pl
-    inp = pl.Inputs(readings=fx.readings(spark, "/root/testdata/sf0.001"))
+    inp = pl.Inputs(readings=fx.readings(spark, "/root/testdata/sf0.001"), rules=pl.FIXTURE_RULES,
+                    period=pl.FIXTURE_PERIOD)
     t = pl.hydro_daily(spark, inp)
     assert t.count() == 36 and not [c for c in t.columns if c.startswith(("total_", "sta_", "rain_cfsr"))]
     h = pl.hourly_table(inp)
@@ -97,3 +98,10 @@ def test_streaming_file_sink_resumes(spark, tmpdir_path):
     q.stop()
     got = [(r["value"], r["n"]) for r in spark.read.parquet(out).collect()]
     assert got == [(2.0, 2)]           # the first slot is final once the watermark passed it, written once
+
+
+def test_reference_defaults():
+    from pluvio.plans import pipelines as pl
+    r, p = pl.GaugeRules(), pl.Period()
+    assert (r.low, r.high, len(r.problem_dates), r.minutes, r.rolling_width) == (10.0, 100000.0, 3, 15, 12)
+    assert (p.spine_start, p.spine_end) == ("2020-01-01", "2020-11-30")
