@@ -19,10 +19,13 @@ DEFAULT_NULLS = ("NA", "", " ")
 
 def normalize_names(names) -> list[str]:
     """Header text -> usable snake_case names: non-alphanumerics become '_',
-    lower case, a leading digit gets an 'x_' prefix, repeats get _1, _2..."""
+    lower case, an empty header cell becomes 'x', a leading digit gets an 'x_'
+    prefix, repeats get _1, _2..."""
     out, seen = [], {}
     for n in names:
-        s = re.sub(r"[^0-9a-zA-Z]+", "_", (n or "").strip()).strip("_").lower() or "x"
+        if n is None or re.fullmatch(r"_c\d+", n):   # a header cell left empty
+            n = ""
+        s = re.sub(r"[^0-9a-zA-Z]+", "_", n.strip()).strip("_").lower() or "x"
         if s[0].isdigit():
             s = "x_" + s
         if s in seen:

@@ -105,3 +105,19 @@ def test_reference_defaults():
     r, p = pl.GaugeRules(), pl.Period()
     assert (r.low, r.high, len(r.problem_dates), r.minutes, r.rolling_width) == (10.0, 100000.0, 3, 15, 12)
     assert (p.spine_start, p.spine_end) == ("2020-01-01", "2020-11-30")
+
+
+def test_vertex_file_to_spatial_join(spark, tmpdir_path):
+    from pluvio.operators import geo
+    p = os.path.join(tmpdir_path, "camps.csv")
+    _write(p, "Camp_Name,seq,x,y\nCamp 1,0,0,0\nCamp 1,1,2,0\nCamp 1,2,2,2\nCamp 1,3,0,2\n")
+    v = readers.read_vertices(spark, p, name="camp_name", seq="seq", x="x", y="y")
+    pts = spark.createDataFrame([(1, 1.0, 1.0), (2, 5.0, 1.0)], "point_id long, x double, y double")
+    got = rows(geo.locate(pts, geo.polygon_edges(v), "point_id"), "point_id", "polygon_name")
+    assert got == [(1, "Camp 1"), (2, None)]
+
+
+def test_folder_read_drops_unnamed_columns(spark, tmpdir_path):
+    _write(os.path.join(tmpdir_path, "a_GSB.csv"), "Date,G1,,X.5\n01/06/2020 00:00,3,,z\n")
+    df = readers.read_folder(spark, tmpdir_path, "*GSB*", drop_prefixes=("x",))
+    assert df.columns == ["date", "g1"]
