@@ -65,6 +65,8 @@ class Inputs:
     lead_station: DataFrame | None = None
     other_station: DataFrame | None = None
     satellite: DataFrame | None = None
+    chirps: DataFrame | None = None
+    official: dict | None = None          # {name: official export}, e.g. two stations
     devices: list | None = None
     rules: GaugeRules = field(default_factory=GaugeRules)
     period: Period = field(default_factory=Period)
@@ -161,6 +163,12 @@ def satellite_daily(sat: DataFrame, date_col="system_time_start", rate="precipit
             .groupBy("date").agg(round_half(sum_or_zero("_mm"), 2).alias(name)))
 
 
+def chirps_daily(export: DataFrame, date_col="system_time_start", value="precipitation",
+                 name="rain_chirps") -> DataFrame:
+    """Daily satellite rain already in mm: free-form date text, value at two decimals."""
+    return export.select(any_date(date_col).alias("date"), round_half(value, 2).alias(name))
+
+
 def official_series(export: DataFrame, year: int, name: str = "official",
                     date_col="date", rain_col="rainfall_mm") -> DataFrame:
     """Official daily rain text -> (row_id, date, rain_<name>, quality_<name>):
@@ -239,8 +247,10 @@ def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
                 measures=fx.INCIDENT_MEASURES, drop=DAILY_DROPPED) -> DataFrame:
     """The daily hydro-incident table on the reporting calendar: per-gauge daily
     rain and largest 3-hour sum, full-joined with the daily incident pivot, hazard
-    totals, satellite daily rain, the daily weather roll-up (without the stations'
-    rain-rate columns) and (``with_flags``) the station period flags."""
+    totals, the official series with their flags, daily satellite rain (CHIRPS,
+    6-hourly rate), the daily weather roll-up (without the stations' rain-rate
+    columns) and (``with_flags``) the station period flags. Every source except the
+    readings is optional."""
     g = gridded(inp)
     d = series.daily_rain(rolled(g, inp.rules, inp.last_day()), (DEV,))
     full = daily_rain_wide(d, inp.device_list())
@@ -250,6 +260,14 @@ def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
     out = calendar(spark, p.spine_start, p.spine_end).join(full, on="date", how="left")
     if inp.incidents is not None:
         out = records.hazard_totals(out, measures)
+    if inp.official:
+        for name, export in inp.official.items():
+            o = official_series(export, p.official_year, name).drop("row_id", "date_text")
+            out = out.join(o, on="date", how="left").withColumn(
+                f"quality_{name}", quality.official_flag("date", f"rain_{name}", f"quality_{name}",
+                                                         p.official_start))
+    if inp.chirps is not None:
+        out = out.join(chirps_daily(inp.chirps), on="date", how="left")
     if inp.satellite is not None:
         out = out.join(satellite_daily(inp.satellite), on="date", how="left")
     if inp.lead_station is not None:
@@ -263,8 +281,10 @@ def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
 def published_order(daily: DataFrame, devices, measures, hazards=records.HAZARDS) -> DataFrame:
     """The daily table's published layout: the listed columns that exist (sources
     are optional), in the published order, then every other column."""
+    official = sorted(c[len("quality_"):] for c in daily.columns
+                      if c.startswith("quality_") and f"rain_{c[len('quality_'):]}" in daily.columns)
     wanted = (["date"] + [f"rain_{d}" for d in devices] + [f"rain_max_3h_{d}" for d in devices]
-              + ["rain_cfsr"])
+              + [c for n in official for c in (f"rain_{n}", f"quality_{n}")] + ["rain_chirps", "rain_cfsr"])
     for m in measures:
         wanted += [f"total_{m}"] + [f"{m}_{h}" for h in hazards]
     for st in ("sta", "stb"):

@@ -121,3 +121,23 @@ def test_folder_read_drops_unnamed_columns(spark, tmpdir_path):
     _write(os.path.join(tmpdir_path, "a_GSB.csv"), "Date,G1,,X.5\n01/06/2020 00:00,3,,z\n")
     df = readers.read_folder(spark, tmpdir_path, "*GSB*", drop_prefixes=("x",))
     assert df.columns == ["date", "g1"]
+
+
+def test_flagship_with_official_and_chirps(spark):
+    from pluvio.plans import fixtures as fx
+    from pluvio.plans import pipelines as pl
+    per = pl.Period(spine_start="2024-01-01", spine_end="2024-01-10", official_year=2024,
+                    official_start="2024-01-03")
+    off = spark.createDataFrame([(1, "01/05/2024", "12.5"), (2, "01/07/2024", "T"), (3, "Date", "Rainfall (mm)")],
+                                "row_id long, date string, rainfall_mm string")
+    chirps = spark.createDataFrame([("2024-01-02", 3.456), ("2024-01-04", None)],
+                                   "system_time_start string, precipitation double")
+    inp = pl.Inputs(readings=fx.readings(spark, "/root/testdata/sf0.001"), rules=pl.FIXTURE_RULES,
+                    period=per, official={"cox": off}, chirps=chirps)
+    t = {r["date"]: r for r in pl.hydro_daily(spark, inp).collect()}
+    assert len(t) == 10
+    assert t[dt.date(2024, 1, 1)]["quality_cox"] == "-"               # before the first reported day
+    assert (t[dt.date(2024, 1, 5)]["rain_cox"], t[dt.date(2024, 1, 5)]["quality_cox"]) == (12.5, None)
+    assert (t[dt.date(2024, 1, 7)]["rain_cox"], t[dt.date(2024, 1, 7)]["quality_cox"]) == (0.5, "Trace")
+    assert t[dt.date(2024, 1, 8)]["quality_cox"] == "Missing data"
+    assert t[dt.date(2024, 1, 2)]["rain_chirps"] == 3.46 and t[dt.date(2024, 1, 4)]["rain_chirps"] is None
