@@ -2,7 +2,8 @@
 run folder. The shared slot table is checkpointed into the cluster's
 ``spark.checkpoint.dir`` (required on a cluster).
 
-usage: python -m pluvio.plans.publish SF_DIR OUT_DIR RUN_DATE
+usage: python -m pluvio.plans.publish SF_DIR OUT_DIR RUN_DATE [--local]
+(``--local``: single-machine run without the cluster settings)
 """
 from __future__ import annotations
 
@@ -36,7 +37,9 @@ def build(spark, sf_dir: str) -> dict:
 
 def main(argv):
     sf_dir, out, run_date = argv[1:4]
-    spark = get_session(app="pluvio-publish", conf=CLUSTER_CONF)
+    local = "--local" in argv[4:]
+    spark = get_session("local[*]" if local else None, app="pluvio-publish",
+                        conf=None if local else CLUSTER_CONF)
     tables = build(spark, sf_dir)
     writers.publish(tables, out, run_date, {"hydro_incident_daily": ["month"]})
     writers.write_csv(tables["incident_gps_check"].withColumn("run_date", F.lit(run_date)),
