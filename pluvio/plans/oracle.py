@@ -248,7 +248,8 @@ _ht_cols = ([r4(f"precip_{d}", f"precip_{d}") for d in DEVICES]
             + [f"st{p}_wind_dir" for p in "ab"])
 S["hourly_weather"] = W(HOURLY_TABLE, f"SELECT datehour, {', '.join(_ht_cols)}, quality_sta, quality_stb FROM ht")
 S["satellite_daily"] = W(READINGS, """SELECT CAST(ts AS DATE) AS date,
-  round(round(coalesce(sum(value * (1 / 0.997) * 60 * 60 * 6), 0), 2), 4) AS rain_cfsr FROM readings GROUP BY 1""")
+  round(CAST(round(coalesce(sum(CAST(value * (1 / 0.997) * 60 * 60 * 6 AS DECIMAL(38,9))), 0), 2) AS DOUBLE), 4) AS rain_cfsr
+FROM readings GROUP BY 1""")
 _ip_cols = [r4(f'"{m}_{h}"', f"{m}_{h}") for m in MEASURES for h in HAZARDS]
 S["incident_pivot"] = W(INCIDENTS, f"SELECT date, {', '.join(_ip_cols)} FROM ip")
 S["row_totals"] = W(INCIDENTS + """,
@@ -376,7 +377,8 @@ fj AS (SELECT coalesce(rw.date, ip.date) AS date, rw.* EXCLUDE (date), ip.* EXCL
 cal AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS date),
 x AS (SELECT cal.date, fj.* EXCLUDE (date) FROM cal LEFT JOIN fj USING (date)),
 t AS (SELECT *, """ + _totals() + """ FROM x),
-sat AS (SELECT CAST(ts AS DATE) AS date, round(coalesce(sum(value * (1 / 0.997) * 60 * 60 * 6), 0), 2) AS rain_cfsr
+sat AS (SELECT CAST(ts AS DATE) AS date,
+               CAST(round(coalesce(sum(CAST(value * (1 / 0.997) * 60 * 60 * 6 AS DECIMAL(38,9))), 0), 2) AS DOUBLE) AS rain_cfsr
         FROM readings GROUP BY 1),
 hd AS (SELECT t.*, sat.rain_cfsr, dw.* EXCLUDE (date),
               """ + _station_flag("t.date", "dw.sta_low_temp") + """ AS quality_sta,

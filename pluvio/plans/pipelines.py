@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pluvio.functions.dates import any_date, day_month_ambiguous, ntz_literal, parse_timestamp
-from pluvio.functions.nulls import r_if_else, round_half, sum_or_zero
+from pluvio.functions.nulls import exact_sum, r_if_else, round_half
 from pluvio.operators import columns, coverage, geo, quality, records, reshape, series, weather
 from pluvio.operators.quality import ANOMALY_TEXT, RESET_TEXT, TRACE_TEXT
 from pluvio.plans import fixtures as fx
@@ -157,10 +157,12 @@ def subhourly(inp: Inputs, g: DataFrame | None = None) -> DataFrame:
 def satellite_daily(sat: DataFrame, date_col="system_time_start", rate="precipitation_rate",
                     name="rain_cfsr") -> DataFrame:
     """6-hourly rate -> daily mm: rate x (1/0.997) x 21600 summed per day, 0 when
-    no value, two decimals."""
+    no value, two decimals. The day's sum is accumulated exactly (DECIMAL), so the
+    rounded figure does not depend on the order Spark adds the terms in."""
     mm = F.col(rate) * (1 / 0.997) * 60 * 60 * 6
+    total = F.coalesce(exact_sum("_mm"), F.lit(0).cast("decimal(38,9)"))
     return (sat.select(any_date(date_col).alias("date"), mm.alias("_mm"))
-            .groupBy("date").agg(round_half(sum_or_zero("_mm"), 2).alias(name)))
+            .groupBy("date").agg(F.round(total, 2).cast("double").alias(name)))
 
 
 def chirps_daily(export: DataFrame, date_col="system_time_start", value="precipitation",
