@@ -52,7 +52,8 @@ def daily_weather(lead: DataFrame, other: DataFrame | None, ts: str = "time_date
     is left-joined by time). Columns whose name contains 'dir' are dropped; 'hi'
     columns take the day's max, 'low' the min, 'rain' the sum (0 when empty) and
     every other the mean; names match case-insensitively. One aggregation;
-    sums are accumulated exactly (decimal) before rounding."""
+    sums (also those behind the means) are accumulated exactly (decimal), so the
+    rounded figures do not depend on the order rows are added in."""
     w = lead if other is None else lead.join(other, on=ts, how="left")
     w = w.withColumn("date", F.to_date(ts)).drop(ts)
     w = w.drop(*containing(w, "dir"))
@@ -62,7 +63,7 @@ def daily_weather(lead: DataFrame, other: DataFrame | None, ts: str = "time_date
     mean = [c for c in w.columns if c not in {"date", *hi, *low, *rain}]
     aggs = ([F.max(c).alias(c) for c in hi] + [F.min(c).alias(c) for c in low]
             + [F.round(F.coalesce(exact_sum(c), F.lit(0)), digits).cast("double").alias(c) for c in rain]
-            + [F.avg(c).alias(c) for c in mean])
+            + [(exact_sum(c).cast("double") / F.count(c)).alias(c) for c in mean])
     d = w.groupBy("date").agg(*aggs).drop(*drop)
     return d.select("date", *[(F.col(c) if c in rain else round_half(c, digits)).alias(c)
                               for c in d.columns if c != "date"])

@@ -127,9 +127,9 @@ dw AS (
          round(min(sta_low_temp), 2) AS sta_low_temp, round(min(stb_low_temp), 2) AS stb_low_temp,
          CAST(round(coalesce(sum(CAST(sta_rain AS DECIMAL(38,9))), 0), 2) AS DOUBLE) AS sta_rain, CAST(round(coalesce(sum(CAST(sta_rain_rate AS DECIMAL(38,9))), 0), 2) AS DOUBLE) AS sta_rain_rate,
          CAST(round(coalesce(sum(CAST(stb_rain AS DECIMAL(38,9))), 0), 2) AS DOUBLE) AS stb_rain, CAST(round(coalesce(sum(CAST(stb_rain_rate AS DECIMAL(38,9))), 0), 2) AS DOUBLE) AS stb_rain_rate,
-         round(avg(sta_temp_out), 2) AS sta_temp_out, round(avg(sta_wind_speed), 2) AS sta_wind_speed,
-         round(avg(stb_temp_out), 2) AS stb_temp_out, round(avg(stb_wind_speed), 2) AS stb_wind_speed,
-         round(avg(stb_bar), 2) AS stb_bar
+         round(CAST(sum(CAST(sta_temp_out AS DECIMAL(38,9))) AS DOUBLE) / count(sta_temp_out), 2) AS sta_temp_out, round(CAST(sum(CAST(sta_wind_speed AS DECIMAL(38,9))) AS DOUBLE) / count(sta_wind_speed), 2) AS sta_wind_speed,
+         round(CAST(sum(CAST(stb_temp_out AS DECIMAL(38,9))) AS DOUBLE) / count(stb_temp_out), 2) AS stb_temp_out, round(CAST(sum(CAST(stb_wind_speed AS DECIMAL(38,9))) AS DOUBLE) / count(stb_wind_speed), 2) AS stb_wind_speed,
+         round(CAST(sum(CAST(stb_bar AS DECIMAL(38,9))) AS DOUBLE) / count(stb_bar), 2) AS stb_bar
   FROM sta LEFT JOIN stb USING (time_date) GROUP BY 1)"""
 
 
