@@ -4,6 +4,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +12,9 @@ from pyspark.sql import types as T
 from pluvio.session import checkpoint_dir
 
 
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names. Only a local-mode session
     without one (tests, one machine) gets a temporary folder, set once."""
@@ -29,7 +33,12 @@ def store(df: DataFrame) -> DataFrame:
     The files stay until the folder is cleared; nothing refers to them by name."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/pluvio-llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    batch = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, BATCH_BYTES)  # texts go to Python workers in small batches
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH, batch)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -62,6 +71,22 @@ def widened(df: DataFrame, **fields: T.DataType) -> T.StructType:
                         + [T.StructField(n, t, True) for n, t in fields.items()])
 
 
+def local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids in the links (a[i], b[i]) of one task, and the smallest id that each
+    reaches by them."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = at[:len(a)], at[len(a):]
+    root = np.arange(len(nodes))
+    while True:
+        new = root.copy()
+        np.minimum.at(new, u, root[v])
+        np.minimum.at(new, v, root[u])
+        new = new[new]
+        if (new == root).all():
+            return nodes, nodes[root]
+        root = new
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id of ``edges`` (a long, b long): the smallest id
     reachable. Minimum labels travel along the edges and then jump to their own

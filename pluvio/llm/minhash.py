@@ -6,9 +6,10 @@ their Jaccard similarity, so half the hash evaluations make the same signature.
 Bands of values send documents to buckets. Documents with equal shingle sets are one
 class from the start. In a bucket every class is first compared with the bucket's
 smallest (each with the one it shares most buckets with); classes that this joins are
-done with each other, and what remains, pairs of a bucket that are still in different
-components, is compared pair by pair unless sketches and sizes rule it out. Links are
-confirmed on the full shingle sets, and components come from distributed rounds.
+done with each other. Where a bucket still holds several components, its classes are
+compared in blocks across components: a block of sets becomes a 0/1 matrix, and a
+matrix product counts the intersections exactly, so no row is made for a pair. Every
+link is confirmed on full shingle sets; components come from distributed rounds.
 """
 from __future__ import annotations
 
@@ -20,14 +21,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import connected_components, partitions, store, without
+from pluvio.llm.common import connected_components, local_roots, partitions, store
 
 ROWS = 6            # values in a band: the smallest and the largest of three hashes
 MISS = 1e-7         # chance that a pair at the threshold shares no band
 CHUNK = 512         # shingles hashed at once
 CACHE = 100_000     # words whose hash a task remembers
 TOGETHER = 256      # pairs with one partner in a verification group
-DEVIATIONS = 6      # of a sketch's estimate, before a pair is ruled out
+BLOCK = 256         # sets of a block at most, about
+BLOCK_SHINGLES = 100_000  # and shingles in them
+COLUMNS = 4096      # shingles whose matrix is held at once
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -61,7 +64,7 @@ def shingle_set(text: str | None, k: int, words: dict) -> np.ndarray:
 
 
 class MinMax:
-    """Bands and sketches of shingle sets for a similarity threshold."""
+    """Bands of shingle sets for a similarity threshold."""
 
     def __init__(self, threshold: float, rows: int = ROWS, miss: float = MISS, seed: int = 1):
         # a band misses a pair at the threshold with 1 - t^rows; two values of one hash
@@ -72,10 +75,6 @@ class MinMax:
         rng = np.random.default_rng(seed)
         self.mul = rng.integers(0, 2**64, self.hashes, dtype=np.uint64) | np.uint64(1)
         self.add = rng.integers(0, 2**64, self.hashes, dtype=np.uint64)
-        self.words = 2 * self.hashes // 64  # 64-bit words of a sketch
-        bits = 64 * self.words
-        p = (1 + threshold) / 2  # a bit agrees by J or by chance
-        self.max_differing = math.ceil(bits * (1 - p) + DEVIATIONS * math.sqrt(bits * p * (1 - p)))
 
     def values(self, shingles: np.ndarray) -> np.ndarray:
         low = np.full(self.hashes, 2**64 - 1, np.uint64)
@@ -87,57 +86,52 @@ class MinMax:
                 np.maximum(high, image.max(axis=0), out=high)
         return np.stack([low, high], axis=1).reshape(-1)
 
-    def keys_and_sketch(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        v = self.values(shingles)
+    def keys(self, shingles: np.ndarray) -> np.ndarray:
+        """A bucket for each band."""
+        v = _mix(self.values(shingles))
         with np.errstate(over="ignore"):
-            mixed = _mix(v)
             key = np.arange(1, self.bands + 1, dtype=np.uint64)
             for j in range(self.rows):
-                key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + mixed[j::self.rows])
-        bits = (mixed[:64 * self.words] >> np.uint64(63)).astype(np.uint8)
-        return key.view(np.int64), np.packbits(bits).view(np.int64)
+                key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + v[j::self.rows])
+        return key.view(np.int64)
 
 
 def signatures(docs: DataFrame, k: int, model: MinMax, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_shingles, k0 and k1 (the set's digest), bands, sketch; stored."""
-    schema = "doc_id long, n_shingles long, k0 long, k1 long, bands array<long>, sketch array<long>"
+    """doc_id, n_shingles, k0 and k1 (the set's digest) and bands; stored."""
+    schema = "doc_id long, n_shingles long, k0 long, k1 long, bands array<long>"
 
     def go(batches):
         words = _WordHash()
         for batch in batches:
-            n, digest, bands, sketch = [], [], [], []
+            n, digest, bands = [], [], []
             for text in batch.column(1):
                 s = shingle_set(text.as_py(), k, words)
                 n.append(len(s))
                 digest.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64))
-                b, d = model.keys_and_sketch(s) if len(s) else (None, None)
-                bands.append(b)
-                sketch.append(d)
+                bands.append(model.keys(s) if len(s) else None)
             k01 = np.array(digest).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(k01[:, 0]), pa.array(k01[:, 1]),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "k0", "k1", "bands", "sketch"])
+                 pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "k0", "k1", "bands"])
 
     return store(docs.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string"))
                  .mapInArrow(go, schema))
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def confirmed(texts: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent *
-    union. Each text is sent once for every pair of its own; a partner b with many
-    pairs is sent to several groups of them."""
+    union. ``texts``: doc, text. Each text is sent once for every pair of its own; a
+    partner b with many pairs is sent to several groups of them."""
     pairs = store(pairs)
     many = store(pairs.groupBy(F.col("b").alias("_b")).agg(F.ceil(F.count(F.lit(1)) / TOGETHER).cast("long").alias("salts")))
     dealt = (pairs.join(many, pairs["b"] == many["_b"])
-             .select(F.col("b").alias("grp"), F.pmod(F.xxhash64("a"), "salts").alias("salt"), F.col("a").alias("doc"),
+             .select(F.col("b").alias("grp"), F.pmod(F.xxhash64("a"), "salts").alias("salt"), F.col("a").alias("id"),
                      F.lit(True).alias("member")))
     partners = many.select(F.col("_b").alias("grp"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
-                           F.col("_b").alias("doc"), F.lit(False).alias("member"))
+                           F.col("_b").alias("id"), F.lit(False).alias("member"))
     wanted = store(dealt.union(partners))
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = (wanted.join(texts, wanted["doc"] == texts["_id"]).select("grp", "salt", "member", "doc", "text")
-            .repartition(partitions(docs.sparkSession), "grp", "salt")
+    rows = (wanted.hint("merge").join(texts, wanted["id"] == texts["doc"]).select("grp", "salt", "member", "doc", "text")
+            .repartition(partitions(texts.sparkSession), "grp", "salt")
             .sortWithinPartitions("grp", "salt", "member", "doc"))
 
     def go(batches):
@@ -178,8 +172,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     sig = signatures(docs, k, model, id_col, text_col)
     # documents with equal sets are one class, known by its smallest id
     classes = store(sig.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("k0", "k1").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch")))
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
     placed = classes.select("rep", F.explode("bands").alias("bucket"))
     buckets = store(placed.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("c"))
                     .filter("c > 1").select(F.col("bucket").alias("_bucket"), "hub"))
@@ -188,9 +181,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     votes = members.filter("rep <> hub").groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("c"))
     first = votes.groupBy("rep").agg(F.max(F.struct("c", (-F.col("hub")).alias("hub"))).alias("m")).select(
         F.col("rep").alias("a"), (-F.col("m.hub")).alias("b"))
-    linked = confirmed(docs, first, k, percent, id_col, text_col)
-    rest = _left_over(classes, members, connected_components(linked), percent, model)
-    linked = linked.union(confirmed(docs, rest, k, percent, id_col, text_col))
+    texts = _texts(docs, members.select("rep").distinct(), id_col, text_col)
+    linked = confirmed(texts, first, k, percent)
+    rest = _left_over(classes, members, connected_components(linked))
+    linked = linked.union(_linked_in_blocks(texts, rest, k, percent))
     comp = connected_components(linked)
     known = store(classes.join(comp, classes["rep"] == comp["id"], "left").select(
         F.col("k0").alias("_k0"), F.col("k1").alias("_k1"), F.coalesce("component", "rep").alias("component_id")))
@@ -202,27 +196,110 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def _left_over(classes: DataFrame, members: DataFrame, comp: DataFrame, percent: int, model: MinMax) -> DataFrame:
-    """Pairs (a, b) of a bucket that lie in different components and that neither set
-    sizes nor sketches rule out. In a bucket, classes outside its main component (that
-    of its smallest class) are compared with all, those inside with none of their own."""
+def _texts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc and text of the documents with these ids, stored: the corpus is shuffled
+    once, whatever is compared afterwards. Joined by shuffle at every size, since the
+    ids grow with the corpus."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return store(rows.hint("merge").join(ids.hint("merge"), rows["doc"] == ids["rep"], "left_semi"))
+
+
+def _left_over(classes: DataFrame, members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Block pairs that cover every pair of a bucket whose classes lie in different
+    components: hub, part, i, j, first, rep, comp. Buckets of the same hub go together.
+    The classes of a group's largest component are compared with the other classes only,
+    so a large group that is joined already costs no more than what is not."""
     m = store(members.join(comp, members["rep"] == comp["id"], "left")
-              .select("bucket", "rep", F.coalesce("component", "rep").alias("comp")))
-    mixed = store(m.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                          F.min_by("comp", "rep").alias("main"))
-                  .filter("lo < hi").select(F.col("bucket").alias("_bucket"), "main"))
-    open_ = store(m.join(mixed, m["bucket"] == mixed["_bucket"]).select("bucket", "rep", "comp", "main"))
-    about = classes.select(F.col("rep").alias("_rep"), "n", *[F.col("sketch")[i].alias(f"s{i}") for i in range(model.words)])
-    full = store(open_.join(about, open_["rep"] == about["_rep"]).drop("_rep"))
-    names = ["rep", "comp", "n", *[f"s{i}" for i in range(model.words)]]
-    a = full.filter("comp <> main").select("bucket", "main", *[F.col(c).alias(f"a_{c}") for c in names])
-    b = full.select(F.col("bucket").alias("b_bucket"), *[F.col(c).alias(f"b_{c}") for c in names])
-    differing = sum((F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(model.words)), F.lit(0))
-    once = (F.col("b_comp") == F.col("main")) | (F.col("a_rep") < F.col("b_rep"))
-    fits = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
-    return (a.join(b, (F.col("bucket") == F.col("b_bucket")) & (F.col("a_comp") != F.col("b_comp")) & once & fits
-                   & (differing <= model.max_differing))
-            .select(F.greatest("a_rep", "b_rep").alias("a"), F.least("a_rep", "b_rep").alias("b")).distinct())
+              .select("bucket", "hub", "rep", F.coalesce("component", "rep").alias("comp")))
+    mixed = store(m.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+                  .select(F.col("bucket").alias("_bucket")))
+    rest = store(m.join(mixed, m["bucket"] == mixed["_bucket"], "left_semi").select("hub", "rep", "comp").distinct())
+    main = store(rest.groupBy("hub", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy(F.col("hub").alias("_hub"))
+                 .agg(F.max(F.struct("c", "comp"))["comp"].alias("main")))
+    size = classes.select(F.col("rep").alias("_rep"), "n")
+    sized = store(rest.join(main, rest["hub"] == main["_hub"]).join(size, rest["rep"] == size["_rep"])
+                  .select("hub", "rep", "comp", (F.col("comp") != F.col("main")).alias("odd"), "n"))
+
+    def blocks(which):
+        return F.ceil(F.greatest(F.sum(F.when(which, 1).otherwise(0)) / BLOCK,
+                                 F.sum(F.when(which, F.col("n")).otherwise(0)) / BLOCK_SHINGLES)).cast("int")
+    counts = store(sized.groupBy(F.col("hub").alias("_hub")).agg(blocks(F.col("odd")).alias("odds"), blocks(~F.col("odd")).alias("mains")))
+    dealt = (sized.join(counts, sized["hub"] == counts["_hub"])
+             .withColumn("own", F.pmod(F.xxhash64("rep"), F.when(F.col("odd"), F.col("odds")).otherwise(F.col("mains"))).cast("int")))
+    to_odd = F.explode(F.sequence(F.lit(0), F.col("odds") - 1)).alias("other")
+    to_main = F.explode(F.sequence(F.lit(0), F.col("mains") - 1)).alias("other")
+    among = dealt.filter("odd").select("hub", "rep", "comp", "own", to_odd).select(
+        "hub", F.lit("odd").alias("part"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        (F.col("own") <= F.col("other")).alias("first"), "rep", "comp")
+    odd = dealt.filter("odd and mains > 0").select("hub", "rep", "comp", "own", to_main).select(
+        "hub", F.lit("main").alias("part"), F.col("own").alias("i"), F.col("other").alias("j"), F.lit(True).alias("first"), "rep", "comp")
+    main_ = dealt.filter("not odd and odds > 0").select("hub", "rep", "comp", "own", to_odd).select(
+        "hub", F.lit("main").alias("part"), F.col("other").alias("i"), F.col("own").alias("j"), F.lit(False).alias("first"), "rep", "comp")
+    return store(among.union(odd).union(main_))
+
+
+def intersections(left: list, right: list) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set."""
+    every = [*left, *right]
+    row = np.repeat(np.arange(len(every)), [len(s) for s in every])
+    _, at, count = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    shared = count > 1
+    column = (np.cumsum(shared) - 1)[at]
+    keep = shared[at]
+    row, column = row[keep], column[keep]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), np.int64)
+    for base in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [base, base + COLUMNS])
+        m = np.zeros((len(every), COLUMNS), np.float32)
+        m[row[a:b], column[a:b] - base] = 1
+        out += (m[:len(left)] @ m[len(left):].T).astype(np.int64)
+    return out
+
+
+def _linked_in_blocks(texts: DataFrame, rest: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) that join what the block pairs of ``rest`` have in different
+    components: from each block pair a spanning forest of its links."""
+    key = ["hub", "part", "i", "j"]
+    rows = (rest.hint("merge").join(texts, rest["rep"] == texts["doc"]).select(*key, "first", "rep", "comp", "text")
+            .repartition(partitions(texts.sparkSession), *key).sortWithinPartitions(*key, "rep"))
+
+    def go(batches):
+        words, group, held = _WordHash(), None, ([], [])
+
+        def links():
+            left, right = held
+            if group is None:
+                return [], []
+            if group[1] == "odd" and group[2] == group[3]:
+                right = left
+            if not left or not right:
+                return [], []
+            n = [np.array([len(x[2]) for x in side]) for side in (left, right)]
+            comp = [np.array([x[1] for x in side]) for side in (left, right)]
+            both = intersections([x[2] for x in left], [x[2] for x in right])
+            hit = (both > 0) & (100 * both >= percent * (n[0][:, None] + n[1] - both)) & (comp[0][:, None] != comp[1])
+            a, b = np.nonzero(hit)
+            if not len(a):
+                return [], []
+            ids = [np.array([x[0] for x in side]) for side in (left, right)]
+            nodes, roots = local_roots(ids[0][a], ids[1][b])
+            return nodes[nodes != roots].tolist(), roots[nodes != roots].tolist()
+
+        def batch_of(got):
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in got], names=["a", "b"])
+
+        for batch in batches:
+            for *at, first, rep, comp, text in zip(*[batch.column(i) for i in range(8)], strict=True):
+                now = tuple(x.as_py() for x in at)
+                if now != group:
+                    yield batch_of(links())
+                    group, held = now, ([], [])
+                held[0 if first.as_py() else 1].append((rep.as_py(), comp.as_py(), shingle_set(text.as_py(), k, words)))
+        yield batch_of(links())
+
+    return store(rows.mapInArrow(go, "a long, b long"))
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",

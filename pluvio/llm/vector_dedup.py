@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pluvio.llm.common import connected_components, partitions, store, widened
+from pluvio.llm.common import connected_components, local_roots, partitions, store, widened
 
 MISS = 1e-5      # chance that a pair at the threshold shares no bucket in any table
 BUCKET = 256     # classes wanted in a bucket when directions are spread evenly
@@ -109,19 +109,7 @@ def _compare(threshold: float):
         for side, at, other, weight in ((x, a, b, y["n"]), (y, b, a, x["n"]))[:1 if same else 2]:
             for rep, n in zip(side["rep"], np.bincount(at, weights=np.where(new, weight[other], 0), minlength=len(side["rep"])), strict=True):
                 links[int(rep)] = links.get(int(rep), 0) + int(n)
-        # smallest label along the block's links
-        nodes, at = np.unique(np.concatenate([x["rep"][a], y["rep"][b]]), return_inverse=True)
-        u, v = at[:len(a)], at[len(a):]
-        root = np.arange(len(nodes))
-        while True:
-            new_root = root.copy()
-            np.minimum.at(new_root, u, root[v])
-            np.minimum.at(new_root, v, root[u])
-            new_root = new_root[new_root]
-            if (new_root == root).all():
-                break
-            root = new_root
-        return [(int(n), links.get(int(n), 0), int(nodes[r])) for n, r in zip(nodes, root, strict=True)]
+        return [(int(n), links.get(int(n), 0), int(r)) for n, r in zip(*local_roots(x["rep"][a], y["rep"][b]), strict=True)]
 
     def go(batches):
         key, held = None, []

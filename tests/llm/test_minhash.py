@@ -73,9 +73,32 @@ def test_signature_estimates_similarity():
         y = np.concatenate([x[:same], rng.integers(0, 2**64, 1000 - same, dtype=np.uint64)])
         agree = (model.values(np.sort(x)) == model.values(np.sort(y))).mean()
         assert abs(agree - same / (2000 - same)) < 0.12
-    keys, sketch = model.keys_and_sketch(x)
-    assert len(keys) == model.bands
-    assert len(sketch) == model.words
+    assert len(set(model.keys(x).tolist())) == model.bands
+
+
+def test_intersections_of_blocks(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 7)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(12)]
+    got = minhash.intersections(sets[:5], sets[5:])
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[5:]] for a in sets[:5]]
+
+
+def test_group_of_near_copies_below_and_above_the_threshold(spark, monkeypatch):
+    """Edited copies of one text, most pairs below the threshold, over many blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(250):
+        t = base[:]
+        for _ in range(rng.randrange(1, 6)):
+            t[rng.randrange(120)] = f"x{rng.randrange(40)}"
+        docs.append((i, " ".join(t)))
+    want = ref.near_duplicates(docs, 3, 85)
+    assert len({c for _, c in want.values()}) > 1
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert got(minhash.near_duplicates(df, 3, 85)) == want
 
 
 def test_miss_bound():
