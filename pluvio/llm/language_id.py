@@ -10,7 +10,7 @@ driver.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -24,56 +24,59 @@ WORD = re.compile(r"[^\W\d_]+")
 DEPTH = 400            # n-grams in a profile
 GRAM = 3               # longest n-gram; three code points fit into 63 bits
 EDGE = 0x20            # marks the edge of a word
-TASK_WORDS = 100_000   # distinct words a task holds before it passes its counts on
+TASK_CHARS = 1 << 20   # text that a task holds before it passes its counts on
 UNKNOWN = "und"
 
 
-def word_grams(word: str) -> np.ndarray:
-    """The n-grams of a word as packed code points, repeats included."""
-    points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
-    points = np.concatenate([[EDGE], points, [EDGE]])
-    out = [points[1:-1]]
-    packed = points
+def grams_of(words: list[str]) -> np.ndarray:
+    """The n-grams of the words as packed code points, sorted, repeats included. A
+    word's edge is the mark between it and its neighbour, so no n-gram of interest has
+    the mark inside."""
+    mark = chr(EDGE)
+    text = mark + mark.join(words) + mark
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    edge = points == EDGE
+    out, packed, inside = [points[~edge]], points, np.zeros(len(points), bool)
     for n in range(2, GRAM + 1):
         packed = (packed[:-1] << 21) | points[n - 1:]
-        out.append(packed)
-    return np.concatenate(out)
+        if n > 2:
+            inside = inside[:-1] | edge[n - 2:-1]
+            out.append(packed[~inside])
+        else:
+            inside = inside[:-1]
+            out.append(packed)
+    keys = np.concatenate(out)
+    keys.sort()
+    return keys
 
 
-class _Grams(dict):
-    """n-grams by word; emptied by its user when large."""
-
-    def __missing__(self, word):
-        self[word] = got = word_grams(word)
-        return got
-
-
-def gram_counts(words: Counter, grams: dict) -> tuple[np.ndarray, np.ndarray]:
-    parts = [grams[w] for w in words]
-    keys, at = np.unique(np.concatenate(parts), return_inverse=True)
-    n = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(p) for p in parts])
-    return keys, np.bincount(at, weights=n, minlength=len(keys)).astype(np.int64)
+def gram_counts(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams in order, and how often each occurs."""
+    keys = grams_of(words)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(first, append=len(keys))
 
 
 def _count(batches):
-    """(lang, gram, n) of a partition, in parts."""
-    held, size, grams = defaultdict(Counter), 0, _Grams()
+    """(lang, gram, n) of a partition, in parts of about TASK_CHARS characters."""
+    held, size = defaultdict(list), 0
 
     def passed_on():
         for lang, words in held.items():
             if words:
-                keys, n = gram_counts(words, grams)
+                keys, n = gram_counts(words)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys),
                                                   pa.array(n)], names=["lang", "gram", "n"])
         held.clear()
-        grams.clear()
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            held[lang].update(WORD.findall(text.as_py().lower()))
-            size += 1
-            if size % 64 == 0 and sum(map(len, held.values())) > TASK_WORDS:
+            text = text.as_py()
+            held[lang].extend(WORD.findall(text.lower()))
+            size += len(text)
+            if size > TASK_CHARS:
                 yield from passed_on()
+                size = 0
     yield from passed_on()
 
 
@@ -109,14 +112,17 @@ class RankModel:
         for i, grams in enumerate(profiles.values()):
             self.ranks[i, np.searchsorted(self.keys, grams)] = np.arange(len(grams))
 
-    def predict(self, text: str | None, grams: dict) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float]:
         """(language, score): the score is 1 for a document whose ranks are those of the
         profile and 0 if none of its n-grams is in it."""
-        words = Counter(WORD.findall(text.lower())) if text else None
+        words = WORD.findall(text.lower()) if text else None
         if not words or not self.langs:
             return UNKNOWN, 0.0
-        keys, n = gram_counts(words, grams)
-        top = keys[np.lexsort((keys, -n))[:self.depth]]
+        keys, n = gram_counts(words)
+        if len(n) > self.depth:  # all that reach the count of the last in the ranking
+            enough = n >= np.partition(n, -self.depth)[-self.depth]
+            keys, n = keys[enough], n[enough]
+        top = keys[np.argsort(-n, kind="stable")[:self.depth]]
         at = np.searchsorted(self.keys, top)
         at[(at == len(self.keys)) | (self.keys[np.minimum(at, len(self.keys) - 1)] != top)] = len(self.keys)
         ranks = self.ranks[:, at]
@@ -138,13 +144,8 @@ def predict_languages(docs: DataFrame, profiles: dict[str, np.ndarray], text_col
     model = RankModel(profiles, depth)
 
     def go(batches):
-        grams = _Grams()
         for batch in batches:
-            got = []
-            for text in batch.column(at):
-                got.append(model.predict(text.as_py(), grams))
-                if len(grams) > TASK_WORDS:
-                    grams.clear()
+            got = [model.predict(text.as_py()) for text in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
                 [*[c.cast(f.type) for c, f in zip(batch.columns, arrow, strict=False)],
                  pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], schema=arrow)
