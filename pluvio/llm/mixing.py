@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import store, without
+from pluvio.llm.common import fresh, store, without
 
 WORDS = r"[^\x20\x09-\x0D]+"
 STEPS = 100        # Newton and bisection steps at most; a dozen are usual
@@ -213,10 +213,12 @@ def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tilt, stays once."""
     size, draw = word_count(F.col(f"`{text_col}`")), draw_of(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     mix, _ = fit_stored(docs.select(F.col(f"`{source_col}`"), size.alias("size"), draw.alias("draw")), source_col, **options)
-    key = _key(F.col(f"`{source_col}`"))
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    return (docs.select(*cols, mix.copies(key, size, draw).alias("_copies")).filter("_copies > 0")
-            .select(*cols, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy"))
+    key, n, u, copies, copy = fresh(docs, "key", "size", "draw", "copies", "copy")
+    # sizes are columns of their own, so that a text is counted once for all that refers to them
+    sized = docs.withColumns({key: _key(F.col(f"`{source_col}`")), n: size, u: draw})
+    return (sized.select(*cols, mix.copies(F.col(key), F.col(n), F.col(u)).alias(copies)).filter(F.col(copies) > 0)
+            .select(*cols, F.explode(F.array_repeat(F.lit(0), F.col(copies))).alias(copy)).drop(copy))
 
 
 def fit(sized: DataFrame, weights=cyclic_weights, share: float = 1.5, max_copies: int = 2) -> Mixture:
