@@ -214,11 +214,11 @@ def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     size, draw = word_count(F.col(f"`{text_col}`")), draw_of(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     mix, _ = fit_stored(docs.select(F.col(f"`{source_col}`"), size.alias("size"), draw.alias("draw")), source_col, **options)
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    key, n, u, copies, copy = fresh(docs, "key", "size", "draw", "copies", "copy")
-    # sizes are columns of their own, so that a text is counted once for all that refers to them
-    sized = docs.withColumns({key: _key(F.col(f"`{source_col}`")), n: size, u: draw})
-    return (sized.select(*cols, mix.copies(F.col(key), F.col(n), F.col(u)).alias(copies)).filter(F.col(copies) > 0)
-            .select(*cols, F.explode(F.array_repeat(F.lit(0), F.col(copies))).alias(copy)).drop(copy))
+    (copy,) = fresh(docs, "copy")
+    # a lambda's argument is worked out once, however often the rate refers to it
+    about = F.array(F.struct(_key(F.col(f"`{source_col}`")).alias("key"), size.alias("size"), draw.alias("draw")))
+    copies = F.get(F.transform(about, lambda d: mix.copies(d["key"], d["size"], d["draw"])), F.lit(0))
+    return docs.select(*cols, F.explode(F.array_repeat(F.lit(0), copies)).alias(copy)).drop(copy)
 
 
 def fit(sized: DataFrame, weights=cyclic_weights, share: float = 1.5, max_copies: int = 2) -> Mixture:
