@@ -112,4 +112,51 @@ QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_exact_dedup, op3_secret_scan, op4_embedding_near_dedup, op5_sharding, op6_language_id,
     op7_mixing, op8_warc_fixity_audit, op9_url_filter, op10_vector_packing)}
 
-ORACLE_SQL: dict[str, str] = {}
+_UPPER, _LOWER = url_filter.UPPER, url_filter.LOWER
+_RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_dedup": r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
+FROM t WINDOW g AS (PARTITION BY norm)""",
+    "op4_embedding_near_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_sum(list_transform(embedding, lambda x: x * x)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(id, near) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.near = l.a)
+SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, min(near) AS component_id, id = min(near) AS kept
+FROM reach GROUP BY id""",
+    "op8_warc_fixity_audit": r"""
+WITH raw AS (SELECT page_id AS record_id, 'crawl-' || (page_id // 4096) || '.warc' AS file,
+  'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>'
+  || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
+  || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS payload FROM pages),
+a AS (SELECT record_id, file, CAST(coalesce(sum(strlen(payload)) OVER (PARTITION BY file ORDER BY record_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset", payload FROM raw),
+b AS (SELECT record_id, file, CASE WHEN record_id % 997 = 3 THEN "offset" + 1 ELSE "offset" END AS "offset",
+  CASE WHEN record_id % 211 = 5 THEN payload || '~' ELSE payload END AS payload FROM a WHERE record_id % 499 <> 7)
+SELECT coalesce(a.record_id, b.record_id) AS record_id, file, "offset", strlen(coalesce(a.payload, b.payload)) AS length,
+  sha256(coalesce(a.payload, b.payload)) AS digest,
+  CASE WHEN b.record_id IS NULL THEN 'missing' WHEN a.record_id IS NULL THEN 'added'
+       WHEN a.payload = b.payload THEN 'intact' ELSE 'corrupt' END AS status
+FROM a FULL JOIN b USING (file, "offset")""",
+    "op9_url_filter": f"""
+WITH r AS (SELECT *, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, url, regexp_extract(rest, '^[^/?#]*', 0) AS raw_host, rest FROM r),
+p AS (SELECT page_id, url, translate(raw_host, '{_UPPER}', '{_LOWER}') AS host,
+  regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*', 0) AS path FROM h),
+q AS (SELECT *, regexp_replace(regexp_replace(host, '^www\\.', ''), ':(80|443)$', '') AS site, split_part(url, '#', 1) AS bare FROM p),
+c AS (SELECT *, list_sort(list_filter(string_split(CASE WHEN instr(bare, '?') > 0 THEN substr(bare, instr(bare, '?') + 1) ELSE '' END, '&'),
+  lambda x: x <> '' AND NOT regexp_matches(x, '{url_filter.TRACKING}'))) AS params FROM q),
+k AS (SELECT *, CASE WHEN host <> '' THEN site || regexp_replace(path, '/+$', '')
+  || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canon FROM c),
+rules(verdict, h, path) AS (VALUES {_RULES}),
+fit AS (SELECT page_id, arg_max(rules.h || rules.path, length(rules.h || rules.path)) AS rule,
+  arg_max(rules.verdict, length(rules.h || rules.path)) AS verdict
+  FROM k JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(k.path, rules.path) GROUP BY page_id)
+SELECT k.page_id, host, path, rule, coalesce(verdict, CASE WHEN canon IN (SELECT canon FROM k WHERE page_id % 10 = 0 AND canon IS NOT NULL)
+  THEN 'block' ELSE 'allow' END) AS verdict
+FROM k LEFT JOIN fit USING (page_id)""",
+}
