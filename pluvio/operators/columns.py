@@ -74,13 +74,15 @@ def rename_by_table(df: DataFrame, rename_map: DataFrame, dataset: str | None =
                     old: str = "old_name", new: str = "new_name",
                     dataset_col: str = "dataset") -> DataFrame:
     """Rename from a mapping table (old, new[, dataset]). Rows with a blank old or
-    new name are dropped; the map is column metadata (one row per column), so it is
-    read to the driver."""
+    new name are dropped. Only the rows whose old name is a column of ``df`` are read,
+    so what reaches the driver is bounded by the schema, whatever the map's length; a
+    name mapped twice takes the smaller new name."""
     m = rename_map.filter(F.col(old).isNotNull() & F.col(new).isNotNull()
                           & (F.trim(F.col(old)) != "") & (F.trim(F.col(new)) != ""))
     if dataset is not None:
         m = m.filter(F.col(dataset_col) == dataset)
-    pairs = {r[0]: r[1] for r in m.select(old, new).limit(10_000).collect()}
+    own = m.filter(F.col(old).isin(df.columns)).groupBy(old).agg(F.min(new))
+    pairs = {r[0]: r[1] for r in own.collect()}
     return rename(df, pairs)
 
 
