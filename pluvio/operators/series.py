@@ -16,6 +16,8 @@ from pluvio.functions.dates import floor_minutes, ntz_literal
 from pluvio.operators.joins import scalar
 
 DAY = "date"
+# relative difference of two slot means that order of addition alone can make
+NOISE = 1e-12
 
 
 def _interval_minutes(minutes: int) -> Column:
@@ -51,8 +53,10 @@ def lag_in_series(df: DataFrame, keys, order: str, cols, prefix: str = "prev_")
     keys, cols = list(keys), list(cols)
     day = "_lag_day"
     x = df.withColumn(day, F.to_date(order))
-    packed = F.struct(F.col(order).alias("o"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
-    tails = x.groupBy(*keys, day).agg(F.max(packed).alias("_last"))
+    # values and times, no struct maximum: the aggregation stays a hash aggregation
+    last = x.groupBy(*keys, day).agg(F.max(order).alias("_o"), *[F.max_by(c, order).alias(f"_v{i}") for i, c in enumerate(cols)])
+    packed = F.struct(F.col("_o").alias("o"), *[F.col(f"_v{i}").alias(f"v{i}") for i in range(len(cols))])
+    tails = last.select(*keys, day, packed.alias("_last"))
     prev = tails.withColumn("_prev", F.lag("_last").over(Window.partitionBy(*keys).orderBy(day)))
     halo = (prev.filter(F.col("_prev").isNotNull())
             .select(*keys, day, F.col("_prev.o").alias(order),
@@ -87,9 +91,14 @@ def counter_diff(series: DataFrame, keys=("device",), order: str = "slot", value
     """Cumulative counter -> per-interval amount: value minus the previous existing
     row's value. A null on either side gives null. With ``clamp`` negative
     differences (counter resets) become 0; ``keep_raw`` names a column that keeps
-    the unclamped difference."""
+    the unclamped difference. Slot means are sums of doubles whose last digits depend
+    on the order of the readings, so a difference within NOISE of the values counts as
+    exactly 0: a flat counter has no rain and no reset."""
     d = lag_in_series(series, keys, order, [value], prefix="_prev_")
-    diff = F.col(value) - F.col(f"_prev_{value}")
+    before = F.col(f"_prev_{value}")
+    diff = F.col(value) - before
+    flat = F.abs(diff) <= NOISE * F.greatest(F.abs(F.col(value)), F.abs(before))
+    diff = F.when(flat, F.lit(0.0)).otherwise(diff)
     d = d.withColumn(out, diff)
     if keep_raw:
         d = d.withColumn(keep_raw, F.col(out))

@@ -23,6 +23,9 @@ from pluvio.sources.generated import calendar
 DEV = "device"
 
 
+UNKNOWN_DEVICE = "unknown"
+
+
 @dataclass(frozen=True)
 class GaugeRules:
     """Gauge rules. Defaults are the fixed values of the source pipeline: the three
@@ -36,6 +39,10 @@ class GaugeRules:
     rolling_width: int = 12
     flag_before_clamp: bool = False
 
+    def __post_init__(self):
+        if self.minutes < 1 or 1440 % self.minutes:
+            raise ValueError("slots must divide a day")
+
 
 @dataclass(frozen=True)
 class Period:
@@ -108,9 +115,18 @@ def slot_table(readings: DataFrame, rules: GaugeRules) -> DataFrame:
     masking, and the anomaly flag, from one aggregation of the readings."""
     cond = quality.anomaly_condition("ts", "value", rules.problem_dates, rules.low, rules.high)
     masked = r_if_else(cond, F.lit(None).cast("double"), F.col("value"))
-    flag = r_if_else(cond, F.lit(ANOMALY_TEXT), F.lit(None).cast("string"))
-    return series.slot_summary(readings, (DEV,), "ts", rules.minutes, {
-        "accumulated": F.avg("value"), "value": F.avg(masked), "anomaly": F.min(flag)})
+    # a reading without a device is a series of its own, in long and wide tables alike
+    named = readings.withColumn(DEV, F.coalesce(F.col(DEV), F.lit(UNKNOWN_DEVICE)))
+    # the flag is a number inside the aggregation, which so stays a hash aggregation
+    s = series.slot_summary(named, (DEV,), "ts", rules.minutes, {
+        "accumulated": F.avg("value"), "value": F.avg(masked), "anomaly": F.max(F.when(cond, 1))})
+    return s.withColumn("anomaly", F.when(F.col("anomaly") == 1, ANOMALY_TEXT))
+
+
+def rejected_readings(readings: DataFrame) -> DataFrame:
+    """One row: readings, and those that no slot can take because their time is null
+    (unparsable text). Published with the tables, so a wrong format shows."""
+    return readings.agg(F.count(F.lit(1)).alias("readings"), F.count_if(F.col("ts").isNull()).alias("without_time"))
 
 
 def gridded(inp: Inputs) -> DataFrame:
@@ -173,12 +189,13 @@ def chirps_daily(export: DataFrame, date_col="system_time_start", value="precipi
 
 def official_series(export: DataFrame, year: int, name: str = "official",
                     date_col="date", rain_col="rainfall_mm") -> DataFrame:
-    """Official daily rain text -> (row_id, date, rain_<name>, quality_<name>):
+    """Official daily rain text -> ([row_id,] date, rain_<name>, quality_<name>):
     repeated header rows and empty rows out, day/month order guessed, 'T' read as
     0.5 mm with a 'Trace' flag, other text as a number."""
     d, r = F.col(date_col), F.col(rain_col)
     x = export.filter(~F.coalesce(d.isin("Date"), F.lit(False)) & d.isNotNull() & r.isNotNull())
-    return x.select("row_id", F.col(date_col).alias("date_text"),
+    row_id = ["row_id"] if "row_id" in export.columns else []
+    return x.select(*row_id, F.col(date_col).alias("date_text"),
                     day_month_ambiguous(d, year).alias("date"),
                     F.when(r == "T", F.lit(0.5)).otherwise((r).try_cast("double")).alias(f"rain_{name}"),
                     F.when(r == "T", F.lit(TRACE_TEXT)).alias(f"quality_{name}"))
@@ -246,14 +263,14 @@ DAILY_DROPPED = ("sta_rain_rate", "stb_rain_rate")
 
 
 def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
-                measures=fx.INCIDENT_MEASURES, drop=DAILY_DROPPED) -> DataFrame:
+                measures=fx.INCIDENT_MEASURES, drop=DAILY_DROPPED, g: DataFrame | None = None) -> DataFrame:
     """The daily hydro-incident table on the reporting calendar: per-gauge daily
     rain and largest 3-hour sum, full-joined with the daily incident pivot, hazard
     totals, the official series with their flags, daily satellite rain (CHIRPS,
     6-hourly rate), the daily weather roll-up (without the stations' rain-rate
     columns) and (``with_flags``) the station period flags. Every source except the
     readings is optional."""
-    g = gridded(inp)
+    g = gridded(inp) if g is None else g
     d = series.daily_rain(rolled(g, inp.rules, inp.last_day()), (DEV,))
     full = daily_rain_wide(d, inp.device_list())
     if inp.incidents is not None:
@@ -309,7 +326,7 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, with_stations=True, with_in
 # --------------------------------------------------------------------------- coverage
 def bins(inp: Inputs, r: DataFrame | None = None) -> DataFrame:
     r = rolled(gridded(inp), inp.rules, inp.last_day()) if r is None else r
-    return coverage.bin_availability(r, (DEV,), "slot", "interval", 480)
+    return coverage.bin_availability(r, (DEV,), "slot", "interval", 480, first=inp.first_slot())
 
 
 def gauge_ingest(exports) -> DataFrame:

@@ -81,3 +81,37 @@ def test_dense_grid_lag_equals_general_lag(spark):
     a = rows(series.lag_on_grid(df, ["device"], "slot", ["value"], 15), "device", "slot", "prev_value")
     b = rows(series.lag_in_series(df, ["device"], "slot", ["value"]), "device", "slot", "prev_value")
     assert a == b
+
+
+def test_flat_counter_has_no_rain_and_no_reset(spark):
+    """The same readings in another order give no difference, and no flag."""
+    from pluvio.operators import series
+    vals = [0.1, 0.2, 0.3]
+    rows_ = [("g", dt.datetime(2020, 1, 1, 0, 15 * s, i), v) for s, order in enumerate((vals, vals[::-1], [0.3, 0.1, 0.2]))
+             for i, v in enumerate(order)]
+    df = spark.createDataFrame(rows_, "device string, ts timestamp_ntz, value double").coalesce(1)
+    d = series.counter_diff(series.bucket_mean(df), clamp=False)
+    assert [r["interval"] for r in d.orderBy("slot").collect()] == [None, 0.0, 0.0]
+
+
+def test_slot_table_is_a_hash_aggregation_and_names_null_devices(spark):
+    import pytest
+
+    from pluvio.plans import pipelines as pl
+    df = spark.createDataFrame([(None, dt.datetime(2020, 1, 1), 5.0), ("a", dt.datetime(2020, 1, 1), 6.0), ("a", None, 7.0)],
+                               "device string, ts timestamp_ntz, value double")
+    t = pl.slot_table(df, pl.GaugeRules())
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert sorted(r["device"] for r in t.collect()) == ["a", "unknown"]
+    assert tuple(pl.rejected_readings(df).first()) == (3, 1)
+    with pytest.raises(ValueError):
+        pl.GaugeRules(minutes=7)
+
+
+def test_coverage_of_two_years(spark):
+    from pluvio.operators import coverage
+    days = [dt.date(2020 + y, 1, 1) + dt.timedelta(i) for y in range(2) for i in range(31)]
+    bins = spark.createDataFrame([(d, "g", "yes", b) for d in days for b in range(3)], "date date, device string, available string, b int")
+    got = coverage.month_coverage(bins).orderBy("year").collect()
+    assert [(r["year"], r["count"], r["percent"]) for r in got] == [(2020, 31, 100.0), (2021, 31, 100.0)]
