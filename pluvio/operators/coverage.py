@@ -10,18 +10,21 @@ from pluvio.operators.running import running_sum
 
 def monthly_day_count(daily_long: DataFrame, keys=("device",), date: str = "date",
                       value: str = "rain") -> DataFrame:
-    """Days with a known daily value per (month, key)."""
+    """Days with a known daily value per (year, month, key)."""
     x = daily_long.filter(F.col(value).isNotNull())
-    return x.groupBy(F.month(date).alias("month_num"), month_label(date).alias("month"), *keys).agg(
-        F.count(F.lit(1)).alias("day_count"))
+    return x.groupBy(F.year(date).alias("year"), F.month(date).alias("month_num"), month_label(date).alias("month"),
+                     *keys).agg(F.count(F.lit(1)).alias("day_count"))
 
 
 def bin_availability(grid: DataFrame, keys=("device",), order: str = "slot", value: str = "interval",
-                     minutes: int = 480) -> DataFrame:
+                     minutes: int = 480, first=None) -> DataFrame:
     """Count of known values per (bin, day, key). Bins are ``minutes`` long and
-    anchored at the table's first timestamp cut to the minute; a bin that crosses
-    midnight is split by the day."""
-    anchor = grid.agg(F.min(order).alias("_m")).select(floor_minutes("_m", 1)).scalar()
+    anchored at the table's first timestamp (``first`` if it is known already) cut to
+    the minute; a bin that crosses midnight is split by the day."""
+    if first is None:
+        anchor = grid.agg(F.min(order).alias("_m")).select(floor_minutes("_m", 1)).scalar()
+    else:
+        anchor = floor_minutes(first, 1)
     return (grid.groupBy(anchored_bin(order, anchor, minutes).alias("bin_start"),
                          F.to_date(order).alias("date"), *keys)
             .agg(F.count(value).alias("count"))
@@ -35,9 +38,9 @@ def usable_days(bins: DataFrame, keys=("device",), min_bins: int = 1) -> DataFra
 
 
 def month_coverage(bins: DataFrame, keys=("device",), min_bins: int = 1) -> DataFrame:
-    """Usable days per (key, month) and their percent of the month's calendar days."""
+    """Usable days per (key, year, month) and their percent of the month's calendar days."""
     u = usable_days(bins, keys, min_bins)
-    m = u.groupBy(*keys, F.month("date").alias("month_num"), month_label("date").alias("month")).agg(
+    m = u.groupBy(*keys, F.year("date").alias("year"), F.month("date").alias("month_num"), month_label("date").alias("month")).agg(
         F.sum("useable").cast("bigint").alias("count"),
         F.max(days_in_month("date")).alias("number_of_days"))
     return m.withColumn("percent", F.col("count") / F.col("number_of_days") * 100)

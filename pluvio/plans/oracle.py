@@ -336,16 +336,16 @@ bins AS (SELECT (SELECT a FROM anchor) + to_seconds(CAST(floor(epoch(slot - (SEL
 S["bin_availability"] = W(_BINS, "SELECT bin_start, date, device, count, CASE WHEN count > 0 THEN 'yes' ELSE 'no' END AS available FROM bins")
 S["month_coverage"] = W(_BINS + """,
 ud AS (SELECT date, device, CASE WHEN count(*) FILTER (WHERE count > 0) > 1 THEN 1 ELSE 0 END AS useable FROM bins GROUP BY 1, 2)""",
-                        """SELECT device, CAST(month(date) AS INTEGER) AS month_num, strftime(min(date), '%b') AS month,
+                        """SELECT device, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month_num, strftime(min(date), '%b') AS month,
   CAST(sum(useable) AS BIGINT) AS count, CAST(max(day(last_day(date))) AS INTEGER) AS number_of_days,
   round(sum(useable) / max(day(last_day(date))) * 100, 4) AS percent
-FROM ud GROUP BY 1, 2""")
+FROM ud GROUP BY 1, 2, 3""")
 S["device_completeness"] = W(_BINS + """,
 dc AS (SELECT device, date, sum(count) AS count FROM bins GROUP BY 1, 2)""",
                              """SELECT device, CAST(count(*) * 96 AS BIGINT) AS total_data, CAST(sum(count) AS BIGINT) AS available_data,
   round(sum(count) / (count(*) * 96) * 100, 4) AS percent FROM dc GROUP BY 1""")
-S["monthly_day_count"] = W(GRIDDED, """SELECT CAST(month(date) AS INTEGER) AS month_num, strftime(min(date), '%b') AS month, device,
-  count(*) AS day_count FROM daily WHERE interval IS NOT NULL GROUP BY 1, device""")
+S["monthly_day_count"] = W(GRIDDED, """SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month_num, strftime(min(date), '%b') AS month, device,
+  count(*) AS day_count FROM daily WHERE interval IS NOT NULL GROUP BY 1, 2, device""")
 S["frequency_table"] = W(GRIDDED + """,
 cnt AS (SELECT device, round(interval, 4) AS item, count(*) AS count FROM g WHERE interval IS NOT NULL GROUP BY 1, 2),
 ft AS (SELECT *, sum(count) OVER (PARTITION BY device) AS total,
