@@ -1,17 +1,16 @@
 """Points against polygons: count of containing polygons, spatial left join
 (fanning out where polygons overlap) and reported-vs-located consistency.
 
-Polygons stay a vertex table; nothing is gathered per polygon. Edges come from a
-self-join of the vertices (each vertex with the next one by ``seq``, the last with
-the first). Each edge is exploded over the horizontal bands its y-range spans;
+Polygons stay a vertex table; nothing is gathered per polygon. Edges pair
+each vertex with the next one of its ring by ``seq``, the last with the first. Each edge is exploded over the horizontal bands its y-range spans;
 each point carries its band. An equi-join on the band pairs a point only with the
 edges that can cross the horizontal ray to its right, and the even-odd rule is a
-count of crossings per (point, polygon). The edge-band table is broadcast only
+count of crossings per (position, polygon). The edge-band table is broadcast only
 when its row count is proven small; otherwise it is a shuffled join and AQE splits
 a hot band."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio.operators.joins import broadcast_if_small
@@ -22,17 +21,19 @@ BAND = 0.1
 
 
 def polygon_edges(vertices: DataFrame, name: str = "name", seq: str = "seq",
-                  x: str = "x", y: str = "y") -> DataFrame:
-    """Vertex table (name, seq 0..n-1 or any contiguous run, x, y) -> edges
-    (name, ax, ay, bx, by), closing each ring from its last vertex to its first."""
-    v = vertices.select(F.col(name).alias("name"), F.col(seq).alias("seq"),
-                        F.col(x).alias("x"), F.col(y).alias("y"))
-    ends = v.groupBy("name").agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
-    a = v.join(ends, "name").withColumn(
-        "next", F.when(F.col("seq") == F.col("last"), F.col("first")).otherwise(F.col("seq") + 1))
-    b = v.select("name", F.col("seq").alias("next"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    return a.join(b, ["name", "next"]).select("name", F.col("x").alias("ax"), F.col("y").alias("ay"),
-                                             "bx", "by")
+                  x: str = "x", y: str = "y", ring: str = "ring_id") -> DataFrame:
+    """Vertex table (name, [ring_id,] seq, x, y) -> edges (name, ax, ay, bx, by),
+    closing each ring from its last vertex to its first. ``seq`` only orders the
+    vertices of a ring (gaps are fine). A polygon may have several rings (islands and
+    holes): the even-odd rule counts the crossings of all of them."""
+    ring_id = F.col(ring) if ring in vertices.columns else F.lit(0)
+    v = vertices.select(F.col(name).alias("name"), ring_id.alias("ring_id"), F.col(seq).alias("seq"),
+                        F.struct(F.col(x).alias("x"), F.col(y).alias("y")).alias("p"))
+    order = Window.partitionBy("name", "ring_id").orderBy("seq")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    n = v.withColumn("q", F.coalesce(F.lead("p").over(order), F.first("p").over(whole)))
+    return n.select("name", F.col("p.x").alias("ax"), F.col("p.y").alias("ay"), F.col("q.x").alias("bx"),
+                    F.col("q.y").alias("by"))
 
 
 def edge_bands(edges: DataFrame, band: float = BAND) -> DataFrame:
@@ -43,20 +44,20 @@ def edge_bands(edges: DataFrame, band: float = BAND) -> DataFrame:
     return e.withColumn("_band", F.explode(F.sequence(F.floor(lo / band), F.floor(hi / band))))
 
 
-def crossings(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str = "y",
+def crossings(points: DataFrame, edges: DataFrame, x: str = "x", y: str = "y",
               band: float = BAND) -> DataFrame:
-    """(key, name) for every polygon whose boundary the ray from the point towards
-    +x crosses an odd number of times, i.e. that contains the point."""
+    """(_x, _y, name) for every polygon whose boundary the ray from the position towards
+    +x crosses an odd number of times, i.e. that contains it. Positions are distinct, so
+    points that share a key or a place don't add to each other's count."""
     eb = broadcast_if_small(edge_bands(edges, band))
-    pts = points.select(F.col(key).alias("_key"), F.col(x).alias("_x"), F.col(y).alias("_y"),
-                        F.floor(F.col(y) / band).alias("_band")).filter(
-        F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    pts = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).filter(
+        F.col("_x").isNotNull() & F.col("_y").isNotNull()).distinct().withColumn("_band", F.floor(F.col("_y") / band))
     px, py = pts["_x"], pts["_y"]
     straddles = (eb["ay"] > py) != (eb["by"] > py)
     right = px < (eb["bx"] - eb["ax"]) * (py - eb["ay"]) / (eb["by"] - eb["ay"]) + eb["ax"]
     j = pts.join(eb, (pts["_band"] == eb["_band"]) & straddles & right, "inner")
-    c = j.groupBy("_key", eb["name"]).agg(F.count(F.lit(1)).alias("_n"))
-    return c.filter(F.col("_n") % 2 == 1).select(F.col("_key").alias(key), "name")
+    c = j.groupBy("_x", "_y", eb["name"]).agg(F.count(F.lit(1)).alias("_n"))
+    return c.filter(F.col("_n") % 2 == 1).select("_x", "_y", "name")
 
 
 def locate(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str = "y",
@@ -64,16 +65,16 @@ def locate(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str =
     """Each point joined to every polygon containing it (one row per polygon, or
     one row with a null name when inside none). Points with a null coordinate
     match nothing."""
-    inside = crossings(points, edges, key, x, y, band).withColumnRenamed("name", out)
-    return points.join(inside, on=key, how="left")
+    inside = crossings(points, edges, x, y, band).withColumnRenamed("name", out)
+    return points.join(inside, (points[x] == inside["_x"]) & (points[y] == inside["_y"]), "left").drop("_x", "_y")
 
 
 def count_within(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str = "y",
                  band: float = BAND) -> DataFrame:
-    """Per point: number of polygons containing it and inside/outside status."""
-    inside = crossings(points, edges, key, x, y, band)
-    c = points.select(key).join(inside, on=key, how="left").groupBy(key).agg(
-        F.count("name").alias("n_within"))
+    """Per row of ``points``: number of polygons containing it and inside/outside status."""
+    n = crossings(points, edges, x, y, band).groupBy("_x", "_y").agg(F.count("name").alias("_n"))
+    c = points.join(n, (points[x] == n["_x"]) & (points[y] == n["_y"]), "left").select(
+        points[key], F.coalesce("_n", F.lit(0)).cast("bigint").alias("n_within"))
     return c.withColumn("location_status", F.when(F.col("n_within") == 0, OUTSIDE).otherwise(INSIDE))
 
 

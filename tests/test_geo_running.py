@@ -83,3 +83,16 @@ def test_running_sum_hot_group(spark):
     w = Window.partitionBy("g").orderBy(F.col("c").desc(), F.col("item").asc()).rowsBetween(Window.unboundedPreceding, 0)
     ref = df.withColumn("cum", F.sum("c").over(w))
     assert rows(got, "g", "item", "cum") == rows(ref, "g", "item", "cum")
+
+
+def test_rings_holes_gaps_and_repeated_keys(spark):
+    ring = lambda name, r, seqs, pts: [(name, r, s, float(x), float(y)) for s, (x, y) in zip(seqs, pts)]
+    box = lambda a, b: [(a, a), (b, a), (b, b), (a, b)]
+    v = ring("A", 0, (0, 1, 2, 3), box(0, 4)) + ring("A", 1, (0, 1, 2, 3), box(1, 2)) + ring("A", 2, (5, 9, 12, 40), box(10, 12))
+    e = geo.polygon_edges(spark.createDataFrame(v, "name string, ring_id int, seq int, x double, y double"))
+    assert e.count() == 12
+    pts = [(1, 0.5, 0.55), (1, 0.5, 0.55), (2, 1.5, 1.55), (3, 11.0, 11.05), (4, 7.0, 3.05), (1, 7.0, 3.05), (5, None, 1.0)]
+    p = spark.createDataFrame(pts, "point_id int, x double, y double")
+    got = rows(geo.locate(p, e, "point_id"), "point_id", "polygon_name")
+    assert got == sorted([(1, "A"), (1, "A"), (2, None), (3, "A"), (4, None), (1, None), (5, None)], key=repr)
+    assert rows(geo.count_within(p, e, "point_id"), "point_id", "n_within") == [(1, 0), (1, 1), (1, 1), (2, 0), (3, 1), (4, 0), (5, 0)]
