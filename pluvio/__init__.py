@@ -7,6 +7,5 @@ Sub-packages:
   sources    readers for delimited / tab files, generated grids and calendars
   sinks      table publication (parquet, csv, display formats)
   plans      stand-in inputs from the driver tables, pipelines, the query catalogue
-  streaming  incremental ingest of gauge files with Structured Streaming
 """
 __version__ = "0.1.0"
