@@ -10,6 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pluvio.functions.nulls import null_tokens
 
@@ -38,9 +39,12 @@ def normalize_names(names) -> list[str]:
 
 
 def read_delimited(spark: SparkSession, path, nulls=DEFAULT_NULLS, sep: str = ",",
-                   header: bool = True, normalize: bool = True) -> DataFrame:
-    """Delimited text, every column as text, cells equal to one of ``nulls`` -> null."""
+                   header: bool = True, normalize: bool = True, multi_line: bool = True) -> DataFrame:
+    """Delimited text, every column as text, cells equal to one of ``nulls`` -> null.
+    Quoted cells may hold separators, doubled quotes and line breaks; a file is then one
+    scan split. ``multi_line=False`` splits large files whose cells hold no line break."""
     df = (spark.read.option("header", header).option("sep", sep).option("inferSchema", False)
+          .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
           .option("nullValue", None).csv(path))
     names = normalize_names(df.columns) if normalize else df.columns
     return df.select(*[null_tokens(F.col(f"`{c}`"), nulls).alias(n) for c, n in zip(df.columns, names)])
@@ -85,8 +89,9 @@ def read_two_line_header(spark: SparkSession, path: str, sep: str = "\t",
     f1 += [""] * (width - len(f1))
     f2 += [""] * (width - len(f2))
     names = normalize_names([f"{a}.{b}" for a, b in zip(f1, f2)])
-    raw = spark.read.option("header", False).option("sep", sep).option("inferSchema", False).csv(path)
-    raw = raw.toDF(*names[:len(raw.columns)])
+    # the width is that of the wider header line, not of the first
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    raw = spark.read.option("header", False).option("sep", sep).schema(schema).csv(path)
     line = F.concat_ws(sep, *[F.coalesce(F.col(c), F.lit("")) for c in raw.columns])
     headers = [sep.join(f[:len(raw.columns)]) for f in (f1, f2)]
     return raw.filter(~line.isin(headers)).select(*[null_tokens(c, nulls).alias(c) for c in raw.columns])
@@ -97,8 +102,11 @@ def read_mapping(spark: SparkSession, path: str, nulls=DEFAULT_NULLS) -> DataFra
     return read_delimited(spark, path, nulls)
 
 
-def read_vertices(spark: SparkSession, path: str, name="name", seq="seq", x="x", y="y") -> DataFrame:
-    """Polygon vertex table (name, seq, x, y) as text -> typed."""
+def read_vertices(spark: SparkSession, path: str, name="name", seq="seq", x="x", y="y",
+                  ring_id="ring_id") -> DataFrame:
+    """Polygon vertex table (name, ring_id, seq, x, y) as text -> typed; without a ring
+    column each polygon has one ring."""
     t = read_delimited(spark, path)
-    return t.select(F.col(name).alias("name"), F.col(seq).try_cast("int").alias("seq"),
+    ring = F.col(ring_id).try_cast("int") if ring_id in t.columns else F.lit(0)
+    return t.select(F.col(name).alias("name"), ring.alias("ring_id"), F.col(seq).try_cast("int").alias("seq"),
                     F.col(x).try_cast("double").alias("x"), F.col(y).try_cast("double").alias("y"))

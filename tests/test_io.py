@@ -4,7 +4,6 @@ import os
 
 from pluvio.sinks import writers
 from pluvio.sources import readers
-from pluvio.streaming import ingest
 from tests.conftest import rows
 
 
@@ -49,23 +48,6 @@ def test_publish_and_csv(spark, tmpdir_path):
     assert txt["date"] == "02/01/2024" and txt["ts"] == "02/01/2024 03:04"
 
 
-def test_streaming_slot_means(spark, tmpdir_path):
-    src = os.path.join(tmpdir_path, "in")
-    os.makedirs(src)
-    _write(os.path.join(src, "f1.csv"), "time,device_name,value\n2020-01-01 00:01:00,g,1\n2020-01-01 00:14:00,g,3\n"
-                                        "2020-01-01 05:00:00,g,9\n")
-    q = (ingest.slot_means(ingest.gauge_stream(spark, src)).writeStream.format("memory")
-         .queryName("slot_means_test").outputMode("append").start())
-    try:
-        q.processAllAvailable()
-        _write(os.path.join(src, "f2.csv"), "time,device_name,value\n2020-01-01 09:00:00,g,5\n")
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    got = spark.sql("select value, n from slot_means_test").collect()
-    assert (2.0, 2) in [(r[0], r[1]) for r in got]
-
-
 def test_publish_job_writes_all_tables(spark, tmpdir_path):
     from pluvio.plans import publish
     tables = publish.build(spark, "/root/testdata/sf0.001")
@@ -85,21 +67,6 @@ def test_optional_sources(spark):
     assert "quality_sta" not in h.columns and h.count() > 0
 
 
-def test_streaming_file_sink_resumes(spark, tmpdir_path):
-    src, out, ck = (os.path.join(tmpdir_path, n) for n in ("in", "out", "ck"))
-    os.makedirs(src)
-    _write(os.path.join(src, "f1.csv"), "time,device_name,value\n2020-01-01 00:01:00,g,1\n2020-01-01 00:02:00,g,3\n")
-    q = ingest.start_slot_means(spark, src, out, ck, delay="10 minutes", trigger="1 second")
-    q.processAllAvailable()
-    q.stop()
-    _write(os.path.join(src, "f2.csv"), "time,device_name,value\n2020-01-01 02:00:00,g,8\n")
-    q = ingest.start_slot_means(spark, src, out, ck, delay="10 minutes", trigger="1 second")   # restart
-    q.processAllAvailable()
-    q.stop()
-    got = [(r["value"], r["n"]) for r in spark.read.parquet(out).collect()]
-    assert got == [(2.0, 2)]           # the first slot is final once the watermark passed it, written once
-
-
 def test_reference_defaults():
     from pluvio.plans import pipelines as pl
     r, p = pl.GaugeRules(), pl.Period()
@@ -133,11 +100,39 @@ def test_flagship_with_official_and_chirps(spark):
     chirps = spark.createDataFrame([("2024-01-02", 3.456), ("2024-01-04", None)],
                                    "system_time_start string, precipitation double")
     inp = pl.Inputs(readings=fx.readings(spark, "/root/testdata/sf0.001"), rules=pl.FIXTURE_RULES,
-                    period=per, official={"cox": off}, chirps=chirps)
+                    period=per, official={"gauge_house": off}, chirps=chirps)
     t = {r["date"]: r for r in pl.hydro_daily(spark, inp).collect()}
     assert len(t) == 10
-    assert t[dt.date(2024, 1, 1)]["quality_cox"] == "-"               # before the first reported day
-    assert (t[dt.date(2024, 1, 5)]["rain_cox"], t[dt.date(2024, 1, 5)]["quality_cox"]) == (12.5, None)
-    assert (t[dt.date(2024, 1, 7)]["rain_cox"], t[dt.date(2024, 1, 7)]["quality_cox"]) == (0.5, "Trace")
-    assert t[dt.date(2024, 1, 8)]["quality_cox"] == "Missing data"
+    assert t[dt.date(2024, 1, 1)]["quality_gauge_house"] == "-"               # before the first reported day
+    assert (t[dt.date(2024, 1, 5)]["rain_gauge_house"], t[dt.date(2024, 1, 5)]["quality_gauge_house"]) == (12.5, None)
+    assert (t[dt.date(2024, 1, 7)]["rain_gauge_house"], t[dt.date(2024, 1, 7)]["quality_gauge_house"]) == (0.5, "Trace")
+    assert t[dt.date(2024, 1, 8)]["quality_gauge_house"] == "Missing data"
     assert t[dt.date(2024, 1, 2)]["rain_chirps"] == 3.46 and t[dt.date(2024, 1, 4)]["rain_chirps"] is None
+
+
+def test_quoted_line_breaks_and_quotes(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "i.csv")
+    _write(p, 'UID,Comment,Type\n1,"two\nlines, and ""quotes""",Flood\n2,plain,Fire\n')
+    got = rows(readers.read_delimited(spark, p), "uid", "comment", "type")
+    assert got == [("1", 'two\nlines, and "quotes"', "Flood"), ("2", "plain", "Fire")]
+
+
+def test_two_line_header_with_a_shorter_first_line(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "s.txt")
+    _write(p, "\t\tHi\nDate\tTime\tTemp\tRain\tBar\n1/6/20\t1:00 a\t30\t0.2\t1001\n")
+    df = readers.read_two_line_header(spark, p)
+    assert len(df.columns) == 5 and df.columns[-2:] == ["rain", "bar"]
+    assert rows(df, *df.columns) == [("1/6/20", "1:00 a", "30", "0.2", "1001")]
+
+
+def test_long_rename_map(spark):
+    from pluvio.operators import columns
+    m = spark.range(10_050).selectExpr("concat('c', id) AS old_name", "concat('n', id) AS new_name")
+    df = spark.createDataFrame([(1, 2, 3)], "c3 int, c10049 int, other int")
+    assert columns.rename_by_table(df, m).columns == ["n3", "n10049", "other"]
+
+
+def test_official_series_without_row_ids(spark):
+    from pluvio.plans import pipelines as pl
+    off = spark.createDataFrame([("01/05/2024", "1.5")], "date string, rainfall_mm string")
+    assert pl.official_series(off, 2024).columns == ["date_text", "date", "rain_official", "quality_official"]
