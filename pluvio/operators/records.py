@@ -14,8 +14,15 @@ from pluvio.operators.reshape import pivot
 # published record table (the trailing space of 'Lightning ' is part of the value)
 HAZARDS = ("Flood", "Slope-failure", "Wind-Storm")
 PUBLISHED_EXTRA_TYPES = ("Fire", "Infrastructure", "Lightning ")
-# fixed values: column-name rewrite rules of the published record table
-RECORD_NAME_RULES = ((r"\.", "_"), ("__", "_"))
+# fixed values: column-name rewrite rules of the published record table, and the
+# columns and column prefixes it leaves out
+RECORD_NAME_RULES = ((r"\.", "_"), ("__", "_"), ("_other_", "_other"), ("_ind_", "_ind"),
+                     ("problems_require_intervention_", "problems_require_intervention"),
+                     ("protection_concern_", "protection_concern"),
+                     ("can_needs_be_managed_in_the_site_", "can_needs_be_managed_in_the_site"))
+RECORD_DROPPED_PREFIXES = ("gps", "required_response_", "response_delivered", "displacement_refuge", "traffic")
+RECORD_DROPPED = ("organization", "type_of_incident_other", "location_access", "problems_require_intervention",
+                  "protection_concern", "can_needs_be_managed_in_the_site", "additional_comments")
 
 
 def parse_incident_dates(df: DataFrame, incident: str = "date_of_incident",
@@ -63,7 +70,7 @@ def hazard_totals(df: DataFrame, measures, hazards=HAZARDS, sep: str = "_",
 def clean_records(df: DataFrame, hazards=HAZARDS, extra_types=PUBLISHED_EXTRA_TYPES,
                   kind: str = "type_of_incident", date: str = "date_of_incident",
                   drop=("incident_picture", "uid", "time_of_submission"),
-                  drop_prefixes=("gps",), drop_after=("organization",),
+                  drop_prefixes=RECORD_DROPPED_PREFIXES, drop_after=RECORD_DROPPED,
                   name_rules=RECORD_NAME_RULES) -> DataFrame:
     """The published record table: confirmed incidents of the published types,
     numeric nulls as 0, bookkeeping and coordinate columns removed, names

@@ -90,3 +90,12 @@ def test_date_fallback_and_clean(spark):
     c = records.clean_records(p)
     assert c.columns == ["date_of_incident", "type_of_incident", "hh"]
     assert rows(c) == [(dt.date(2024, 1, 3), "Lightning ", 0.0)]
+
+
+def test_published_records_leave_out_all_listed_columns(spark):
+    from pluvio.operators import records
+    df = spark.createDataFrame([("Yes", "Flood", "2020-06-01", 1, "x", "x", "x", "x", "x", 2)],
+                               "incident string, type_of_incident string, date_of_incident string, hh int, location_access string, "
+                               "traffic_x string, required_response_wash string, additional_comments string, "
+                               "protection_concern_ string, shelter_other_ int")
+    assert records.clean_records(df).columns == ["date_of_incident", "type_of_incident", "hh", "shelter_other"]
