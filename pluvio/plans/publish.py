@@ -14,24 +14,27 @@ from pyspark.sql import functions as F
 from pluvio.operators import coverage, geo
 from pluvio.plans import fixtures as fx
 from pluvio.plans import pipelines as pl
-from pluvio.session import CLUSTER_CONF, get_session
+from pluvio.session import CLUSTER_CONF, get_session, pin
 from pluvio.sinks import writers
 
 
 def build(spark, sf_dir: str) -> dict:
     inp = pl.fixture_inputs(spark, sf_dir)
-    daily = pl.hydro_daily(spark, inp, with_flags=True)
+    g = pin(pl.gridded(inp))  # one grid for all tables made from it
+    rolled = pl.rolled(g, inp.rules, inp.last_day())
+    daily = pl.hydro_daily(spark, inp, with_flags=True, g=g)
     polys = geo.polygon_edges(fx.polygon_vertices(spark, sf_dir))
-    bins = pl.bins(inp)
+    bins = pl.bins(inp, rolled)
     return {
         "hydro_incident_daily": writers.with_month(daily.drop("quality_sta", "quality_stb")),
-        "weather_hourly": pl.hourly_table(inp),
-        "gauges_subhourly": pl.subhourly(inp),
+        "weather_hourly": pl.hourly_table(inp, rolled),
+        "gauges_subhourly": pl.subhourly(inp, g),
         "incident_records": pl.records.clean_records(inp.incidents),
         "device_completeness": coverage.device_completeness(bins),
         "month_coverage": coverage.month_coverage(bins),
         "incident_gps_check": pl.geo_check(fx.points(spark, sf_dir), polys, fx.camp_name_map(spark, sf_dir)),
-        "frequency": coverage.frequency_table(pl.gridded(inp), ("device",), "interval", 4),
+        "reading_counts": pl.rejected_readings(inp.readings),
+        "frequency": coverage.frequency_table(g, ("device",), "interval"),
     }
 
 
