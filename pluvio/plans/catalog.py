@@ -19,7 +19,7 @@ from pluvio.operators.joins import left_join_as
 from pluvio.plans import fixtures as fx
 from pluvio.plans import pipelines as pl
 from pluvio.session import pin
-from pluvio.sources.generated import calendar
+from pluvio.sources.generated import calendar, calendar_over
 
 DEV = "device"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,6 +136,32 @@ def q_split_by_null(spark, d):
     return p.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _with_missing(spark, d):
+    p = fx.points(spark, d)
+    return p.withColumns({"x": F.when(F.col("point_id") % 23 == 0, None).otherwise(F.col("x")),
+                          "y": F.when(F.col("point_id") % 19 == 0, None).otherwise(F.col("y"))})
+
+
+@query
+def q_points_without_coordinate(spark, d):
+    """Side table of the points whose x is missing."""
+    return _with_missing(spark, d).filter(F.col("x").isNull()).select("point_id", F.round("y", 4).alias("y"))
+
+
+@query
+def q_points_with_coordinate(spark, d):
+    """The points that have both coordinates."""
+    p = _with_missing(spark, d).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    return p.select("point_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+@query
+def q_flagged_slots(spark, d):
+    """Side table of the slots that carry an anomaly flag."""
+    inp = _inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False)
+    return quality.flagged_rows(inp.slots().withColumnRenamed("anomaly", "quality"), (DEV,))
+
+
 @query
 def q_merge_periods(spark, d):
     """Older extract (orders) cut before 1998 plus the newer one (line items) whole."""
@@ -163,10 +189,11 @@ def q_cutoff_by_other(spark, d):
 
 @query
 def q_calendar_spine(spark, d):
-    """Every day of 1995 with its order count and value (null when none)."""
+    """Every day between the first and the last order, with order count and value (null
+    when none)."""
     o = T(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(
         F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total_price"))
-    return calendar(spark, "1995-01-01", "1995-12-31").join(o, on="date", how="left")
+    return calendar_over(o, "date").join(o, on="date", how="left")
 
 
 @query

@@ -224,8 +224,8 @@ S["drop_last_day"] = W(READINGS, f"""SELECT device, ts, {r4('value', 'value')} F
 WHERE ts < (SELECT max(CAST(ts AS DATE)) FROM readings)""")
 S["cutoff_by_other"] = """SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem
 WHERE l_shipdate <= (SELECT max(o_orderdate) FROM orders)"""
-S["calendar_spine"] = f"""WITH cal AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '1995-12-31', INTERVAL 1 DAY)) AS DATE) AS date),
-o AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n_orders, sum(o_totalprice) AS total_price FROM orders GROUP BY 1)
+S["calendar_spine"] = f"""WITH o AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n_orders, sum(o_totalprice) AS total_price FROM orders GROUP BY 1),
+cal AS (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM o)
 SELECT cal.date, n_orders, {r4('total_price', 'total_price')} FROM cal LEFT JOIN o USING (date)"""
 S["full_outer_daily"] = """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n_orders FROM orders GROUP BY 1),
 s AS (SELECT CAST(l_shipdate AS DATE) AS date, count(*) AS n_shipments FROM lineitem GROUP BY 1)
@@ -400,4 +400,11 @@ S["subhourly"] = W(_SUB, "SELECT slot AS date_time, " + ", ".join(
     + f"max(quality) FILTER (WHERE device = '{d}') AS quality_{d}, "
     + r4(f"max(interval) FILTER (WHERE device = '{d}')", f"rain_{d}") for d in DEVICES) + " FROM sub GROUP BY 1")
 
+# ---------------------------------------------------------------- side tables
+_NO_X = GEO + """,
+pm AS (SELECT point_id, CASE WHEN point_id % 23 = 0 THEN NULL ELSE x END AS x, CASE WHEN point_id % 19 = 0 THEN NULL ELSE y END AS y FROM pts)"""
+S["points_without_coordinate"] = W(_NO_X, f"SELECT point_id, {r4('y', 'y')} FROM pm WHERE x IS NULL")
+S["points_with_coordinate"] = W(_NO_X, f"SELECT point_id, {r4('x', 'x')}, {r4('y', 'y')} FROM pm WHERE x IS NOT NULL AND y IS NOT NULL")
+S["flagged_slots"] = W(GRIDDED, "SELECT device, slot, anomaly AS quality FROM slots WHERE anomaly IS NOT NULL")
+
 ORACLE_SQL = dict(S)
