@@ -14,6 +14,13 @@ from pluvio.operators.reshape import pivot
 # published record table (the trailing space of 'Lightning ' is part of the value)
 HAZARDS = ("Flood", "Slope-failure", "Wind-Storm")
 PUBLISHED_EXTRA_TYPES = ("Fire", "Infrastructure", "Lightning ")
+# fixed values: the numeric measures of an incident record, and those of them that the
+# daily table publishes (with a total over the hazards)
+MEASURES = ("number_of_incidents", "affected_hhs", "affected_individuals", "casualties_ind", "missing_ind",
+            "injured_ind", "displaced_hh", "displaced_ind", "partially_damaged_shelters",
+            "totally_damaged_shelters", "damaged_waterpoints", "damaged_latrines", "damaged_health_facilities",
+            "damaged_food_distribution_site")
+PUBLISHED_MEASURES = tuple(m for m in MEASURES if m not in ("casualties_ind", "missing_ind", "injured_ind"))
 # fixed values: column-name rewrite rules of the published record table, and the
 # columns and column prefixes it leaves out
 RECORD_NAME_RULES = ((r"\.", "_"), ("__", "_"), ("_other_", "_other"), ("_ind_", "_ind"),

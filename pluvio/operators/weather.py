@@ -12,11 +12,16 @@ from pluvio.operators.quality import station_flag
 
 # fixed values: sentinel texts the stations write for "no value"
 STATION_SENTINELS = ("---", "------")
+# fixed values: the fields both stations report, those only the second one has, and text fields
+STATION_FIELDS = ("temp_out", "hi_temp", "low_temp", "wind_speed", "wind_dir", "hi_speed", "hi_dir", "bar",
+                  "rain", "rain_rate")
+SECOND_STATION_FIELDS = (*STATION_FIELDS, "hi_solar_rad", "uv_index")
+STATION_TEXT = ("wind_dir", "hi_dir")
 
 
 def parse_station(raw: DataFrame, measures: dict[str, str], prefix: str,
                   date_col: str = "x_date", time_col: str = "x_time",
-                  shift_hours: int = 0, sentinels=STATION_SENTINELS, text=("wind_dir",)) -> DataFrame:
+                  shift_hours: int = 0, sentinels=STATION_SENTINELS, text=STATION_TEXT) -> DataFrame:
     """Station export -> (time_date, <prefix><name>...): whole-row duplicates
     removed, 12-hour text clock parsed (and shifted), sentinel texts made null and
     values read as numbers (``text`` columns stay text). ``measures`` maps source
@@ -29,21 +34,10 @@ def parse_station(raw: DataFrame, measures: dict[str, str], prefix: str,
     return x.select(ampm_timestamp(date_col, time_col, shift_hours).alias("time_date"), *cols)
 
 
-def latest(other: DataFrame, col: str):
-    """The latest value of a column, read once (one aggregation, one value)."""
-    return other.agg(F.max(col)).first()[0]
-
-
-def cut_after(df: DataFrame, ts: str, other: DataFrame | None = None, other_date: str | None = None,
-              cut=None) -> DataFrame:
-    """Keep rows at or before the latest date of another table (a scalar
-    subquery), or at or before ``cut`` when it was already read with ``latest``
-    (one evaluation shared by several inputs). No latest date keeps nothing."""
-    if cut is None and other is not None:
-        c = other.select(F.max(other_date)).scalar()
-    else:
-        c = F.lit(cut)
-    return df.filter(F.col(ts) <= c)
+def cut_after(df: DataFrame, ts: str, other: DataFrame, other_date: str) -> DataFrame:
+    """Keep rows at or before the latest date of another table (a scalar subquery,
+    so no job runs before the plan does). No latest date keeps nothing."""
+    return df.filter(F.col(ts) <= other.select(F.max(other_date)).scalar())
 
 
 def daily_weather(lead: DataFrame, other: DataFrame | None, ts: str = "time_date",

@@ -42,7 +42,7 @@ def T(spark, d, name):
 
 
 def _inp(spark, d, **kw):
-    return pl.fixture_inputs(spark, d, **kw)
+    return fx.inputs(spark, d, **kw)
 
 
 def _buckets(spark, d):
@@ -100,7 +100,7 @@ def q_regex_columns(spark, d):
 @query
 def q_zero_fill(spark, d):
     """Incident measures with null -> 0 on numeric columns."""
-    x = fx.incident_export(spark, d).select("uid", *fx.INCIDENT_MEASURES)
+    x = fx.incident_export(spark, d).select("uid", *records.MEASURES)
     return zero_fill(x)
 
 
@@ -292,9 +292,9 @@ def q_incident_pivot(spark, d):
 def q_row_totals(spark, d):
     """Incident pivot on the reporting calendar with hazard totals (null on empty days)."""
     p = pl.incident_daily(pl.parsed_incidents(fx.incident_export(spark, d)))
-    per = pl.FIXTURE_PERIOD
+    per = fx.PERIOD
     x = calendar(spark, per.spine_start, per.spine_end).join(p, on="date", how="left")
-    return records.hazard_totals(x, fx.INCIDENT_MEASURES)
+    return records.hazard_totals(x, records.PUBLISHED_MEASURES)
 
 
 @query
@@ -320,14 +320,14 @@ def q_ampm_shift(spark, d):
 @query
 def q_ambiguous_dates(spark, d):
     """Official rain dates written day-first or month-first, read by the >12 rule."""
-    o = pl.official_series(fx.official_export(spark, d), pl.FIXTURE_PERIOD.official_year)
+    o = pl.official_series(fx.official_export(spark, d), fx.ORDER_PERIOD.official_year)
     return o.select("row_id", "date_text", "date")
 
 
 @query
 def q_trace_rain(spark, d):
     """Official rain text: 'T' -> 0.5 mm with a 'Trace' flag, else a number."""
-    o = pl.official_series(fx.official_export(spark, d), pl.FIXTURE_PERIOD.official_year)
+    o = pl.official_series(fx.official_export(spark, d), fx.ORDER_PERIOD.official_year)
     return o.select("row_id", "rain_official", "quality_official")
 
 
@@ -393,7 +393,7 @@ def q_pivot_multi(spark, d):
 
 
 # ------------------------------------------------------------------ quality
-RULES = pl.FIXTURE_RULES
+RULES = fx.RULES
 
 
 @query
@@ -443,8 +443,8 @@ def q_station_quality(spark, d):
 @query
 def q_official_quality(spark, d):
     """Official series on its calendar with trace / before-start / missing flags."""
-    o = pl.official_series(fx.official_export(spark, d), pl.FIXTURE_PERIOD.official_year)
-    return pl.official_quality(spark, o, pl.FIXTURE_PERIOD)
+    o = pl.official_series(fx.official_export(spark, d), fx.ORDER_PERIOD.official_year)
+    return pl.official_quality(spark, o, fx.ORDER_PERIOD)
 
 
 # ------------------------------------------------------------------ records / weather

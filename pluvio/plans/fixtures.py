@@ -6,10 +6,13 @@ any data of these schemas.
 """
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.functions.dates import floor_minutes
+from pluvio.plans import pipelines as pl
 from pluvio.session import pin
 
 # fixed values: incident type written for each order priority
@@ -18,8 +21,13 @@ HAZARD_BY_PRIORITY = {
     "4-NOT SPECIFIED": "Fire", "5-LOW": "Infrastructure",
 }
 EVENTS_FIRST_DAY = "2024-01-01"
-INCIDENT_MEASURES = ("number_of_incidents", "affected_hhs", "affected_individuals", "damaged_waterpoints")
-STATION_MEASURES = ("temp_out", "hi_temp", "low_temp", "wind_speed", "wind_dir", "bar", "rain", "rain_rate")
+# rules and periods on the events calendar (January 2024); the order-date official series
+# keeps its own year
+RULES = pl.GaugeRules(problem_dates=("2024-01-05", "2024-01-06"), low=1.0, high=100.0)
+PERIOD = pl.Period(spine_start="2024-01-01", spine_end="2024-02-05", station_start="2024-01-08",
+                   station_end="2024-01-22", official_year=2024, official_start="2024-01-04")
+ORDER_PERIOD = replace(PERIOD, official_year=2020, official_start="2020-05-01",
+                       official_spine=("2020-01-01", "2020-12-31"))
 
 
 _TABLES: dict = {}
@@ -69,11 +77,12 @@ def _hazard(col) -> F.Column:
 def incident_export(spark, sf_dir) -> DataFrame:
     """Incident records as exported (dates as day-first text): one record per
     line item, dated onto the events calendar by order key; missing incident
-    dates on every 17th order, missing household counts on every 13th."""
+    dates on every 17th order, missing counts on every 13th, 19th and 23rd; free-text and
+    bookkeeping columns as the export has them."""
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-    k = F.col("o_orderkey")
+    k, line = F.col("o_orderkey"), F.col("l_linenumber")
     day = F.date_add(F.lit(EVENTS_FIRST_DAY).cast("date"), (k % 36).cast("int"))
     return j.select(
         F.date_format(F.date_add(day, 2), "dd/MM/yyyy").alias("date_of_assessment"),
@@ -84,8 +93,25 @@ def incident_export(spark, sf_dir) -> DataFrame:
         F.lit(1.0).alias("number_of_incidents"),
         F.when(k % 13 == 0, F.lit(None).cast("double")).otherwise(F.col("l_quantity")).alias("affected_hhs"),
         (F.col("l_quantity") * 5.0).alias("affected_individuals"),
-        (F.col("l_linenumber") - 1).cast("double").alias("damaged_waterpoints"),
+        (line % 3).cast("double").alias("casualties_ind"),
+        F.when(line != 7, (line % 2).cast("double")).alias("missing_ind"),
+        (line % 4).cast("double").alias("injured_ind"),
+        (F.col("l_quantity") - 1.0).alias("displaced_hh"),
+        F.when(k % 19 != 0, F.col("l_quantity") * 2.0).alias("displaced_ind"),
+        (line * 2).cast("double").alias("partially_damaged_shelters"),
+        F.when(k % 23 != 0, line.cast("double")).alias("totally_damaged_shelters"),
+        (line - 1).cast("double").alias("damaged_waterpoints"),
+        (F.col("l_partkey") % 5).cast("double").alias("damaged_latrines"),
+        (F.col("l_suppkey") % 3).cast("double").alias("damaged_health_facilities"),
+        (F.col("l_partkey") % 2).cast("double").alias("damaged_food_distribution_site"),
         F.concat(F.lit("Camp "), (F.col("o_custkey") % 25).cast("string")).alias("camp"),
+        F.concat(F.lit("block "), line.cast("string")).alias("camp_other_"),
+        F.col("l_returnflag").alias("location_access"),
+        F.col("l_linestatus").alias("required_response_wash"),
+        F.col("l_returnflag").alias("traffic_x"),
+        F.col("o_orderpriority").alias("additional_comments"),
+        F.col("l_linestatus").alias("incident_picture"),
+        F.date_format("l_shipdate", "dd/MM/yyyy").alias("time_of_submission"),
         (F.col("l_extendedprice") / 10000.0).alias("gps_log"),
         F.col("l_tax").alias("gps_lat"),
         F.concat_ws("-", k.cast("string"), F.col("l_linenumber").cast("string")).alias("uid"),
@@ -112,9 +138,10 @@ def _export_text(g: DataFrame, hours_behind: int) -> DataFrame:
         F.when(F.col("n") < 3, "---").otherwise(s("hi")).alias("hi_temp"),
         s("low_temp").alias("low_temp"),
         s("n").alias("wind_speed"),
-        F.col("wind_dir"),
+        F.col("wind_dir"), s("hi_speed").alias("hi_speed"), F.col("hi_dir"),
         F.when(F.col("n") < 2, "------").otherwise(s("bar")).alias("bar"),
         s("rain").alias("rain"), s("rain_rate").alias("rain_rate"),
+        s("hi_solar_rad").alias("hi_solar_rad"), s("uv_index").alias("uv_index"),
     )
 
 
@@ -130,7 +157,10 @@ def _station_hours(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.groupBy((F.col("user_id") % 2).alias("parity"), floor_minutes("ts", 60).alias("hour")).agg(
         F.avg("value").alias("temp_out"), F.max("value").alias("hi"), F.min("value").alias("low_temp"),
-        F.count(F.lit(1)).alias("n"), F.min("event_type").alias("wind_dir"),
+        F.count(F.lit(1)).alias("n"), F.concat(F.lit("dir "), F.min(F.col("user_id") % 16)).alias("wind_dir"),
+        (F.max("event_id") % 40).cast("double").alias("hi_speed"),
+        F.concat(F.lit("dir "), F.max(F.col("user_id") % 16)).alias("hi_dir"),
+        (F.max("value") * 2.0).alias("hi_solar_rad"), (F.min("value") / 50.0).alias("uv_index"),
         F.avg("user_id").alias("bar"), (F.sum("value") / 100.0).alias("rain"),
         (F.max("value") / 100.0).alias("rain_rate"))
 
@@ -157,6 +187,43 @@ def official_export(spark, sf_dir) -> DataFrame:
     return rows.unionByName(header)
 
 
+def official_days(spark, sf_dir, parity: int) -> DataFrame:
+    """A station's official daily rain text on the events calendar, one row per day, from
+    the orders of the customers with the given parity: the day counts up to 12 are written
+    month-first, later ones day-first; 'T' on days ending in 3, no amount on every
+    seventh, else a quarter millimetre per order."""
+    o = table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 2 == parity)
+    day = F.date_add(F.lit(EVENTS_FIRST_DAY).cast("date"), (F.col("o_orderkey") % 36).cast("int"))
+    d = o.groupBy(day.alias("day")).agg((F.count(F.lit(1)) / 4.0).alias("mm"))
+    dom = F.dayofmonth("day")
+    return d.select(
+        F.when(dom > 12, F.date_format("day", "dd/MM/yyyy")).otherwise(F.date_format("day", "MM/dd/yyyy")).alias("date"),
+        F.when(dom % 10 == 3, "T").when(dom % 7 != 0, F.col("mm").cast("string")).alias("rainfall_mm"))
+
+
+def chirps_export(spark, sf_dir) -> DataFrame:
+    """Daily satellite rain already in millimetres, one row per day of the events calendar."""
+    o = table(spark, sf_dir, "orders")
+    day = F.date_add(F.lit(EVENTS_FIRST_DAY).cast("date"), (F.col("o_orderkey") % 36).cast("int"))
+    return o.groupBy(day.alias("day")).agg((F.count(F.lit(1)) / 7.0).alias("precipitation")).select(
+        F.date_format("day", "yyyy-MM-dd").alias("system_time_start"), "precipitation")
+
+
+def inputs(spark: SparkSession, sf_dir: str, with_stations=True, with_incidents=True,
+           with_satellite=True, checkpoint=True) -> pl.Inputs:
+    """The pipelines' inputs from the stand-ins."""
+    inc = pl.parsed_incidents(incident_export(spark, sf_dir)) if with_incidents else None
+    a = b = sat = chirps = official = None
+    if with_stations:
+        a, b = pl.stations(*station_exports(spark, sf_dir, (0, 12)), inc)
+    if with_satellite:
+        sat, chirps = satellite_export(spark, sf_dir), chirps_export(spark, sf_dir)
+        official = {"offa": official_days(spark, sf_dir, 0), "offb": official_days(spark, sf_dir, 1)}
+    return pl.Inputs(readings=readings(spark, sf_dir), incidents=inc, lead_station=a, other_station=b,
+                     satellite=sat, chirps=chirps, official=official, rules=RULES, period=PERIOD,
+                     checkpoint=checkpoint)
+
+
 def points(spark, sf_dir) -> DataFrame:
     """Reported positions: the first two embedding components, camp = label text."""
     e = table(spark, sf_dir, "embeddings")

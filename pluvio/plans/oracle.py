@@ -6,7 +6,13 @@ from __future__ import annotations
 DEVICES = ("click", "error", "purchase", "signup", "view")
 HAZARDS = ("Flood", "Slope-failure", "Wind-Storm")
 PUBLISHED = HAZARDS + ("Fire", "Infrastructure", "Lightning ")
-MEASURES = ("number_of_incidents", "affected_hhs", "affected_individuals", "damaged_waterpoints")
+MEASURES = ("number_of_incidents", "affected_hhs", "affected_individuals", "casualties_ind", "missing_ind",
+            "injured_ind", "displaced_hh", "displaced_ind", "partially_damaged_shelters",
+            "totally_damaged_shelters", "damaged_waterpoints", "damaged_latrines", "damaged_health_facilities",
+            "damaged_food_distribution_site")
+TOTALLED = tuple(m for m in MEASURES if m not in ("casualties_ind", "missing_ind", "injured_ind"))
+STATION_NUMBERS = [f"st{p}_{m}" for p in "ab" for m in ("temp_out", "hi_temp", "low_temp", "wind_speed", "bar", "rain",
+                                                        "rain_rate", "hi_speed")] + ["stb_hi_solar_rad", "stb_uv_index"]
 ANOMALY = "Value suspected to be anomalous; removed"
 RESET = "Value anomalous; removed."
 GAP = "There is gap in previous data"
@@ -75,7 +81,16 @@ INCIDENTS = f"""inc_raw AS (
          1.0::DOUBLE AS number_of_incidents,
          CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE l_quantity END AS affected_hhs,
          l_quantity * 5.0 AS affected_individuals,
-         CAST(l_linenumber - 1 AS DOUBLE) AS damaged_waterpoints,
+         CAST(l_linenumber % 3 AS DOUBLE) AS casualties_ind,
+         CASE WHEN l_linenumber <> 7 THEN CAST(l_linenumber % 2 AS DOUBLE) END AS missing_ind,
+         CAST(l_linenumber % 4 AS DOUBLE) AS injured_ind, l_quantity - 1.0 AS displaced_hh,
+         CASE WHEN o_orderkey % 19 <> 0 THEN l_quantity * 2.0 END AS displaced_ind,
+         CAST(l_linenumber * 2 AS DOUBLE) AS partially_damaged_shelters,
+         CASE WHEN o_orderkey % 23 <> 0 THEN CAST(l_linenumber AS DOUBLE) END AS totally_damaged_shelters,
+         CAST(l_linenumber - 1 AS DOUBLE) AS damaged_waterpoints, CAST(l_partkey % 5 AS DOUBLE) AS damaged_latrines,
+         CAST(l_suppkey % 3 AS DOUBLE) AS damaged_health_facilities,
+         CAST(l_partkey % 2 AS DOUBLE) AS damaged_food_distribution_site,
+         'block ' || CAST(l_linenumber AS VARCHAR) AS camp_other,
          'Camp ' || CAST(o_custkey % 25 AS VARCHAR) AS camp,
          l_extendedprice / 10000.0 AS gps_log, l_tax AS gps_lat,
          CAST(o_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS uid,
@@ -97,7 +112,7 @@ cut AS (SELECT max(date_of_incident) AS m FROM inc
 
 def _totals(src="x"):
     out = []
-    for m in MEASURES:
+    for m in TOTALLED:
         cols = [f'"{m}_{h}"' for h in HAZARDS]
         allnull = " AND ".join(f"{c} IS NULL" for c in cols)
         s = " + ".join(f"coalesce({c}, 0.0)" for c in cols)
@@ -108,13 +123,16 @@ def _totals(src="x"):
 def _station(parity, p):
     return f"""st{p}_raw AS (
   SELECT date_trunc('hour', ts) AS hour, avg(value) AS temp_out, max(value) AS hi, min(value) AS low_temp,
-         count(*) AS n, min(event_type) AS wind_dir, avg(user_id) AS bar, sum(value) / 100.0 AS rain,
+         count(*) AS n, 'dir ' || CAST(min(user_id % 16) AS VARCHAR) AS wind_dir,
+         CAST(max(event_id) % 40 AS DOUBLE) AS hi_speed, 'dir ' || CAST(max(user_id % 16) AS VARCHAR) AS hi_dir,
+         max(value) * 2.0 AS hi_solar_rad, min(value) / 50.0 AS uv_index, avg(user_id) AS bar, sum(value) / 100.0 AS rain,
          max(value) / 100.0 AS rain_rate
   FROM events WHERE user_id % 2 = {parity} GROUP BY 1),
 st{p} AS (
   SELECT hour AS time_date, temp_out AS st{p}_temp_out, CASE WHEN n < 3 THEN NULL ELSE hi END AS st{p}_hi_temp,
          low_temp AS st{p}_low_temp, CAST(n AS DOUBLE) AS st{p}_wind_speed, wind_dir AS st{p}_wind_dir,
-         CASE WHEN n < 2 THEN NULL ELSE bar END AS st{p}_bar, rain AS st{p}_rain, rain_rate AS st{p}_rain_rate
+         CASE WHEN n < 2 THEN NULL ELSE bar END AS st{p}_bar, rain AS st{p}_rain, rain_rate AS st{p}_rain_rate,
+         hi_speed AS st{p}_hi_speed, hi_dir AS st{p}_hi_dir{", hi_solar_rad AS stb_hi_solar_rad, uv_index AS stb_uv_index" if p == "b" else ""}
   FROM st{p}_raw WHERE hour <= (SELECT m FROM cut))"""
 
 
@@ -124,6 +142,9 @@ DAILY_WEATHER = STATIONS + """,
 dw AS (
   SELECT CAST(time_date AS DATE) AS date,
          round(max(sta_hi_temp), 2) AS sta_hi_temp, round(max(stb_hi_temp), 2) AS stb_hi_temp,
+         round(max(sta_hi_speed), 2) AS sta_hi_speed, round(max(stb_hi_speed), 2) AS stb_hi_speed,
+         round(max(stb_hi_solar_rad), 2) AS stb_hi_solar_rad,
+         round(CAST(sum(CAST(stb_uv_index AS DECIMAL(38,9))) AS DOUBLE) / count(stb_uv_index), 2) AS stb_uv_index,
          round(min(sta_low_temp), 2) AS sta_low_temp, round(min(stb_low_temp), 2) AS stb_low_temp,
          CAST(round(coalesce(sum(CAST(sta_rain AS DECIMAL(38,9))), 0), 2) AS DOUBLE) AS sta_rain, CAST(round(coalesce(sum(CAST(sta_rain_rate AS DECIMAL(38,9))), 0), 2) AS DOUBLE) AS sta_rain_rate,
          CAST(round(coalesce(sum(CAST(stb_rain AS DECIMAL(38,9))), 0), 2) AS DOUBLE) AS stb_rain, CAST(round(coalesce(sum(CAST(stb_rain_rate AS DECIMAL(38,9))), 0), 2) AS DOUBLE) AS stb_rain_rate,
@@ -243,9 +264,7 @@ S["daily_rain_basic"] = W(BUCKET, f"SELECT CAST(slot AS DATE) AS date, device, {
 S["daily_rain"] = W(GRIDDED, f"SELECT date, device, {r4('interval', 'interval')}, {r4('max_3_hr_interval', 'max_3_hr_interval')} FROM daily")
 S["hourly_rain"] = W(GRIDDED, f"SELECT device, datehour, {r4('precipitation', 'precipitation')} FROM hourly")
 _ht_cols = ([r4(f"precip_{d}", f"precip_{d}") for d in DEVICES]
-            + [r4(f"st{p}_{m}", f"st{p}_{m}") for p in "ab"
-               for m in ("temp_out", "hi_temp", "low_temp", "wind_speed", "bar", "rain", "rain_rate")]
-            + [f"st{p}_wind_dir" for p in "ab"])
+            + [r4(c, c) for c in STATION_NUMBERS] + [f"st{p}_{m}" for p in "ab" for m in ("wind_dir", "hi_dir")])
 S["hourly_weather"] = W(HOURLY_TABLE, f"SELECT datehour, {', '.join(_ht_cols)}, quality_sta, quality_stb FROM ht")
 S["satellite_daily"] = W(READINGS, """SELECT CAST(ts AS DATE) AS date,
   round(CAST(round(coalesce(sum(CAST(value * (1 / 0.997) * 60 * 60 * 6 AS DECIMAL(38,9))), 0), 2) AS DOUBLE), 4) AS rain_cfsr
@@ -257,7 +276,7 @@ cal AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-05',
 x AS (SELECT cal.date, ip.* EXCLUDE (date) FROM cal LEFT JOIN ip USING (date)),
 t AS (SELECT *, """ + _totals() + " FROM x)",
                     f"SELECT date, {', '.join(_ip_cols)}, "
-                    + ", ".join(r4(f"total_{m}", f"total_{m}") for m in MEASURES) + " FROM t")
+                    + ", ".join(r4(f"total_{m}", f"total_{m}") for m in TOTALLED) + " FROM t")
 S["date_fallback"] = W(INCIDENTS, "SELECT uid, date_of_assessment, date_of_incident FROM inc")
 S["parse_mixed_times"] = W(EXPORTS, f"""SELECT device_name, {r4('value', 'value')},
   CASE WHEN date IS NULL THEN try_strptime(time, '%Y-%m-%d %H:%M:%S') ELSE try_strptime(date, '%d/%m/%Y %H:%M') END AS date_time
@@ -315,13 +334,13 @@ FROM cal LEFT JOIN off ON cal.date = off.date""")
 
 # ---------------------------------------------------------------- records / weather
 S["clean_records"] = W(INCIDENTS, f"""SELECT date_of_incident, type_of_incident,
-  {", ".join(r4(f"coalesce({m}, 0)", m) for m in MEASURES)}, camp
+  {", ".join(r4(f"coalesce({m}, 0)", m) for m in MEASURES)}, camp, camp_other
 FROM inc WHERE incident = 'Yes' AND type_of_incident IN ({inlist(PUBLISHED)})""")
 _dw_cols = ["sta_hi_temp", "stb_hi_temp", "sta_low_temp", "stb_low_temp", "sta_rain", "sta_rain_rate",
             "stb_rain", "stb_rain_rate", "sta_temp_out", "sta_wind_speed", "stb_temp_out", "stb_wind_speed",
-            "stb_bar"]
+            "stb_bar", "sta_hi_speed", "stb_hi_speed", "stb_hi_solar_rad", "stb_uv_index"]
 S["daily_weather"] = W(DAILY_WEATHER, "SELECT date, " + ", ".join(r4(c, c) for c in _dw_cols) + " FROM dw")
-_wl = [f"st{p}_{m}" for p in "ab" for m in ("temp_out", "hi_temp", "low_temp", "wind_speed", "bar", "rain", "rain_rate")]
+_wl = STATION_NUMBERS
 S["weather_long"] = W(HOURLY_TABLE,
                       "SELECT datehour, weather_field, round(value, 4) AS value FROM ht "
                       "UNPIVOT INCLUDE NULLS (value FOR weather_field IN (" + ", ".join(_wl) + "))")
@@ -369,6 +388,20 @@ j AS (SELECT pts.point_id, coalesce(cmap.new_name, camp) AS camp_name_reported,
   camp_name_reported, camp_name_gps, camp_name_reported = camp_name_gps AS camp_consistency FROM j""")
 
 # ---------------------------------------------------------------- published tables
+def _official_days(parity, name):
+    return f"""{name}_raw AS (
+  SELECT DATE '2024-01-01' + CAST(o_orderkey % 36 AS INTEGER) AS date, count(*) / 4.0 AS mm
+  FROM orders WHERE o_custkey % 2 = {parity} GROUP BY 1),
+{name} AS (SELECT date, CASE WHEN day(date) % 10 = 3 THEN 0.5 ELSE mm END AS rain_{name},
+       CASE WHEN day(date) % 10 = 3 THEN 'Trace' END AS trace_{name}
+  FROM {name}_raw WHERE day(date) % 10 = 3 OR day(date) % 7 <> 0)"""
+
+
+def _official_flag(name):
+    return (f"CASE WHEN trace_{name} = 'Trace' THEN 'Trace' WHEN t.date < DATE '2024-01-04' THEN '-' "
+            f"WHEN rain_{name} IS NULL THEN 'Missing data' END AS quality_{name}")
+
+
 _HYDRO = GRIDDED + ",\n" + DAILY_WEATHER + """,
 rw AS (SELECT date, """ + ", ".join(
     f"max(interval) FILTER (WHERE device = '{d}') AS rain_{d}, "
@@ -380,17 +413,25 @@ t AS (SELECT *, """ + _totals() + """ FROM x),
 sat AS (SELECT CAST(ts AS DATE) AS date,
                CAST(round(coalesce(sum(CAST(value * (1 / 0.997) * 60 * 60 * 6 AS DECIMAL(38,9))), 0), 2) AS DOUBLE) AS rain_cfsr
         FROM readings GROUP BY 1),
-hd AS (SELECT t.*, sat.rain_cfsr, dw.* EXCLUDE (date),
+""" + _official_days(0, "offa") + ",\n" + _official_days(1, "offb") + """,
+chirps AS (SELECT DATE '2024-01-01' + CAST(o_orderkey % 36 AS INTEGER) AS date, round(count(*) / 7.0, 2) AS rain_chirps
+           FROM orders GROUP BY 1),
+hd AS (SELECT t.*, sat.rain_cfsr, chirps.rain_chirps, rain_offa, rain_offb,
+              """ + _official_flag("offa") + ", " + _official_flag("offb") + """, dw.* EXCLUDE (date),
               """ + _station_flag("t.date", "dw.sta_low_temp") + """ AS quality_sta,
               """ + _station_flag("t.date", "dw.stb_hi_temp") + """ AS quality_stb
-       FROM t LEFT JOIN sat USING (date) LEFT JOIN dw USING (date))"""
+       FROM t LEFT JOIN sat ON sat.date = t.date LEFT JOIN dw ON dw.date = t.date
+       LEFT JOIN offa ON offa.date = t.date LEFT JOIN offb ON offb.date = t.date
+       LEFT JOIN chirps ON chirps.date = t.date)"""
 _hd_cols = ([r4(f"rain_{d}", f"rain_{d}") + ", " + r4(f"rain_max_3h_{d}", f"rain_max_3h_{d}") for d in DEVICES]
-            + _ip_cols + [r4(f"total_{m}", f"total_{m}") for m in MEASURES] + [r4("rain_cfsr", "rain_cfsr")]
+            + [r4(f'"{m}_{h}"', f"{m}_{h}") for m in TOTALLED for h in HAZARDS]
+            + [r4(f"rain_{s}", f"rain_{s}") for s in ("offa", "offb", "chirps")] + ["quality_offa", "quality_offb"]
+            + [r4(f"total_{m}", f"total_{m}") for m in TOTALLED] + [r4("rain_cfsr", "rain_cfsr")]
             + [r4(c, c) for c in _dw_cols if not c.endswith("_rain_rate")])
 S["hydro_daily"] = W(_HYDRO, "SELECT date, " + ", ".join(_hd_cols) + " FROM hd")
 S["column_completeness"] = W(_HYDRO, "SELECT " + ", ".join(
     f"round(count(rain_{d}) / count(*) * 100) AS pct_{d}" for d in DEVICES)
-    + ", round(count(rain_cfsr) / count(*) * 100) AS pct_cfsr"
+    + "".join(f", round(count(rain_{s}) / count(*) * 100) AS pct_{s}" for s in ("cfsr", "chirps", "offa", "offb"))
     + ", round(count(*) FILTER (WHERE quality_sta IS NULL) / count(*) * 100) AS pct_sta"
     + ", round(count(*) FILTER (WHERE quality_stb IS NULL) / count(*) * 100) AS pct_stb FROM hd")
 _SUB = _MISSING + """,

@@ -16,7 +16,6 @@ from pluvio.functions.dates import any_date, day_month_ambiguous, ntz_literal, p
 from pluvio.functions.nulls import exact_sum, r_if_else, round_half
 from pluvio.operators import columns, coverage, geo, quality, records, reshape, series, weather
 from pluvio.operators.quality import ANOMALY_TEXT, RESET_TEXT, TRACE_TEXT
-from pluvio.plans import fixtures as fx
 from pluvio.session import pin
 from pluvio.sources.generated import calendar
 
@@ -58,12 +57,6 @@ class Period:
     official_spine: tuple = ("2020-01-01", "2020-11-30")
 
 
-# the stand-in inputs (January 2024 events calendar) use these instead
-FIXTURE_RULES = GaugeRules(problem_dates=("2024-01-05", "2024-01-06"), low=1.0, high=100.0)
-FIXTURE_PERIOD = Period(spine_start="2024-01-01", spine_end="2024-02-05", station_start="2024-01-08",
-                        station_end="2024-01-22", official_spine=("2020-01-01", "2020-12-31"))
-
-
 @dataclass
 class Inputs:
     """Logical inputs of the pipelines (any data of these schemas)."""
@@ -209,19 +202,17 @@ def official_quality(spark: SparkSession, official: DataFrame, period: Period, n
 
 
 # --------------------------------------------------------------------------- stations
-STATION_COLS = {c: c for c in fx.STATION_MEASURES}
-
-
-def stations(spark, sf_dir, incidents: DataFrame | None = None):
-    """Both stations parsed (the second one's clock is 12 h late), each cut at
+def stations(lead_export: DataFrame, other_export: DataFrame, incidents: DataFrame | None = None,
+             other_shift_hours: int = 12):
+    """Both station exports parsed (the second one's clock is 12 h late), each cut at
     the latest published incident date when incidents are given."""
-    ea, eb = fx.station_exports(spark, sf_dir, (0, 12))
-    a = weather.parse_station(ea, STATION_COLS, "sta_")
-    b = weather.parse_station(eb, STATION_COLS, "stb_", shift_hours=12)
+    a = weather.parse_station(lead_export, {c: c for c in weather.STATION_FIELDS}, "sta_")
+    b = weather.parse_station(other_export, {c: c for c in weather.SECOND_STATION_FIELDS}, "stb_",
+                              shift_hours=other_shift_hours)
     if incidents is not None:
-        cut = weather.latest(published_incidents(incidents), "date_of_incident")
-        a = weather.cut_after(a, "time_date", cut=cut)
-        b = weather.cut_after(b, "time_date", cut=cut)
+        pub = published_incidents(incidents)
+        a = weather.cut_after(a, "time_date", pub, "date_of_incident")
+        b = weather.cut_after(b, "time_date", pub, "date_of_incident")
     return a, b
 
 
@@ -253,7 +244,7 @@ def published_incidents(parsed: DataFrame) -> DataFrame:
         [*records.HAZARDS, *records.PUBLISHED_EXTRA_TYPES]))
 
 
-def incident_daily(parsed: DataFrame, measures=fx.INCIDENT_MEASURES) -> DataFrame:
+def incident_daily(parsed: DataFrame, measures=records.MEASURES) -> DataFrame:
     return records.incident_pivot(records.reported_incidents(parsed), measures)
 
 
@@ -263,7 +254,7 @@ DAILY_DROPPED = ("sta_rain_rate", "stb_rain_rate")
 
 
 def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
-                measures=fx.INCIDENT_MEASURES, drop=DAILY_DROPPED, g: DataFrame | None = None) -> DataFrame:
+                measures=records.PUBLISHED_MEASURES, drop=DAILY_DROPPED, g: DataFrame | None = None) -> DataFrame:
     """The daily hydro-incident table on the reporting calendar: per-gauge daily
     rain and largest 3-hour sum, full-joined with the daily incident pivot, hazard
     totals, the official series with their flags, daily satellite rain (CHIRPS,
@@ -311,18 +302,6 @@ def published_order(daily: DataFrame, devices, measures, hazards=records.HAZARDS
     return columns.keep_existing(daily, wanted + [c for c in daily.columns if c not in wanted])
 
 
-def fixture_inputs(spark: SparkSession, sf_dir: str, with_stations=True, with_incidents=True,
-                   with_satellite=True, checkpoint=True) -> Inputs:
-    inc = parsed_incidents(fx.incident_export(spark, sf_dir)) if with_incidents else None
-    a = b = None
-    if with_stations:
-        a, b = stations(spark, sf_dir, inc)
-    sat = fx.satellite_export(spark, sf_dir) if with_satellite else None
-    return Inputs(readings=fx.readings(spark, sf_dir), incidents=inc, lead_station=a,
-                  other_station=b, satellite=sat, rules=FIXTURE_RULES, period=FIXTURE_PERIOD,
-                  checkpoint=checkpoint)
-
-
 # --------------------------------------------------------------------------- coverage
 def bins(inp: Inputs, r: DataFrame | None = None) -> DataFrame:
     r = rolled(gridded(inp), inp.rules, inp.last_day()) if r is None else r

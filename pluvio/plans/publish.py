@@ -19,7 +19,7 @@ from pluvio.sinks import writers
 
 
 def build(spark, sf_dir: str) -> dict:
-    inp = pl.fixture_inputs(spark, sf_dir)
+    inp = fx.inputs(spark, sf_dir)
     g = pin(pl.gridded(inp))  # one grid for all tables made from it
     rolled = pl.rolled(g, inp.rules, inp.last_day())
     daily = pl.hydro_daily(spark, inp, with_flags=True, g=g)

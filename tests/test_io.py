@@ -59,8 +59,8 @@ def test_publish_job_writes_all_tables(spark, tmpdir_path):
 def test_optional_sources(spark):
     from pluvio.plans import fixtures as fx
     from pluvio.plans import pipelines as pl
-    inp = pl.Inputs(readings=fx.readings(spark, "/root/testdata/sf0.001"), rules=pl.FIXTURE_RULES,
-                    period=pl.FIXTURE_PERIOD)
+    inp = pl.Inputs(readings=fx.readings(spark, "/root/testdata/sf0.001"), rules=fx.RULES,
+                    period=fx.PERIOD)
     t = pl.hydro_daily(spark, inp)
     assert t.count() == 36 and not [c for c in t.columns if c.startswith(("total_", "sta_", "rain_cfsr"))]
     h = pl.hourly_table(inp)
@@ -99,7 +99,7 @@ def test_flagship_with_official_and_chirps(spark):
                                 "row_id long, date string, rainfall_mm string")
     chirps = spark.createDataFrame([("2024-01-02", 3.456), ("2024-01-04", None)],
                                    "system_time_start string, precipitation double")
-    inp = pl.Inputs(readings=fx.readings(spark, "/root/testdata/sf0.001"), rules=pl.FIXTURE_RULES,
+    inp = pl.Inputs(readings=fx.readings(spark, "/root/testdata/sf0.001"), rules=fx.RULES,
                     period=per, official={"gauge_house": off}, chirps=chirps)
     t = {r["date"]: r for r in pl.hydro_daily(spark, inp).collect()}
     assert len(t) == 10
