@@ -2,14 +2,17 @@
 (fanning out where polygons overlap) and reported-vs-located consistency.
 
 Polygons stay a vertex table; nothing is gathered per polygon. Edges pair
-each vertex with the next one of its ring by ``seq``, the last with the first. Each edge is exploded over the horizontal bands its y-range spans;
-each point carries its band. An equi-join on the band pairs a point only with the
-edges that can cross the horizontal ray to its right, and the even-odd rule is a
-count of crossings per (position, polygon). The edge-band table is broadcast only
-when its row count is proven small; otherwise it is a shuffled join and AQE splits
-a hot band."""
+each vertex with the next one of its ring by ``seq``, the last with the first. Each edge
+is exploded over cells as high as its polygon's mean edge and as wide as the polygon, from
+the polygon's left side to the edge; each distinct position carries its cell of every cell
+size in use. An equi-join on the cell pairs a position only with edges to its right, in its
+band, of polygons around it, and the even-odd rule is a count of crossings per (position,
+polygon). Spark picks the join by the measured size of its sides and splits a hot cell."""
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +20,6 @@ from pluvio.operators.joins import broadcast_if_small
 
 INSIDE = "inside_camp_boundary"
 OUTSIDE = "outside_camp_boundary"
-BAND = 0.1
 
 
 def polygon_edges(vertices: DataFrame, name: str = "name", seq: str = "seq",
@@ -30,38 +32,68 @@ def polygon_edges(vertices: DataFrame, name: str = "name", seq: str = "seq",
     v = vertices.select(F.col(name).alias("name"), ring_id.alias("ring_id"), F.col(seq).alias("seq"),
                         F.struct(F.col(x).alias("x"), F.col(y).alias("y")).alias("p"))
     order = Window.partitionBy("name", "ring_id").orderBy("seq")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    n = v.withColumn("q", F.coalesce(F.lead("p").over(order), F.first("p").over(whole)))
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n = v.withColumn("q", F.coalesce(F.lead("p").over(order), F.first("p").over(so_far)))
     return n.select("name", F.col("p.x").alias("ax"), F.col("p.y").alias("ay"), F.col("q.x").alias("bx"),
                     F.col("q.y").alias("by"))
 
 
-def edge_bands(edges: DataFrame, band: float = BAND) -> DataFrame:
-    """One row per (edge, horizontal band its y-range touches); horizontal edges
-    never cross a horizontal ray and are left out."""
-    lo, hi = F.least("ay", "by"), F.greatest("ay", "by")
+def _up(size):
+    """The least power of four that is no smaller; 1 for sizes of 0."""
+    return F.when(size > 0, F.pow(F.lit(4.0), F.ceil(F.log(4.0, size)))).otherwise(F.lit(1.0))
+
+
+def edge_cells(edges: DataFrame, band: float | None = None) -> DataFrame:
+    """One row per (edge, cell): the bands its y-range touches and, in each, the cells from
+    its polygon's left side to its own right end. A cell is as wide as the polygon and as
+    high as its mean edge (or ``band``), rounded up to powers of four, so an edge meets two
+    cells a band, a polygon's edges three bands on average, and the result has at most six
+    rows an edge. Horizontal edges never cross a horizontal ray and are left out, and so are
+    edges with a coordinate that is null or not finite."""
+    ends = ("ax", "ay", "bx", "by")
     e = edges.filter(F.col("ay") != F.col("by"))
-    return e.withColumn("_band", F.explode(F.sequence(F.floor(lo / band), F.floor(hi / band))))
+    for c in ends:
+        e = e.filter(F.abs(c) < float("inf"))
+    left, right = F.least("ax", "bx"), F.greatest("ax", "bx")
+    height = F.avg(F.abs(F.col("by") - F.col("ay")))
+    sizes = e.groupBy(F.col("name").alias("_name")).agg(
+        F.min(left).alias("_left"), _up(F.max(right) - F.min(left)).alias("_w"),
+        (_up(height) if band is None else F.lit(float(band))).alias("_h"))
+    j = e.join(sizes, F.col("name").eqNullSafe(F.col("_name"))).drop("_name")
+    # the crossing formula may round past the edge's end
+    end = right + (F.abs("ax") + F.abs("bx")) * 1e-15
+    return (j.withColumn("_band", F.explode(F.sequence(F.floor(F.least("ay", "by") / F.col("_h")),
+                                                       F.floor(F.greatest("ay", "by") / F.col("_h")))))
+            .withColumn("_cell", F.explode(F.sequence(F.floor(F.col("_left") / F.col("_w")), F.floor(end / F.col("_w")))))
+            .drop("_left"))
 
 
 def crossings(points: DataFrame, edges: DataFrame, x: str = "x", y: str = "y",
-              band: float = BAND) -> DataFrame:
+              band: float | None = None) -> DataFrame:
     """(_x, _y, name) for every polygon whose boundary the ray from the position towards
     +x crosses an odd number of times, i.e. that contains it. Positions are distinct, so
     points that share a key or a place don't add to each other's count."""
-    eb = broadcast_if_small(edge_bands(edges, band))
+    ec = edge_cells(edges, band)
+    # a handful of cell sizes (powers of four), as one value
+    sizes = ec.select(F.collect_set(F.struct("_w", "_h")).alias("v")).scalar()
     pts = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).filter(
-        F.col("_x").isNotNull() & F.col("_y").isNotNull()).distinct().withColumn("_band", F.floor(F.col("_y") / band))
-    px, py = pts["_x"], pts["_y"]
-    straddles = (eb["ay"] > py) != (eb["by"] > py)
-    right = px < (eb["bx"] - eb["ax"]) * (py - eb["ay"]) / (eb["by"] - eb["ay"]) + eb["ax"]
-    j = pts.join(eb, (pts["_band"] == eb["_band"]) & straddles & right, "inner")
-    c = j.groupBy("_x", "_y", eb["name"]).agg(F.count(F.lit(1)).alias("_n"))
+        F.col("_x").isNotNull() & F.col("_y").isNotNull()).distinct().withColumn("_sizes", sizes)
+    pts = pts.select("_x", "_y", F.explode("_sizes").alias("_s")).select(
+        "_x", "_y", F.col("_s._w").alias("_w"), F.col("_s._h").alias("_h"),
+        F.floor(F.col("_y") / F.col("_s._h")).alias("_band"), F.floor(F.col("_x") / F.col("_s._w")).alias("_cell"))
+    keys = ("_band", "_cell", "_w", "_h")
+    ec = ec.withColumnsRenamed({k: f"_e{k}" for k in keys})
+    px, py, ax, ay, bx, by = map(F.col, ("_x", "_y", "ax", "ay", "bx", "by"))
+    straddles = (ay > py) != (by > py)
+    right = px < (bx - ax) * (py - ay) / (by - ay) + ax
+    same = functools.reduce(operator.and_, [F.col(k) == F.col(f"_e{k}") for k in keys])
+    j = pts.join(ec, same & straddles & right, "inner")
+    c = j.groupBy("_x", "_y", "name").agg(F.count(F.lit(1)).alias("_n"))
     return c.filter(F.col("_n") % 2 == 1).select("_x", "_y", "name")
 
 
 def locate(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str = "y",
-           out: str = "polygon_name", band: float = BAND) -> DataFrame:
+           out: str = "polygon_name", band: float | None = None) -> DataFrame:
     """Each point joined to every polygon containing it (one row per polygon, or
     one row with a null name when inside none). Points with a null coordinate
     match nothing."""
@@ -70,7 +102,7 @@ def locate(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str =
 
 
 def count_within(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str = "y",
-                 band: float = BAND) -> DataFrame:
+                 band: float | None = None) -> DataFrame:
     """Per row of ``points``: number of polygons containing it and inside/outside status."""
     n = crossings(points, edges, x, y, band).groupBy("_x", "_y").agg(F.count("name").alias("_n"))
     c = points.join(n, (points[x] == n["_x"]) & (points[y] == n["_y"]), "left").select(

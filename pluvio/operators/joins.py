@@ -5,23 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# broadcast only below this many rows (a proven bound, checked at run time)
+# broadcast only below these sizes (proven bounds, checked at run time)
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+FIXED_WIDTH = {"boolean", "byte", "short", "integer", "long", "float", "double", "date", "timestamp", "timestamp_ntz"}
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       weight: Column | None = None, max_weight: int | None = None) -> DataFrame:
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Return ``broadcast(df)`` when ``df`` is proven to hold at most ``max_rows``
-    rows (and, with ``weight``, at most ``max_weight`` summed over its rows — e.g.
-    vertices of polygon rings, so bytes are bounded too), else ``df`` unchanged:
-    the join then shuffles both sides and AQE may still convert it or split skewed
-    partitions. Use it on small, cheap sides (maps, polygons)."""
-    if weight is None:
-        ok = df.limit(max_rows + 1).count() <= max_rows
-    else:
-        r = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
-        ok = r[0] <= max_rows and r[1] <= max_weight
-    return F.broadcast(df) if ok else df
+    rows and ``max_bytes`` (8 bytes a value, and the length of each text), else ``df``
+    unchanged: the join then shuffles both sides and AQE may still convert it or split
+    skewed partitions. Use it on small, cheap sides (maps)."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema
+             if f.dataType.typeName() not in FIXED_WIDTH]
+    size = F.lit(8 * len(df.columns)).cast("bigint")
+    for t in texts:
+        size = size + t
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if r[0] <= max_rows and r[1] <= max_bytes else df
 
 
 def scalar(df: DataFrame, expr: Column) -> Column:

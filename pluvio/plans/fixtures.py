@@ -241,10 +241,14 @@ def camp_name_map(spark, sf_dir) -> DataFrame:
 
 
 def polygon_vertices(spark, sf_dir) -> DataFrame:
-    """One quadrilateral per region, placed by its key; neighbours overlap."""
+    """One polygon per region, placed by its key (neighbours overlap): a quadrilateral
+    (ring 0) with a hole (ring 1) and an island above it (ring 2)."""
     r = table(spark, sf_dir, "region")
     x0 = F.lit(-0.4) + F.lit(0.16) * F.col("r_regionkey")
-    v = lambda i, x, y: F.struct(F.lit(i).alias("seq"), x.alias("x"), F.lit(y).alias("y"))
-    verts = F.array(v(0, x0, -0.3), v(1, x0 + 0.2, -0.25), v(2, x0 + 0.22, 0.3), v(3, x0 - 0.02, 0.25))
+    v = lambda g, i, x, y: F.struct(F.lit(g).alias("ring_id"), F.lit(i).alias("seq"), x.alias("x"),
+                                    F.lit(y).alias("y"))
+    verts = F.array(v(0, 0, x0, -0.3), v(0, 1, x0 + 0.2, -0.25), v(0, 2, x0 + 0.22, 0.3), v(0, 3, x0 - 0.02, 0.25),
+                    v(1, 0, x0 + 0.06, -0.05), v(1, 1, x0 + 0.12, -0.05), v(1, 2, x0 + 0.12, 0.06), v(1, 3, x0 + 0.06, 0.05),
+                    v(2, 0, x0 + 0.01, 0.31), v(2, 1, x0 + 0.1, 0.31), v(2, 2, x0 + 0.1, 0.39), v(2, 3, x0 + 0.01, 0.38))
     return r.select(F.col("r_name").alias("name"), F.explode(verts).alias("v")).select(
-        "name", "v.seq", "v.x", "v.y")
+        "name", "v.ring_id", "v.seq", "v.x", "v.y")

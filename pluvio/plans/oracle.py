@@ -171,12 +171,13 @@ ht AS (SELECT hw.*, sta.* EXCLUDE (time_date), stb.* EXCLUDE (time_date),
 GEO = """pts AS (SELECT vec_id AS point_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y,
                 CAST(label AS VARCHAR) AS camp FROM embeddings),
 x0 AS (SELECT r_name AS name, -0.4::DOUBLE + 0.16::DOUBLE * r_regionkey AS x0 FROM region),
-verts AS (SELECT name, 0 AS seq, x0 AS x, -0.3::DOUBLE AS y FROM x0
-          UNION ALL SELECT name, 1, x0 + 0.2::DOUBLE, -0.25::DOUBLE FROM x0
-          UNION ALL SELECT name, 2, x0 + 0.22::DOUBLE, 0.3::DOUBLE FROM x0
-          UNION ALL SELECT name, 3, x0 - 0.02::DOUBLE, 0.25::DOUBLE FROM x0),
+corners(ring, seq, dx, y) AS (
+  VALUES (0, 0, 0.0::DOUBLE, -0.3::DOUBLE), (0, 1, 0.2::DOUBLE, -0.25::DOUBLE), (0, 2, 0.22::DOUBLE, 0.3::DOUBLE), (0, 3, -0.02::DOUBLE, 0.25::DOUBLE),
+          (1, 0, 0.06::DOUBLE, -0.05::DOUBLE), (1, 1, 0.12::DOUBLE, -0.05::DOUBLE), (1, 2, 0.12::DOUBLE, 0.06::DOUBLE), (1, 3, 0.06::DOUBLE, 0.05::DOUBLE),
+          (2, 0, 0.01::DOUBLE, 0.31::DOUBLE), (2, 1, 0.1::DOUBLE, 0.31::DOUBLE), (2, 2, 0.1::DOUBLE, 0.39::DOUBLE), (2, 3, 0.01::DOUBLE, 0.38::DOUBLE)),
+verts AS (SELECT name, ring, seq, x0 + dx AS x, y FROM x0, corners),
 edges AS (SELECT a.name, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by
-          FROM verts a JOIN verts b ON a.name = b.name AND b.seq = (a.seq + 1) % 4),
+          FROM verts a JOIN verts b ON a.name = b.name AND a.ring = b.ring AND b.seq = (a.seq + 1) % 4),
 inside AS (SELECT p.point_id, e.name FROM pts p, edges e GROUP BY 1, 2
            HAVING sum(CASE WHEN ((e.ay > p.y) <> (e.by > p.y))
                             AND p.x < (e.bx - e.ax) * (p.y - e.ay) / (e.by - e.ay) + e.ax

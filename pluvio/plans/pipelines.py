@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.functions.dates import any_date, day_month_ambiguous, ntz_literal, parse_timestamp
@@ -320,7 +320,7 @@ def gauge_ingest(exports) -> DataFrame:
     return u.withColumn("date_time", t).drop("time", "date")
 
 
-def geo_check(points: DataFrame, edges: DataFrame, camp_map: DataFrame, band: float = geo.BAND):
+def geo_check(points: DataFrame, edges: DataFrame, camp_map: DataFrame, band: float | None = None):
     """Incidents with a GPS check: reported camp corrected through the map (else
     kept), points with both coordinates located in the camp polygons (one row per
     containing polygon, or one row with a null when outside), status and
@@ -328,6 +328,5 @@ def geo_check(points: DataFrame, edges: DataFrame, camp_map: DataFrame, band: fl
     p = geo.lookup_with_fallback(points, camp_map, "camp", out="camp_name_reported").drop("camp")
     p = p.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     j = geo.locate(p, edges, "point_id", "x", "y", "camp_name_gps", band)
-    n = F.count("camp_name_gps").over(Window.partitionBy("point_id"))
-    j = j.withColumn("location_status", F.when(n == 0, geo.OUTSIDE).otherwise(geo.INSIDE))
+    j = j.withColumn("location_status", F.when(F.col("camp_name_gps").isNull(), geo.OUTSIDE).otherwise(geo.INSIDE))
     return geo.consistency(j, "camp_name_reported", "camp_name_gps")

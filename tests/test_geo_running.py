@@ -96,3 +96,32 @@ def test_rings_holes_gaps_and_repeated_keys(spark):
     got = rows(geo.locate(p, e, "point_id"), "point_id", "polygon_name")
     assert got == sorted([(1, "A"), (1, "A"), (2, None), (3, "A"), (4, None), (1, None), (5, None)], key=repr)
     assert rows(geo.count_within(p, e, "point_id"), "point_id", "n_within") == [(1, 0), (1, 1), (1, 1), (2, 0), (3, 1), (4, 0), (5, 0)]
+
+
+def test_cells_follow_the_polygons(spark):
+    # many small polygons beside a large one, in coordinates of metres: few rows an edge,
+    # few edges a position, and the same answers as brute force
+    random.seed(5)
+    shapes = [(f"S{i}", [(x, y), (x + 90.0, y), (x + 90.0, y + 70.0), (x, y + 75.0)])
+              for i in range(60) for x, y in [(random.uniform(0, 9e4), random.uniform(0, 9e4))]]
+    shapes.append(("big", [(0.0, 0.0), (1e5, 10.0), (1e5, 1e5), (5.0, 1e5)]))
+    v = spark.createDataFrame([(n, i, x, y) for n, ring in shapes for i, (x, y) in enumerate(ring)],
+                              "name string, seq int, x double, y double")
+    e = geo.polygon_edges(v)
+    assert geo.edge_cells(e).count() <= 6 * e.count()
+    near = [(x + random.uniform(-20, 120), y + random.uniform(-20, 90)) for _, ((x, y), *_) in shapes]
+    pts = list(enumerate(near + [(random.uniform(-10, 1e5), random.uniform(-10, 1e5)) for _ in range(60)]))
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in pts], "point_id int, x double, y double")
+    got = rows(geo.locate(df, e, "point_id"), "point_id", "polygon_name")
+    want = []
+    for i, (x, y) in pts:
+        names = [n for n, ring in shapes if brute_inside(x, y, ring)]
+        want += [(i, n) for n in names] or [(i, None)]
+    assert got == sorted(want, key=repr)
+
+
+def test_broadcast_is_bound_in_bytes(spark):
+    df = spark.createDataFrame([("x" * 1000, 1)] * 20, "t string, n int")
+    hinted = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString()
+    assert hinted(joins.broadcast_if_small(df)) and not hinted(joins.broadcast_if_small(df, max_bytes=20_000))
+    assert not hinted(joins.broadcast_if_small(df, max_rows=19))
