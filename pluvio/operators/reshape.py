@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 MAX_PIVOT_VALUES = 1_000
 
 
+def can_pivot(df: DataFrame, col: str, limit: int | None = None) -> bool:
+    """Whether a column has few enough values to be spread over columns."""
+    limit = MAX_PIVOT_VALUES if limit is None else limit
+    return df.select(col).distinct().limit(limit + 1).count() <= limit
+
+
 def pivot_values(df: DataFrame, col: str, limit: int = MAX_PIVOT_VALUES) -> list:
     """Distinct values of a pivot column (sorted). These become column names, so
     their number is bounded; more than ``limit`` is an error, not a wide table."""
@@ -21,7 +27,10 @@ def pivot(df: DataFrame, keys, names_from: str, values: list, aggs: dict[str, Co
           sep: str = "_", measure_first: bool = True) -> DataFrame:
     """Group by ``keys`` and spread ``aggs`` over the ``values`` of ``names_from``.
     Output names are ``<measure><sep><value>`` (``measure_first``) or
-    ``<value><sep><measure>``; a single aggregate named '' gives ``<value>``."""
+    ``<value><sep><measure>``; a single aggregate named '' gives ``<value>``. Without
+    values only the keys are left."""
+    if not values:
+        return df.select(*keys).distinct()
     named = [a.alias(n or "v") for n, a in aggs.items()]
     p = df.groupBy(*keys).pivot(names_from, values).agg(*named)
     ren = {}

@@ -85,7 +85,7 @@ class Inputs:
         return self._slots
 
     def device_list(self) -> list:
-        return list(self.devices) if self.devices else reshape.pivot_values(self.slots(), DEV)
+        return list(self.devices) if self.devices is not None else reshape.pivot_values(self.slots(), DEV)
 
     def bounds(self) -> tuple:
         """(first slot, last slot) of the slot table: two values read once."""
@@ -142,18 +142,22 @@ def daily_rain_wide(daily: DataFrame, devices) -> DataFrame:
                          {"rain": F.first("interval"), "rain_max_3h": F.first("max_3_hr_interval")})
 
 
-def subhourly(inp: Inputs, g: DataFrame | None = None) -> DataFrame:
-    """The sub-hourly gauge table: per slot and device the raw cumulative mean,
-    the interval amount and one flag — anomaly / counter reset (smallest text),
-    else a gap after an empty slot; the first slot carries none; 'Missing' where
-    neither value nor flag exists. Pivoted wide only at the end."""
+def subhourly_long(inp: Inputs, g: DataFrame | None = None) -> DataFrame:
+    """Per slot and device the raw cumulative mean, the interval amount and one flag —
+    anomaly / counter reset (smallest text), else a gap after an empty slot; the first
+    slot carries none; 'Missing' where neither value nor flag exists."""
     g = gridded(inp) if g is None else g
     reset_col = "raw_interval" if inp.rules.flag_before_clamp else "interval"
     q = F.least(F.col("anomaly"), F.when(F.col(reset_col) < 0, F.lit(RESET_TEXT)))
     x = g.withColumn("quality", q)
     x = quality.gap_flag(x, (DEV,), "slot", "accumulated", "quality", step_minutes=inp.rules.minutes)
     x = quality.null_first_slot(x, "slot", "quality", first=inp.first_slot())
-    x = quality.missing_flag(x, "accumulated", "quality")
+    return quality.missing_flag(x, "accumulated", "quality").select(DEV, "slot", "accumulated", "interval", "quality")
+
+
+def subhourly(inp: Inputs, g: DataFrame | None = None) -> DataFrame:
+    """The sub-hourly gauge table, one row per slot with three columns a gauge."""
+    x = subhourly_long(inp, g)
     devs = inp.device_list()
     wide = reshape.pivot(x, ["slot"], DEV, devs, {
         "cumulative_rain": F.first("accumulated"), "quality": F.first("quality"),
@@ -254,15 +258,15 @@ DAILY_DROPPED = ("sta_rain_rate", "stb_rain_rate")
 
 
 def hydro_daily(spark: SparkSession, inp: Inputs, with_flags: bool = False,
-                measures=records.PUBLISHED_MEASURES, drop=DAILY_DROPPED, g: DataFrame | None = None) -> DataFrame:
+                measures=records.PUBLISHED_MEASURES, drop=DAILY_DROPPED, r: DataFrame | None = None) -> DataFrame:
     """The daily hydro-incident table on the reporting calendar: per-gauge daily
     rain and largest 3-hour sum, full-joined with the daily incident pivot, hazard
     totals, the official series with their flags, daily satellite rain (CHIRPS,
     6-hourly rate), the daily weather roll-up (without the stations' rain-rate
     columns) and (``with_flags``) the station period flags. Every source except the
     readings is optional."""
-    g = gridded(inp) if g is None else g
-    d = series.daily_rain(rolled(g, inp.rules, inp.last_day()), (DEV,))
+    r = rolled(gridded(inp), inp.rules, inp.last_day()) if r is None else r
+    d = series.daily_rain(r, (DEV,))
     full = daily_rain_wide(d, inp.device_list())
     if inp.incidents is not None:
         full = full.join(incident_daily(inp.incidents, measures), on="date", how="full")

@@ -1,52 +1,99 @@
 """Publish job: the four published tables and the side tables, written under one
-run folder. The shared slot table is checkpointed into the cluster's
-``spark.checkpoint.dir`` (required on a cluster).
+run folder. What several tables share (slot table, grid, rolled grid, parsed incidents) is
+checkpointed once into the cluster's ``spark.checkpoint.dir`` (required on a cluster).
 
-usage: python -m pluvio.plans.publish SF_DIR OUT_DIR RUN_DATE [--local]
-(``--local``: single-machine run without the cluster settings)
+usage: python -m pluvio.plans.publish LAYOUT.json OUT_DIR RUN_DATE [--local]
+LAYOUT.json holds the fields of ``exports.Layout`` and, optionally, "rules" and "period"
+with those of ``pipelines.GaugeRules`` and ``Period``. (``--local``: single-machine run
+without the cluster settings)
 """
 from __future__ import annotations
 
+import json
 import sys
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.operators import coverage, geo
+from pluvio.operators import columns, coverage, geo, quality, reshape
+from pluvio.plans import exports
 from pluvio.plans import fixtures as fx
 from pluvio.plans import pipelines as pl
 from pluvio.session import CLUSTER_CONF, get_session, pin
 from pluvio.sinks import writers
 
+# fixed values: the rename map's dataset of each published table
+DATASETS = {"hydro_incident_daily": "Hydro-incident dataset", "weather_hourly": "Hourly Summary",
+            "gauges_subhourly": "Field Measurements"}
 
-def build(spark, sf_dir: str) -> dict:
-    inp = fx.inputs(spark, sf_dir)
-    g = pin(pl.gridded(inp))  # one grid for all tables made from it
-    rolled = pl.rolled(g, inp.rules, inp.last_day())
-    daily = pl.hydro_daily(spark, inp, with_flags=True, g=g)
-    polys = geo.polygon_edges(fx.polygon_vertices(spark, sf_dir))
-    bins = pl.bins(inp, rolled)
-    return {
-        "hydro_incident_daily": writers.with_month(daily.drop("quality_sta", "quality_stb")),
-        "weather_hourly": pl.hourly_table(inp, rolled),
+
+def tables(spark, inp: pl.Inputs, points: DataFrame | None = None, edges: DataFrame | None = None,
+           camp_map: DataFrame | None = None, renames: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every table of the inputs given. The gauges are published long (``gauge_slots``,
+    ``gauge_days``), and wide in the first three tables where there are at most
+    ``reshape.MAX_PIVOT_VALUES`` of them; beyond, those tables have no gauge columns.
+    ``renames`` (old_name, new_name, dataset) renames the published columns."""
+    if inp.incidents is not None:
+        inp.incidents = pin(inp.incidents)
+    if inp.devices is None and not reshape.can_pivot(inp.slots(), pl.DEV):
+        inp.devices = []
+    g = pin(pl.gridded(inp))
+    r = pin(pl.rolled(g, inp.rules, inp.last_day()))
+    bins = pl.bins(inp, r)
+    out = {
+        "hydro_incident_daily": writers.with_month(pl.hydro_daily(spark, inp, r=r)),
+        "weather_hourly": pl.hourly_table(inp, r),
         "gauges_subhourly": pl.subhourly(inp, g),
-        "incident_records": pl.records.clean_records(inp.incidents),
+        "gauge_slots": pl.subhourly_long(inp, g),
+        "gauge_days": pl.series.daily_rain(r, (pl.DEV,)),
         "device_completeness": coverage.device_completeness(bins),
         "month_coverage": coverage.month_coverage(bins),
-        "incident_gps_check": pl.geo_check(fx.points(spark, sf_dir), polys, fx.camp_name_map(spark, sf_dir)),
+        "flagged_slots": quality.flagged_rows(inp.slots().withColumnRenamed("anomaly", "quality"), (pl.DEV,)),
         "reading_counts": pl.rejected_readings(inp.readings),
-        "frequency": coverage.frequency_table(g, ("device",), "interval"),
+        "frequency": coverage.frequency_table(g, (pl.DEV,), "interval"),
     }
+    if inp.incidents is not None:
+        out["incident_records"] = pl.records.clean_records(inp.incidents)
+    if points is not None:
+        out["incident_gps_check"] = pl.geo_check(points, edges, camp_map)
+        out["incidents_without_coordinate"] = points.filter(F.col("x").isNull())
+    if renames is not None:
+        for name, dataset in DATASETS.items():
+            out[name] = columns.rename_by_table(out[name], renames, dataset)
+    return out
+
+
+def build(spark, sf_dir: str) -> dict[str, DataFrame]:
+    """The published tables of the stand-in inputs."""
+    return tables(spark, fx.inputs(spark, sf_dir), fx.points(spark, sf_dir),
+                  geo.polygon_edges(fx.polygon_vertices(spark, sf_dir)), fx.camp_name_map(spark, sf_dir))
+
+
+def from_exports(spark, layout: exports.Layout, **kw) -> dict[str, DataFrame]:
+    """The published tables of a layout of export files."""
+    where = exports.positions(spark, layout) if layout.polygons and layout.camp_names and layout.incidents else ()
+    renames = exports.readers.read_mapping(spark, layout.renames) if layout.renames else None
+    return tables(spark, exports.inputs(spark, layout, **kw), *where, renames=renames)
+
+
+def write(out: dict[str, DataFrame], root: str, run_date: str) -> dict[str, str]:
+    """Parquet per table under the run folder, the daily table by month; the position
+    check also as CSV, from what was written."""
+    paths = writers.publish(out, root, run_date, {"hydro_incident_daily": ["month"]})
+    if "incident_gps_check" in paths:
+        gps = out["incident_gps_check"].sparkSession.read.parquet(paths["incident_gps_check"])
+        writers.write_csv(gps.withColumn("run_date", F.lit(run_date)), f"{root.rstrip('/')}/{run_date}/incident_gps_check_csv")
+    return paths
 
 
 def main(argv):
-    sf_dir, out, run_date = argv[1:4]
+    layout_path, out, run_date = argv[1:4]
     local = "--local" in argv[4:]
     spark = get_session("local[*]" if local else None, app="pluvio-publish",
                         conf=None if local else CLUSTER_CONF)
-    tables = build(spark, sf_dir)
-    writers.publish(tables, out, run_date, {"hydro_incident_daily": ["month"]})
-    writers.write_csv(tables["incident_gps_check"].withColumn("run_date", F.lit(run_date)),
-                      f"{out.rstrip('/')}/{run_date}/incident_gps_check_csv")
+    spec = json.loads(spark.read.option("wholetext", True).text(layout_path).first()[0])
+    kw = {k: cls(**spec.pop(k)) for k, cls in (("rules", pl.GaugeRules), ("period", pl.Period)) if k in spec}
+    write(from_exports(spark, exports.Layout(**spec), **kw), out, run_date)
 
 
 if __name__ == "__main__":

@@ -42,10 +42,11 @@ def read_delimited(spark: SparkSession, path, nulls=DEFAULT_NULLS, sep: str = ",
                    header: bool = True, normalize: bool = True, multi_line: bool = True) -> DataFrame:
     """Delimited text, every column as text, cells equal to one of ``nulls`` -> null.
     Quoted cells may hold separators, doubled quotes and line breaks; a file is then one
-    scan split. ``multi_line=False`` splits large files whose cells hold no line break."""
+    scan split. (Empty cells are read by way of a character no text holds, because an
+    empty header cell read as null fails a scan over line breaks.) ``multi_line=False`` splits large files whose cells hold no line break."""
     df = (spark.read.option("header", header).option("sep", sep).option("inferSchema", False)
           .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-          .option("nullValue", None).csv(path))
+          .option("nullValue", "\0").csv(path))
     names = normalize_names(df.columns) if normalize else df.columns
     return df.select(*[null_tokens(F.col(f"`{c}`"), nulls).alias(n) for c, n in zip(df.columns, names)])
 
@@ -58,14 +59,25 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     return sorted(r[0] for r in files.collect())
 
 
+def files_by_header(spark: SparkSession, folder: str, pattern: str) -> list[list[str]]:
+    """File paths grouped by their first line. A file whose first line ends inside quotes
+    (its header goes on) is a group of its own."""
+    f = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+         .select("path", F.substring_index(F.col("content").cast("string"), "\n", 1).alias("line")))
+    odd = F.length(F.regexp_replace("line", '[^"]', "")) % 2 == 1
+    own = F.when(odd, F.col("path"))
+    groups = f.groupBy(F.regexp_replace("line", "\r$", ""), own).agg(F.collect_list("path").alias("paths"))
+    return sorted(sorted(r["paths"]) for r in groups.collect())
+
+
 def read_folder(spark: SparkSession, folder: str, pattern: str, nulls=DEFAULT_NULLS,
                 sep: str = ",", drop_prefixes=()) -> DataFrame:
     """All files of a folder matching ``pattern``, unioned by column name (a
-    column missing from a file is null there). Files are read one by one because a
-    multi-file CSV scan maps columns by position, and the exports' headers differ."""
+    column missing from a file is null there). A multi-file CSV scan maps columns by
+    position, so files with the same header line share a scan, and each header has its own."""
     frames = []
-    for p in list_files(spark, folder, pattern):
-        df = read_delimited(spark, p, nulls, sep)
+    for paths in files_by_header(spark, folder, pattern):
+        df = read_delimited(spark, paths, nulls, sep)
         if drop_prefixes:
             df = df.drop(*[c for c in df.columns if any(c.startswith(x) for x in drop_prefixes)])
         frames.append(df)
