@@ -115,9 +115,9 @@ class RankModel:
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, score): the score is 1 for a document whose ranks are those of the
         profile and 0 if none of its n-grams is in it."""
-        words = WORD.findall(text.lower()) if text else None
-        if not words or not self.langs:
+        if not text or not self.langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
+        words = WORD.findall(text.lower())
         keys, n = gram_counts(words)
         if len(n) > self.depth:  # all that reach the count of the last in the ranking
             enough = n >= np.partition(n, -self.depth)[-self.depth]

@@ -67,3 +67,9 @@ def test_odd_rows(spark):
     assert language_id.identify(df.limit(0)).count() == 0
     no_labels = language_id.identify(df.select("doc_id", "text").withColumn("lang", df["text"].substr(0, 0).cast("string")).replace("", None, "lang"))
     assert {r["lang_pred"] for r in no_labels.collect()} <= {"und", ""}
+
+
+def test_number_signs_are_no_letters():
+    model = language_id.RankModel({"en": language_id.gram_counts(["the", "cat"])[0]})
+    assert model.predict("² ½ 12 _") == ("und", 0.0)
+    assert model.predict("² cat")[0] == "en"
