@@ -436,7 +436,8 @@ def q_missing_flag(spark, d):
 @query
 def q_station_quality(spark, d):
     """Station period flags on the hourly table."""
-    h = pl.hourly_table(_inp(spark, d, with_satellite=False))
+    inp = _inp(spark, d, with_satellite=False)
+    h = pl.with_stations(inp, pl.gauge_hours(inp.readings))
     return h.select("datehour", "quality_sta", "quality_stb")
 
 
@@ -463,10 +464,7 @@ def q_daily_weather(spark, d):
 @query
 def q_weather_long(spark, d):
     """Hourly station table without gauge and text columns, unpivoted to (time, field, value)."""
-    h = pl.hourly_table(_inp(spark, d, with_satellite=False))
-    h = columns.select_prefix(h, "precip", drop=True)
-    h = columns.drop_strings(h)
-    return reshape.unpivot(h, ["datehour"], "weather_field", "value")
+    return pl.weather_long(_inp(spark, d, with_satellite=False))
 
 
 @query

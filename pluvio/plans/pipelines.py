@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.functions.dates import any_date, day_month_ambiguous, ntz_literal, parse_timestamp
+from pluvio.functions.dates import any_date, day_month_ambiguous, floor_minutes, ntz_literal, parse_timestamp
 from pluvio.functions.nulls import exact_sum, r_if_else, round_half
 from pluvio.operators import columns, coverage, geo, quality, records, reshape, series, weather
 from pluvio.operators.quality import ANOMALY_TEXT, RESET_TEXT, TRACE_TEXT
@@ -228,12 +228,33 @@ def hourly_table(inp: Inputs, r: DataFrame | None = None) -> DataFrame:
     devs = inp.device_list()
     wide = reshape.pivot(h, ["datehour"], DEV, devs, {"": F.first("precipitation")})
     wide = wide.withColumnsRenamed({str(d): f"precip_{d}" for d in devs})
+    return with_stations(inp, wide)
+
+
+def with_stations(inp: Inputs, hours: DataFrame) -> DataFrame:
+    """``hours`` (datehour, ...) joined to both stations, with station period flags."""
     p = inp.period
-    return weather.hourly_weather(wide, inp.lead_station, inp.other_station, p.station_start,
+    return weather.hourly_weather(hours, inp.lead_station, inp.other_station, p.station_start,
                                   p.station_end, "sta_low_temp", "stb_hi_temp",
                                   lead_flag="quality_sta", other_flag="quality_stb")
 
 
+def gauge_hours(readings: DataFrame) -> DataFrame:
+    """The hours (datehour) of the gauges' grid without its last day, from the first and
+    the last reading time alone."""
+    ends = readings.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).select(
+        floor_minutes("lo", 60).alias("first"), F.to_date("hi").cast("timestamp_ntz").alias("end"))
+    hour = F.make_dt_interval(F.lit(0), F.lit(1))
+    return ends.filter(F.col("first") < F.col("end")).select(
+        F.explode(F.sequence("first", F.col("end") - hour, hour)).alias("datehour"))
+
+
+def weather_long(inp: Inputs) -> DataFrame:
+    """The stations' numeric fields on the gauges' hours as (datehour, weather_field, value)."""
+    h = columns.drop_strings(with_stations(inp, gauge_hours(inp.readings)))
+    return reshape.unpivot(h, ["datehour"], "weather_field", "value")
+
+
 def daily_weather(inp: Inputs) -> DataFrame:
     return weather.daily_weather(inp.lead_station, inp.other_station, drop=("sta_bar",))
 

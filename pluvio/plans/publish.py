@@ -52,6 +52,8 @@ def tables(spark, inp: pl.Inputs, points: DataFrame | None = None, edges: DataFr
         "reading_counts": pl.rejected_readings(inp.readings),
         "frequency": coverage.frequency_table(g, (pl.DEV,), "interval"),
     }
+    if inp.lead_station is not None:
+        out["weather_long"] = pl.weather_long(inp)
     if inp.incidents is not None:
         out["incident_records"] = pl.records.clean_records(inp.incidents)
     if points is not None:
