@@ -26,6 +26,9 @@ WINDOW = 4096       # pieces a task chooses from
 BATCH_CHARS = 1 << 20
 # beyond these the two tokenizer libraries may class characters differently
 OTHER_CHARS = re.compile("[^\x00-ɏ]")
+# the faster library fails on a million white-space characters in a row; looked for among
+# every SPARSE-th character, so a run of ten times that is always found
+SPARSE, SPACES = 1000, re.compile(r"\s{10}")
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, loss long, ids_crc32 long, doc_tokens long, "
                 "ids array<int>")
@@ -33,8 +36,9 @@ PIECE_SCHEMA = ("doc_id long, start long, length long, loss long, ids_crc32 long
 
 class Encoder:
     """Ids of whole texts. The ranks are the same vocabulary for a library that is
-    several times as fast; they serve texts of Latin characters, where both give the
-    same ids (tested). All others go through the tokenizer file. Both are loaded in the
+    several times as fast; they serve texts of Latin characters without very long runs
+    of white space, where both give the same ids (tested). All others go through the
+    tokenizer file. Both are loaded in the
     task that first needs them."""
 
     def __init__(self, tokenizer_path: str, ranks_path: str | None = None):
@@ -42,7 +46,7 @@ class Encoder:
         self.exact = self.quick = None
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.ranks_path is not None and not OTHER_CHARS.search(text):
+        if self.ranks_path is not None and not OTHER_CHARS.search(text) and not SPACES.search(text[::SPARSE]):
             if self.quick is None:
                 self.quick = self._ranks()
             return self.quick.encode_to_numpy(text, disallowed_special=())

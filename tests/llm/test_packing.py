@@ -69,6 +69,14 @@ def test_both_encoders_agree_where_ranks_serve(exact):
         assert quick(t).tolist() == exact.encode(t, add_special_tokens=False).ids
 
 
+def test_millions_of_white_space_characters(exact):
+    both = packing.Encoder(*queries.tokenizer_paths())
+    for t in (" " * 3_000_000, "a" + "\t" * 1_000_000 + "b", "x\n" + "\n\xa0\x85 " * 250_000 + "y z"):
+        assert both(t).tolist() == exact.encode(t, add_special_tokens=False).ids
+    for at in (0, 1, 999, 1000, 1001):  # wherever a run of 10,000 begins
+        assert packing.SPACES.search(("x" * at + " " * 10_000 + "y")[::packing.SPARSE])
+
+
 def test_three_limits_hold_for_instruction_data(spark):
     rng = random.Random(4)
     rows = [(i, 0, n, min(n, rng.randrange(1 + n)), "x") for i in range(3000) for n in [rng.choice([1, 3, 20, 100, 300, 512])]]
