@@ -64,6 +64,28 @@ def test_random_texts(spark):
         assert found[i] == sorted(ref.base_spans(t) + weak_spans(t)), t
 
 
+def test_long_runs_with_and_without_scheme(spark):
+    rng = random.Random(6)
+    bits = ["f0" * 40, "a" * 63, "7" * 70, "1.2.3.4", "-", ".", "+", "://", "://x", ":", " ", "user: bob_1 ", "token=abcdefgh1 ", "Ab", "9", "é", '"',
+            "10.0.0.1:80", "http", "K\u212a", "_"]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randrange(40))), "x") for i in range(600)]
+    found = scanned(spark, rows)
+    assert sum(s[1] == 5 for spans in found.values() for s in spans) > 100
+    for i, t, _ in rows:
+        assert found[i] == sorted(ref.base_spans(t) + weak_spans(t)), t
+
+
+def test_runs_of_a_million_characters_end(spark):
+    rng = random.Random(7)
+    n = 1_000_000
+    runs = ["".join(rng.choices("0123456789abcdef", k=n)), "".join(rng.choices("0123456789abcdef.-", k=n)), "b1.2.3.4-" * (n // 9)]
+    rows = [(i, f"{r} user: bob_1 token=abcdefgh1 https://x.example.com/a", "x") for i, r in enumerate(runs)]
+    found = scanned(spark, rows)
+    assert (0, 2, n) in found[0]
+    for i, t, _ in rows:
+        assert (t.index("https"), 5, len(t)) in found[i]
+
+
 def test_linking_needs_complements(spark):
     alone = "see Zm9vYmFyYmF6cXV4MTIzNDU2 there"
     near = "user: alice_7 with Zm9vYmFyYmF6cXV4MTIzNDU2 at https://db.example.com/x"
