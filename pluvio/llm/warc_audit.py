@@ -45,12 +45,19 @@ def _node(children: str) -> Column:
     return F.sha2(F.array_join(each, "\n"), 256)
 
 
+def children(leaf: DataFrame, range_bytes: int = RANGE) -> DataFrame:
+    """(file, node, offset, length, digest, n): the placed records of ``leaf`` under their
+    ranges, rows alike in all of these counted by ``n``."""
+    return (leaf.filter(F.col("offset").isNotNull())
+            .groupBy("file", F.expr(f"offset div {range_bytes}L").alias("node"), "offset", "length", "digest")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def tree(leaf: DataFrame, depth: int, range_bytes: int = RANGE, fan: int = FAN) -> list[DataFrame]:
     """Levels from the lowest ranges to the roots: (file, node, digest). A node's group
-    is at most the records that begin in a range, or ``fan`` children."""
-    levels = [store(leaf.filter(F.col("offset").isNotNull())
-                    .groupBy("file", F.expr(f"offset div {range_bytes}L").alias("node"))
-                    .agg(_node("offset, length, digest").alias("digest")))]
+    is at most the different records that begin in a range, or ``fan`` children."""
+    levels = [store(children(leaf, range_bytes).groupBy("file", "node")
+                    .agg(_node("offset, length, digest, n").alias("digest")))]
     for _ in range(depth):
         levels.append(store(levels[-1].groupBy("file", F.expr(f"node div {fan}L").alias("up"))
                             .agg(_node("node, digest").alias("digest")).withColumnRenamed("up", "node")))

@@ -62,3 +62,18 @@ def test_odd_rows(spark):
     assert warc_audit.audit(x.limit(0), y.limit(0)).count() == 0
     assert {r["status"] for r in warc_audit.audit(x, y.limit(0)).collect()} == {"missing", "unplaced"}
     assert {r["status"] for r in warc_audit.audit(x.limit(0), y).collect()} == {"added", "unplaced"}
+
+
+def test_copies_are_one_child(spark):
+    schema = "record_id long, file string, offset long, payload binary"
+    first = [(1, "f", 0, b"")] * 3000 + [(2, "f", 0, b"a"), (3, "f", 1, b"b")]
+    x = spark.createDataFrame(first, schema)
+    got = {(r["offset"], r["length"]): r["n"] for r in warc_audit.children(warc_audit.leaves(x)).collect()}
+    assert got == {(0, 0): 3000, (0, 1): 1, (1, 1): 1}
+    roots = [warc_audit.tree(warc_audit.leaves(spark.createDataFrame(r, schema)), 0)[0].collect() for r in (first, first[1:], first[::-1])]
+    assert roots[0] != roots[1]
+    assert roots[0] == roots[2]
+    for second in (first, first[5:], first[:-2], [*first, (4, "f", 1, b"c")]):
+        out = warc_audit.audit(x, spark.createDataFrame(second, schema)).collect()
+        assert len(out) == len(first)
+        assert {(r["file"], r["offset"]): r["status"] for r in out} == plain(first, second)
