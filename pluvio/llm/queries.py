@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pluvio.llm import (exact_dedup, language_id, minhash, mixing, packing, secrets, sharding, url_filter, vector_dedup,
-                        warc_audit)
+from pluvio.llm import (exact_dedup, language_id, minhash, mixing, packing, secrets, sharding, suffix_dedup, url_filter,
+                        vector_dedup, warc_audit)
 
 #: Rules of the URL query: (verdict, host, path). Fixed values.
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -108,9 +108,17 @@ def op10_vector_packing(spark, sf_dir):
     return packing.pack(pieces.drop("ids")).drop("loss")
 
 
+def op13_suffix_dedup(spark, sf_dir):
+    """Bytes of every document in strings of 400 bytes that start anywhere else."""
+    found = suffix_dedup.repeated_spans(_table(spark, sf_dir, "documents"), length=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.when(F.col("kept").isNull(), F.col("text_sha256")).otherwise(F.sha2("kept", 256)).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_exact_dedup, op3_secret_scan, op4_embedding_near_dedup, op5_sharding, op6_language_id,
-    op7_mixing, op8_warc_fixity_audit, op9_url_filter, op10_vector_packing)}
+    op7_mixing, op8_warc_fixity_audit, op9_url_filter, op10_vector_packing, op13_suffix_dedup)}
 
 _UPPER, _LOWER = url_filter.UPPER, url_filter.LOWER
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
