@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pluvio.llm import (exact_dedup, language_id, minhash, mixing, packing, secrets, sharding, suffix_dedup, url_filter,
-                        vector_dedup, warc_audit)
+from pluvio.llm import (exact_dedup, language_id, minhash, mixing, packing, periodic_runs, secrets, sharding,
+                        suffix_dedup, url_filter, vector_dedup, warc_audit)
 
 #: Rules of the URL query: (verdict, host, path). Fixed values.
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -108,6 +108,19 @@ def op10_vector_packing(spark, sf_dir):
     return packing.pack(pieces.drop("ids")).drop("loss")
 
 
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of every document, some of which get a periodic end first."""
+    docs = periodic_runs.repeat_tails(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.collapse_runs(docs)
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    return (found.withColumn("top", top)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"),
+                    F.col("top.length").alias("length"), (-F.col("top.period")).alias("period"),
+                    F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+                    F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
 def op13_suffix_dedup(spark, sf_dir):
     """Bytes of every document in strings of 400 bytes that start anywhere else."""
     found = suffix_dedup.repeated_spans(_table(spark, sf_dir, "documents"), length=400)
@@ -118,7 +131,8 @@ def op13_suffix_dedup(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_exact_dedup, op3_secret_scan, op4_embedding_near_dedup, op5_sharding, op6_language_id,
-    op7_mixing, op8_warc_fixity_audit, op9_url_filter, op10_vector_packing, op13_suffix_dedup)}
+    op7_mixing, op8_warc_fixity_audit, op9_url_filter, op10_vector_packing, op12_periodic_runs,
+    op13_suffix_dedup)}
 
 _UPPER, _LOWER = url_filter.UPPER, url_filter.LOWER
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
