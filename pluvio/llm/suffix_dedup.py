@@ -32,6 +32,7 @@ CHUNK = 1 << 20        # bytes hashed at once
 SHARD = 1 << 19        # bytes of a shard
 SLICES = 8             # shards whose windows meet in one range, about
 MULTIPLIER = 0x9E3779B97F4A7C15
+PIECES = 4096          # segments of a long text in a batch
 FIRST = 7              # bytes that the first sort compares
 
 
@@ -243,11 +244,12 @@ def _segment_rows(length: int):
 
     def go(batches):
         for batch in batches:
-            for text, at in zip(batch.column(0), batch.column(1), strict=True):
-                text, at = text.as_py(), at.as_py()
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array([x[c] for x in at], pa.int64()) for c in names),
-                     pa.array([text[x["lo"]:x["hi"] + length] for x in at], pa.binary())], names=[*names, "segment"])
+            for text, cut in zip(batch.column(0), batch.column(1), strict=True):
+                text, every = text.as_py(), cut.as_py()
+                for at in (every[i:i + PIECES] for i in range(0, len(every), PIECES)):
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array([x[c] for x in at], pa.int64()) for c in names),
+                         pa.array([text[x["lo"]:x["hi"] + length] for x in at], pa.binary())], names=[*names, "segment"])
     return go
 
 
@@ -464,8 +466,9 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
                     .mapInArrow(_segment_rows(length), "h long, salt long, salts long, s0 long, s1 long, segment binary"))
         shards = store(segments.repartition(n, "h", "salt").sortWithinPartitions("h", "salt", "s0", "s1")
                        .mapInArrow(_shard_rows(length), _FOUND + ", " + _SLICES.removeprefix("h long, ")))
-        hits = (store(_found_segments(shards)).groupBy(F.col("h").alias("_h"), F.col("s0").alias("_s0"), F.col("s1").alias("_s1"))
-                .agg(F.flatten(F.collect_list("at")).alias("at")))
+        # stored, so that both sides of the join with a common segment's pieces can be split
+        hits = store(_found_segments(shards).groupBy(F.col("h").alias("_h"), F.col("s0").alias("_s0"), F.col("s1").alias("_s1"))
+                     .agg(F.flatten(F.collect_list("at")).alias("at")))
         moved = F.transform("at", lambda x: F.struct((F.col("lo") + x["a"]).alias("a"), (F.col("lo") + x["b"]).alias("b")))
         spans = (pieces.join(hits, (pieces["h"] == hits["_h"]) & (pieces["s0"] == hits["_s0"]) & (pieces["s1"] == hits["_s1"]))
                  .select("k0", "k1", moved.alias("at")).groupBy(F.col("k0").alias("_k0"), F.col("k1").alias("_k1"))
