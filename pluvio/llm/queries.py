@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pluvio.llm import (exact_dedup, language_id, minhash, mixing, packing, periodic_runs, secrets, sharding,
+from pluvio.llm import (exact_dedup, hard_negatives, language_id, minhash, mixing, packing, periodic_runs, secrets, sharding,
                         suffix_dedup, url_filter, vector_dedup, warc_audit)
 
 #: Rules of the URL query: (verdict, host, path). Fixed values.
@@ -108,6 +108,14 @@ def op10_vector_packing(spark, sf_dir):
     return packing.pack(pieces.drop("ids")).drop("loss")
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """Three hard negatives for each of five positives of every fiftieth embedding, some
+    of whose labels are moved on by one first."""
+    rows = _table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def op12_periodic_runs(spark, sf_dir):
     """Periodic runs of every document, some of which get a periodic end first."""
     docs = periodic_runs.repeat_tails(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -131,7 +139,7 @@ def op13_suffix_dedup(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_exact_dedup, op3_secret_scan, op4_embedding_near_dedup, op5_sharding, op6_language_id,
-    op7_mixing, op8_warc_fixity_audit, op9_url_filter, op10_vector_packing, op12_periodic_runs,
+    op7_mixing, op8_warc_fixity_audit, op9_url_filter, op10_vector_packing, op11_hard_negatives, op12_periodic_runs,
     op13_suffix_dedup)}
 
 _UPPER, _LOWER = url_filter.UPPER, url_filter.LOWER
