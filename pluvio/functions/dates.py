@@ -46,10 +46,17 @@ def any_date(c, formats=ANY_DATE_FORMATS) -> Column:
 def floor_minutes(ts, minutes: int) -> Column:
     """Round a timestamp down to a multiple of ``minutes`` (epoch-aligned). Pure
     arithmetic: a TIMESTAMP_NTZ stays NTZ and the session time zone plays no part
-    (``date_trunc`` would return a zone-bound TIMESTAMP)."""
+    (``date_trunc`` would return a zone-bound TIMESTAMP). Rows without a time go."""
     return F.window(_c(ts), f"{minutes} minutes").start
 
 
+def slot_start(ts, minutes: int) -> Column:
+    """Start of the slot of ``minutes``, counted from midnight, that ``ts`` lies in. A null
+    stays a null row (rows without a time are lost where ``floor_minutes`` is used)."""
+    of_day = F.hour(_c(ts)) * 60 + F.minute(_c(ts))
+    return F.to_date(_c(ts)).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), of_day - of_day % minutes)
+
+
 def anchored_bin(ts, anchor, minutes: int) -> Column:
     """Start of the ``minutes``-long bin containing ``ts``, bins anchored at ``anchor``
     (the series' first timestamp cut to the minute), not at midnight."""

@@ -38,12 +38,6 @@ def select_prefix(df: DataFrame, *prefixes: str, drop: bool = False) -> DataFram
     return df.select(*[q(c) for c in keep])
 
 
-def select_containing(df: DataFrame, *texts: str, drop: bool = False) -> DataFrame:
-    hit = {c for t in texts for c in containing(df, t)}
-    keep = [c for c in df.columns if (c in hit) != drop]
-    return df.select(*[q(c) for c in keep])
-
-
 def keep_existing(df: DataFrame, wanted) -> DataFrame:
     """Select the wanted columns that exist, in the wanted order."""
     return df.select(*[q(c) for c in wanted if c in df.columns])
@@ -65,8 +59,15 @@ def drop_strings(df: DataFrame, keep=()) -> DataFrame:
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Rename old -> new; absent old names and blank new names are ignored."""
+    """Rename old -> new; absent old names and blank new names are ignored. Two columns of
+    one name (in any case, as tables are written) are refused."""
     m = {o: n for o, n in mapping.items() if o and n and o in df.columns}
+    sources: dict[str, list[str]] = {}
+    for c in df.columns:
+        sources.setdefault(m.get(c, c).lower(), []).append(c)
+    clash = {new: old for new, old in sources.items() if len(old) > 1 and any(c in m for c in old)}
+    if clash:
+        raise ValueError("columns would share a name: " + "; ".join(f"{new}: {', '.join(old)}" for new, old in clash.items()))
     return df.withColumnsRenamed(m) if m else df
 
 
@@ -76,7 +77,8 @@ def rename_by_table(df: DataFrame, rename_map: DataFrame, dataset: str | None =
     """Rename from a mapping table (old, new[, dataset]). Rows with a blank old or
     new name are dropped. Only the rows whose old name is a column of ``df`` are read,
     so what reaches the driver is bounded by the schema, whatever the map's length; a
-    name mapped twice takes the smaller new name."""
+    name mapped twice takes the smaller new name, and a new name that another column has
+    already is refused."""
     m = rename_map.filter(F.col(old).isNotNull() & F.col(new).isNotNull()
                           & (F.trim(F.col(old)) != "") & (F.trim(F.col(new)) != ""))
     if dataset is not None:

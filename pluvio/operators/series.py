@@ -12,12 +12,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.functions import exact
 from pluvio.functions.dates import floor_minutes, ntz_literal
+from pluvio.functions.nulls import sql_name
 from pluvio.operators.joins import scalar
 
 DAY = "date"
-# relative difference of two slot means that order of addition alone can make
-NOISE = 1e-12
+
+
+def check_step(minutes: int) -> int:
+    """``minutes`` if slots of that length start at every midnight."""
+    if minutes < 1 or 1440 % minutes:
+        raise ValueError(f"slots of {minutes} minutes don't divide a day")
+    return minutes
 
 
 def _interval_minutes(minutes: int) -> Column:
@@ -25,21 +32,28 @@ def _interval_minutes(minutes: int) -> Column:
 
 
 def slot_summary(readings: DataFrame, keys=("device",), ts: str = "ts",
-                 minutes: int = 15, aggs: dict[str, Column] | None = None) -> DataFrame:
+                 minutes: int = 15, means: dict[str, str] | None = None,
+                 aggs: dict[str, Column] | None = None) -> DataFrame:
     """Group readings into ``minutes`` buckets per key: one aggregation (with
     map-side partial aggregation) producing every per-slot measure at once.
-    ``aggs`` maps output name -> aggregate; default is the mean of ``value``
-    (null values skipped, an all-null slot stays null)."""
-    aggs = aggs or {"value": F.avg("value")}
-    return (readings.filter(F.col(ts).isNotNull())
-            .groupBy(*keys, floor_minutes(ts, minutes).alias("slot"))
-            .agg(*[a.alias(n) for n, a in aggs.items()]))
+    ``means`` maps an output name to the column it is the mean of (null values skipped,
+    an all-null slot stays null), the same whatever the order of the readings; ``aggs``
+    maps further output names to aggregates. Readings without a time are left out."""
+    return summarised(readings.filter(F.col(ts).isNotNull()).withColumn("slot", floor_minutes(ts, minutes)),
+                      (*keys, "slot"), means or {"value": "value"}, aggs)
+
+
+def summarised(rows: DataFrame, keys, means: dict[str, str], aggs: dict[str, Column] | None = None) -> DataFrame:
+    """One aggregation with order-independent ``means`` and other aggregates."""
+    sums = [a for out, c in means.items() for a in exact.sums(sql_name(c), out)]
+    g = rows.groupBy(*keys).agg(*[a.alias(n) for n, a in (aggs or {}).items()], *sums)
+    return exact.with_means(g, *means).select(*keys, *means, *(aggs or {}))
 
 
 def bucket_mean(readings: DataFrame, keys=("device",), ts="ts", value="value",
                 minutes: int = 15) -> DataFrame:
     """Mean of ``value`` per key and ``minutes`` bucket."""
-    return slot_summary(readings, keys, ts, minutes, {value: F.avg(value)})
+    return slot_summary(readings, keys, ts, minutes, {value: value})
 
 
 def lag_in_series(df: DataFrame, keys, order: str, cols, prefix: str = "prev_") -> DataFrame:
@@ -74,6 +88,7 @@ def lag_on_grid(df: DataFrame, keys, order: str, cols, minutes: int, prefix: str
     day between the bounds is a row): the row before a day's first slot is that
     key's last slot of the previous day, so the halo is just those rows moved one
     day on — no per-day summary and no per-key window are needed."""
+    check_step(minutes)
     keys, cols = list(keys), list(cols)
     day = "_lag_day"
     x = df.withColumn(day, F.to_date(order))
@@ -91,15 +106,10 @@ def counter_diff(series: DataFrame, keys=("device",), order: str = "slot", value
     """Cumulative counter -> per-interval amount: value minus the previous existing
     row's value. A null on either side gives null. With ``clamp`` negative
     differences (counter resets) become 0; ``keep_raw`` names a column that keeps
-    the unclamped difference. Slot means are sums of doubles whose last digits depend
-    on the order of the readings, so a difference within NOISE of the values counts as
-    exactly 0: a flat counter has no rain and no reset."""
+    the unclamped difference. Means of equal readings are equal to the last bit (see
+    ``functions.exact``), so a flat counter has no rain and no reset."""
     d = lag_in_series(series, keys, order, [value], prefix="_prev_")
-    before = F.col(f"_prev_{value}")
-    diff = F.col(value) - before
-    flat = F.abs(diff) <= NOISE * F.greatest(F.abs(F.col(value)), F.abs(before))
-    diff = F.when(flat, F.lit(0.0)).otherwise(diff)
-    d = d.withColumn(out, diff)
+    d = d.withColumn(out, F.col(value) - F.col(f"_prev_{value}"))
     if keep_raw:
         d = d.withColumn(keep_raw, F.col(out))
     if clamp:
@@ -113,6 +123,7 @@ def time_grid(series: DataFrame, keys=("device",), order: str = "slot", minutes:
     series, for every key present. Bounds come from one scalar subquery (or are
     given, when a smaller table already knows them); slots are generated per
     (key, day), so no row ever holds more than a day of slots."""
+    check_step(minutes)
     keys = list(keys)
     if bounds is None:
         b = scalar(series, F.struct(F.min(order).alias("lo"), F.max(order).alias("hi")))

@@ -493,15 +493,13 @@ def q_bin_availability(spark, d):
 @query
 def q_month_coverage(spark, d):
     """Usable days (more than one 8-h bin with data) per gauge and month, and percent."""
-    return coverage.month_coverage(pl.bins(_inp(spark, d, with_stations=False, with_incidents=False,
-                                                with_satellite=False)))
+    return pl.month_coverage(_inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False))
 
 
 @query
 def q_device_completeness(spark, d):
     """Per gauge: expected readings (days x 96), readings present, percent."""
-    return coverage.device_completeness(pl.bins(_inp(spark, d, with_stations=False,
-                                                     with_incidents=False, with_satellite=False)))
+    return pl.device_completeness(_inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False))
 
 
 @query
@@ -516,9 +514,36 @@ def q_column_completeness(spark, d):
 
 @query
 def q_frequency_table(spark, d):
-    """Per gauge: each interval value (4 places) with count, percent and running totals."""
+    """Per gauge: each interval value with count, percent and running totals; values are
+    counted as they are and rounded for display only."""
     inp = _inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False)
-    return coverage.frequency_table(pl.gridded(inp), (DEV,), "interval", 4)
+    return coverage.frequency_table(pl.gridded(inp), (DEV,), "interval")
+
+
+@query
+def q_ingest_slots(spark, d):
+    """Overlapping gauge exports of both kinds through the one-pass ingest: union, time
+    parsing, repeated rows, slot means and flags, and the number of readings of a slot."""
+    return pl.ingest(pl.export_readings(fx.gauge_exports(spark, d)), RULES, pl.EXPORT_ROW)
+
+
+@query
+def q_reading_counts(spark, d):
+    """Readings of the exports, those without a time, those outside the calendar."""
+    ingested = pl.ingest(pl.export_readings(fx.gauge_exports(spark, d)), RULES, pl.EXPORT_ROW)
+    return pl.reading_counts(ingested, fx.COUNT_PERIOD)
+
+
+@query
+def q_slot_runs(spark, d):
+    """Runs of consecutive slots with a known amount, by gauge and day."""
+    return pl.known_runs(_inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False))
+
+
+@query
+def q_reading_gaps(spark, d):
+    """Stretches without a raw mean between a gauge's first and last one."""
+    return pl.reading_gaps(_inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False))
 
 
 # ------------------------------------------------------------------ geo

@@ -23,9 +23,11 @@ RATE = "precipitation_rate_surface_6_hour_average"
 @dataclass(frozen=True)
 class Layout:
     """Paths of the exports. ``device_names`` maps a column of the later gauge files (its
-    normalised name) to the device's name in the first ones."""
+    normalised name) to the device's name in the first ones. ``gauge_line_breaks``: whether
+    cells of gauge files hold line breaks; a file is then one split of the scan."""
     gauges: str
     device_names: dict = field(default_factory=dict)
+    gauge_line_breaks: bool = False
     incidents: str | None = None
     older_incidents: str | None = None
     older_before: str = "2020-01-01"
@@ -41,13 +43,14 @@ class Layout:
 
 
 def gauge_readings(spark: SparkSession, layout: Layout) -> DataFrame:
-    """(device, ts, value) of both gauge export kinds: one reading a row (time, device_name,
-    value), and one column a gauge (date, ...), which is unpivoted. Repeated rows go."""
-    exports = []
+    """(device, ts, value, time, date) of both gauge export kinds: one reading a row (time,
+    device_name, value), and one column a gauge (date, ...), which is unpivoted; columns
+    without a header go. Repeated rows stay (see ``pipelines.ingest``)."""
+    exports, multi = [], {"multi_line": layout.gauge_line_breaks}
     if readers.list_files(spark, layout.gauges, FIRST_PERIOD):
-        exports.append(readers.read_folder(spark, layout.gauges, FIRST_PERIOD).select("time", "device_name", "value"))
+        exports.append(readers.read_folder(spark, layout.gauges, FIRST_PERIOD, **multi).select("time", "device_name", "value"))
     if readers.list_files(spark, layout.gauges, LATER_PERIOD):
-        wide = readers.read_folder(spark, layout.gauges, LATER_PERIOD, drop_prefixes=("x",))
+        wide = readers.read_folder(spark, layout.gauges, LATER_PERIOD, drop_unnamed=True, **multi)
         wide = wide.withColumnsRenamed(layout.device_names)
         exports.append(reshape.unpivot(wide, ["date"], "device_name", "value"))
     if not exports:
@@ -55,7 +58,7 @@ def gauge_readings(spark: SparkSession, layout: Layout) -> DataFrame:
     text = [e.withColumn("value", F.col("value").try_cast("double")) for e in exports]
     for c in ("time", "date"):
         text = [e if c in e.columns else e.withColumn(c, F.lit(None).cast("string")) for e in text]
-    return pl.gauge_ingest(text).select(F.col("device_name").alias(pl.DEV), F.col("date_time").alias("ts"), "value")
+    return pl.export_readings(text)
 
 
 def incident_records(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -95,7 +98,7 @@ def inputs(spark: SparkSession, layout: Layout, **kw) -> pl.Inputs:
         c = readers.read_delimited(spark, layout.chirps)
         chirps = c.select("system_time_start", F.col("precipitation").try_cast("double").alias("precipitation"))
     official = {n: readers.read_delimited(spark, p).select("date", "rainfall_mm") for n, p in layout.official.items()}
-    return pl.Inputs(readings=gauge_readings(spark, layout), incidents=inc, lead_station=a, other_station=b,
+    return pl.Inputs(readings=gauge_readings(spark, layout), distinct=pl.EXPORT_ROW, incidents=inc, lead_station=a, other_station=b,
                      satellite=sat, chirps=chirps, official=official or None, **kw)
 
 

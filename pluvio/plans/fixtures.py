@@ -26,20 +26,15 @@ EVENTS_FIRST_DAY = "2024-01-01"
 RULES = pl.GaugeRules(problem_dates=("2024-01-05", "2024-01-06"), low=1.0, high=100.0)
 PERIOD = pl.Period(spine_start="2024-01-01", spine_end="2024-02-05", station_start="2024-01-08",
                    station_end="2024-01-22", official_year=2024, official_start="2024-01-04")
+# a calendar that ends before the readings do
+COUNT_PERIOD = replace(PERIOD, spine_start="2024-01-03", spine_end="2024-01-25")
 ORDER_PERIOD = replace(PERIOD, official_year=2020, official_start="2020-05-01",
                        official_spine=("2020-01-01", "2020-12-31"))
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; one relation per session and path (files listed once, and
-    identical scans let Spark reuse exchanges)."""
-    key = (id(spark), spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(key[2])
-    return _TABLES[key]
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def readings(spark, sf_dir) -> DataFrame:

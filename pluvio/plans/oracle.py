@@ -366,11 +366,29 @@ dc AS (SELECT device, date, sum(count) AS count FROM bins GROUP BY 1, 2)""",
   round(sum(count) / (count(*) * 96) * 100, 4) AS percent FROM dc GROUP BY 1""")
 S["monthly_day_count"] = W(GRIDDED, """SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month_num, strftime(min(date), '%b') AS month, device,
   count(*) AS day_count FROM daily WHERE interval IS NOT NULL GROUP BY 1, 2, device""")
-S["frequency_table"] = W(GRIDDED + """,
-cnt AS (SELECT device, round(interval, 4) AS item, count(*) AS count FROM g WHERE interval IS NOT NULL GROUP BY 1, 2),
+# Values are counted as they are, so the means behind them must be the same to the last
+# bit: the mean of the readings' exact sum, in steps of 2^-64, corrects the engine's.
+def _steps(v):
+    whole, part = f"trunc({v})", f"({v} - trunc({v})) * 4294967296"
+    return (f"(CAST({whole} AS HUGEINT) * 18446744073709551616::HUGEINT + CAST(trunc({part}) AS HUGEINT) * 4294967296::HUGEINT"
+            f" + CAST(trunc(({part} - trunc({part})) * 4294967296) AS HUGEINT))")
+
+
+def _corrected(q, n, w):
+    return f"{q} + CAST({w} - {n} * {_steps(q)} AS DOUBLE) / 18446744073709551616.0 / {n}"
+
+
+_MASKED = "CASE WHEN anom THEN NULL ELSE value END"
+_EXACT = GRIDDED.replace("\nslots AS (", "\nslots0 AS (").replace(
+    f"avg({_MASKED}) AS value,", f"avg({_MASKED}) AS q, count({_MASKED}) AS n, sum({_steps(f'({_MASKED})')}) AS w,").replace(
+    "\ndif AS (", f"""
+slots AS (SELECT device, slot, accumulated, {_corrected('q', 'n', 'w')} AS value, anomaly FROM slots0),
+dif AS (""")
+S["frequency_table"] = W(_EXACT + """,
+cnt AS (SELECT device, interval AS item, count(*) AS count FROM g WHERE interval IS NOT NULL GROUP BY 1, 2),
 ft AS (SELECT *, sum(count) OVER (PARTITION BY device) AS total,
               sum(count) OVER (PARTITION BY device ORDER BY count DESC, item ASC ROWS UNBOUNDED PRECEDING) AS cum FROM cnt)""",
-                         """SELECT device, item, count, round(count / total * 100, 4) AS percent, CAST(cum AS BIGINT) AS cum_count,
+                         """SELECT device, round(item, 4) AS item, count, round(count / total * 100, 4) AS percent, CAST(cum AS BIGINT) AS cum_count,
   round(cum / total * 100, 4) AS cum_percent FROM ft""")
 
 # ---------------------------------------------------------------- geo
@@ -449,4 +467,27 @@ S["points_without_coordinate"] = W(_NO_X, f"SELECT point_id, {r4('y', 'y')} FROM
 S["points_with_coordinate"] = W(_NO_X, f"SELECT point_id, {r4('x', 'x')}, {r4('y', 'y')} FROM pm WHERE x IS NOT NULL AND y IS NOT NULL")
 S["flagged_slots"] = W(GRIDDED, "SELECT device, slot, anomaly AS quality FROM slots WHERE anomaly IS NOT NULL")
 
+# ---------------------------------------------------------------- one-pass ingest, runs
+_INGEST = EXPORTS + f""",
+once AS (SELECT DISTINCT * FROM ex),
+timed AS (SELECT device_name AS device, value,
+  CASE WHEN date IS NULL THEN try_strptime(time, '%Y-%m-%d %H:%M:%S') ELSE try_strptime(date, '%d/%m/%Y %H:%M') END AS ts FROM once),
+flagged AS (SELECT *, CAST(ts AS DATE) IN (DATE '2024-01-05', DATE '2024-01-06') AND (value > 100 OR value < 1) AS anom FROM timed)"""
+S["ingest_slots"] = W(_INGEST + f""",
+summed AS (SELECT device, time_bucket(INTERVAL 15 MINUTE, ts) AS slot, avg(value) AS q1, count(value) AS n1, sum({_steps('value')}) AS w1,
+  avg({_MASKED}) AS q2, count({_MASKED}) AS n2, sum({_steps(f'({_MASKED})')}) AS w2,
+  min(CASE WHEN anom THEN '{ANOMALY}' END) AS anomaly, count(*) AS readings FROM flagged GROUP BY 1, 2)""",
+                      f"""SELECT device, slot, round({_corrected('q1', 'n1', 'w1')}, 4) AS accumulated, round({_corrected('q2', 'n2', 'w2')}, 4) AS value,
+  anomaly, readings FROM summed""")
+S["reading_counts"] = W(_INGEST, """SELECT count(*) AS readings, count(*) FILTER (WHERE ts IS NULL) AS without_time,
+  count(*) FILTER (WHERE CAST(ts AS DATE) < DATE '2024-01-03' OR CAST(ts AS DATE) > DATE '2024-01-25') AS outside_period FROM timed""")
+S["slot_runs"] = W(GRIDDED + """,
+known AS (SELECT device, date, slot FROM gd WHERE interval IS NOT NULL),
+islands AS (SELECT *, slot - INTERVAL 15 MINUTE * row_number() OVER (PARTITION BY device, date ORDER BY slot) AS island FROM known)""",
+                   """SELECT device, date, min(slot) AS first, max(slot) AS last, count(*) AS slots FROM islands GROUP BY device, date, island""")
+S["reading_gaps"] = W(GRIDDED + """,
+nxt AS (SELECT device, slot, lead(slot) OVER (PARTITION BY device ORDER BY slot) AS after FROM slots WHERE accumulated IS NOT NULL)""",
+                      """SELECT device, slot + INTERVAL 15 MINUTE AS gap_first, after - INTERVAL 15 MINUTE AS gap_last,
+  CAST(epoch(after - slot) / 900 AS BIGINT) - 1 AS slots FROM nxt WHERE after > slot + INTERVAL 15 MINUTE""")
+
 ORACLE_SQL = dict(S)

@@ -1,9 +1,11 @@
 """Pipelines: the published tables composed from the operators.
 
 The gauge side starts with ONE aggregation of the raw readings into
-(device, 15-minute slot) — raw mean, corrected mean and anomaly flag together —
-so the large input is scanned and shuffled once; every later step works on that
-slot table, whose size is devices x time span, not the number of readings.
+(device, 15-minute slot) — raw mean, corrected mean, anomaly flag and the number of
+readings together — so the large input is scanned and shuffled once; every later step,
+the counts of rejected readings and the hours of the weather table included, works on
+that slot table, whose size is devices x time span, not the number of readings. Repeated
+rows of export files go within the same shuffle.
 """
 from __future__ import annotations
 
@@ -12,9 +14,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.functions.dates import any_date, day_month_ambiguous, floor_minutes, ntz_literal, parse_timestamp
-from pluvio.functions.nulls import exact_sum, r_if_else, round_half
-from pluvio.operators import columns, coverage, geo, quality, records, reshape, series, weather
+from pluvio.functions import exact
+from pluvio.functions.dates import any_date, day_month_ambiguous, floor_minutes, ntz_literal, parse_timestamp, slot_start
+from pluvio.functions.nulls import r_if_else, round_half
+from pluvio.operators import columns, coverage, geo, quality, records, reshape, runs, series, weather
 from pluvio.operators.quality import ANOMALY_TEXT, RESET_TEXT, TRACE_TEXT
 from pluvio.session import pin
 from pluvio.sources.generated import calendar
@@ -23,6 +26,8 @@ DEV = "device"
 
 
 UNKNOWN_DEVICE = "unknown"
+# groups that readings without a time, which only are counted, are spread over
+UNTIMED_GROUPS = 1024
 
 
 @dataclass(frozen=True)
@@ -39,8 +44,7 @@ class GaugeRules:
     flag_before_clamp: bool = False
 
     def __post_init__(self):
-        if self.minutes < 1 or 1440 % self.minutes:
-            raise ValueError("slots must divide a day")
+        series.check_step(self.minutes)
 
 
 @dataclass(frozen=True)
@@ -59,8 +63,10 @@ class Period:
 
 @dataclass
 class Inputs:
-    """Logical inputs of the pipelines (any data of these schemas)."""
+    """Logical inputs of the pipelines (any data of these schemas). ``distinct`` names the
+    columns of ``readings`` by which a row is a repeated one; none if no row repeats."""
     readings: DataFrame
+    distinct: tuple = ()
     incidents: DataFrame | None = None
     lead_station: DataFrame | None = None
     other_station: DataFrame | None = None
@@ -71,28 +77,48 @@ class Inputs:
     rules: GaugeRules = field(default_factory=GaugeRules)
     period: Period = field(default_factory=Period)
     checkpoint: bool = True
-    _slots: DataFrame | None = field(default=None, repr=False)
-    _bounds: tuple | None = field(default=None, repr=False)
+    _ingested: DataFrame | None = field(default=None, repr=False)
+    _known: tuple | None = field(default=None, repr=False)
+
+    def ingested(self) -> DataFrame:
+        """What one pass over the readings gives (see ``ingest``), computed once. With
+        ``checkpoint`` it is written to the session's checkpoint folder: every consumer
+        (grid bounds, device names, differences, flags, counts) then reads that small
+        table instead of re-running the aggregation of the readings, and its lineage
+        survives executor loss."""
+        if self._ingested is None:
+            s = ingest(self.readings, self.rules, self.distinct)
+            self._ingested = pin(s) if self.checkpoint else s
+        return self._ingested
 
     def slots(self) -> DataFrame:
-        """The slot table, computed once. With ``checkpoint`` it is written to the
-        session's checkpoint folder: every consumer (grid bounds, device names,
-        differences, flags) then reads that small table instead of re-running the
-        aggregation of the readings, and its lineage survives executor loss."""
-        if self._slots is None:
-            s = slot_table(self.readings, self.rules)
-            self._slots = pin(s) if self.checkpoint else s
-        return self._slots
+        return slots_of(self.ingested())
+
+    def _summary(self) -> tuple:
+        """(first slot, last slot, devices), read in one job; no devices where there are
+        more than can be columns."""
+        if self._known is None:
+            per = self.slots().groupBy(DEV).agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
+            most = reshape.MAX_PIVOT_VALUES
+            r = per.agg(F.min("lo"), F.max("hi"), F.count(F.lit(1)),
+                        F.when(F.count(F.lit(1)) <= most, F.sort_array(F.collect_list(DEV)))).first()
+            self._known = (r[0], r[1], r[3], r[2])
+        return self._known
 
     def device_list(self) -> list:
-        return list(self.devices) if self.devices is not None else reshape.pivot_values(self.slots(), DEV)
+        if self.devices is not None:
+            return list(self.devices)
+        found = self._summary()[2]
+        if found is None:
+            raise ValueError(f"{DEV}: {self._summary()[3]} values, more than {reshape.MAX_PIVOT_VALUES} to pivot")
+        return list(found)
+
+    def can_pivot(self) -> bool:
+        return self.devices is not None or self._summary()[2] is not None
 
     def bounds(self) -> tuple:
-        """(first slot, last slot) of the slot table: two values read once."""
-        if self._bounds is None:
-            r = self.slots().agg(F.min("slot"), F.max("slot")).first()
-            self._bounds = (r[0], r[1])
-        return self._bounds
+        """(first slot, last slot) of the slot table."""
+        return self._summary()[:2]
 
     def first_slot(self):
         return ntz_literal(self.bounds()[0])
@@ -103,22 +129,56 @@ class Inputs:
 
 
 # --------------------------------------------------------------------------- gauges
-def slot_table(readings: DataFrame, rules: GaugeRules) -> DataFrame:
-    """(device, slot, accumulated, value, anomaly): raw mean, mean after anomaly
-    masking, and the anomaly flag, from one aggregation of the readings."""
+def ingest(readings: DataFrame, rules: GaugeRules, distinct=()) -> DataFrame:
+    """(device, slot, accumulated, value, anomaly, readings): raw mean, mean after anomaly
+    masking, anomaly flag and number of the readings of each slot, from one aggregation;
+    readings without a time are counted in rows without a slot. Means don't depend on the
+    order of the readings.
+
+    With ``distinct``, rows alike in these columns and the device count once. Rows that
+    are alike lie in one slot, so the readings are dealt out by slot once and both the
+    repeated rows and the means are seen to where they then are."""
     cond = quality.anomaly_condition("ts", "value", rules.problem_dates, rules.low, rules.high)
-    masked = r_if_else(cond, F.lit(None).cast("double"), F.col("value"))
-    # a reading without a device is a series of its own, in long and wide tables alike
-    named = readings.withColumn(DEV, F.coalesce(F.col(DEV), F.lit(UNKNOWN_DEVICE)))
+    x = readings.withColumns({
+        # a reading without a device is a series of its own, in long and wide tables alike;
+        # a device of that name gets another one
+        DEV: (F.when(F.col(DEV).isNull(), F.lit(UNKNOWN_DEVICE))
+              .when(F.col(DEV).rlike(f"^{UNKNOWN_DEVICE}_*$"), F.concat(F.col(DEV), F.lit("_"))).otherwise(F.col(DEV))),
+        "slot": slot_start("ts", rules.minutes),
+        "masked": r_if_else(cond, F.lit(None).cast("double"), F.col("value")),
+        "flagged": F.when(cond, 1),
+        "group": F.when(F.col("ts").isNull(), F.pmod(F.hash(*readings.columns), F.lit(UNTIMED_GROUPS))).otherwise(0)})
+    keys = (DEV, "slot", "group")
+    if distinct:
+        x = x.repartition(*keys).dropDuplicates([*keys, *[c for c in distinct if c not in keys]])
+    s = series.summarised(x, keys, {"accumulated": "value", "value": "masked"},
+                          {"anomaly": F.max("flagged"), "readings": F.count(F.lit(1))})
     # the flag is a number inside the aggregation, which so stays a hash aggregation
-    s = series.slot_summary(named, (DEV,), "ts", rules.minutes, {
-        "accumulated": F.avg("value"), "value": F.avg(masked), "anomaly": F.max(F.when(cond, 1))})
-    return s.withColumn("anomaly", F.when(F.col("anomaly") == 1, ANOMALY_TEXT))
+    return s.drop("group").withColumn("anomaly", F.when(F.col("anomaly") == 1, ANOMALY_TEXT))
+
+
+def slots_of(ingested: DataFrame) -> DataFrame:
+    """(device, slot, accumulated, value, anomaly)."""
+    return ingested.filter(F.col("slot").isNotNull()).drop("readings")
+
+
+def slot_table(readings: DataFrame, rules: GaugeRules, distinct=()) -> DataFrame:
+    return slots_of(ingest(readings, rules, distinct))
+
+
+def reading_counts(ingested: DataFrame, period: Period) -> DataFrame:
+    """One row: readings, those that no slot can take because their time is null
+    (unparsable text), and those with a time outside the reporting period, which widen
+    every dense table. Published with the tables, so a wrong format or clock shows."""
+    day, n = F.to_date("slot"), F.col("readings")
+    outside = (day < F.lit(period.spine_start).cast("date")) | (day > F.lit(period.spine_end).cast("date"))
+    total = lambda c: F.coalesce(F.sum(F.when(c, n)), F.lit(0)).cast("bigint")
+    return ingested.agg(total(F.lit(True)).alias("readings"), total(F.col("slot").isNull()).alias("without_time"),
+                        total(outside).alias("outside_period"))
 
 
 def rejected_readings(readings: DataFrame) -> DataFrame:
-    """One row: readings, and those that no slot can take because their time is null
-    (unparsable text). Published with the tables, so a wrong format shows."""
+    """One row: readings, and those without a time, counted from the readings themselves."""
     return readings.agg(F.count(F.lit(1)).alias("readings"), F.count_if(F.col("ts").isNull()).alias("without_time"))
 
 
@@ -170,12 +230,11 @@ def subhourly(inp: Inputs, g: DataFrame | None = None) -> DataFrame:
 def satellite_daily(sat: DataFrame, date_col="system_time_start", rate="precipitation_rate",
                     name="rain_cfsr") -> DataFrame:
     """6-hourly rate -> daily mm: rate x (1/0.997) x 21600 summed per day, 0 when
-    no value, two decimals. The day's sum is accumulated exactly (DECIMAL), so the
-    rounded figure does not depend on the order Spark adds the terms in."""
+    no value, two decimals. The day's sum does not depend on the order Spark adds the
+    terms in, so neither does the rounded figure."""
     mm = F.col(rate) * (1 / 0.997) * 60 * 60 * 6
-    total = F.coalesce(exact_sum("_mm"), F.lit(0).cast("decimal(38,9)"))
-    return (sat.select(any_date(date_col).alias("date"), mm.alias("_mm"))
-            .groupBy("date").agg(F.round(total, 2).cast("double").alias(name)))
+    d = exact.with_totals(sat.select(any_date(date_col).alias("date"), mm.alias("_mm")).groupBy("date").agg(*exact.sums("_mm", name)), name)
+    return d.select("date", F.round(F.coalesce(name, F.lit(0.0)), 2).alias(name))
 
 
 def chirps_daily(export: DataFrame, date_col="system_time_start", value="precipitation",
@@ -242,16 +301,26 @@ def with_stations(inp: Inputs, hours: DataFrame) -> DataFrame:
 def gauge_hours(readings: DataFrame) -> DataFrame:
     """The hours (datehour) of the gauges' grid without its last day, from the first and
     the last reading time alone."""
-    ends = readings.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).select(
-        floor_minutes("lo", 60).alias("first"), F.to_date("hi").cast("timestamp_ntz").alias("end"))
+    return _hours(readings.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")))
+
+
+def grid_hours(inp: Inputs) -> DataFrame:
+    """The same from the bounds of the slot table: the readings aren't read for it."""
+    lo, hi = inp.bounds()
+    one = inp.readings.sparkSession.range(1)
+    return _hours(one.select(ntz_literal(lo).alias("lo"), ntz_literal(hi).alias("hi")))
+
+
+def _hours(ends: DataFrame) -> DataFrame:
+    x = ends.select(floor_minutes("lo", 60).alias("first"), F.to_date("hi").cast("timestamp_ntz").alias("end"))
     hour = F.make_dt_interval(F.lit(0), F.lit(1))
-    return ends.filter(F.col("first") < F.col("end")).select(
+    return x.filter(F.col("first") < F.col("end")).select(
         F.explode(F.sequence("first", F.col("end") - hour, hour)).alias("datehour"))
 
 
-def weather_long(inp: Inputs) -> DataFrame:
+def weather_long(inp: Inputs, hours: DataFrame | None = None) -> DataFrame:
     """The stations' numeric fields on the gauges' hours as (datehour, weather_field, value)."""
-    h = columns.drop_strings(with_stations(inp, gauge_hours(inp.readings)))
+    h = columns.drop_strings(with_stations(inp, gauge_hours(inp.readings) if hours is None else hours))
     return reshape.unpivot(h, ["datehour"], "weather_field", "value")
 
 
@@ -328,21 +397,81 @@ def published_order(daily: DataFrame, devices, measures, hazards=records.HAZARDS
 
 
 # --------------------------------------------------------------------------- coverage
-def bins(inp: Inputs, r: DataFrame | None = None) -> DataFrame:
-    r = rolled(gridded(inp), inp.rules, inp.last_day()) if r is None else r
-    return coverage.bin_availability(r, (DEV,), "slot", "interval", 480, first=inp.first_slot())
+def known_runs(inp: Inputs) -> DataFrame:
+    """``runs.day_runs`` of the slots with a known amount, without the last (partial) day.
+    No dense grid is made for it."""
+    diffs = series.counter_diff(inp.slots(), (DEV,), "slot", "value", "interval", clamp=True)
+    r = runs.day_runs(diffs, (DEV,), "slot", inp.rules.minutes, "interval")
+    return r.filter(F.col("date") < F.lit(inp.last_day()))
 
 
-def gauge_ingest(exports) -> DataFrame:
-    """Gauge exports unioned by name, whole-row duplicates removed, the two time
-    spellings parsed into one timestamp."""
+def devices_of(inp: Inputs) -> DataFrame:
+    return inp.slots().select(DEV).distinct()
+
+
+def _span(inp: Inputs) -> tuple:
+    return inp.bounds()[0], inp.last_day()
+
+
+def bins(inp: Inputs, known: DataFrame | None = None, minutes: int = 480) -> DataFrame:
+    """Count of known amounts per bin of ``minutes`` (from the first slot on), day and
+    gauge, with a yes/no, for every bin of the grid without its last day."""
+    known = known_runs(inp) if known is None else known
+    first, end = _span(inp)
+    n = runs.bin_counts(known, ntz_literal(first), (DEV,), inp.rules.minutes, minutes)
+    every = runs.all_bins(devices_of(inp), first, end, (DEV,), inp.rules.minutes, minutes)
+    return (every.join(n, on=[DEV, "date", "bin_start"], how="left")
+            .select("bin_start", "date", DEV, F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
+            .withColumn("available", F.when(F.col("count") > 0, "yes").otherwise("no")))
+
+
+def month_coverage(inp: Inputs, known: DataFrame | None = None, minutes: int = 480, min_bins: int = 1) -> DataFrame:
+    """Usable days per gauge and month, from the runs of known amounts."""
+    known = known_runs(inp) if known is None else known
+    first, end = _span(inp)
+    usable = runs.usable_days(runs.bin_counts(known, ntz_literal(first), (DEV,), inp.rules.minutes, minutes), (DEV,), min_bins)
+    return runs.month_coverage(usable, devices_of(inp), first, end, (DEV,))
+
+
+def device_completeness(inp: Inputs, known: DataFrame | None = None) -> DataFrame:
+    """Slots expected and present per gauge, by the rules' slot length."""
+    known = known_runs(inp) if known is None else known
+    return runs.completeness(known, devices_of(inp), *_span(inp), (DEV,), inp.rules.minutes)
+
+
+def reading_gaps(inp: Inputs) -> DataFrame:
+    """(device, gap_first, gap_last, slots): the stretches without a raw mean between a
+    gauge's first and last one."""
+    by_day = runs.day_runs(inp.slots(), (DEV,), "slot", inp.rules.minutes, "accumulated")
+    return runs.gaps(runs.series_runs(by_day, (DEV,), inp.rules.minutes), (DEV,), inp.rules.minutes)
+
+
+def gauge_union(exports) -> DataFrame:
+    """Gauge exports unioned by name with the two time spellings parsed into one
+    timestamp, ``date_time``; repeated rows stay."""
     u = exports[0]
     for e in exports[1:]:
         u = u.unionByName(e, allowMissingColumns=True)
-    u = u.dropDuplicates()
     t = F.when(F.col("date").isNull(), parse_timestamp("time", "yyyy-MM-dd HH:mm:ss")).otherwise(
         parse_timestamp("date", "d/M/yyyy H:mm"))
-    return u.withColumn("date_time", t).drop("time", "date")
+    return u.withColumn("date_time", t)
+
+
+#: Columns of a gauge export by which a row is a repeated one
+EXPORT_ROW = ("time", "date", "value")
+
+
+def export_readings(exports) -> DataFrame:
+    """(device, ts, value, time, date) of gauge exports, repeated rows included: they go
+    in ``ingest`` by ``EXPORT_ROW``."""
+    return gauge_union(exports).select(F.col("device_name").alias(DEV), F.col("date_time").alias("ts"), "value", "time", "date")
+
+
+def gauge_ingest(exports) -> DataFrame:
+    """Gauge exports unioned by name, whole-row duplicates removed, the two time
+    spellings parsed into one timestamp."""
+    u = gauge_union(exports)
+    return u.dropDuplicates([c for c in u.columns if c != "date_time"]).drop("time", "date")
 
 
 def geo_check(points: DataFrame, edges: DataFrame, camp_map: DataFrame, band: float | None = None):

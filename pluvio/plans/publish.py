@@ -35,25 +35,26 @@ def tables(spark, inp: pl.Inputs, points: DataFrame | None = None, edges: DataFr
     ``renames`` (old_name, new_name, dataset) renames the published columns."""
     if inp.incidents is not None:
         inp.incidents = pin(inp.incidents)
-    if inp.devices is None and not reshape.can_pivot(inp.slots(), pl.DEV):
+    if not inp.can_pivot():
         inp.devices = []
     g = pin(pl.gridded(inp))
     r = pin(pl.rolled(g, inp.rules, inp.last_day()))
-    bins = pl.bins(inp, r)
+    known = pin(pl.known_runs(inp))
     out = {
         "hydro_incident_daily": writers.with_month(pl.hydro_daily(spark, inp, r=r)),
         "weather_hourly": pl.hourly_table(inp, r),
         "gauges_subhourly": pl.subhourly(inp, g),
         "gauge_slots": pl.subhourly_long(inp, g),
         "gauge_days": pl.series.daily_rain(r, (pl.DEV,)),
-        "device_completeness": coverage.device_completeness(bins),
-        "month_coverage": coverage.month_coverage(bins),
+        "device_completeness": pl.device_completeness(inp, known),
+        "month_coverage": pl.month_coverage(inp, known),
+        "gauge_gaps": pl.reading_gaps(inp),
         "flagged_slots": quality.flagged_rows(inp.slots().withColumnRenamed("anomaly", "quality"), (pl.DEV,)),
-        "reading_counts": pl.rejected_readings(inp.readings),
+        "reading_counts": pl.reading_counts(inp.ingested(), inp.period),
         "frequency": coverage.frequency_table(g, (pl.DEV,), "interval"),
     }
     if inp.lead_station is not None:
-        out["weather_long"] = pl.weather_long(inp)
+        out["weather_long"] = pl.weather_long(inp, pl.grid_hours(inp))
     if inp.incidents is not None:
         out["incident_records"] = pl.records.clean_records(inp.incidents)
     if points is not None:

@@ -7,6 +7,7 @@ casts, so a bad cell becomes null instead of failing the job."""
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ from pluvio.functions.nulls import null_tokens
 
 # fixed values: strings read as "no value"
 DEFAULT_NULLS = ("NA", "", " ")
+#: Header cells left empty: as Spark names them, and as a table written with names for them
+UNNAMED = r"|_c\d+|[xX](\.\d+)?"
+HEADER_BYTES = 1 << 20  # of a file, to find its first line in
 
 
 def normalize_names(names) -> list[str]:
@@ -39,16 +43,20 @@ def normalize_names(names) -> list[str]:
 
 
 def read_delimited(spark: SparkSession, path, nulls=DEFAULT_NULLS, sep: str = ",",
-                   header: bool = True, normalize: bool = True, multi_line: bool = True) -> DataFrame:
+                   header: bool = True, normalize: bool = True, multi_line: bool = True,
+                   drop_unnamed: bool = False) -> DataFrame:
     """Delimited text, every column as text, cells equal to one of ``nulls`` -> null.
     Quoted cells may hold separators, doubled quotes and line breaks; a file is then one
     scan split. (Empty cells are read by way of a character no text holds, because an
-    empty header cell read as null fails a scan over line breaks.) ``multi_line=False`` splits large files whose cells hold no line break."""
+    empty header cell read as null fails a scan over line breaks.) ``multi_line=False`` splits
+    large files whose cells hold no line break. ``drop_unnamed`` leaves out the columns
+    without a header."""
     df = (spark.read.option("header", header).option("sep", sep).option("inferSchema", False)
           .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
           .option("nullValue", "\0").csv(path))
     names = normalize_names(df.columns) if normalize else df.columns
-    return df.select(*[null_tokens(F.col(f"`{c}`"), nulls).alias(n) for c, n in zip(df.columns, names)])
+    return df.select(*[null_tokens(F.col(f"`{c}`"), nulls).alias(n) for c, n in zip(df.columns, names)
+                       if not (drop_unnamed and re.fullmatch(UNNAMED, c.strip()))])
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
@@ -59,28 +67,54 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     return sorted(r[0] for r in files.collect())
 
 
+def first_lines(spark: SparkSession, paths) -> dict[str, str]:
+    """The first line of each file, by the file system that Spark reads with. Of a file no
+    more than its first HEADER_BYTES are opened, whatever its size; a longer first line is
+    an error."""
+    sc = spark.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(path):
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        stream = at.getFileSystem(conf).open(at)
+        try:
+            codec = codecs.getCodec(at)
+            text = codec.createInputStream(stream) if codec is not None else stream
+            got = b""
+            for size in (1 << 13, HEADER_BYTES - (1 << 13)):
+                more = bytes(text.readNBytes(size))
+                got += more
+                if b"\n" in more or len(more) < size:
+                    return got.split(b"\n", 1)[0].decode("utf-8", "replace").rstrip("\r").removeprefix("\ufeff")
+        finally:
+            stream.close()
+        raise ValueError(f"{path}: its first line has more than {HEADER_BYTES} bytes")
+
+    with ThreadPoolExecutor(16) as pool:
+        return dict(zip(paths, pool.map(first, paths), strict=True))
+
+
 def files_by_header(spark: SparkSession, folder: str, pattern: str) -> list[list[str]]:
     """File paths grouped by their first line. A file whose first line ends inside quotes
     (its header goes on) is a group of its own."""
-    f = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-         .select("path", F.substring_index(F.col("content").cast("string"), "\n", 1).alias("line")))
-    odd = F.length(F.regexp_replace("line", '[^"]', "")) % 2 == 1
-    own = F.when(odd, F.col("path"))
-    groups = f.groupBy(F.regexp_replace("line", "\r$", ""), own).agg(F.collect_list("path").alias("paths"))
-    return sorted(sorted(r["paths"]) for r in groups.collect())
+    groups: dict[tuple, list[str]] = {}
+    for path, line in first_lines(spark, list_files(spark, folder, pattern)).items():
+        groups.setdefault((line, path if line.count('"') % 2 else None), []).append(path)
+    return sorted(sorted(paths) for paths in groups.values())
 
 
 def read_folder(spark: SparkSession, folder: str, pattern: str, nulls=DEFAULT_NULLS,
-                sep: str = ",", drop_prefixes=()) -> DataFrame:
+                sep: str = ",", drop_unnamed: bool = False, multi_line: bool = True) -> DataFrame:
     """All files of a folder matching ``pattern``, unioned by column name (a
     column missing from a file is null there). A multi-file CSV scan maps columns by
-    position, so files with the same header line share a scan, and each header has its own."""
+    position, so files with the same header line share a scan, and each header has its own.
+    With ``multi_line=False``, for cells without line breaks, a large file makes several
+    splits."""
     frames = []
     for paths in files_by_header(spark, folder, pattern):
-        df = read_delimited(spark, paths, nulls, sep)
-        if drop_prefixes:
-            df = df.drop(*[c for c in df.columns if any(c.startswith(x) for x in drop_prefixes)])
-        frames.append(df)
+        broken = len(paths) == 1 and first_lines(spark, paths)[paths[0]].count('"') % 2 == 1
+        frames.append(read_delimited(spark, paths, nulls, sep, multi_line=multi_line or broken, drop_unnamed=drop_unnamed))
     if not frames:
         raise FileNotFoundError(f"no file matching {pattern} in {folder}")
     out = frames[0]

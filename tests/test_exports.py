@@ -96,7 +96,7 @@ def test_exports_to_published_tables(spark, layout, tmpdir_path):
         (dt.date(2019, 12, 31), "Wind-Storm", 1.0), (dt.date(2020, 6, 1), "Flood", 4.0),
         (dt.date(2020, 6, 1), "Flood", 6.0), (dt.date(2020, 6, 2), "Fire", 3.0)]
     assert not {"uid", "organization", "additional_comments", "gps_log"} & set(t["incident_records"].columns)
-    assert rows(t["reading_counts"]) == [(11, 1)]
+    assert rows(t["reading_counts"]) == [(11, 1, 0)]
     assert rows(t["incident_gps_check"], "point_id", "camp_name_reported", "camp_name_gps", "camp_consistency") == [
         ("u1", "Camp 1", "Camp 1", True), ("u2", "Camp 2", "Camp 1", False)]
     assert rows(t["incidents_without_coordinate"], "point_id") == [("u3",)]

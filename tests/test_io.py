@@ -86,7 +86,7 @@ def test_vertex_file_to_spatial_join(spark, tmpdir_path):
 
 def test_folder_read_drops_unnamed_columns(spark, tmpdir_path):
     _write(os.path.join(tmpdir_path, "a_GSB.csv"), "Date,G1,,X.5\n01/06/2020 00:00,3,,z\n")
-    df = readers.read_folder(spark, tmpdir_path, "*GSB*", drop_prefixes=("x",))
+    df = readers.read_folder(spark, tmpdir_path, "*GSB*", drop_unnamed=True)
     assert df.columns == ["date", "g1"]
 
 
