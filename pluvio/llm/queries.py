@@ -58,10 +58,8 @@ def op6_language_id(spark, sf_dir):
 
 def op7_mixing(spark, sf_dir):
     """Words that the mix takes of each document."""
-    docs = _table(spark, sf_dir, "documents").select(
-        "doc_id", "source", mixing.word_count(F.col("text")).alias("size"),
-        mixing.draw_of(F.col("doc_id"), F.col("text")).alias("draw"))
-    mix, rows = mixing.fit_stored(docs)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text", mixing.word_count(F.col("text")).alias("size"))
+    mix, rows = mixing.fit_stored(mixing.with_draws(docs))
     return (mixing.apply(rows, mix, F.col("size"), F.col("draw"))
             .select("doc_id", "size", "source_size", "target", "taken", "copies", "rate"))
 

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 import reference as ref
@@ -80,6 +81,63 @@ def test_odd_rows(spark):
     assert by[6, "null"]["source_size"] == 1
 
 
+def _taken(spark, rows, **options):
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    docs = mixing.with_draws(df.select("doc_id", "source", "text", mixing.word_count(F.col("text")).alias("size")))
+    mix, stored = mixing.fit_stored(docs, **options)
+    got = mixing.apply(stored, mix, F.col("size"), F.col("draw"))
+    per = {r["source"]: (r["taken"], r["target"]) for r in got.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
+    return per, sorted((r["doc_id"], r["copies"]) for r in got.collect())
+
+
+def test_repeated_rows_are_drawn_one_by_one(spark):
+    rows = [(7, "w " * 100, "a")] * 50 + [(100 + i, "v " * (20 + i % 30), "b") for i in range(400)]
+    per, copies = _taken(spark, rows, weights={"a": 1, "b": 7}, share=0.6)
+    for taken, target in per.values():
+        assert abs(taken - target) <= 100
+    assert copies == _taken(spark, rows[::-1], weights={"a": 1, "b": 7}, share=0.6)[1]
+
+
+def test_one_document_dominates(spark):
+    rng = random.Random(1)
+    sizes = [int(rng.lognormvariate(4, 3)) + 1 for _ in range(400)]
+    rows = [(i, "w " * n, "long") for i, n in enumerate(sizes)] + [(1000 + i, "v " * 50, "even") for i in range(400)]
+    share = 0.7
+    per, copies = _taken(spark, rows, weights={"long": 1, "even": 1}, share=share)
+    taken, target = per["long"]
+    top, rest = max(sizes), sum(sizes) - max(sizes)
+    # as near as the long document alone, or the others twice, or both
+    assert abs(taken - target) <= min(abs(top - target), abs(2 * rest - target) if 2 * rest < target else 1e18)
+    assert abs(per["even"][0] - per["even"][1]) <= 50
+    assert max(c for _, c in copies) <= 2
+
+
+def plain_fit(sizes, target, cap=2.0):
+    """The multiplier by bisection: sum of size * min(cap, exp(lam * size)) is the target."""
+    low, high = -60.0, 60.0
+    for _ in range(300):
+        lam = (low + high) / 2
+        words = sum(s * min(cap, math.exp(min(lam * s, 50))) for s in sizes)
+        low, high = (lam, high) if words < target else (low, lam)
+    return lam
+
+
+def test_rates_against_a_plain_dual(spark):
+    rng = random.Random(3)
+    rows = [(i, "w " * rng.randint(1, 60), "ab"[i % 2]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs = mixing.with_draws(df.select("doc_id", "source", "text", mixing.word_count(F.col("text")).alias("size")))
+    mix, stored = mixing.fit_stored(docs, weights={"a": 1, "b": 3}, share=1.1)
+    total = sum(len(t.split()) for _, t, _ in rows)
+    for s, part in (("a", 0.25), ("b", 0.75)):
+        sizes = [len(t.split()) for _, t, x in rows if x == s]
+        assert mix.targets[f"={s}"] == pytest.approx(1.1 * total * part)
+        lam = plain_fit(sizes, 1.1 * total * part)
+        for r in mixing.apply(stored, mix, F.col("size"), F.col("draw")).filter(F.col("source") == s).collect():
+            assert r["rate"] == pytest.approx(min(2.0, math.exp(lam * r["size"])), rel=1e-4)
+            assert r["copies"] in (math.floor(r["rate"]), math.floor(r["rate"]) + 1, math.floor(r["rate"]) + 2) and r["copies"] <= 2
+
+
 def test_no_python_in_plan(spark):
     df = queries.op7_mixing(spark, SF)
     assert "Python" not in df._jdf.queryExecution().toString()
