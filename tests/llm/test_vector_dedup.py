@@ -59,6 +59,22 @@ def test_odd_rows(spark):
     assert vector_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def test_ids_shared_by_different_vectors(spark):
+    rows = [(1, [1.0, 0.0], "L1"), (1, [0.0, 1.0], "L1"), (2, [1.0, 0.01], "L1"), (2, [0.0, 1.0], "L2"), (3, [1.0, 0.0], "L2")]
+    out = vector_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"))
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out.collect()) == [(1, 0, 1), (1, 1, 1), (2, 0, 2), (2, 1, 1), (3, 0, 3)]
+
+
+def test_pairs_at_the_threshold_are_settled_in_doubles(spark):
+    """Cosines closer to the threshold than the steps can tell."""
+    rows = []
+    for i in range(40):
+        cos = 0.93 + (i - 20) * 1e-7
+        rows += [(3 * i, [1.0, 0.0, 0.0], i), (3 * i + 1, [cos, float(np.sqrt(1 - cos * cos)), 0.0], i)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert got(vector_dedup.near_vectors(df)) == brute(rows)
+
+
 @pytest.mark.parametrize("classes", [1, 1000, 10**6, 10**9])
 def test_tables_keep_the_miss_bound(classes):
     bits, tables = vector_dedup.bits_and_tables(classes, 0.93)
