@@ -26,7 +26,7 @@ from pluvio.llm.common import partitions, store
 REFERENCES = 32
 SAMPLE = 2048        # classes, by digest, that the references are chosen from
 RING = 512           # classes of a ring at most
-RINGS = 64           # rings of a group, about
+RINGS = 32           # rings of a group, about
 ANCHORS = 256        # anchor classes of a block at most
 NORM = 2.0 ** 31     # of a quantised vector, less than this
 SLACK = 1e-6         # of angles, far above rounding
@@ -341,7 +341,7 @@ def hard_negatives(vectors: DataFrame, anchor: Column, positives: int = 5, negat
     wanted = pairs.groupBy(*[F.col(x).alias(f"_{x}") for x in key]).agg(F.sort_array(F.collect_set("positive_score")).alias("scores"))
     again = store(anchors.join(wanted, [F.col(x) == F.col(f"_{x}") for x in key]).select(*key, "dim", "q", "scores"))
     blocks = packs(again, ANCHORS, ("label", "dim"), k0="long", k1="long", scores="array<long>")
-    groups = max(n, -(-rings.count() // RINGS))
+    groups = -(-max(1, rings.count()) // RINGS)
     mixed = rings.withColumn("grp", F.pmod(F.xxhash64("pack"), F.lit(groups)).cast("string"))
     to_all = blocks.withColumn("grp", F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: g.cast("string")))
     found = _meet(mixed, to_all, n, _negative_rows(references, negatives, percent), "c0 string, c1 long, c2 long, c3 long, c4 long, c5 long")
