@@ -27,12 +27,25 @@ def shared_folder(spark: SparkSession) -> str:
     return d
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that this application's intermediate tables are in."""
+    return f"{shared_folder(spark)}/pluvio-llm/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> bool:
+    """Delete the intermediate tables of this application. Results of operators read them:
+    call it when these are written. Tables of an application that failed stay in a folder
+    of its id, to be deleted by whoever keeps the shared folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def store(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: lineage is
-    cut, every consumer sees the same rows, and a lost executor costs a re-read.
-    The files stay until the folder is cleared; nothing refers to them by name."""
+    """Write ``df`` as Parquet into the application's part of the shared folder and read
+    it back: lineage is cut, every consumer sees the same rows, and a lost executor costs
+    a re-read. The files stay until ``clear``."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/pluvio-llm/{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
     batch = spark.conf.get(BATCH)
     spark.conf.set(BATCH, BATCH_BYTES)  # texts go to Python workers in small batches
     try:
