@@ -14,7 +14,8 @@ segments at once. A window repeats in the shard if it shares ``length`` bytes wi
 neighbour. Where an anchor lies in several shards, each cuts its sorted windows at the
 same splitters, and the slices of a range are merged by binary search.
 
-Copies cost little: of equal texts one is cut, and of equal segments two are sorted.
+Copies cost little: of equal texts one is cut, and of equal segments one is sorted, with a
+mark that all its windows repeat.
 """
 from __future__ import annotations
 
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import BATCH, BATCH_BYTES, partitions, shared_folder, store
+from pluvio.llm.common import BATCH, BATCH_BYTES, partitions, run_folder, store
 
 CHUNK = 1 << 20        # bytes hashed at once
 SHARD = 1 << 19        # bytes of a shard
@@ -171,10 +172,11 @@ def common_prefixes(data: np.ndarray, start: np.ndarray, sa: np.ndarray, rank: n
     return out
 
 
-def repeats_in_shard(segments: list, length: int):
+def repeats_in_shard(segments: list, many: list, length: int):
     """The text of a shard, its segments' starts, the number of windows of each, and for
-    each byte whether a window that starts there also starts elsewhere in the shard; with
-    the ranks of the suffixes."""
+    each byte whether a window that starts there also starts elsewhere, in the shard or in
+    a copy of a segment that there are ``many`` of; at last, whether one starts before it
+    in the order of the suffixes."""
     start = np.concatenate([[0], np.cumsum([len(s) for s in segments])])
     data = np.frombuffer(b"".join(segments), np.uint8)
     windows = np.diff(start) - length + 1
@@ -183,7 +185,10 @@ def repeats_in_shard(segments: list, length: int):
     again = common.copy()
     follows = np.flatnonzero(common[sa])  # its slot's neighbour before it repeats too
     again[sa[follows - 1]] = True
-    return data, start, windows, again, common, rank
+    for a, n, copied in zip(start, windows, many, strict=False):
+        if copied:
+            again[a:a + n] = True
+    return data, start, windows, again, common
 
 
 def _intervals(flags: np.ndarray) -> list:
@@ -248,8 +253,8 @@ def _segment_rows(length: int):
                 text, every = text.as_py(), cut.as_py()
                 for at in (every[i:i + PIECES] for i in range(0, len(every), PIECES)):
                     yield pa.RecordBatch.from_arrays(
-                        [*(pa.array([x[c] for x in at], pa.int64()) for c in names),
-                         pa.array([text[x["lo"]:x["hi"] + length] for x in at], pa.binary())], names=[*names, "segment"])
+                        [*(pa.array([x[c] for x in at], pa.int64()) for c in names), pa.array([x["many"] for x in at], pa.bool_()),
+                         pa.array([text[x["lo"]:x["hi"] + length] for x in at], pa.binary())], names=[*names, "many", "segment"])
     return go
 
 
@@ -260,7 +265,7 @@ def _shard_rows(length: int):
         return [np.concatenate([g(data, length), np.zeros(length - 1, np.uint64)]) for g in grams]
 
     def solved(held, grams):
-        data, start, windows, again, common, rank = repeats_in_shard([x["segment"] for x in held], length)
+        data, start, windows, again, common = repeats_in_shard([x["segment"] for x in held], [x["many"] for x in held], length)
         found = {}
         for x, a, n in zip(held, start, windows, strict=False):
             if again[a:a + n].any():
@@ -440,7 +445,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     # the texts with repeated anchors, laid out by class for the three times they are read
     one = long_.groupBy("k0", "k1").agg(F.first("text").alias("text"))
     name = f"pluvio_segments_{uuid.uuid4().hex}"
-    path = f"{shared_folder(spark)}/pluvio-llm/{name}"
+    path = f"{run_folder(spark)}/{name}"
     batch = spark.conf.get(BATCH)
     spark.conf.set(BATCH, BATCH_BYTES)
     try:
@@ -452,18 +457,17 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     try:
         pieces = store(texts.mapInArrow(_piece_rows(length), "h long, s0 long, s1 long, k0 long, k1 long, lo int, hi int"))
         where = F.struct("k0", "k1", "lo", "hi")
-        kinds = pieces.groupBy("h", "s0", "s1").agg(F.min(where).alias("first"), F.max(where).alias("last"))
-        sorted_ = store(kinds.select("h", "s0", "s1", F.explode(F.array_distinct(F.array("first", "last"))).alias("x"))
-                        .select("h", "s0", "s1", "x.*"))
+        sorted_ = store(pieces.groupBy("h", "s0", "s1").agg(F.min(where).alias("x"), (F.count(F.lit(1)) > 1).alias("many"))
+                        .select("h", "s0", "s1", "many", "x.*"))
         many = store(sorted_.groupBy(F.col("h").alias("_h")).agg(
             F.ceil(F.sum(F.col("hi") - F.col("lo") + length) / SHARD).cast("long").alias("salts")).filter("salts > 1"))
         salts = F.coalesce("salts", F.lit(1).cast("long"))
         dealt = (sorted_.join(many, sorted_["h"] == many["_h"], "left")
-                 .select("h", F.pmod(F.xxhash64("s0", "s1"), salts).alias("salt"), salts.alias("salts"), "s0", "s1", "k0", "k1", "lo", "hi")
+                 .select("h", F.pmod(F.xxhash64("s0", "s1"), salts).alias("salt"), salts.alias("salts"), "s0", "s1", "many", "k0", "k1", "lo", "hi")
                  .groupBy(F.col("k0").alias("_k0"), F.col("k1").alias("_k1"))
-                 .agg(F.collect_list(F.struct("h", "salt", "salts", "s0", "s1", "lo", "hi")).alias("cut")))
+                 .agg(F.collect_list(F.struct("h", "salt", "salts", "s0", "s1", "many", "lo", "hi")).alias("cut")))
         segments = (texts.join(dealt, (texts["k0"] == dealt["_k0"]) & (texts["k1"] == dealt["_k1"])).select("text", "cut")
-                    .mapInArrow(_segment_rows(length), "h long, salt long, salts long, s0 long, s1 long, segment binary"))
+                    .mapInArrow(_segment_rows(length), "h long, salt long, salts long, s0 long, s1 long, many boolean, segment binary"))
         shards = store(segments.repartition(n, "h", "salt").sortWithinPartitions("h", "salt", "s0", "s1")
                        .mapInArrow(_shard_rows(length), _FOUND + ", " + _SLICES.removeprefix("h long, ")))
         # stored, so that both sides of the join with a common segment's pieces can be split
