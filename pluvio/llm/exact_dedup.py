@@ -6,7 +6,8 @@ full with its neighbour. The splitter key is a bounded piece of content (first
 characters, then the digest of the whole normalised text, then the identifier), so
 what the driver samples stays small whatever the text lengths, and a group of
 copies of any size is cut over many partitions because the identifier is part of
-the key. Runs that touch a partition's edge are put together afterwards by their
+the key, and after it a number drawn for the row, which cuts rows that repeat in both.
+Runs that touch a partition's edge are put together afterwards by their
 full text (at most two runs a partition).
 """
 from __future__ import annotations
@@ -71,15 +72,15 @@ def _sorted_runs(docs: DataFrame, id_col: str, text_col: str, only_first: bool,
     """Stored rows with run number, first-of-run flag and digest, and the table
     (run, keep_id, group's first run, rows) of the runs at partition edges."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    norm, sha, run, first, mark, head = fresh(docs, "norm", "sha", "run", "first", "mark", "head")
+    norm, sha, run, first, mark, head, salt = fresh(docs, "norm", "sha", "run", "first", "mark", "head", "salt")
     n = partitions(docs.sparkSession)
     ident = F.col(f"`{id_col}`").asc_nulls_last()
     keyed = (docs.withColumn(norm, normalised(F.col(f"`{text_col}`")))
-             .withColumns({head: F.substring(norm, 1, HEAD), sha: F.unhex(F.sha2(norm, 256))}).drop(norm))
+             .withColumns({head: F.substring(norm, 1, HEAD), sha: F.unhex(F.sha2(norm, 256)), salt: F.rand(2)}).drop(norm))
     # the normalised text is made again after the exchange rather than sent through it
-    rows = (keyed.repartitionByRange(n, head, sha, ident)
+    rows = (keyed.repartitionByRange(n, head, sha, ident, salt)
             .withColumn(norm, normalised(F.col(f"`{text_col}`")))
-            .sortWithinPartitions(head, sha, norm, ident).drop(head))
+            .sortWithinPartitions(head, sha, norm, ident, salt).drop(head, salt))
     if not keep_text:
         rows = rows.drop(text_col)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema if f.name != norm]
@@ -123,10 +124,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = ends.join(sizes, run).select(
         F.col(run), F.min("_id").over(w).alias("_keep"), F.sum("_n").over(w).alias("_size"),
         F.min(run).over(w).alias("_lead"))
-    own = Window.partitionBy(run)
     cols = [c for c in docs.columns if keep_text or c != text_col]
-    return (rows.withColumns({"_id": F.min(F.col(f"`{id_col}`")).over(own), "_n": F.count(F.lit(1)).over(own)})
-            .join(F.broadcast(joined), run, "left")
+    # counted with partial sums and joined back, so a long run is in no task as a whole
+    own = store(rows.groupBy(F.col(run).alias("_run")).agg(F.min(F.col(f"`{id_col}`")).alias("_id"), F.count(F.lit(1)).alias("_n")))
+    return (rows.join(own, F.col(run) == F.col("_run")).join(F.broadcast(joined), run, "left")
             .select(*[F.col(f"`{c}`") for c in cols],
                     F.coalesce("_keep", "_id").alias("keep_id"),
                     F.coalesce("_size", "_n").alias("group_size"),
