@@ -71,8 +71,11 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str | None =
                  end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
                  with_ids: bool = False) -> DataFrame:
     """Pieces (PIECE_SCHEMA) of every document: its ids and ``end_id`` cut at multiples
-    of ``max_tokens``. Null text counts as empty and gives one piece with ``end_id``.
-    Every id bears loss. ids is null unless asked for. Whole texts are encoded."""
+    of ``max_tokens``. Null text counts as empty and gives one piece with ``end_id``; null
+    ids and repeated rows make pieces of their own. Every id bears loss. ids is null unless
+    asked for. Whole texts are encoded, with ``encode_special_tokens``: the text of a special
+    token (``<|endoftext|>``) is ordinary text and becomes several ids, never the token's
+    own, so no document can end itself."""
 
     def go(batches):
         encode = Encoder(tokenizer_path, ranks_path)
@@ -154,7 +157,9 @@ def pack(pieces: DataFrame, max_tokens: int = 1024, max_segments: int = 256, max
     max_tokens); offsets of a sequence run from 0 without a gap. A piece over a limit
     by itself raises. Pieces without tokens (or null length) are placed like any other
     at no cost in tokens. The result doesn't depend on the order in which rows arrive:
-    each task sorts its share. Extra columns sequence_id and offset are replaced."""
+    each task sorts its share; it does depend on the number of tasks (``groups``, by default
+    the shuffle partitions). Rows alike in all columns go to one task, where they stream
+    through a bounded window. Extra columns sequence_id and offset are replaced."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     pieces = without(pieces, "sequence_id", "offset")
@@ -202,6 +207,8 @@ def pack(pieces: DataFrame, max_tokens: int = 1024, max_segments: int = 256, max
         filler.fill(0)
         yield from placed()
 
-    key = F.xxhash64(*[F.col(c) for c in order])
+    # the plain columns beside the order deal out pieces whose ids are null
+    plain = [f.name for f in pieces.schema if isinstance(f.dataType, T.LongType | T.IntegerType)]
+    key = F.xxhash64(*[F.col(c) for c in dict.fromkeys((*order, *plain))])
     return (pieces.repartition(n, key).sortWithinPartitions(*[F.col(c) for c in order])
             .mapInArrow(go, schema))
