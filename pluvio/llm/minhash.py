@@ -304,7 +304,9 @@ def _linked_in_blocks(texts: DataFrame, rest: DataFrame, k: int, percent: int) -
 
 def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each near-duplicate component, all columns kept."""
+    """``docs`` with one document of each near-duplicate component, all columns kept. Rows
+    go by their id: of two texts under one id both go if one is a copy; rows with a null id
+    stay. An empty table stays empty."""
     gone = store(near_duplicates(docs, k, percent, id_col, text_col).filter(~F.col("kept"))
                  .select(F.col("doc_id").alias("_gone")).distinct())
     return docs.join(gone, docs[f"`{id_col}`"] == gone["_gone"], "left_anti")

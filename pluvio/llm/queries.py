@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pluvio.llm import (exact_dedup, hard_negatives, language_id, minhash, mixing, packing, periodic_runs, secrets, sharding,
                         suffix_dedup, url_filter, vector_dedup, warc_audit)
+from pluvio.llm.common import store
 
 #: Rules of the URL query: (verdict, host, path). Fixed values.
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -66,7 +67,7 @@ def op7_mixing(spark, sf_dir):
 
 def _replicas(spark, sf_dir):
     """Stand-in input: the pages as WARC records of files of 4,096 pages, and a second
-    replica in which some records are damaged, cut, lost or repeated."""
+    replica in which some records are damaged, moved or lost."""
     pages = _table(spark, sf_dir, "pages")
     rows = pages.select(F.col("page_id").alias("record_id"),
                         F.concat(F.lit("crawl-"), F.expr("page_id div 4096").cast("string"), F.lit(".warc")).alias("file"),
@@ -81,9 +82,30 @@ def _replicas(spark, sf_dir):
     return first, second
 
 
+def _replica_leaves(spark, sf_dir):
+    """The leaves of ``_replicas``: every record, and its damaged form, is hashed where it
+    is read, and offsets are sums of lengths alone."""
+    pages = _table(spark, sf_dir, "pages")
+    rid, payload = F.col("record_id"), warc_audit.record_bytes(F.col("page_id"), F.col("url"), F.col("html"))
+    bad = F.concat(payload, F.lit(b"~"))
+    rows = store(pages.select(
+        F.col("page_id").cast("long").alias("record_id"),
+        F.coalesce(F.concat(F.lit("crawl-"), F.expr("page_id div 4096").cast("string"), F.lit(".warc")), F.lit("")).alias("file"),
+        F.octet_length(payload).cast("long").alias("length"), F.sha2(payload, 256).alias("digest"),
+        F.when(F.col("page_id") % 211 == 5, F.sha2(bad, 256)).alias("bad")))
+    before = Window.partitionBy("file").orderBy("record_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    first = store(rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")))
+    second = (first.filter(rid % 499 != 7)
+              .withColumn("length", F.col("length") + F.col("bad").isNotNull().cast("long"))
+              .withColumn("digest", F.coalesce("bad", "digest"))
+              .withColumn("offset", F.when(rid % 997 == 3, F.col("offset") + 1).otherwise(F.col("offset"))))
+    cols = ["record_id", "file", "offset", "length", "digest"]
+    return first.select(*cols), store(second.select(*cols))
+
+
 def op8_warc_fixity_audit(spark, sf_dir):
     """Status of every record of two replicas."""
-    got = warc_audit.audit(*_replicas(spark, sf_dir))
+    got = warc_audit.audit_leaves(*_replica_leaves(spark, sf_dir))
     return got.select("record_id", "file", "offset", "length", "digest", "status")
 
 
@@ -143,7 +165,49 @@ QUERIES = {f.__name__: f for f in (
 _UPPER, _LOWER = url_filter.UPPER, url_filter.LOWER
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 
+def _sharding_sql(shards: int = 8, seed: int = 0) -> str:
+    """Row number, Feistel rounds with cycle walking, shard and slot; CRC-32 by bytes."""
+    step = "SELECT row_number, CAST(p // side AS UHUGEINT) AS left_, CAST(p % side AS UHUGEINT) AS right_, side, n FROM walk WHERE turn = 0 OR p >= n"
+    two64 = "18446744073709551615::UHUGEINT"
+    for key in sharding._keys(seed):
+        x = f"(right_ + {key}::UHUGEINT) & {two64}"
+        a = f"SELECT *, {x} AS x0 FROM ({step})"
+        b = f"SELECT *, (xor(x0, x0 >> 30) * {0xBF58476D1CE4E5B9}::UHUGEINT) & {two64} AS x1 FROM ({a})"
+        c = f"SELECT *, (xor(x1, x1 >> 27) * {0x94D049BB133111EB}::UHUGEINT) & {two64} AS x2 FROM ({b})"
+        step = (f"SELECT row_number, right_ AS left_, (left_ + xor(x2, x2 >> 31) % side) % side AS right_, side, n FROM ({c})")
+    return rf"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda b: list_reduce([b::BIGINT, 1, 1, 1, 1, 1, 1, 1, 1],
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+u AS (SELECT doc_id, text, list_transform(string_split(coalesce(text, ''), ''), lambda c: unicode(c)::BIGINT) AS points FROM documents),
+bytes AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, CASE WHEN coalesce(text, '') = '' THEN []::BIGINT[] ELSE
+  flatten(list_transform(points, lambda p: CASE WHEN p < 128 THEN [p] WHEN p < 2048 THEN [192 + (p >> 6), 128 + (p & 63)]
+    WHEN p < 65536 THEN [224 + (p >> 12), 128 + ((p >> 6) & 63), 128 + (p & 63)]
+    ELSE [240 + (p >> 18), 128 + ((p >> 12) & 63), 128 + ((p >> 6) & 63), 128 + (p & 63)] END)) END AS b FROM u),
+crc AS (SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32
+  FROM bytes CROSS JOIN tab),
+num AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS LAST, text_crc32, size) - 1 AS row_number, count(*) OVER () AS n FROM crc),
+sided AS (SELECT row_number, n, CAST(floor(sqrt(greatest(n - 1, 0))) AS BIGINT) + 1 AS side FROM num),
+walk AS (SELECT row_number, CAST(row_number AS UHUGEINT) AS p, CAST(side AS UHUGEINT) AS side, CAST(n AS UHUGEINT) AS n, 0 AS turn FROM sided
+  UNION ALL SELECT row_number, left_ * side + right_, side, n, 1 FROM ({step}))
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % {shards} AS INTEGER) AS shard, CAST(p // {shards} AS BIGINT) AS slot, NULL::INTEGER AS grown_shard
+FROM num JOIN walk USING (row_number) WHERE turn = 1 AND p < walk.n"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_minhash_near_dedup": r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[ 	-
+]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS shingles FROM w),
+u AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+n AS (SELECT doc_id, count(*) AS n FROM u GROUP BY 1),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach(id, near) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.near = l.a)
+SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, min(near) AS component_id, s.doc_id = min(near) AS kept
+FROM s JOIN reach ON s.doc_id = reach.id GROUP BY s.doc_id, shingles""",
+    "op5_sharding": _sharding_sql(),
     "op2_exact_dedup": r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256

@@ -89,8 +89,10 @@ def numbered(df: DataFrame, order: list, out: str = "row_number") -> tuple[DataF
 
 def assign_shards(df: DataFrame, shards: int, order: list, seed: int = 0) -> DataFrame:
     """``df`` plus shard (int) and slot (long): shard sizes differ by at most one,
-    slots of a shard run from 0 without a gap. Extra columns of these names are
-    replaced. An empty table gives an empty result."""
+    slots of a shard run from 0 without a gap. Nulls in ``order`` stand where its columns
+    put them; rows alike in all of ``order`` get numbers of their own, whichever gets
+    which. Extra columns of these names are replaced. An empty table gives an empty
+    result."""
     if shards < 1:
         raise ValueError("shards must be positive")
     df = without(df, "shard", "slot")

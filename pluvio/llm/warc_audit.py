@@ -73,15 +73,20 @@ def _depth(leaf_a: DataFrame, leaf_b: DataFrame, range_bytes: int, fan: int) ->
 
 
 def audit(first: DataFrame, second: DataFrame, range_bytes: int = RANGE, fan: int = FAN) -> DataFrame:
-    """One row for each record of either replica (both: record_id, file, offset,
-    payload): record_id, file, offset, length and digest (of the first replica, or of
+    """``audit_leaves`` of two replicas (record_id, file, offset, payload): payloads are
+    hashed where they are read and travel no further."""
+    return audit_leaves(leaves(first), leaves(second), range_bytes, fan)
+
+
+def audit_leaves(a: DataFrame, b: DataFrame, range_bytes: int = RANGE, fan: int = FAN) -> DataFrame:
+    """One row for each record of either replica (both stored: record_id, file, offset,
+    length, digest): record_id, file, offset, length and digest (of the first replica, or of
     the second where only it has the record), other_digest, and status: intact, corrupt
     (bytes differ), missing (not in the second), added (not in the first), or unplaced
     (null offset). A record is known by file and offset; where several rows of a replica
     share these (repeated rows), they are compared as a sorted set and their rows get
     the status of the set. other_digest is null for records under nodes that agree: they
     weren't looked at one by one."""
-    a, b = leaves(first), leaves(second)
     depth = _depth(a, b, range_bytes, fan)
     ta, tb = tree(a, depth, range_bytes, fan), tree(b, depth, range_bytes, fan)
     differing = None
