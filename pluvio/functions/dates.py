@@ -2,14 +2,17 @@
 (wall-clock readings); text that does not parse gives null, never an error."""
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: formats tried, in order, by the free-form date parser
+# fixed values: formats that the free-form date parser knows
 ANY_DATE_FORMATS = (
     "yyyy-MM-dd", "yyyy/MM/dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm",
     "d/M/yyyy", "MMM d, yyyy", "d MMM yyyy", "yyyyMMdd",
 )
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def _c(c) -> Column:
@@ -34,13 +37,40 @@ def ntz_literal(value) -> Column:
 
 def parse_date(c, fmt: str) -> Column:
     """Parse text into DATE; failure -> null."""
-    return F.to_date(F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz"))
+    return F.try_to_date(_c(c), fmt)
+
+
+def _shapes(fmt: str) -> list[str]:
+    """The shapes of the texts of a format: 9 for each digit, a for each letter. A single
+    letter of a format stands for one digit or two, three Ms for three letters."""
+    out = [""]
+    for m in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]", fmt):
+        part = m.group()
+        if not part[0].isalpha():
+            kinds = [part]
+        elif part == "MMM":
+            kinds = ["aaa"]
+        else:
+            kinds = ["9", "99"] if len(part) == 1 else ["9" * len(part)]
+        out = [o + k for o in out for k in kinds]
+    return out
 
 
 def any_date(c, formats=ANY_DATE_FORMATS) -> Column:
-    """Free-form date text: the first pattern that parses wins."""
+    """Free-form date text. The text's shape (which characters are digits, letters and
+    signs) tells its format, so a row is parsed once; of formats with one shape the first
+    counts. A shape of no format gives null."""
     c = F.trim(_c(c))
-    return F.coalesce(*[parse_date(c, f) for f in formats])
+    shape = F.translate(c, "0123456789" + _LETTERS, "9" * 10 + "a" * len(_LETTERS))
+    known: set[str] = set()
+    out = None
+    for fmt in formats:
+        own = [s for s in _shapes(fmt) if s not in known]
+        known.update(own)
+        if own:
+            parsed = parse_date(c, fmt)
+            out = F.when(shape.isin(own), parsed) if out is None else out.when(shape.isin(own), parsed)
+    return out
 
 
 def floor_minutes(ts, minutes: int) -> Column:

@@ -68,7 +68,7 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     clash = {new: old for new, old in sources.items() if len(old) > 1 and any(c in m for c in old)}
     if clash:
         raise ValueError("columns would share a name: " + "; ".join(f"{new}: {', '.join(old)}" for new, old in clash.items()))
-    return df.withColumnsRenamed(m) if m else df
+    return df.select(*[q(c).alias(m.get(c, c)) for c in df.columns]) if m else df
 
 
 def rename_by_table(df: DataFrame, rename_map: DataFrame, dataset: str | None = None,

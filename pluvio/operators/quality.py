@@ -72,15 +72,15 @@ def merge_flags(*flag_tables: DataFrame, keys=("device",), order: str = "slot")
 
 
 def gap_flag(grid: DataFrame, keys=("device",), order: str = "slot", value: str = "accumulated",
-             flag: str = "quality", step_minutes: int | None = None) -> DataFrame:
+             flag: str = "quality", step_minutes: int | None = None, day: str | None = None) -> DataFrame:
     """On a dense grid: a present value whose previous slot has no value marks a
     gap (the first slot of a series counts as following a gap). An existing flag
     wins over the gap flag. ``step_minutes`` (the grid step) lets the previous slot
     come from the cheaper dense-grid lookup."""
     if step_minutes:
-        g = lag_on_grid(grid, keys, order, [value], step_minutes, prefix="_gp_")
+        g = lag_on_grid(grid, keys, order, [value], step_minutes, prefix="_gp_", day=day)
     else:
-        g = lag_in_series(grid, keys, order, [value], prefix="_gp_")
+        g = lag_in_series(grid, keys, order, [value], prefix="_gp_", day=day)
     gap = F.col(value).isNotNull() & F.col(f"_gp_{value}").isNull()
     text = F.when(gap, F.lit(GAP_TEXT))
     base = F.col(flag) if flag in grid.columns else F.lit(None).cast("string")

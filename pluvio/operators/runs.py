@@ -8,6 +8,8 @@ a series of three readings a century apart has three runs.
 """
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,12 +27,13 @@ def _minutes(a, b) -> Column:
 
 
 def day_runs(series: DataFrame, keys=("device",), order: str = "slot", minutes: int = 15,
-             value: str | None = None) -> DataFrame:
+             value: str | None = None, day: str | None = None) -> DataFrame:
     """(keys, date, first, last, slots): the runs of consecutive slots of each key and day,
-    of the slots with a known ``value`` if one is named. Slots are unique per key."""
+    of the slots with a known ``value`` if one is named. Slots are unique per key. ``day``
+    names the column with the day of ``order``, if there is one."""
     check_step(minutes)
     x = series if value is None else series.filter(F.col(value).isNotNull())
-    x = x.select(*keys, F.to_date(order).alias("date"), F.col(order).alias("_at"))
+    x = x.select(*keys, (F.to_date(order) if day is None else F.col(day)).alias("date"), F.col(order).alias("_at"))
     nth = F.row_number().over(Window.partitionBy(*keys, "date").orderBy("_at"))
     # slots in a row keep their distance to the row number
     island = F.floor(_minutes(F.col("date").cast("timestamp_ntz"), F.col("_at")) / minutes) - nth
@@ -75,11 +78,20 @@ def _bin_start(anchor: Column, bin_minutes: int) -> Column:
     return F.timestamp_add("MINUTE", (F.col("_bin") * bin_minutes).cast("int"), anchor)
 
 
+def _span(devices: DataFrame, first, last_day):
+    """The keys and bounds of the days from ``first`` to the day before ``last_day``; no
+    keys if there are none."""
+    if first is not None and first.date() < last_day:
+        return devices, first, last_day
+    return devices.filter(F.lit(False)), dt.datetime(2000, 1, 1), dt.date(2000, 1, 2)
+
+
 def all_bins(devices: DataFrame, first, last_day, keys=("device",), minutes: int = 15, bin_minutes: int = 480) -> DataFrame:
     """(keys, date, bin_start): every bin that slots from ``first`` to the day before
     ``last_day`` could lie in, for every key: a few rows a day."""
+    devices, first, last_day = _span(devices, first, last_day)
     anchor, end = ntz_literal(first), F.lit(last_day)
-    days = devices.filter(F.to_date(anchor) < end).select(
+    days = devices.select(
         *keys, F.explode(F.sequence(F.to_date(anchor), F.date_sub(end, 1))).alias("date"))
     start = F.greatest(F.col("date").cast("timestamp_ntz"), anchor)
     last = F.col("date").cast("timestamp_ntz") + _step(1440 - minutes)
@@ -95,9 +107,10 @@ def usable_days(counts: DataFrame, keys=("device",), min_bins: int = 1) -> DataF
 def month_coverage(usable: DataFrame, devices: DataFrame, first, last_day, keys=("device",)) -> DataFrame:
     """Usable days per (key, year, month) and their percent of the month's calendar days,
     for every key and every month from ``first`` to the day before ``last_day``."""
+    devices, first, last_day = _span(devices, first, last_day)
     lo, end = F.to_date(ntz_literal(first)), F.lit(last_day)
     month = F.make_ym_interval(F.lit(0), F.lit(1))
-    every = devices.filter(lo < end).select(*keys, F.explode(F.sequence(F.trunc(lo, "month"), F.trunc(F.date_sub(end, 1), "month"), month)).alias("_month"))
+    every = devices.select(*keys, F.explode(F.sequence(F.trunc(lo, "month"), F.trunc(F.date_sub(end, 1), "month"), month)).alias("_month"))
     n = usable.groupBy(*keys, F.trunc("date", "month").alias("_month")).agg(F.count(F.lit(1)).alias("count"))
     m = every.join(n, on=[*keys, "_month"], how="left").select(
         *keys, F.year("_month").alias("year"), F.month("_month").alias("month_num"), month_label("_month").alias("month"),
@@ -108,9 +121,10 @@ def month_coverage(usable: DataFrame, devices: DataFrame, first, last_day, keys=
 def completeness(by_day: DataFrame, devices: DataFrame, first, last_day, keys=("device",), minutes: int = 15) -> DataFrame:
     """Per key: slots expected on the days from ``first`` to the day before ``last_day``,
     slots present (the lengths of the runs), percent."""
+    devices, first, last_day = _span(devices, first, last_day)
     days = F.date_diff(F.lit(last_day), F.to_date(ntz_literal(first)))
     n = by_day.groupBy(*keys).agg(F.sum("slots").alias("available_data"))
-    c = devices.filter(days > 0).join(n, on=list(keys), how="left").select(
+    c = devices.join(n, on=list(keys), how="left").select(
         *keys, (days * (1440 // check_step(minutes))).cast("bigint").alias("total_data"),
         F.coalesce("available_data", F.lit(0)).cast("bigint").alias("available_data"))
     return c.withColumn("percent", F.col("available_data") / F.col("total_data") * 100)

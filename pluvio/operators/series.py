@@ -4,11 +4,15 @@ full-window rolling sums, daily and hourly roll-ups.
 Series are kept long — (device, slot, value) — and every window is partitioned
 by (device, day), never by device alone: one device may hold a third of all rows,
 and a per-device window would put all of them into one task. Where a result needs
-the row before a day's first row, that row is brought in as a one-row "halo" from
-a small per-(device, day) summary (see ``lag_in_series``).
+the row before a day's first row, that row is joined from a small per-(device, day)
+summary (see ``lag_in_series``). A table that is stored by (device, day), with the day as
+a column, passes all of these without an exchange.
 """
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,59 +60,65 @@ def bucket_mean(readings: DataFrame, keys=("device",), ts="ts", value="value",
     return slot_summary(readings, keys, ts, minutes, {value: value})
 
 
-def lag_in_series(df: DataFrame, keys, order: str, cols, prefix: str = "prev_") -> DataFrame:
+def lag_in_series(df: DataFrame, keys, order: str, cols, prefix: str = "prev_", day: str | None = None) -> DataFrame:
     """Add ``prefix + c``: the value of ``c`` in the previous existing row of the
-    same series (by ``order``), like ``lag`` over a per-key window.
+    same series (by ``order``), like ``lag`` over a per-key window. Keys are not null.
 
-    Computed in (keys, day) partitions: each day gets the last row of the most
-    recent earlier day that has rows, taken from a per-(key, day) summary whose
+    Computed in (keys, day) partitions: a day's first row gets the last row of the most
+    recent earlier day that has rows, from a per-(keys, day) summary whose
     size is the number of days, not of readings. A gap spanning days is honoured
-    (the previous row may be days earlier) and nulls are kept (no ignore-nulls)."""
+    (the previous row may be days earlier) and nulls are kept (no ignore-nulls). ``day``
+    names the column with the day of ``order``, if there is one: a table laid out by keys
+    and day is then not exchanged."""
     keys, cols = list(keys), list(cols)
-    day = "_lag_day"
-    x = df.withColumn(day, F.to_date(order))
-    # values and times, no struct maximum: the aggregation stays a hash aggregation
-    last = x.groupBy(*keys, day).agg(F.max(order).alias("_o"), *[F.max_by(c, order).alias(f"_v{i}") for i, c in enumerate(cols)])
-    packed = F.struct(F.col("_o").alias("o"), *[F.col(f"_v{i}").alias(f"v{i}") for i in range(len(cols))])
-    tails = last.select(*keys, day, packed.alias("_last"))
-    prev = tails.withColumn("_prev", F.lag("_last").over(Window.partitionBy(*keys).orderBy(day)))
-    halo = (prev.filter(F.col("_prev").isNotNull())
-            .select(*keys, day, F.col("_prev.o").alias(order),
-                    *[F.col(f"_prev.v{i}").alias(c) for i, c in enumerate(cols)],
-                    F.lit(True).alias("_halo")))
-    body = x.withColumn("_halo", F.lit(False))
-    u = body.unionByName(halo, allowMissingColumns=True)
+    own = day or "_lag_day"
+    x = df if day else df.withColumn(own, F.to_date(order))
+    # values, no struct maximum: the aggregation stays a hash aggregation
+    last = x.groupBy(*keys, own).agg(*[F.max_by(c, order).alias(f"_v{i}") for i, c in enumerate(cols)])
+    packed = F.struct(*[F.col(f"_v{i}") for i in range(len(cols))])
+    before = last.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate([*keys, own])],
+                         F.lag(packed).over(Window.partitionBy(*keys).orderBy(own)).alias("_before"))
+    out = _lag_with(x, keys, own, order, cols, prefix, before.filter(F.col("_before").isNotNull()))
+    return out if day else out.drop(own)
+
+
+def _lag_with(x: DataFrame, keys: list, day: str, order: str, cols: list, prefix: str, before: DataFrame) -> DataFrame:
+    """Lag within (keys, day), and for a day's first row the values ``_before`` of
+    ``before`` (keys and day as _k0, _k1 and so on)."""
     w = Window.partitionBy(*keys, day).orderBy(order)
-    out = u.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
-    return out.filter(~F.col("_halo")).drop("_halo", day)
+    body = x.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols], F.lag(F.lit(True)).over(w).alias("_later"))
+    same = functools.reduce(operator.and_, [F.col(c) == F.col(f"_k{i}") for i, c in enumerate([*keys, day])])
+    j = body.join(before, same, "left")
+    return j.select(*x.columns, *[F.when(F.col("_later"), F.col(prefix + c)).otherwise(F.col(f"_before._v{i}")).alias(prefix + c)
+                                  for i, c in enumerate(cols)])
 
 
-def lag_on_grid(df: DataFrame, keys, order: str, cols, minutes: int, prefix: str = "prev_") -> DataFrame:
+def lag_on_grid(df: DataFrame, keys, order: str, cols, minutes: int, prefix: str = "prev_", day: str | None = None) -> DataFrame:
     """``lag_in_series`` for a dense grid of ``minutes`` slots (every slot of every
     day between the bounds is a row): the row before a day's first slot is that
-    key's last slot of the previous day, so the halo is just those rows moved one
-    day on — no per-day summary and no per-key window are needed."""
+    key's last slot of the previous day, so what a first row needs is just those rows
+    moved one day on — no per-day summary and no per-key window."""
     check_step(minutes)
     keys, cols = list(keys), list(cols)
-    day = "_lag_day"
-    x = df.withColumn(day, F.to_date(order))
-    last = F.col(day).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1440 - minutes))
-    halo = (x.filter(F.col(order) == last)
-            .select(*keys, F.date_add(day, 1).alias(day), order, *cols, F.lit(True).alias("_halo")))
-    u = x.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, day).orderBy(order)
-    out = u.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
-    return out.filter(~F.col("_halo")).drop("_halo", day)
+    own = day or "_lag_day"
+    x = df if day else df.withColumn(own, F.to_date(order))
+    last = F.col(own).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1440 - minutes))
+    before = x.filter(F.col(order) == last).select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.date_add(own, 1).alias(f"_k{len(keys)}"),
+        F.struct(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)]).alias("_before"))
+    out = _lag_with(x, keys, own, order, cols, prefix, before)
+    return out if day else out.drop(own)
 
 
 def counter_diff(series: DataFrame, keys=("device",), order: str = "slot", value: str = "value",
-                 out: str = "interval", clamp: bool = True, keep_raw: str | None = None) -> DataFrame:
+                 out: str = "interval", clamp: bool = True, keep_raw: str | None = None,
+                 day: str | None = None) -> DataFrame:
     """Cumulative counter -> per-interval amount: value minus the previous existing
     row's value. A null on either side gives null. With ``clamp`` negative
     differences (counter resets) become 0; ``keep_raw`` names a column that keeps
     the unclamped difference. Means of equal readings are equal to the last bit (see
     ``functions.exact``), so a flat counter has no rain and no reset."""
-    d = lag_in_series(series, keys, order, [value], prefix="_prev_")
+    d = lag_in_series(series, keys, order, [value], prefix="_prev_", day=day)
     d = d.withColumn(out, F.col(value) - F.col(f"_prev_{value}"))
     if keep_raw:
         d = d.withColumn(keep_raw, F.col(out))
@@ -139,10 +149,37 @@ def time_grid(series: DataFrame, keys=("device",), order: str = "slot", minutes:
 
 
 def densify(series: DataFrame, keys=("device",), order: str = "slot", minutes: int = 15,
-            bounds=None) -> DataFrame:
-    """The series on its complete grid: missing slots appear as rows of nulls."""
-    grid = time_grid(series, keys, order, minutes, bounds)
-    return grid.join(series, on=[*keys, order], how="left")
+            bounds=None, day: str | None = None) -> DataFrame:
+    """The series on its complete grid: missing slots appear as rows of nulls. Slots lie
+    on the grid and keys are not null.
+
+    A row makes the rows of the empty slots up to the next one of its day, a day's first
+    row also those before it; days without a row are added whole. No join is needed, and
+    with ``day`` (the column with the day of ``order``) a table laid out by keys and day is
+    not exchanged."""
+    check_step(minutes)
+    keys, own = list(keys), day or "_day"
+    x = series if day else series.withColumn(own, F.to_date(order))
+    if bounds is None:
+        b = scalar(series, F.struct(F.min(order).alias("lo"), F.max(order).alias("hi")))
+        lo, hi = b.getField("lo"), b.getField("hi")
+    else:
+        lo, hi = (ntz_literal(v) for v in bounds)
+    step = _interval_minutes(minutes)
+    w = Window.partitionBy(*keys, own).orderBy(order)
+    start = F.greatest(F.col(own).cast("timestamp_ntz"), lo)
+    end = F.least(F.col(own).cast("timestamp_ntz") + _interval_minutes(1440 - minutes), hi)
+    values = [c for c in x.columns if c not in (*keys, own, order)]
+    filled = (x.withColumns({"_first": F.lag(order).over(w).isNull(), "_next": F.lead(order).over(w)})
+              .withColumn("_at", F.explode(F.sequence(F.when(F.col("_first"), start).otherwise(F.col(order)),
+                                                      F.greatest(F.col(order), F.coalesce(F.col("_next") - step, end)), step)))
+              .select(*keys, F.col("_at").alias(order), own, *[F.when(F.col("_at") == F.col(order), F.col(c)).alias(c) for c in values]))
+    every = series.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.to_date(lo), F.to_date(hi))).alias(own))
+    absent = every.join(x.select(*keys, own).distinct(), [*keys, own], "left_anti")
+    whole = absent.select(*keys, F.explode(F.sequence(start, end, step)).alias(order), own,
+                          *[F.lit(None).cast(x.schema[c].dataType).alias(c) for c in values])
+    out = filled.union(whole)
+    return out if day else out.drop(own)
 
 
 def with_day(df: DataFrame, order: str = "slot", name: str = DAY) -> DataFrame:

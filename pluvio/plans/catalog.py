@@ -7,6 +7,7 @@ comparison); nothing is sampled, capped or subset.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,9 @@ from pluvio.operators import columns, coverage, geo, quality, records, reshape,
 from pluvio.operators.joins import left_join_as
 from pluvio.plans import fixtures as fx
 from pluvio.plans import pipelines as pl
-from pluvio.session import pin
+from pluvio.plans import publish
+from pluvio.session import pin, shared_folder
+from pluvio.sinks import writers
 from pluvio.sources.generated import calendar, calendar_over
 
 DEV = "device"
@@ -546,6 +549,19 @@ def q_reading_gaps(spark, d):
     return pl.reading_gaps(_inp(spark, d, with_stations=False, with_incidents=False, with_satellite=False))
 
 
+@query
+def q_published_daily(spark, d):
+    """The stand-in inputs written as export files (gauges of both kinds, incidents,
+    stations with two-line headers, official, satellite), read by a layout, published, and
+    the daily table read back by the manifest."""
+    root = f"{shared_folder(spark)}/pluvio-published/{uuid.uuid4().hex}"
+    layout = fx.write_exports(spark, d, f"{root}/exports")
+    out = publish.from_exports(spark, layout, rules=RULES, period=fx.PERIOD)
+    names = ("hydro_incident_daily", "gauge_days", "reading_counts")
+    publish.write({n: out[n] for n in names}, f"{root}/tables", "first")
+    return writers.read_published(spark, f"{root}/tables", "hydro_incident_daily").drop("month")
+
+
 # ------------------------------------------------------------------ geo
 def _polys(spark, d):
     return geo.polygon_edges(fx.polygon_vertices(spark, d))

@@ -23,11 +23,15 @@ RATE = "precipitation_rate_surface_6_hour_average"
 @dataclass(frozen=True)
 class Layout:
     """Paths of the exports. ``device_names`` maps a column of the later gauge files (its
-    normalised name) to the device's name in the first ones. ``gauge_line_breaks``: whether
+    normalised name) to the device's name in the first ones; ``later_gauges`` is the folder
+    of those files if it is another one. ``gauge_line_breaks``: whether
     cells of gauge files hold line breaks; a file is then one split of the scan."""
     gauges: str
     device_names: dict = field(default_factory=dict)
     gauge_line_breaks: bool = False
+    later_gauges: str | None = None
+    first_pattern: str = FIRST_PERIOD
+    later_pattern: str = LATER_PERIOD
     incidents: str | None = None
     older_incidents: str | None = None
     older_before: str = "2020-01-01"
@@ -47,10 +51,11 @@ def gauge_readings(spark: SparkSession, layout: Layout) -> DataFrame:
     device_name, value), and one column a gauge (date, ...), which is unpivoted; columns
     without a header go. Repeated rows stay (see ``pipelines.ingest``)."""
     exports, multi = [], {"multi_line": layout.gauge_line_breaks}
-    if readers.list_files(spark, layout.gauges, FIRST_PERIOD):
-        exports.append(readers.read_folder(spark, layout.gauges, FIRST_PERIOD, **multi).select("time", "device_name", "value"))
-    if readers.list_files(spark, layout.gauges, LATER_PERIOD):
-        wide = readers.read_folder(spark, layout.gauges, LATER_PERIOD, drop_unnamed=True, **multi)
+    first, later = (layout.gauges, layout.first_pattern), (layout.later_gauges or layout.gauges, layout.later_pattern)
+    if readers.list_files(spark, *first):
+        exports.append(readers.read_folder(spark, *first, **multi).select("time", "device_name", "value"))
+    if readers.list_files(spark, *later):
+        wide = readers.read_folder(spark, *later, drop_unnamed=True, **multi)
         wide = wide.withColumnsRenamed(layout.device_names)
         exports.append(reshape.unpivot(wide, ["date"], "device_name", "value"))
     if not exports:

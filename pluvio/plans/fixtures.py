@@ -11,7 +11,8 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.functions.dates import floor_minutes
+from pluvio.functions.dates import ANY_DATE_FORMATS, floor_minutes
+from pluvio.plans import exports
 from pluvio.plans import pipelines as pl
 from pluvio.session import pin
 
@@ -21,6 +22,8 @@ HAZARD_BY_PRIORITY = {
     "4-NOT SPECIFIED": "Fire", "5-LOW": "Infrastructure",
 }
 EVENTS_FIRST_DAY = "2024-01-01"
+# the event types, which are the gauges
+DEVICES = ("click", "error", "purchase", "signup", "view")
 # rules and periods on the events calendar (January 2024); the order-date official series
 # keeps its own year
 RULES = pl.GaugeRules(problem_dates=("2024-01-05", "2024-01-06"), low=1.0, high=100.0)
@@ -161,10 +164,14 @@ def _station_hours(spark, sf_dir) -> DataFrame:
 
 
 def satellite_export(spark, sf_dir) -> DataFrame:
-    """6-hourly satellite rain-rate rows (date text, rate): one per reading."""
+    """6-hourly satellite rain-rate rows (date text, rate): one per reading, the dates in
+    all the formats that the parser knows, by minute."""
     r = readings(spark, sf_dir)
-    return r.select(F.date_format("ts", "yyyy-MM-dd").alias("system_time_start"),
-                    F.col("value").alias("precipitation_rate"))
+    text = None
+    for i, fmt in enumerate(ANY_DATE_FORMATS):
+        spelt, turn = F.date_format("ts", fmt), F.minute("ts") % len(ANY_DATE_FORMATS) == i
+        text = F.when(turn, spelt) if text is None else text.when(turn, spelt)
+    return r.select(text.alias("system_time_start"), F.col("value").alias("precipitation_rate"))
 
 
 def official_export(spark, sf_dir) -> DataFrame:
@@ -247,3 +254,42 @@ def polygon_vertices(spark, sf_dir) -> DataFrame:
                     v(2, 0, x0 + 0.01, 0.31), v(2, 1, x0 + 0.1, 0.31), v(2, 2, x0 + 0.1, 0.39), v(2, 3, x0 + 0.01, 0.38))
     return r.select(F.col("r_name").alias("name"), F.explode(verts).alias("v")).select(
         "name", "v.ring_id", "v.seq", "v.x", "v.y")
+
+
+# --------------------------------------------------------------------------- as files
+def later_gauges_wide(spark, sf_dir) -> DataFrame:
+    """The later gauge kind as its files have it: a row a minute with a reading, a column a
+    gauge with the largest value of the minute."""
+    later = gauge_exports(spark, sf_dir)[2]
+    return later.groupBy("date").pivot("device_name", DEVICES).agg(F.max("value"))
+
+
+def _two_line_station(export: DataFrame) -> DataFrame:
+    """Lines of a station's tab file: two header lines, the first word of a column's name
+    over the rest of it, then the rows."""
+    names = ["date", "time", *[c for c in export.columns if c not in ("x_date", "x_time")]]
+    over = [n.split("_", 1)[0].title() if "_" in n else "" for n in names]
+    under = [n.split("_", 1)[-1].replace("_", " ").title() for n in names]
+    head = export.sparkSession.createDataFrame([(0, "\t".join(over)), (1, "\t".join(under))], "n int, line string")
+    body = export.select(F.lit(2), F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in export.columns]))
+    return head.union(body).coalesce(1).sortWithinPartitions("n").select("line")
+
+
+def write_exports(spark, sf_dir, root: str) -> exports.Layout:
+    """The stand-in inputs as export files under ``root``."""
+    def csv(df, name, mode="errorifexists"):
+        df.write.mode(mode).option("header", True).csv(f"{root}/{name}")
+        return f"{root}/{name}"
+    first, overlap, _ = gauge_exports(spark, sf_dir)
+    csv(first, "gauges")
+    stations = []
+    for name, parity, behind in (("lead", 0, 0), ("other", 1, 12)):
+        _two_line_station(station_export(spark, sf_dir, parity, behind)).write.text(f"{root}/{name}")
+        stations.append(f"{root}/{name}")
+    return exports.Layout(
+        gauges=csv(overlap, "gauges", "append"), later_gauges=csv(later_gauges_wide(spark, sf_dir), "later"),
+        first_pattern="*.csv", later_pattern="*.csv", incidents=csv(incident_export(spark, sf_dir), "incidents"),
+        lead_station=stations[0], other_station=stations[1],
+        official={n: csv(official_days(spark, sf_dir, p), n) for p, n in enumerate(("offa", "offb"))},
+        chirps=csv(chirps_export(spark, sf_dir), "chirps"),
+        satellite=csv(satellite_export(spark, sf_dir).withColumnRenamed("precipitation_rate", exports.RATE), "satellite"))

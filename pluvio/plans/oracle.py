@@ -490,4 +490,17 @@ nxt AS (SELECT device, slot, lead(slot) OVER (PARTITION BY device ORDER BY slot)
                       """SELECT device, slot + INTERVAL 15 MINUTE AS gap_first, after - INTERVAL 15 MINUTE AS gap_last,
   CAST(epoch(after - slot) / 900 AS BIGINT) - 1 AS slots FROM nxt WHERE after > slot + INTERVAL 15 MINUTE""")
 
+# ---------------------------------------------------------------- published from files
+# gauges as files: the first kind with repeated rows, the later one a row a minute and a
+# column a gauge, so a gauge without a reading in that minute has a row without a value
+_EXPORTED = """,
+early AS (SELECT DISTINCT device, date_trunc('second', ts) AS ts, value FROM readings WHERE ts < TIMESTAMP '2024-01-16'),
+late AS (SELECT device, date_trunc('minute', ts) AS ts, max(value) AS value FROM readings WHERE NOT (ts < TIMESTAMP '2024-01-16') GROUP BY 1, 2),
+exported AS (SELECT * FROM early UNION ALL
+  SELECT d.device, m.ts, late.value FROM (SELECT DISTINCT ts FROM late) m CROSS JOIN (SELECT unnest([""" + inlist(DEVICES) + """]) AS device) d
+  LEFT JOIN late ON late.ts = m.ts AND late.device = d.device),
+ra AS ("""
+S["published_daily"] = W(_HYDRO.replace(",\nra AS (", _EXPORTED, 1).replace("FROM readings WHERE ts IS NOT NULL", "FROM exported WHERE ts IS NOT NULL", 1),
+                         "SELECT date, " + ", ".join(_hd_cols) + " FROM hd")
+
 ORACLE_SQL = dict(S)

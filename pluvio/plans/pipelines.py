@@ -19,7 +19,7 @@ from pluvio.functions.dates import any_date, day_month_ambiguous, floor_minutes,
 from pluvio.functions.nulls import r_if_else, round_half
 from pluvio.operators import columns, coverage, geo, quality, records, reshape, runs, series, weather
 from pluvio.operators.quality import ANOMALY_TEXT, RESET_TEXT, TRACE_TEXT
-from pluvio.session import pin
+from pluvio.session import pin, stored
 from pluvio.sources.generated import calendar
 
 DEV = "device"
@@ -82,13 +82,16 @@ class Inputs:
 
     def ingested(self) -> DataFrame:
         """What one pass over the readings gives (see ``ingest``), computed once. With
-        ``checkpoint`` it is written to the session's checkpoint folder: every consumer
-        (grid bounds, device names, differences, flags, counts) then reads that small
-        table instead of re-running the aggregation of the readings, and its lineage
-        survives executor loss."""
+        ``checkpoint`` it is written to the shared folder as a table laid out by gauge and
+        day and partitioned by month (``session.stored``): every consumer (grid bounds,
+        device names, differences, flags, counts) reads that small table instead of
+        re-running the aggregation of the readings, differences, grid and rolling sums
+        follow without another exchange, and a lost executor costs a re-read."""
         if self._ingested is None:
-            s = ingest(self.readings, self.rules, self.distinct)
-            self._ingested = pin(s) if self.checkpoint else s
+            s = ingest(self.readings, self.rules, self.distinct).withColumn("date", F.to_date("slot"))
+            if self.checkpoint:
+                s = stored(s.withColumn("month", F.date_format("date", "yyyy-MM")), (DEV, "date"), ("slot",), "month")
+            self._ingested = s
         return self._ingested
 
     def slots(self) -> DataFrame:
@@ -158,8 +161,8 @@ def ingest(readings: DataFrame, rules: GaugeRules, distinct=()) -> DataFrame:
 
 
 def slots_of(ingested: DataFrame) -> DataFrame:
-    """(device, slot, accumulated, value, anomaly)."""
-    return ingested.filter(F.col("slot").isNotNull()).drop("readings")
+    """(device, slot, accumulated, value, anomaly), and date where it is known."""
+    return ingested.filter(F.col("slot").isNotNull()).drop("readings", "month")
 
 
 def slot_table(readings: DataFrame, rules: GaugeRules, distinct=()) -> DataFrame:
@@ -186,9 +189,9 @@ def gridded(inp: Inputs) -> DataFrame:
     """The slot table on its dense grid with the counter differences:
     (device, slot, date, accumulated, value, anomaly, interval, raw_interval)."""
     diffs = series.counter_diff(inp.slots(), (DEV,), "slot", "value", "interval", clamp=True,
-                                keep_raw="raw_interval")
-    g = series.densify(diffs, (DEV,), "slot", inp.rules.minutes, bounds=inp.bounds())
-    return series.with_day(g)
+                                keep_raw="raw_interval", day="date")
+    g = series.densify(diffs, (DEV,), "slot", inp.rules.minutes, bounds=inp.bounds(), day="date")
+    return g.select(DEV, "slot", "date", "accumulated", "value", "anomaly", "interval", "raw_interval")
 
 
 def rolled(g: DataFrame, rules: GaugeRules, last_day=None) -> DataFrame:
@@ -210,7 +213,7 @@ def subhourly_long(inp: Inputs, g: DataFrame | None = None) -> DataFrame:
     reset_col = "raw_interval" if inp.rules.flag_before_clamp else "interval"
     q = F.least(F.col("anomaly"), F.when(F.col(reset_col) < 0, F.lit(RESET_TEXT)))
     x = g.withColumn("quality", q)
-    x = quality.gap_flag(x, (DEV,), "slot", "accumulated", "quality", step_minutes=inp.rules.minutes)
+    x = quality.gap_flag(x, (DEV,), "slot", "accumulated", "quality", step_minutes=inp.rules.minutes, day="date")
     x = quality.null_first_slot(x, "slot", "quality", first=inp.first_slot())
     return quality.missing_flag(x, "accumulated", "quality").select(DEV, "slot", "accumulated", "interval", "quality")
 
@@ -283,11 +286,15 @@ def hourly_table(inp: Inputs, r: DataFrame | None = None) -> DataFrame:
     """Hourly gauge sums (wide, precip_<device>) joined to both stations by hour,
     with station period flags."""
     r = rolled(gridded(inp), inp.rules, inp.last_day()) if r is None else r
+    return with_stations(inp, hourly_gauges(inp, r))
+
+
+def hourly_gauges(inp: Inputs, r: DataFrame) -> DataFrame:
+    """Hourly gauge sums, one column a gauge."""
     h = series.hourly_sum(r, (DEV,), "slot", "interval", "precipitation")
     devs = inp.device_list()
     wide = reshape.pivot(h, ["datehour"], DEV, devs, {"": F.first("precipitation")})
-    wide = wide.withColumnsRenamed({str(d): f"precip_{d}" for d in devs})
-    return with_stations(inp, wide)
+    return wide.withColumnsRenamed({str(d): f"precip_{d}" for d in devs})
 
 
 def with_stations(inp: Inputs, hours: DataFrame) -> DataFrame:
@@ -400,8 +407,8 @@ def published_order(daily: DataFrame, devices, measures, hazards=records.HAZARDS
 def known_runs(inp: Inputs) -> DataFrame:
     """``runs.day_runs`` of the slots with a known amount, without the last (partial) day.
     No dense grid is made for it."""
-    diffs = series.counter_diff(inp.slots(), (DEV,), "slot", "value", "interval", clamp=True)
-    r = runs.day_runs(diffs, (DEV,), "slot", inp.rules.minutes, "interval")
+    diffs = series.counter_diff(inp.slots(), (DEV,), "slot", "value", "interval", clamp=True, day="date")
+    r = runs.day_runs(diffs, (DEV,), "slot", inp.rules.minutes, "interval", "date")
     return r.filter(F.col("date") < F.lit(inp.last_day()))
 
 
@@ -442,7 +449,7 @@ def device_completeness(inp: Inputs, known: DataFrame | None = None) -> DataFram
 def reading_gaps(inp: Inputs) -> DataFrame:
     """(device, gap_first, gap_last, slots): the stretches without a raw mean between a
     gauge's first and last one."""
-    by_day = runs.day_runs(inp.slots(), (DEV,), "slot", inp.rules.minutes, "accumulated")
+    by_day = runs.day_runs(inp.slots(), (DEV,), "slot", inp.rules.minutes, "accumulated", "date")
     return runs.gaps(runs.series_runs(by_day, (DEV,), inp.rules.minutes), (DEV,), inp.rules.minutes)
 
 

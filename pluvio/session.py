@@ -2,9 +2,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
+TABLES = "pluvio_stored_"
+
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
@@ -78,16 +81,43 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return d
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder the cluster names. Only a local-mode session without one
+    (tests, one machine) gets a temporary folder, set once."""
+    d = checkpoint_dir(spark)
+    if d is None:
+        sc = _context(spark)
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        d = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="pluvio-ckpt-"))
+    return d
+
+
+def stored(df, keys, sort, by: str):
+    """``df`` as a Parquet table in the shared folder, partitioned by the column ``by`` and
+    laid out in as many buckets of ``keys`` as there are shuffle partitions, sorted by
+    ``keys`` and ``sort``. Reading it needs no exchange for what is grouped, windowed or
+    joined by ``keys``, and a filter on ``by`` reads the partitions that it leaves."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{TABLES}{uuid.uuid4().hex}"
+    (df.repartition(n, *keys).write.partitionBy(by).bucketBy(n, *keys).sortBy(*keys, *sort)
+     .option("path", f"{shared_folder(spark)}/{name}").format("parquet").saveAsTable(name))
+    return spark.table(name)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Drop the tables that ``stored`` made in this session, with their files."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith(TABLES):
+            spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{t.name}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pin(df):
     """Reliable checkpoint that is always taken: for intermediates whose row
     placement must be identical for every consumer. Uses the session's checkpoint
     folder; only a local-mode session without one gets a temporary folder."""
-    spark = df.sparkSession
-    sc = _context(spark)
-    if checkpoint_dir(spark) is None:
-        if sc is None or not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="pluvio-ckpt-"))
-    else:
-        ensure_checkpoint_dir(spark, checkpoint_dir(spark))
+    ensure_checkpoint_dir(df.sparkSession, shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -108,7 +108,8 @@ def test_cells_follow_the_polygons(spark):
     v = spark.createDataFrame([(n, i, x, y) for n, ring in shapes for i, (x, y) in enumerate(ring)],
                               "name string, seq int, x double, y double")
     e = geo.polygon_edges(v)
-    assert geo.edge_cells(e).count() <= 6 * e.count()
+    sized = geo.sized_edges(e)
+    assert geo.edge_bands(sized).count() <= 6 * e.count() and geo.cell_cover(sized).count() <= 16 * e.count()
     near = [(x + random.uniform(-20, 120), y + random.uniform(-20, 90)) for _, ((x, y), *_) in shapes]
     pts = list(enumerate(near + [(random.uniform(-10, 1e5), random.uniform(-10, 1e5)) for _ in range(60)]))
     df = spark.createDataFrame([(i, x, y) for i, (x, y) in pts], "point_id int, x double, y double")
@@ -120,6 +121,49 @@ def test_cells_follow_the_polygons(spark):
     assert got == sorted(want, key=repr)
 
 
+def _wavy(n, cx, cy, r):
+    """A closed line of n vertices around (cx, cy) that goes in and out."""
+    import math
+    at = [(2 * math.pi * i / n, r * (1 + 0.2 * math.sin(40 * math.pi * i / n) + 0.01 * (i % 2))) for i in range(n)]
+    return [(cx + d * math.cos(a), cy + d * math.sin(a)) for a, d in at]
+
+
+def test_inside_cells_need_no_edge_tests(spark):
+    shapes = [("wavy", _wavy(4000, 0.0, 0.0, 10.0)), ("island", _wavy(50, 30.0, 0.0, 2.0)), ("box", [(-20.0, -3.0), (40.0, -3.0), (40.0, 3.0), (-20.0, 3.0)])]
+    v = spark.createDataFrame([(n, i, x, y) for n, ring in shapes for i, (x, y) in enumerate(ring)], "name string, seq int, x double, y double")
+    e = geo.polygon_edges(v)
+    random.seed(8)
+    pts = [(i, random.uniform(-22, 42), random.uniform(-14, 14)) for i in range(1500)] + [(2000 + i, x, y) for i, (x, y) in enumerate(shapes[0][1][::40])]
+    df = spark.createDataFrame(pts, "point_id int, x double, y double")
+    got = rows(geo.locate(df, e, "point_id"), "point_id", "polygon_name")
+    want = []
+    for i, x, y in pts:
+        names = [n for n, ring in shapes if brute_inside(x, y, ring)]
+        want += [(i, n) for n in names] or [(i, None)]
+    assert got == sorted(want, key=repr)
+    sized = geo.sized_edges(e)
+    inside, pairs = geo.edge_tests(df, sized, geo.cell_cover(sized))
+    in_wavy = sum(brute_inside(x, y, shapes[0][1]) for _, x, y in pts[:1500])
+    settled = inside.filter("name = 'wavy'").count()
+    assert settled > 0.6 * in_wavy
+    # all edges to the right, or of the band, would be thousands a point
+    assert pairs.count() < 40 * len(pts)
+
+
+def test_one_ring_spreads_over_many_tasks(spark):
+    from pyspark.sql import functions as F
+    ring = _wavy(3000, 0.0, 0.0, 5.0)
+    v = spark.createDataFrame([("hot", 0, i, x, y) for i, (x, y) in enumerate(ring)] + [("small", 7, i, float(i), float(i * i)) for i in range(3)]
+                              + [(None, 0, i, float(i), 1.0 - i) for i in range(3)], "name string, ring_id int, seq int, x double, y double").repartition(5)
+    e = geo.polygon_edges(v, partitions=8)
+    got = {(r["ax"], r["ay"]): (r["bx"], r["by"]) for r in e.filter("name = 'hot'").collect()}
+    assert got == dict(zip(ring, ring[1:] + ring[:1], strict=True))
+    assert rows(e.filter("name = 'small'").select("ax", "bx")) == [(0.0, 1.0), (1.0, 2.0), (2.0, 0.0)]
+    assert rows(e.filter("name is null").select("ax", "bx")) == [(0.0, 1.0), (1.0, 2.0), (2.0, 0.0)]
+    spread = v.repartitionByRange(8, "name", "ring_id", "seq").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(spread) >= 6 and max(r["count"] for r in spread) < 1000
+
+
 def test_broadcast_is_bound_in_bytes(spark):
     df = spark.createDataFrame([("x" * 1000, 1)] * 20, "t string, n int")
     hinted = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString()

@@ -62,7 +62,23 @@ def test_series_windows_partitioned_by_device_and_day(spark):
     assert any("_lag_day" in ln.split("], [")[1] for ln in lag_windows)
 
 
+def test_stored_slots_reach_the_rolling_sum_without_an_exchange(spark):
+    from pyspark.sql import functions as F
+
+    from pluvio.plans import fixtures as fx
+    from pluvio.plans import pipelines as pl
+    inp = fx.inputs(spark, SF1, with_stations=False, with_incidents=False, with_satellite=False)
+    r = pl.rolled(pl.gridded(inp), inp.rules, inp.last_day())
+    p = _plan(r.filter(F.col("date") == F.lit("2024-01-08").cast("date")))
+    assert "Bucketed: true" in p
+    # summaries of a row a day are exchanged, slots are not
+    assert not re.search(r"\bExchange hashpartitioning\(device#\d+, date#\d+", p), p
+    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(date,2024-01-08\)", p)
+    whole = _plan(r)
+    assert len(re.findall(r"\bExchange ", whole)) <= 4 and whole.count("Window [") >= 3
+
+
 def test_spatial_join_is_an_equi_join_on_cells(spark):
     p = _plan(E.queries()["geo_join"](spark, SF1))
-    assert re.search(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[_band", p), p[:2000]
+    assert re.search(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[_pc#\d+, _prow#\d+L?, _pcol", p), p[:2000]
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
