@@ -39,3 +39,17 @@ def test_odd_rows(spark):
     assert exact_dedup.drop_exact_copies(twice).count() == 2
     assert exact_dedup.exact_groups(df.limit(0)).count() == 0
     assert exact_dedup.drop_exact_copies(df.limit(0)).count() == 0
+
+
+def test_rows_alike_in_id_and_text(spark):
+    """Most rows are one row, or have null ids: cut over partitions, counted whole."""
+    rows = [(7, "same  text")] * 3000 + [(None, "same text")] * 500 + [(9, "other")] * 2 + [(None, "x")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    out = exact_dedup.exact_groups(docs).collect()
+    assert len(out) == len(rows)
+    by = {}
+    for r in out:
+        by.setdefault(r["text_sha256"], []).append(r)
+    assert sorted((rs[0]["keep_id"], rs[0]["group_size"], len(rs), sum(r["kept"] for r in rs)) if rs[0]["keep_id"] else (0, rs[0]["group_size"], len(rs), sum(r["kept"] for r in rs))
+                  for rs in by.values()) == [(0, 3, 3, 1), (7, 3500, 3500, 1), (9, 2, 2, 1)]
+    assert sorted((r["doc_id"] or 0) for r in exact_dedup.drop_exact_copies(docs).collect()) == [0, 7, 9]
