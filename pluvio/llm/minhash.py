@@ -13,6 +13,7 @@ link is confirmed on full shingle sets; components come from distributed rounds.
 """
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -183,7 +184,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         F.col("rep").alias("a"), (-F.col("m.hub")).alias("b"))
     texts = _texts(docs, members.select("rep").distinct(), id_col, text_col)
     linked = confirmed(texts, first, k, percent)
-    rest = _left_over(classes, members, connected_components(linked))
+    rest = _left_over(classes, members, connected_components(linked), percent)
     linked = linked.union(_linked_in_blocks(texts, rest, k, percent))
     comp = connected_components(linked)
     known = store(classes.join(comp, classes["rep"] == comp["id"], "left").select(
@@ -204,11 +205,13 @@ def _texts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataF
     return store(rows.hint("merge").join(ids.hint("merge"), rows["doc"] == ids["rep"], "left_semi"))
 
 
-def _left_over(classes: DataFrame, members: DataFrame, comp: DataFrame) -> DataFrame:
+def _left_over(classes: DataFrame, members: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
     """Block pairs that cover every pair of a bucket whose classes lie in different
-    components: hub, part, i, j, first, rep, comp. Buckets of the same hub go together.
-    The classes of a group's largest component are compared with the other classes only,
-    so a large group that is joined already costs no more than what is not."""
+    components and may be similar enough by their sizes: hub, part, i, j, first, rep, comp.
+    Buckets of the same hub go together. The classes of a group's largest component are
+    compared with the other classes only, so a large group that is joined already costs no
+    more than what is not. Set sizes fall into steps of the least ratio that similar sets
+    have, so a class meets those of its own step and of the two beside it alone."""
     m = store(members.join(comp, members["rep"] == comp["id"], "left")
               .select("bucket", "hub", "rep", F.coalesce("component", "rep").alias("comp")))
     mixed = store(m.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
@@ -220,22 +223,41 @@ def _left_over(classes: DataFrame, members: DataFrame, comp: DataFrame) -> DataF
     sized = store(rest.join(main, rest["hub"] == main["_hub"]).join(size, rest["rep"] == size["_rep"])
                   .select("hub", "rep", "comp", (F.col("comp") != F.col("main")).alias("odd"), "n"))
 
+    # sets two steps apart differ by more than the threshold allows, rounding included
+    step = F.floor(F.log("n") / math.log(100 / percent * (1 + 1e-9))).cast("int") if percent < 100 else F.col("n").cast("int")
+    sized = store(sized.withColumn("step", step))
+
     def blocks(which):
         return F.ceil(F.greatest(F.sum(F.when(which, 1).otherwise(0)) / BLOCK,
                                  F.sum(F.when(which, F.col("n")).otherwise(0)) / BLOCK_SHINGLES)).cast("int")
-    counts = store(sized.groupBy(F.col("hub").alias("_hub")).agg(blocks(F.col("odd")).alias("odds"), blocks(~F.col("odd")).alias("mains")))
-    dealt = (sized.join(counts, sized["hub"] == counts["_hub"])
-             .withColumn("own", F.pmod(F.xxhash64("rep"), F.when(F.col("odd"), F.col("odds")).otherwise(F.col("mains"))).cast("int")))
-    to_odd = F.explode(F.sequence(F.lit(0), F.col("odds") - 1)).alias("other")
-    to_main = F.explode(F.sequence(F.lit(0), F.col("mains") - 1)).alias("other")
-    among = dealt.filter("odd").select("hub", "rep", "comp", "own", to_odd).select(
-        "hub", F.lit("odd").alias("part"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        (F.col("own") <= F.col("other")).alias("first"), "rep", "comp")
-    odd = dealt.filter("odd and mains > 0").select("hub", "rep", "comp", "own", to_main).select(
-        "hub", F.lit("main").alias("part"), F.col("own").alias("i"), F.col("other").alias("j"), F.lit(True).alias("first"), "rep", "comp")
-    main_ = dealt.filter("not odd and odds > 0").select("hub", "rep", "comp", "own", to_odd).select(
-        "hub", F.lit("main").alias("part"), F.col("other").alias("i"), F.col("own").alias("j"), F.lit(False).alias("first"), "rep", "comp")
-    return store(among.union(odd).union(main_))
+    counts = store(sized.groupBy(F.col("hub").alias("_hub"), F.col("step").alias("_step"))
+                   .agg(blocks(F.col("odd")).alias("odds"), blocks(~F.col("odd")).alias("mains")))
+    here = (sized["hub"] == counts["_hub"]) & (sized["step"] == counts["_step"])
+    dealt = store(sized.join(counts, here).withColumn(
+        "own", F.pmod(F.xxhash64("rep"), F.when(F.col("odd"), F.col("odds")).otherwise(F.col("mains"))).cast("int"))
+        .select("hub", "step", "rep", "comp", "odd", "own"))
+
+    def meets(odd, other, shift, part, same):
+        """The rows with ``odd`` as they are, for each block with ``other`` in the step
+        ``shift`` above; the block is i of the lower side's and j of the upper side's."""
+        rows = dealt.filter(F.col("odd") if odd else ~F.col("odd"))
+        n = counts.select("_hub", (F.col("_step") - shift).alias("_step"), F.col("odds" if other else "mains").alias("_n")).filter("_n > 0")
+        met = rows.join(n, (rows["hub"] == n["_hub"]) & (rows["step"] == n["_step"])).withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+        lower = F.col("step") if shift >= 0 else F.col("step") + shift
+        name = F.concat(F.lit(part), lower.cast("string"))
+        if same:
+            return met.select("hub", name.alias("part"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                              (F.col("own") <= F.col("other")).alias("first"), "rep", "comp")
+        first = shift > 0 or (shift == 0 and odd)
+        i, j = ("own", "other") if first else ("other", "own")
+        return met.select("hub", name.alias("part"), F.col(i).alias("i"), F.col(j).alias("j"), F.lit(first).alias("first"), "rep", "comp")
+
+    every = [meets(True, True, 0, "odd", True), meets(True, True, 1, "up", False), meets(True, True, -1, "up", False),
+             meets(True, False, 0, "main", False), meets(False, True, 0, "main", False),
+             meets(True, False, 1, "above", False), meets(False, True, -1, "above", False),
+             meets(True, False, -1, "below", False), meets(False, True, 1, "below", False)]
+    return store(functools.reduce(DataFrame.union, every))
 
 
 def intersections(left: list, right: list) -> np.ndarray:
@@ -272,7 +294,7 @@ def _linked_in_blocks(texts: DataFrame, rest: DataFrame, k: int, percent: int) -
             left, right = held
             if group is None:
                 return [], []
-            if group[1] == "odd" and group[2] == group[3]:
+            if group[1].startswith("odd") and group[2] == group[3]:
                 right = left
             if not left or not right:
                 return [], []

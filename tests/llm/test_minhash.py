@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import reference as ref
+from pyspark.sql import functions as F
 
 from pluvio.llm import minhash
 from pluvio.llm.common import connected_components, store
@@ -115,3 +116,24 @@ def test_components(spark):
     df = store(spark.createDataFrame(links, "a long, b long"))
     assert {r["id"]: r["component"] for r in connected_components(df).collect()} == want
     assert connected_components(df.limit(0)).count() == 0
+
+
+def test_hub_of_many_sizes(spark):
+    """20,000 classes in one bucket that link with nothing: a text is sent to blocks of
+    sizes near its own only, and any two sets similar enough by size still meet."""
+    n = 20_000
+    size = F.floor(F.pow(F.lit(100.0), F.col("rep") / n) * 50).cast("long")
+    classes = store(spark.range(n).withColumnRenamed("id", "rep").withColumn("n", size))
+    members = store(classes.select(F.lit(1).cast("long").alias("bucket"), "rep", F.lit(0).cast("long").alias("hub")))
+    none = store(spark.createDataFrame([], "id long, component long"))
+    rest = minhash._left_over(classes, members, none, 80)
+    blocks = classes.agg(F.ceil(F.sum("n") / minhash.BLOCK_SHINGLES)).first()[0]
+    assert rest.count() < 0.25 * n * blocks
+    few = classes.filter("rep % 400 = 0").select("rep", "n").collect()
+    own = {}
+    for r in rest.filter("rep % 400 = 0").collect():
+        own.setdefault(r["rep"], set()).add((r["part"], r["i"], r["j"]))
+    for a in few:
+        for b in few:
+            if a["rep"] < b["rep"] and 100 * a["n"] >= 80 * b["n"]:
+                assert own[a["rep"]] & own[b["rep"]], (a, b)
