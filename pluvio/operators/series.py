@@ -154,9 +154,8 @@ def densify(series: DataFrame, keys=("device",), order: str = "slot", minutes: i
     on the grid and keys are not null.
 
     A row makes the rows of the empty slots up to the next one of its day, a day's first
-    row also those before it; days without a row are added whole. No join is needed, and
-    with ``day`` (the column with the day of ``order``) a table laid out by keys and day is
-    not exchanged."""
+    row also those before it; no join with a grid of slots is needed. With ``day`` (the
+    column with the day of ``order``) a table laid out by keys and day is not exchanged."""
     check_step(minutes)
     keys, own = list(keys), day or "_day"
     x = series if day else series.withColumn(own, F.to_date(order))
@@ -166,19 +165,19 @@ def densify(series: DataFrame, keys=("device",), order: str = "slot", minutes: i
     else:
         lo, hi = (ntz_literal(v) for v in bounds)
     step = _interval_minutes(minutes)
+    # every day of every key, with its rows or one without a slot: the days are few, and the
+    # rows stay where they are if they are laid out by key and day
+    every = series.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.to_date(lo), F.to_date(hi))).alias(own))
+    x = every.hint("merge").join(x.hint("merge"), [*keys, own], "left")
     w = Window.partitionBy(*keys, own).orderBy(order)
     start = F.greatest(F.col(own).cast("timestamp_ntz"), lo)
     end = F.least(F.col(own).cast("timestamp_ntz") + _interval_minutes(1440 - minutes), hi)
     values = [c for c in x.columns if c not in (*keys, own, order)]
-    filled = (x.withColumns({"_first": F.lag(order).over(w).isNull(), "_next": F.lead(order).over(w)})
-              .withColumn("_at", F.explode(F.sequence(F.when(F.col("_first"), start).otherwise(F.col(order)),
-                                                      F.greatest(F.col(order), F.coalesce(F.col("_next") - step, end)), step)))
-              .select(*keys, F.col("_at").alias(order), own, *[F.when(F.col("_at") == F.col(order), F.col(c)).alias(c) for c in values]))
-    every = series.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.to_date(lo), F.to_date(hi))).alias(own))
-    absent = every.join(x.select(*keys, own).distinct(), [*keys, own], "left_anti")
-    whole = absent.select(*keys, F.explode(F.sequence(start, end, step)).alias(order), own,
-                          *[F.lit(None).cast(x.schema[c].dataType).alias(c) for c in values])
-    out = filled.union(whole)
+    first = F.lag(order).over(w).isNull()
+    out = (x.withColumns({"_first": first, "_next": F.lead(order).over(w)})
+           .withColumn("_at", F.explode(F.sequence(F.when(F.col("_first"), start).otherwise(F.col(order)),
+                                                   F.greatest(F.col(order), F.coalesce(F.col("_next") - step, end)), step)))
+           .select(*keys, F.col("_at").alias(order), own, *[F.when(F.col("_at") == F.col(order), F.col(c)).alias(c) for c in values]))
     return out if day else out.drop(own)
 
 

@@ -30,9 +30,29 @@ READINGS = """readings AS (
   SELECT event_type AS device, ts, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS value
   FROM events)"""
 
-BUCKET = READINGS + """,
-b AS (SELECT device, time_bucket(INTERVAL 15 MINUTE, ts) AS slot, avg(value) AS value
-      FROM readings WHERE ts IS NOT NULL GROUP BY 1, 2),
+# A mean is that of the exact sum of the readings, so it doesn't depend on their order: what
+# the engine's average leaves over, in steps of 2^-64, is put right.
+def _steps(v):
+    whole, part = f"trunc({v})", f"({v} - trunc({v})) * 4294967296"
+    return (f"(CAST({whole} AS HUGEINT) * 18446744073709551616::HUGEINT + CAST(trunc({part}) AS HUGEINT) * 4294967296::HUGEINT"
+            f" + CAST(trunc(({part} - trunc({part})) * 4294967296) AS HUGEINT))")
+
+
+def _summed(v, i):
+    return f"avg({v}) AS q{i}, count({v}) AS n{i}, sum({_steps(f'({v})')}) AS w{i}"
+
+
+def _mean(i):
+    return f"q{i} + CAST(w{i} - n{i} * {_steps(f'q{i}')} AS DOUBLE) / 18446744073709551616.0 / n{i}"
+
+
+_MASKED = "CASE WHEN anom THEN NULL ELSE value END"
+
+
+BUCKET = READINGS + f""",
+b0 AS (SELECT device, time_bucket(INTERVAL 15 MINUTE, ts) AS slot, {_summed('value', 1)}
+       FROM readings WHERE ts IS NOT NULL GROUP BY 1, 2),
+b AS (SELECT device, slot, {_mean(1)} AS value FROM b0),
 c AS (SELECT device, slot, value, value - lag(value) OVER (PARTITION BY device ORDER BY slot) AS raw_interval
       FROM b),
 c2 AS (SELECT *, CASE WHEN raw_interval < 0 THEN 0.0 ELSE raw_interval END AS interval FROM c),
@@ -43,10 +63,10 @@ grid AS (SELECT d.device, s.slot FROM (SELECT DISTINCT device FROM b) d,
 GRIDDED = READINGS + f""",
 ra AS (SELECT *, CAST(ts AS DATE) IN (DATE '2024-01-05', DATE '2024-01-06') AND (value > 100 OR value < 1) AS anom
        FROM readings WHERE ts IS NOT NULL),
-slots AS (SELECT device, time_bucket(INTERVAL 15 MINUTE, ts) AS slot, avg(value) AS accumulated,
-                 avg(CASE WHEN anom THEN NULL ELSE value END) AS value,
-                 min(CASE WHEN anom THEN '{ANOMALY}' END) AS anomaly
-          FROM ra GROUP BY 1, 2),
+slots0 AS (SELECT device, time_bucket(INTERVAL 15 MINUTE, ts) AS slot, {_summed('value', 1)}, {_summed(_MASKED, 2)},
+                  min(CASE WHEN anom THEN '{ANOMALY}' END) AS anomaly
+           FROM ra GROUP BY 1, 2),
+slots AS (SELECT device, slot, {_mean(1)} AS accumulated, {_mean(2)} AS value, anomaly FROM slots0),
 dif AS (SELECT *, value - lag(value) OVER (PARTITION BY device ORDER BY slot) AS raw_interval FROM slots),
 dif2 AS (SELECT *, CASE WHEN raw_interval < 0 THEN 0.0 ELSE raw_interval END AS interval FROM dif),
 grid AS (SELECT d.device, s.slot FROM (SELECT DISTINCT device FROM slots) d,
@@ -310,7 +330,8 @@ S["merge_flags"] = W(READINGS + f""",
 m AS (SELECT device, ts, time_bucket(INTERVAL 15 MINUTE, ts) AS slot,
              CASE WHEN {_ANOM} THEN '{ANOMALY}' END AS quality,
              CASE WHEN {_ANOM} THEN NULL ELSE value END AS value FROM readings),
-b AS (SELECT device, slot, avg(value) AS value FROM m WHERE ts IS NOT NULL GROUP BY 1, 2),
+b0 AS (SELECT device, slot, {_summed('value', 1)} FROM m WHERE ts IS NOT NULL GROUP BY 1, 2),
+b AS (SELECT device, slot, {_mean(1)} AS value FROM b0),
 c AS (SELECT device, slot, value - lag(value) OVER (PARTITION BY device ORDER BY slot) AS d FROM b),
 u AS (SELECT device, slot, quality FROM m WHERE quality IS NOT NULL
       UNION ALL SELECT device, slot, '{RESET}' FROM c WHERE d < 0)""",
@@ -366,25 +387,7 @@ dc AS (SELECT device, date, sum(count) AS count FROM bins GROUP BY 1, 2)""",
   round(sum(count) / (count(*) * 96) * 100, 4) AS percent FROM dc GROUP BY 1""")
 S["monthly_day_count"] = W(GRIDDED, """SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month_num, strftime(min(date), '%b') AS month, device,
   count(*) AS day_count FROM daily WHERE interval IS NOT NULL GROUP BY 1, 2, device""")
-# Values are counted as they are, so the means behind them must be the same to the last
-# bit: the mean of the readings' exact sum, in steps of 2^-64, corrects the engine's.
-def _steps(v):
-    whole, part = f"trunc({v})", f"({v} - trunc({v})) * 4294967296"
-    return (f"(CAST({whole} AS HUGEINT) * 18446744073709551616::HUGEINT + CAST(trunc({part}) AS HUGEINT) * 4294967296::HUGEINT"
-            f" + CAST(trunc(({part} - trunc({part})) * 4294967296) AS HUGEINT))")
-
-
-def _corrected(q, n, w):
-    return f"{q} + CAST({w} - {n} * {_steps(q)} AS DOUBLE) / 18446744073709551616.0 / {n}"
-
-
-_MASKED = "CASE WHEN anom THEN NULL ELSE value END"
-_EXACT = GRIDDED.replace("\nslots AS (", "\nslots0 AS (").replace(
-    f"avg({_MASKED}) AS value,", f"avg({_MASKED}) AS q, count({_MASKED}) AS n, sum({_steps(f'({_MASKED})')}) AS w,").replace(
-    "\ndif AS (", f"""
-slots AS (SELECT device, slot, accumulated, {_corrected('q', 'n', 'w')} AS value, anomaly FROM slots0),
-dif AS (""")
-S["frequency_table"] = W(_EXACT + """,
+S["frequency_table"] = W(GRIDDED + """,
 cnt AS (SELECT device, interval AS item, count(*) AS count FROM g WHERE interval IS NOT NULL GROUP BY 1, 2),
 ft AS (SELECT *, sum(count) OVER (PARTITION BY device) AS total,
               sum(count) OVER (PARTITION BY device ORDER BY count DESC, item ASC ROWS UNBOUNDED PRECEDING) AS cum FROM cnt)""",
@@ -474,10 +477,9 @@ timed AS (SELECT device_name AS device, value,
   CASE WHEN date IS NULL THEN try_strptime(time, '%Y-%m-%d %H:%M:%S') ELSE try_strptime(date, '%d/%m/%Y %H:%M') END AS ts FROM once),
 flagged AS (SELECT *, CAST(ts AS DATE) IN (DATE '2024-01-05', DATE '2024-01-06') AND (value > 100 OR value < 1) AS anom FROM timed)"""
 S["ingest_slots"] = W(_INGEST + f""",
-summed AS (SELECT device, time_bucket(INTERVAL 15 MINUTE, ts) AS slot, avg(value) AS q1, count(value) AS n1, sum({_steps('value')}) AS w1,
-  avg({_MASKED}) AS q2, count({_MASKED}) AS n2, sum({_steps(f'({_MASKED})')}) AS w2,
+summed AS (SELECT device, time_bucket(INTERVAL 15 MINUTE, ts) AS slot, {_summed('value', 1)}, {_summed(_MASKED, 2)},
   min(CASE WHEN anom THEN '{ANOMALY}' END) AS anomaly, count(*) AS readings FROM flagged GROUP BY 1, 2)""",
-                      f"""SELECT device, slot, round({_corrected('q1', 'n1', 'w1')}, 4) AS accumulated, round({_corrected('q2', 'n2', 'w2')}, 4) AS value,
+                      f"""SELECT device, slot, round({_mean(1)}, 4) AS accumulated, round({_mean(2)}, 4) AS value,
   anomaly, readings FROM summed""")
 S["reading_counts"] = W(_INGEST, """SELECT count(*) AS readings, count(*) FILTER (WHERE ts IS NULL) AS without_time,
   count(*) FILTER (WHERE CAST(ts AS DATE) < DATE '2024-01-03' OR CAST(ts AS DATE) > DATE '2024-01-25') AS outside_period FROM timed""")
