@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pluvio.session import checkpoint_dir
 
 
-BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 
 
 def shared_folder(spark: SparkSession) -> str:
