@@ -98,14 +98,18 @@ class Inputs:
         return slots_of(self.ingested())
 
     def _summary(self) -> tuple:
-        """(first slot, last slot, devices), read in one job; no devices where there are
-        more than can be columns."""
+        """(first slot, last slot, devices), read in one aggregation; no devices where there
+        are more than can be columns, of which one row a device is read at most."""
         if self._known is None:
             per = self.slots().groupBy(DEV).agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
             most = reshape.MAX_PIVOT_VALUES
-            r = per.agg(F.min("lo"), F.max("hi"), F.count(F.lit(1)),
-                        F.when(F.count(F.lit(1)) <= most, F.sort_array(F.collect_list(DEV)))).first()
-            self._known = (r[0], r[1], r[3], r[2])
+            found = per.limit(most + 1).collect()
+            if len(found) <= most:
+                lo, hi = min((r["lo"] for r in found), default=None), max((r["hi"] for r in found), default=None)
+                self._known = (lo, hi, sorted(r[DEV] for r in found), len(found))
+            else:
+                r = per.agg(F.min("lo"), F.max("hi"), F.count(F.lit(1))).first()
+                self._known = (r[0], r[1], None, r[2])
         return self._known
 
     def device_list(self) -> list:

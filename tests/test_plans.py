@@ -89,3 +89,21 @@ def test_spatial_join_is_an_equi_join_on_cells(spark):
     p = _plan(E.queries()["geo_join"](spark, SF1))
     assert re.search(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[[^\n]*_pc#\d+\)*, _prow#\d+L?, _pcol", p), p[:2000]
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_given_schemas_are_those_of_the_files(spark):
+    from pluvio.plans import fixtures as fx
+    for name, schema in fx.SCHEMAS.items():
+        found = spark.read.parquet(f"{SF1}/{name}.parquet")
+        assert found.dtypes == spark.read.schema(schema).parquet(f"{SF1}/{name}.parquet").dtypes, name
+
+
+def test_flagship_is_built_in_few_jobs(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("build-flagship", "")
+    try:
+        E.queries()["hydro_daily"](spark, SF1)
+        jobs = sc.statusTracker().getJobIdsForGroup("build-flagship")
+    finally:
+        sc._jsc.clearJobGroup()
+    assert 0 < len(jobs) < 8
