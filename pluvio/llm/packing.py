@@ -46,7 +46,7 @@ class Encoder:
         self.exact = self.quick = None
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.ranks_path is not None and not OTHER_CHARS.search(text) and not SPACES.search(text[::SPARSE]):
+        if self.ranks_path is not None and (text.isascii() or not OTHER_CHARS.search(text)) and not SPACES.search(text[::SPARSE]):
             if self.quick is None:
                 self.quick = self._ranks()
             return self.quick.encode_to_numpy(text, disallowed_special=())
@@ -126,22 +126,32 @@ class _Filler:
         self.row = np.concatenate([self.row, row])
 
     def fill(self, keep: int) -> None:
-        """Fill sequences while more than ``keep`` pieces wait."""
-        share = self.demand / self.limits
+        """Fill sequences while more than ``keep`` pieces wait. Pieces of one demand score
+        alike, so each demand is scored once and its pieces go in order of arrival."""
+        kinds, kind = np.unique(self.demand, axis=0, return_inverse=True)
+        order = np.argsort(kind, kind="stable")
+        ends = np.cumsum(np.bincount(kind, minlength=len(kinds)))
+        at = np.concatenate([[0], ends[:-1]])  # of each demand, the next piece's place in ``order``
+        share, tokens = kinds / self.limits, kinds[:, 0]
         free = np.ones(len(self.row), dtype=bool)
         left = len(self.row)
         while left > keep:
             remaining, offset = self.limits.copy(), 0
             while left:
-                fits = free & (self.demand <= remaining).all(axis=1)
-                score = np.where(fits, share @ (remaining / self.limits), -1.0)
-                best = int(score.argmax())
-                if score[best] < 0:
+                upto = tokens.searchsorted(remaining[0], side="right")  # demands are sorted by tokens
+                fits = (at[:upto] < ends[:upto]) & (kinds[:upto] <= remaining).all(axis=1)
+                score = np.where(fits, share[:upto] @ (remaining / self.limits), -1.0)
+                top = score.max(initial=-1.0)
+                if top < 0:
                     break
-                self.placed.append((int(self.row[best]), self.next, offset))
-                offset += int(self.demand[best, 0])
-                remaining -= self.demand[best]
-                free[best] = False
+                ties = np.flatnonzero(score == top)
+                best = int(ties[order[at[ties]].argmin()])
+                piece = int(order[at[best]])
+                at[best] += 1
+                self.placed.append((int(self.row[piece]), self.next, offset))
+                offset += int(kinds[best, 0])
+                remaining -= kinds[best]
+                free[piece] = False
                 left -= 1
                 if remaining[0] < 1 or remaining[1] < 1:
                     break

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -103,6 +104,53 @@ def test_dot_product_choice():
     assert [(r, s) for r, s, _ in f.placed] == [(2, 0), (0, 0), (1, 1), (3, 1)]
 
 
+def plain_choice(demand, limits):
+    """Each piece scored at every step."""
+    placed, free, sequence = [], np.ones(len(demand), bool), 0
+    while free.any():
+        remaining, offset = np.array(limits, float), 0
+        while (fits := free & (demand <= remaining).all(axis=1)).any():
+            best = int(np.where(fits, demand / limits @ (remaining / limits), -1.0).argmax())
+            placed.append((best, sequence, offset))
+            offset += int(demand[best, 0])
+            remaining -= demand[best]
+            free[best] = False
+            if remaining[0] < 1 or remaining[1] < 1:
+                break
+        sequence += 1
+    return placed
+
+
+@pytest.mark.parametrize("kind", ["documents", "alike", "loss", "empty"])
+def test_choice_by_demand_is_the_choice_by_piece(kind):
+    rng = np.random.default_rng(7)
+    n = 700
+    length = {"documents": np.where(rng.random(n) < 0.5, 64, rng.integers(1, 64, n)), "alike": rng.choice([0, 3, 20, 64], n),
+              "loss": rng.integers(1, 40, n), "empty": np.zeros(n)}[kind]
+    loss = rng.integers(0, 30, n) if kind == "loss" else length
+    demand = np.stack([length, np.ones(n), loss], axis=1).astype(float)
+    f = packing._Filler((64, 6, 64), 0)
+    f.add(demand, np.arange(n))
+    f.fill(0)
+    assert f.placed == plain_choice(demand, np.array((64, 6, 64), float))
+
+
+def test_work_follows_demands_not_pieces_that_wait():
+    def seconds(n, rounds):
+        took = []
+        for _ in range(5):
+            fillers = [packing._Filler((1024, 256, 1024), 0) for _ in range(rounds)]
+            for f in fillers:
+                f.add(np.tile([8.0, 1.0, 8.0], (n, 1)), np.arange(n))
+            began = time.process_time()
+            for f in fillers:
+                f.fill(0)
+            took.append((time.process_time() - began) / (n * rounds))
+        return min(took)
+
+    assert seconds(packing.WINDOW, 1) < 4 * seconds(64, 20)
+
+
 def test_odd_rows(spark):
     rows = [(1, None, 5), (2, "", 5), (3, "a " * 100_000, 5), (None, "b", 5), (4, "c", 5), (4, "c", 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, sequence_id long")
